@@ -1,6 +1,3 @@
-"""Registered queries over the provided tables and their oracle SQL."""
-
-from tallyspark.plans.catalog import QUERIES
-from tallyspark.plans.oracles import ORACLE_SQL
-
-__all__ = ["QUERIES", "ORACLE_SQL"]
+"""Registered queries over the provided tables (``catalog``), their oracle
+SQL (``oracles``), fixed parameters (``params``) and size checks behind
+plan decisions (``guards``)."""

@@ -1,0 +1,37 @@
+"""Size checks behind plan decisions.
+
+``estimated_bytes`` reads Catalyst's size estimate of a DataFrame's
+optimised logical plan (for a file scan: the bytes of the pruned columns
+read).  It is a planning-time number -- no job runs.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+# Inputs up to this size are spread over all cores after the scan (see
+# :func:`spread_small_input`).  Above it, the scan's own splits are used.
+SPREAD_MAX_BYTES = 512 * 1024 * 1024
+
+
+def estimated_bytes(df: DataFrame) -> int:
+    """Catalyst's estimate of the size of ``df`` in bytes."""
+    stats = df._jdf.queryExecution().optimizedPlan().stats()
+    return int(str(stats.sizeInBytes()))
+
+
+def spread_small_input(df: DataFrame, max_bytes: int = SPREAD_MAX_BYTES) -> DataFrame:
+    """Round-robin ``df`` over ``2 x defaultParallelism`` partitions when it
+    is small (at most ``max_bytes`` by estimate); otherwise return it as is.
+
+    A small table stored as one parquet row group is read by a single
+    task, and every operator fused into that scan stage (the explode of
+    texts into tokens, of rows into edges, and the partial aggregation
+    after it) then runs on one core.  Shuffling a small input is cheap;
+    a large input already arrives in many splits, so it is never
+    reshuffled here.
+    """
+    if estimated_bytes(df) > max_bytes:
+        return df
+    n = df.sparkSession.sparkContext.defaultParallelism * 2
+    return df.repartition(n)

@@ -1,0 +1,88 @@
+"""Streaming runs give the batch results, however the input is batched."""
+
+import tempfile
+
+import pytest
+from pyspark.sql import functions as F
+
+from tallyspark.operators import sketch as S
+from tallyspark.sources import fixtures as X
+from tallyspark.streaming import runner as R
+from tallyspark.streaming import stats as ST
+
+from conftest import SF_MID
+
+ROWS = [(17, 23, 101, 7), (4001, 77, 3333, 1000), (8190, 0, 5, 8000)]
+
+
+@pytest.fixture(scope="module")
+def split_events(spark):
+    """events of sf0.01 rewritten as 5 files of consecutive event ids."""
+    path = tempfile.mkdtemp(prefix="events-split-")
+    ev = spark.read.parquet(f"{SF_MID}/events.parquet").select("event_id", "user_id")
+    ev.repartitionByRange(5, "event_id").write.mode("overwrite").parquet(path)
+    return path
+
+
+def stream_items(spark, path):
+    return X.events_to_items(R.events_stream(spark, SF_MID, max_files_per_trigger=1,
+                                             path=path)).select("item")
+
+
+def batch_items(spark):
+    return X.items(spark, SF_MID)
+
+
+def rows(df):
+    return sorted(map(tuple, df.collect()))
+
+
+def test_multi_batch_parity(spark, split_events):
+    s = stream_items(spark, split_events)
+    b = batch_items(spark)
+    assert rows(ST.stream_length(s)) == rows(S.stream_length(b))
+    assert rows(ST.stream_interval_histogram(s, 10, 100)) == \
+        rows(S.interval_histogram(b, 10, 100))
+    assert rows(ST.stream_distinct_items(s, 10, 100)) == \
+        rows(S.distinct_items(S.interval_histogram(b, 10, 100)))
+    assert rows(ST.stream_count_sketch(S.in_interval(s, 10, 100), ROWS, 64)) == \
+        rows(S.count_sketch(S.in_interval(b, 10, 100), ROWS, 64))
+
+
+def test_update_mode_writes_only_changed_keys(spark, split_events):
+    s = stream_items(spark, split_events)
+    out = R.drain(S.interval_histogram(s, 10, 100), "hist-test", "update")
+    per_batch = spark.read.parquet(out).groupBy("batch_id").count().collect()
+    assert len(per_batch) == 5  # one directory per micro-batch
+
+
+def test_single_file_source(spark):
+    s = X.events_to_items(R.events_stream(spark, SF_MID)).select("item")
+    assert rows(ST.stream_length(s)) == rows(S.stream_length(batch_items(spark)))
+
+
+@pytest.mark.parametrize("threshold", [1, 4500, 10_000, 50_000])
+def test_run_until_threshold(spark, split_events, threshold):
+    s = stream_items(spark, split_events)
+    taken = R.run_until_threshold(s, threshold, "prefix-test")
+    file_sizes = sorted(
+        r.n for r in spark.read.parquet(split_events)
+        .withColumn("f", F.input_file_name()).groupBy("f")
+        .agg(F.count("*").alias("n")).collect())
+    per_batch = [r.t for r in taken.groupBy("batch_id").agg(F.sum("n").alias("t"))
+                 .orderBy("batch_id").collect()]
+    # whole batches only: every taken batch is one whole input file
+    assert all(n in file_sizes for n in per_batch)
+    # taken while the running total was below the threshold, and no more
+    assert sum(per_batch[:-1]) < threshold
+    assert sum(per_batch) >= threshold or len(per_batch) == len(file_sizes)
+    # same histogram as the batch operator over the taken items
+    hist = taken.groupBy("item").agg(F.sum("n").alias("n"))
+    assert hist.agg(F.sum("n")).collect()[0][0] == sum(per_batch)
+
+
+def test_checkpoint_dir_is_shared_setting(spark):
+    from tallyspark.session import checkpoint_root, scratch_path
+    root = checkpoint_root(spark)
+    assert root == spark.sparkContext.getCheckpointDir()
+    assert scratch_path(spark, "x").startswith(root)
