@@ -40,6 +40,7 @@ from tallyspark.functions.hashing import (
     node_color,
     sorted3,
 )
+from tallyspark.plans.materialize import materialize
 
 ORDERS = ("degree", "id")
 
@@ -100,8 +101,21 @@ def orient(canon: DataFrame, order: str = "degree") -> DataFrame:
                     F.when(u_first, F.col("v")).otherwise(F.col("u")).alias("dst"))
 
 
-def oriented_edges(edges: DataFrame, order: str = "degree") -> DataFrame:
-    return orient(canonical_edges(edges), order)
+def oriented_edges(edges: DataFrame, order: str = "degree",
+                   stored: bool = True) -> DataFrame:
+    """Canonical edges oriented by ``order``: ``(src, dst)``.
+
+    With ``stored`` (default) the result is written once to the shared
+    checkpoint folder and scanned from there, because every triangle
+    query reads it three times (and the degree orientation reads the
+    canonical edges three times).
+    """
+    canon = canonical_edges(edges)
+    if not stored:
+        return orient(canon, order)
+    if order == "degree":
+        canon = materialize(canon, "canonical-edges")
+    return materialize(orient(canon, order), "oriented-edges")
 
 
 # ---------------------------------------------------------------------------
@@ -154,10 +168,11 @@ def triangles_exact(edges: DataFrame, order: str = "degree") -> DataFrame:
 
 def graph_summary(edges: DataFrame, order: str = "degree") -> DataFrame:
     """``(n_vertices, n_edges, triangles)`` of the undirected simple graph."""
-    canon = canonical_edges(edges)
-    n_edges = canon.agg(F.count(F.lit(1))).scalar()
-    n_vertices = vertex_degrees(canon).agg(F.count(F.lit(1))).scalar()
-    tri = list_triangles(orient(canon, order))
+    oriented = oriented_edges(edges, order)
+    n_edges = oriented.agg(F.count(F.lit(1))).scalar()
+    n_vertices = (oriented.select(F.explode(F.array("src", "dst")).alias("x"))
+                  .distinct().agg(F.count(F.lit(1))).scalar())
+    tri = list_triangles(oriented)
     # two scalar subqueries next to the triangle aggregate
     return tri.agg(F.count(F.lit(1)).alias("triangles")).select(
         n_vertices.alias("n_vertices"), n_edges.alias("n_edges"), "triangles")
