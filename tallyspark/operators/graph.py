@@ -122,34 +122,22 @@ def oriented_edges(edges: DataFrame, order: str = "degree",
 # Triangle join
 # ---------------------------------------------------------------------------
 
-def list_triangles(oriented: DataFrame, keys: Sequence[str] = (),
-                   carry: Sequence[str] = (),
-                   wedge_filter=None) -> DataFrame:
+def list_triangles(oriented: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     """Triangles ``(keys..., a, b, c)`` of an oriented edge set.
 
     ``keys`` are group columns every edge of a triangle must share.
-    ``carry`` are per-edge columns named ``<x>_src`` / ``<x>_dst`` (e.g.
-    vertex colours) made available to ``wedge_filter`` as ``<x>_a``,
-    ``<x>_b`` (from edge a->b) and ``<x>_c`` (from edge b->c); the filter
-    (a Column) is applied to wedges before the closing join.
     """
     k = list(keys)
-    e1 = oriented.select(*k, F.col("src").alias("a"), F.col("dst").alias("b"),
-                         *[F.col(f"{x}_src").alias(f"{x}_a") for x in carry],
-                         *[F.col(f"{x}_dst").alias(f"{x}_b") for x in carry])
-    e2 = oriented.select(*k, F.col("src").alias("b"), F.col("dst").alias("c"),
-                         *[F.col(f"{x}_dst").alias(f"{x}_c") for x in carry])
+    e1 = oriented.select(*k, F.col("src").alias("a"), F.col("dst").alias("b"))
+    e2 = oriented.select(*k, F.col("src").alias("b"), F.col("dst").alias("c"))
     e3 = oriented.select(*k, F.col("src").alias("a"), F.col("dst").alias("c"))
     wedges = e1.join(e2, on=k + ["b"])
-    if wedge_filter is not None:
-        wedges = wedges.where(wedge_filter)
     return wedges.join(e3, on=k + ["a", "c"], how="left_semi").select(*k, "a", "b", "c")
 
 
-def count_triangles(oriented: DataFrame, keys: Sequence[str] = (),
-                    carry: Sequence[str] = (), wedge_filter=None) -> DataFrame:
+def count_triangles(oriented: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     """``(keys..., triangles)`` for the groups that have at least one."""
-    tri = list_triangles(oriented, keys, carry, wedge_filter)
+    tri = list_triangles(oriented, keys)
     return tri.groupBy(*keys).agg(F.count(F.lit(1)).alias("triangles"))
 
 
@@ -290,13 +278,14 @@ def _replicated_by_triple(oriented: DataFrame, a: int, b: int, num_colors: int,
                           .alias("i"))
     k0, k1, k2 = sorted3(F.col("color_src"), F.col("color_dst"), F.col("i"))
     return rep.select(k0.alias("k0"), k1.alias("k1"), k2.alias("k2"),
-                      "src", "dst", "color_src", "color_dst")
+                      "src", "dst", "color_src", "color_dst", "i")
 
 
 def edge_color_triples(edges: DataFrame, a: int, b: int, num_colors: int,
                        p: int = DEFAULT_PRIME) -> DataFrame:
     """Replicated canonical edges per colour-triple key: ``(k0, k1, k2, n_edges)``."""
-    rep = _replicated_by_triple(oriented_edges(edges, "id"), a, b, num_colors, p)
+    canon = canonical_edges(edges).select(F.col("u").alias("src"), F.col("v").alias("dst"))
+    rep = _replicated_by_triple(canon, a, b, num_colors, p)
     return rep.groupBy("k0", "k1", "k2").agg(F.count(F.lit(1)).alias("n_edges"))
 
 
@@ -304,12 +293,25 @@ def triangles_per_color_triple(edges: DataFrame, a: int, b: int, num_colors: int
                                p: int = DEFAULT_PRIME,
                                order: str = "degree") -> DataFrame:
     """Per colour-triple key, the triangles whose sorted vertex colours equal
-    the key: ``(k0, k1, k2, triangles)``; keys without one report 0."""
+    the key: ``(k0, k1, k2, triangles)``; keys without one report 0.
+
+    Edges are replicated C times (key ``sort(h(u), h(v), i)``) and the
+    triangle join runs inside each key.  A triangle belongs to key k only
+    if its sorted vertex colours are k; for the copy of edge a->b keyed
+    with ``i`` that means the third vertex must have colour ``i``.  So
+    ownership is one more equi-join column (``e1.i = h(c)``): only owned
+    wedges are ever produced, none is filtered after the join.
+    """
     rep = _replicated_by_triple(oriented_edges(edges, order), a, b, num_colors, p)
     keys = ["k0", "k1", "k2"]
-    s0, s1, s2 = sorted3(F.col("color_a"), F.col("color_b"), F.col("color_c"))
-    own = (s0 == F.col("k0")) & (s1 == F.col("k1")) & (s2 == F.col("k2"))
-    counts = count_triangles(rep, keys, carry=["color"], wedge_filter=own)
+    e1 = rep.select(*keys, F.col("src").alias("a"), F.col("dst").alias("b"),
+                    F.col("i").alias("color_c"))
+    e2 = rep.select(*keys, F.col("src").alias("b"), F.col("dst").alias("c"),
+                    F.col("color_dst").alias("color_c"))
+    e3 = rep.select(*keys, F.col("src").alias("a"), F.col("dst").alias("c"))
+    owned = e1.join(e2, on=keys + ["b", "color_c"])
+    tri = owned.join(e3, on=keys + ["a", "c"], how="left_semi")
+    counts = tri.groupBy(*keys).agg(F.count(F.lit(1)).alias("triangles"))
     groups = rep.select(*keys).distinct()  # at most C^3 rows
     return _zero_filled(groups, counts, keys)
 
