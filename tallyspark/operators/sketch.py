@@ -23,7 +23,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyspark.functions.hashing import DEFAULT_PRIME, bucket_hash, sign_hash
+from tallyspark.functions.hashing import DEFAULT_PRIME, bucket_hash, low32, sign_hash
 
 SketchParams = Sequence[tuple[int, int, int, int]]
 
@@ -57,6 +57,11 @@ def batch_item_counts(items: DataFrame) -> DataFrame:
     return items.groupBy("batch", "item").agg(F.count(F.lit(1)).alias("n"))
 
 
+def batch_sizes(items: DataFrame) -> DataFrame:
+    """``(batch, n_items)`` for every non-empty micro-batch."""
+    return items.groupBy("batch").agg(F.count(F.lit(1)).alias("n_items"))
+
+
 def stream_length(items: DataFrame) -> DataFrame:
     """``(n_items)``: number of items seen."""
     return items.agg(F.count(F.lit(1)).alias("n_items"))
@@ -102,26 +107,32 @@ def _rows(params: SketchParams) -> Column:
 
 
 def _with_rows(df: DataFrame, params: SketchParams, width: int, p: int,
-               keep: Sequence[str]) -> DataFrame:
+               keep: Sequence[str], narrow32: bool = False) -> DataFrame:
     x = df.select(*keep, F.explode(_rows(params)).alias("r"))
+    key = low32("item") if narrow32 else F.col("item")
     return x.select(
         *keep, F.col("r.row_idx").alias("row_idx"),
-        bucket_hash("item", F.col("r.ha"), F.col("r.hb"), width, p).alias("col_idx"),
-        sign_hash("item", F.col("r.ga"), F.col("r.gb"), p).alias("sign"))
+        bucket_hash(key, F.col("r.ha"), F.col("r.hb"), width, p).alias("col_idx"),
+        sign_hash(key, F.col("r.ga"), F.col("r.gb"), p).alias("sign"))
 
 
 def sketch_hashes(items: DataFrame, params: SketchParams, width: int,
-                  p: int = DEFAULT_PRIME) -> DataFrame:
-    """``(row_idx, item, col_idx, sign)`` for every distinct item and row."""
+                  p: int = DEFAULT_PRIME, narrow32: bool = False) -> DataFrame:
+    """``(row_idx, item, col_idx, sign)`` for every distinct item and row.
+
+    ``narrow32`` hashes the low 32 bits of the item (two's complement), as
+    the original does for 64-bit items; equal to the default for
+    ``|item| < 2**31``.
+    """
     distinct = items.select("item").distinct()
-    return _with_rows(distinct, params, width, p, ["item"]).select(
+    return _with_rows(distinct, params, width, p, ["item"], narrow32).select(
         "row_idx", "item", "col_idx", "sign")
 
 
 def count_sketch(items: DataFrame, params: SketchParams, width: int,
-                 p: int = DEFAULT_PRIME) -> DataFrame:
+                 p: int = DEFAULT_PRIME, narrow32: bool = False) -> DataFrame:
     """``(row_idx, col_idx, value)``: the non-empty cells of the count-sketch."""
-    x = _with_rows(items, params, width, p, ["item"])
+    x = _with_rows(items, params, width, p, ["item"], narrow32)
     return x.groupBy("row_idx", "col_idx").agg(F.sum("sign").cast("bigint").alias("value"))
 
 
@@ -143,10 +154,11 @@ def second_moment_approx(sketch: DataFrame, hist: DataFrame) -> DataFrame:
 
 
 def sketch_point_estimates(hist: DataFrame, sketch: DataFrame, params: SketchParams,
-                           width: int, p: int = DEFAULT_PRIME) -> DataFrame:
+                           width: int, p: int = DEFAULT_PRIME,
+                           narrow32: bool = False) -> DataFrame:
     """``(item, n, estimate)``: count-sketch frequency estimate
     ``median_j g_j(x) * M[j][h_j(x)]`` for every item of ``hist``."""
-    probes = _with_rows(hist, params, width, p, ["item", "n"])
+    probes = _with_rows(hist, params, width, p, ["item", "n"], narrow32)
     cells = sketch.select("row_idx", "col_idx", "value")
     if len(params) * width <= MAX_BROADCAST_CELLS:
         cells = F.broadcast(cells)  # at most D*W rows, checked above

@@ -13,9 +13,11 @@ third of all tokens):
   HashAggregate already reduces a hot word to one row per map task.
 * :func:`word_count_salted` -- two rounds keyed ``(salt, word)`` then
   ``word``; salt is a hash of ``(document, word)``, so it is replay-stable.
-* :func:`word_count_salted_at_shuffle` -- two rounds with a random salt
-  per token, drawn right after the scan (before any shuffle, so a retried
-  task redraws the same salts from the same seed and input order).
+* :func:`word_count_salted_at_shuffle` -- two rounds with a salt per
+  token *occurrence* (a hash of document, position and seed): spread like
+  a random draw, but a re-run task assigns exactly the same salts whatever
+  order its input rows arrive in, so a lost executor cannot make a token
+  count under two salts.
 * :func:`word_count_by_partition` -- combine inside each input partition
   (keyed by ``spark_partition_id()``), then across partitions.
 """
@@ -74,9 +76,10 @@ def word_count_salted(docs: DataFrame, num_salts: int, seed: int = 0,
 
 def word_count_salted_at_shuffle(docs: DataFrame, num_salts: int, seed: int = 0,
                                  id_cols: Sequence[str] = LINE_ID) -> DataFrame:
-    """Two-round count with a random salt per token: ``(word, n)``."""
-    t = tokens(docs, id_cols)
-    salt = F.floor(F.rand(seed) * num_salts).cast("int")
+    """Two-round count with a pseudo-random salt per token occurrence:
+    ``(word, n)``."""
+    t = docs.select(*id_cols, F.posexplode(words("text")).alias("pos", "word"))
+    salt = F.pmod(F.xxhash64(*id_cols, "pos", F.lit(seed)), F.lit(num_salts))
     return _two_round(t.select(salt.alias("salt"), "word"))
 
 

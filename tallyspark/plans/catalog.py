@@ -265,6 +265,11 @@ def batch_item_counts(spark, sf):
     return S.batch_item_counts(_items(spark, sf))
 
 
+@query
+def batch_sizes(spark, sf):
+    return S.batch_sizes(_items(spark, sf))
+
+
 @query
 def interval_histogram(spark, sf):
     return _hist(spark, sf)

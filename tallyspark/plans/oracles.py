@@ -235,6 +235,8 @@ ORACLE_SQL: dict[str, str] = {
     # ---- item stream ----------------------------------------------------
     "batch_item_counts": f"""WITH {ITEMS}
         SELECT batch, item, count(*) AS n FROM items GROUP BY batch, item""",
+    "batch_sizes": f"""WITH {ITEMS}
+        SELECT batch, count(*) AS n_items FROM items GROUP BY batch""",
     "interval_histogram": f"WITH {HIST} SELECT item, n FROM hist",
     "stream_length": f"WITH {ITEMS} SELECT count(*) AS n_items FROM items",
     "stream_interval_histogram": f"WITH {HIST} SELECT item, n FROM hist",

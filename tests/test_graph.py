@@ -213,3 +213,24 @@ def test_graph_summary(spark, edges_df):
     pairs, expected = TINY["square_diagonal"]
     r = G.graph_summary(edges_df(pairs)).collect()[0]
     assert (r.n_vertices, r.n_edges, r.triangles) == (4, 5, expected)
+
+
+@pytest.mark.parametrize("n", [3, 12, 40])
+def test_complete_graph_golden(spark, edges_df, n):
+    pairs = list(itertools.combinations(range(n), 2))
+    assert one(G.triangles_exact(edges_df(pairs))) == n * (n - 1) * (n - 2) // 6
+    assert one(G.triangles_exact_colored(edges_df(pairs), 17, 23, 3)) == \
+        n * (n - 1) * (n - 2) // 6
+
+
+def test_color_estimate_is_unbiased_on_average(spark):
+    from tallyspark.sources import raw_edges
+    edges = raw_edges(spark, "/root/testdata/sf0.001")
+    exact = one(G.triangles_exact(edges))
+    rnd = random.Random(42)
+    runs = [(rnd.randrange(1, P), rnd.randrange(0, P)) for _ in range(40)]
+    est = G.triangles_approx_color_runs(edges, runs, 2).collect()
+    mean = sum(r.estimate for r in est) / len(est)
+    assert abs(mean - exact) / exact < 0.05
+    part = G.triangles_approx_partition(edges, 31, 57, 11, 2)
+    assert abs(one(part) - exact) / exact < 0.2

@@ -157,3 +157,20 @@ def test_batch_item_counts(items_df):
     vals = [1, 1, 2, 3, 3, 3]
     got = sorted(map(tuple, S.batch_item_counts(items_df(vals, batch_size=4)).collect()))
     assert got == [(0, 1, 2), (0, 2, 1), (0, 3, 1), (1, 3, 2)]
+
+
+def test_narrow32_hashes_low_bits(spark):
+    big = (1 << 33) + 12345          # low 32 bits: 12345
+    neg = (1 << 32) - 7              # low 32 bits: -7 as a signed int
+    df = spark.createDataFrame([(big,), (12345,), (neg,), (-7,)], "item bigint")
+    got = {r.item: (r.col_idx, r.sign) for r in
+           S.sketch_hashes(df, ROWS[:1], W, narrow32=True).collect()}
+    assert got[big] == got[12345]
+    assert got[neg] == got[-7]
+    plain = {r.item: (r.col_idx, r.sign) for r in S.sketch_hashes(df, ROWS[:1], W).collect()}
+    assert plain[12345] == got[12345]
+
+
+def test_batch_sizes(items_df):
+    got = sorted(map(tuple, S.batch_sizes(items_df(list(range(10)), batch_size=4)).collect()))
+    assert got == [(0, 4), (1, 4), (2, 2)]
