@@ -12,6 +12,6 @@ Three domains, each a set of DataFrame -> DataFrame functions:
   Streaming queries.
 """
 
-from tallyspark.session import build_session, scratch_path
+from tallyspark.session import build_session, drop_scratch, scratch_path
 
-__all__ = ["build_session", "scratch_path"]
+__all__ = ["build_session", "drop_scratch", "scratch_path"]

@@ -74,7 +74,33 @@ def checkpoint_root(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+# Scratch paths handed out per SparkContext (by its application id).
+_SCRATCH: dict[str, list[str]] = {}
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique sub-path of the shared checkpoint folder."""
+    """A fresh, unique sub-path of the shared checkpoint folder.
+
+    The path is remembered so that :func:`drop_scratch` can delete it once
+    the DataFrames reading it are no longer needed.
+    """
     root = checkpoint_root(spark).rstrip("/")
-    return f"{root}/{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{root}/{name}-{uuid.uuid4().hex[:12]}"
+    _SCRATCH.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def drop_scratch(spark: SparkSession) -> int:
+    """Delete every scratch path this session created (stored intermediate
+    tables, streaming outputs and checkpoints); return how many.
+
+    DataFrames that read those paths must not be used afterwards.
+    """
+    sc = spark.sparkContext
+    paths = _SCRATCH.pop(sc.applicationId, [])
+    jvm = sc._jvm
+    conf = sc._jsc.hadoopConfiguration()
+    for path in paths:
+        hpath = jvm.org.apache.hadoop.fs.Path(path)
+        hpath.getFileSystem(conf).delete(hpath, True)
+    return len(paths)

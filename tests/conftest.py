@@ -26,6 +26,8 @@ def spark():
     s.sparkContext.setLogLevel("ERROR")
     checkpoint_root(s)  # tests: unset, so a local temp folder is set
     yield s
+    from tallyspark.session import drop_scratch
+    drop_scratch(s)
 
 
 @pytest.fixture

@@ -86,3 +86,17 @@ def test_checkpoint_dir_is_shared_setting(spark):
     root = checkpoint_root(spark)
     assert root == spark.sparkContext.getCheckpointDir()
     assert scratch_path(spark, "x").startswith(root)
+
+
+def test_drop_scratch_removes_stored_tables(spark, edges_df):
+    import os
+
+    from tallyspark.operators import graph as G
+    from tallyspark.session import _SCRATCH, drop_scratch
+    drop_scratch(spark)
+    df = edges_df([(1, 2), (2, 3), (1, 3)])
+    assert G.triangles_exact(df).collect()[0][0] == 1
+    paths = list(_SCRATCH[spark.sparkContext.applicationId])
+    assert paths and all(os.path.exists(p.replace("file:", "")) for p in paths)
+    assert drop_scratch(spark) == len(paths)
+    assert not any(os.path.exists(p.replace("file:", "")) for p in paths)
