@@ -50,6 +50,10 @@ def build_session(
     )
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
+    # Read small stored tables (a few files) in at least two splits per
+    # core; large inputs split by size anyway.
+    spark.conf.set("spark.sql.files.minPartitionNum",
+                   str(2 * spark.sparkContext.defaultParallelism))
     return spark
 
 
