@@ -136,6 +136,15 @@ def count_sketch(items: DataFrame, params: SketchParams, width: int,
     return x.groupBy("row_idx", "col_idx").agg(F.sum("sign").cast("bigint").alias("value"))
 
 
+def count_sketch_from_counts(counts: DataFrame, params: SketchParams, width: int,
+                             p: int = DEFAULT_PRIME, narrow32: bool = False) -> DataFrame:
+    """Count-sketch from pre-aggregated ``(item, n)`` counts (e.g. per
+    micro-batch): every cell gets ``g(x) * n``.  ``(row_idx, col_idx, value)``."""
+    x = _with_rows(counts, params, width, p, ["item", "n"], narrow32)
+    return x.groupBy("row_idx", "col_idx").agg(
+        F.sum(F.col("sign") * F.col("n")).cast("bigint").alias("value"))
+
+
 def second_moment_rows(sketch: DataFrame) -> DataFrame:
     """``(row_idx, f2)``: per-row estimate ``sum_col value^2``."""
     return sketch.groupBy("row_idx").agg(
