@@ -3,7 +3,7 @@
     python -m tallyspark wordcount  K  <docs>            # one document per line
     python -m tallyspark triangles  C R <edges>          # u,v lines; colouring + partitions
     python -m tallyspark triangles2 C R F <edges>        # u1,v1,u2,v2,... lines; F=0 approx, 1 exact
-    python -m tallyspark stream     D W left right K <items-dir>
+    python -m tallyspark stream     D W left right K <items-dir | socket://host:port>
 
 Every number is computed by the library operators; only one-row results
 are brought to the driver for printing.  Hash parameters are drawn from
@@ -103,13 +103,28 @@ def triangles2(spark: SparkSession, c: int, r: int, f: int, path: str,
 def stream(spark: SparkSession, d: int, w: int, left: int, right: int, k: int,
            path: str, seed: int, threshold: int = STREAM_THRESHOLD,
            max_files_per_trigger: int | None = None) -> list[str]:
+    """Stream statistics over one integer per line.
+
+    ``path`` is a directory of text files, or ``socket://host:port`` for a
+    text socket read in 100 ms micro-batches (not replayable: a restart
+    loses what the socket already sent).
+    """
     rnd = random.Random(seed)
     rows = [(*_hash_params(rnd), *_hash_params(rnd)) for _ in range(d)]
-    reader = spark.readStream.schema("value string")
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    items = reader.text(path).select(F.col("value").cast("bigint").alias("item"))
-    taken = R.run_until_threshold(items, threshold, "stream-job")
+    trigger = None
+    if path.startswith("socket://"):
+        host, port = path[len("socket://"):].rsplit(":", 1)
+        reader = (spark.readStream.format("socket").option("host", host)
+                  .option("port", int(port)))
+        source = reader.load()
+        trigger = "100 milliseconds"
+    else:
+        reader = spark.readStream.schema("value string")
+        if max_files_per_trigger:
+            reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+        source = reader.text(path)
+    items = source.select(F.trim("value").cast("bigint").alias("item"))
+    taken = R.run_until_threshold(items, threshold, "stream-job", processing_time=trigger)
     per_item = taken.groupBy("item").agg(F.sum("n").cast("bigint").alias("n"))
     n_items = _scalar(per_item.agg(F.coalesce(F.sum("n"), F.lit(0))))
     hist = S.in_interval(per_item, left, right)

@@ -47,8 +47,16 @@ def flat_line_edges(line: Column) -> Column:
     ).otherwise(toks)
     return F.transform(
         F.sequence(F.lit(0), F.size(checked) - 2, F.lit(2)),
-        lambda i: F.struct(checked[i].cast("bigint").alias("u"),
-                           checked[i + 1].cast("bigint").alias("v")))
+        lambda i: F.struct(_parse_id(checked[i]).alias("u"),
+                           _parse_id(checked[i + 1]).alias("v")))
+
+
+def _parse_id(token: Column) -> Column:
+    """bigint of a token; raises on a malformed one whatever the ANSI mode
+    (a non-ANSI cast would yield NULL)."""
+    value = F.trim(token).try_cast("bigint")
+    return F.when(value.isNull(), F.raise_error(F.concat(
+        F.lit("malformed vertex id: '"), token, F.lit("'")))).otherwise(value)
 
 
 def read_flat_lines(spark: SparkSession, path: str) -> DataFrame:

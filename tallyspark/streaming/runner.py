@@ -137,7 +137,8 @@ def run_update(stream_result: DataFrame, name: str, keys: Sequence[str]) -> Data
 
 
 def run_until_threshold(items_stream: DataFrame, threshold: int,
-                        name: str = "prefix") -> DataFrame:
+                        name: str = "prefix",
+                        processing_time: str | None = None) -> DataFrame:
     """Take whole micro-batches while fewer than ``threshold`` items have
     been taken, then stop the query.
 
@@ -169,7 +170,7 @@ def run_until_threshold(items_stream: DataFrame, threshold: int,
 
     spark = items_stream.sparkSession
     out = drain(items_stream.select("item"), name, "append", on_batch=on_batch,
-                stop_when=reached)
+                stop_when=reached, processing_time=processing_time)
     schema = StructType([StructField("item", LongType()), StructField("n", LongType())])
     return spark.read.schema(_with_batch(schema)).parquet(out).select(
         BATCH_COL, "item", "n")

@@ -59,3 +59,13 @@ def test_round_trips(spark):
     d2 = tempfile.mkdtemp(prefix="flat-") + "/out"
     FS.write_flat_lines(arr, d2)
     assert pairs(FS.read_flat_lines(spark, d2)) == [(1, 2), (3, -4)]
+
+
+def test_flat_lines_bad_id_fails_without_ansi(spark):
+    d = write_lines(["1,2", "3,x"])
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        with pytest.raises(Exception):
+            FS.read_flat_lines(spark, d).collect()
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", "true")
