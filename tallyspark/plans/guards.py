@@ -12,6 +12,8 @@ from pyspark.sql import DataFrame
 # Inputs up to this size are spread over all cores after the scan (see
 # :func:`spread_small_input`).  Above it, the scan's own splits are used.
 SPREAD_MAX_BYTES = 512 * 1024 * 1024
+# Smallest input slice worth its own partition when spreading.
+SPREAD_MIN_PARTITION_BYTES = 512 * 1024
 
 
 def estimated_bytes(df: DataFrame) -> int:
@@ -21,8 +23,9 @@ def estimated_bytes(df: DataFrame) -> int:
 
 
 def spread_small_input(df: DataFrame, max_bytes: int = SPREAD_MAX_BYTES) -> DataFrame:
-    """Round-robin ``df`` over ``2 x defaultParallelism`` partitions when it
-    is small (at most ``max_bytes`` by estimate); otherwise return it as is.
+    """Round-robin ``df`` over up to ``2 x defaultParallelism`` partitions
+    (at least ``SPREAD_MIN_PARTITION_BYTES`` of input each) when it is small
+    (at most ``max_bytes`` by estimate); otherwise return it as is.
 
     A small table stored as one parquet row group is read by a single
     task, and every operator fused into that scan stage (the explode of
@@ -31,7 +34,9 @@ def spread_small_input(df: DataFrame, max_bytes: int = SPREAD_MAX_BYTES) -> Data
     a large input already arrives in many splits, so it is never
     reshuffled here.
     """
-    if estimated_bytes(df) > max_bytes:
+    size = estimated_bytes(df)
+    if size > max_bytes:
         return df
-    n = df.sparkSession.sparkContext.defaultParallelism * 2
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    n = max(1, min(2 * cores, -(-size // SPREAD_MIN_PARTITION_BYTES)))
     return df.repartition(n)

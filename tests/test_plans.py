@@ -68,3 +68,16 @@ def test_triangle_join_reads_stored_edges(plans):
     plan = plans["triangles_exact"]
     assert plan.count("ReadSchema: struct<src:bigint,dst:bigint>") == 3
     assert "lineitem.parquet" not in plan
+
+
+def test_spread_guard_sizes(spark):
+    from tallyspark.plans import guards
+    from tallyspark.sources import tables
+    li = tables.read_table(spark, SF_SMALL, "lineitem", ["l_orderkey"])
+    cores = spark.sparkContext.defaultParallelism
+    spread = guards.spread_small_input(li)
+    size = guards.estimated_bytes(li)
+    want = max(1, min(2 * cores, -(-size // guards.SPREAD_MIN_PARTITION_BYTES)))
+    assert spread.rdd.getNumPartitions() == want
+    # above the bound the input is returned untouched (no shuffle added)
+    assert guards.spread_small_input(li, max_bytes=1) is li
