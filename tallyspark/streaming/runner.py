@@ -59,7 +59,8 @@ def _mkdirs(spark: SparkSession, path: str) -> None:
 def drain(stream: DataFrame, name: str, output_mode: str,
           on_batch: Callable[[DataFrame, int, str], None] | None = None,
           stop_when: Callable[[], bool] | None = None,
-          processing_time: str | None = None) -> str:
+          processing_time: str | None = None,
+          location: str | None = None) -> str:
     """Run ``stream`` to the end of its input (``availableNow``) into
     per-batch directories; return the output folder.
 
@@ -68,10 +69,12 @@ def drain(stream: DataFrame, name: str, output_mode: str,
     ``stop_when`` is polled from this (the main) thread; when true the
     query is stopped -- the callback itself never stops the query.
     ``processing_time`` replaces ``availableNow`` with a fixed-interval
-    trigger (for unbounded sources).
+    trigger (for unbounded sources).  ``location`` fixes the folder of the
+    output and the streaming checkpoint (a rerun then resumes the query);
+    by default a fresh scratch folder is used.
     """
     spark = stream.sparkSession
-    base = scratch_path(spark, name)
+    base = location.rstrip("/") if location else scratch_path(spark, name)
     out, chk = f"{base}/out", f"{base}/chk"
     _mkdirs(spark, out)
 
@@ -136,19 +139,35 @@ def run_update(stream_result: DataFrame, name: str, keys: Sequence[str]) -> Data
     return read_update(stream_result.sparkSession, out, stream_result.schema, keys)
 
 
+def _taken_so_far(spark: SparkSession, out: str) -> dict[int, int]:
+    """Items per batch already written under ``out`` (one row per batch)."""
+    schema = _with_batch(StructType([StructField("item", LongType()),
+                                     StructField("n", LongType())]))
+    per_batch = (spark.read.schema(schema).parquet(out)
+                 .groupBy(BATCH_COL).agg(F.sum("n").alias("n")).collect())
+    return {int(r[BATCH_COL]): int(r["n"]) for r in per_batch}
+
+
 def run_until_threshold(items_stream: DataFrame, threshold: int,
                         name: str = "prefix",
-                        processing_time: str | None = None) -> DataFrame:
+                        processing_time: str | None = None,
+                        location: str | None = None) -> DataFrame:
     """Take whole micro-batches while fewer than ``threshold`` items have
     been taken, then stop the query.
 
     Each taken batch is stored pre-aggregated as ``(item, n)`` in its own
     batch directory; the returned DataFrame ``(batch_id, item, n)`` holds
     all taken batches, ready for the batch operators (histogram, sketch).
-    The item total per batch id lives in a driver dict keyed by batch id,
-    so a replayed batch is not counted twice.
+    The item total per batch id is kept in a dict keyed by batch id, so a
+    replayed batch is not counted twice; with a fixed ``location`` a
+    restarted driver rebuilds that dict from the batches already written
+    (one small row per batch) and the query resumes from its checkpoint.
     """
+    spark = items_stream.sparkSession
     counts: dict[int, int] = {}
+    if location:
+        _mkdirs(spark, f"{location.rstrip('/')}/out")
+        counts.update(_taken_so_far(spark, f"{location.rstrip('/')}/out"))
     lock = threading.Lock()
 
     def taken_before(batch_id: int) -> int:
@@ -168,9 +187,8 @@ def run_until_threshold(items_stream: DataFrame, threshold: int,
         with lock:
             return sum(counts.values()) >= threshold
 
-    spark = items_stream.sparkSession
     out = drain(items_stream.select("item"), name, "append", on_batch=on_batch,
-                stop_when=reached, processing_time=processing_time)
+                stop_when=reached, processing_time=processing_time, location=location)
     schema = StructType([StructField("item", LongType()), StructField("n", LongType())])
     return spark.read.schema(_with_batch(schema)).parquet(out).select(
         BATCH_COL, "item", "n")

@@ -100,3 +100,17 @@ def test_drop_scratch_removes_stored_tables(spark, edges_df):
     assert paths and all(os.path.exists(p.replace("file:", "")) for p in paths)
     assert drop_scratch(spark) == len(paths)
     assert not any(os.path.exists(p.replace("file:", "")) for p in paths)
+
+
+def test_run_until_threshold_resumes(spark, split_events):
+    """A second run at the same location (a restarted driver) continues
+    from the written batches and the streaming checkpoint."""
+    loc = tempfile.mkdtemp(prefix="resume-")
+    first = R.run_until_threshold(stream_items(spark, split_events), 1, location=loc)
+    n1 = first.agg(F.countDistinct("batch_id")).collect()[0][0]
+    assert n1 == 1
+    # same location, higher threshold: earlier batches count, new ones follow
+    again = R.run_until_threshold(stream_items(spark, split_events), 4500, location=loc)
+    per_batch = [r.t for r in again.groupBy("batch_id").agg(F.sum("n").alias("t"))
+                 .orderBy("batch_id").collect()]
+    assert len(per_batch) >= 2 and sum(per_batch[:-1]) < 4500 <= sum(per_batch)
