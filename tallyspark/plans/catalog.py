@@ -296,6 +296,23 @@ def stream_count_sketch(spark, sf):
     return ST.stream_count_sketch(inside, P.SKETCH_ROWS, P.SKETCH_WIDTH, P.P)
 
 
+@query
+def stream_second_moment_true(spark, sf):
+    """S8 over the streamed histogram (stateful query, then batch)."""
+    hist = ST.stream_interval_histogram(_stream_items(spark, sf), P.LEFT, P.RIGHT)
+    return S.second_moment_true(hist)
+
+
+@query
+def stream_second_moment_approx(spark, sf):
+    """S10 over the streamed sketch and histogram."""
+    items = _stream_items(spark, sf)
+    hist = ST.stream_interval_histogram(items, P.LEFT, P.RIGHT)
+    sketch = ST.stream_count_sketch(S.in_interval(items, P.LEFT, P.RIGHT),
+                                    P.SKETCH_ROWS, P.SKETCH_WIDTH, P.P)
+    return S.second_moment_approx(sketch, hist)
+
+
 @query
 def stream_prefix(spark, sf):
     return S.stream_prefix(_items(spark, sf), P.THRESHOLD)

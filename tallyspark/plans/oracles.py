@@ -287,3 +287,5 @@ ORACLE_SQL["word_count_salted_at_shuffle"] = ORACLE_SQL["word_count"]
 ORACLE_SQL["word_count_by_partition"] = ORACLE_SQL["word_count"]
 ORACLE_SQL["text_file_word_count"] = ORACLE_SQL["word_count"]
 ORACLE_SQL["triangles_exact_id_order"] = ORACLE_SQL["triangles_exact"]
+ORACLE_SQL["stream_second_moment_true"] = ORACLE_SQL["second_moment_true"]
+ORACLE_SQL["stream_second_moment_approx"] = ORACLE_SQL["second_moment_approx"]
