@@ -122,22 +122,36 @@ def oriented_edges(edges: DataFrame, order: str = "degree",
 # Triangle join
 # ---------------------------------------------------------------------------
 
-def list_triangles(oriented: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+# Join hint for edge sets made by a fan-out (explode) of the stored edges:
+# Catalyst sizes a Generate like its input, so an R- or C-fold replicated
+# set looks R or C times smaller than it is and could be planned as a
+# broadcast.  A shuffled hash join never broadcasts; its build sides are
+# out-edges (at most sqrt(2m) per key under degree order) and unique
+# closing edges, and AQE splits a skewed probe side.
+REPLICATED_JOIN = "shuffle_hash"
+
+
+def list_triangles(oriented: DataFrame, keys: Sequence[str] = (),
+                   join_hint: str | None = None) -> DataFrame:
     """Triangles ``(keys..., a, b, c)`` of an oriented edge set.
 
     ``keys`` are group columns every edge of a triangle must share.
+    ``join_hint`` is put on the build sides of both joins.
     """
     k = list(keys)
     e1 = oriented.select(*k, F.col("src").alias("a"), F.col("dst").alias("b"))
     e2 = oriented.select(*k, F.col("src").alias("b"), F.col("dst").alias("c"))
     e3 = oriented.select(*k, F.col("src").alias("a"), F.col("dst").alias("c"))
+    if join_hint:
+        e2, e3 = e2.hint(join_hint), e3.hint(join_hint)
     wedges = e1.join(e2, on=k + ["b"])
     return wedges.join(e3, on=k + ["a", "c"], how="left_semi").select(*k, "a", "b", "c")
 
 
-def count_triangles(oriented: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+def count_triangles(oriented: DataFrame, keys: Sequence[str] = (),
+                    join_hint: str | None = None) -> DataFrame:
     """``(keys..., triangles)`` for the groups that have at least one."""
-    tri = list_triangles(oriented, keys)
+    tri = list_triangles(oriented, keys, join_hint)
     return tri.groupBy(*keys).agg(F.count(F.lit(1)).alias("triangles"))
 
 
@@ -240,7 +254,7 @@ def triangles_approx_color_runs(edges: DataFrame, params: Sequence[tuple[int, in
     cs = node_color("src", F.col("ha"), F.col("hb"), num_colors, p)
     cd = node_color("dst", F.col("ha"), F.col("hb"), num_colors, p)
     mono = x.where(cs == cd).select("run", cs.alias("color"), "src", "dst")
-    per_run = (list_triangles(mono, ["run", "color"])
+    per_run = (list_triangles(mono, ["run", "color"], REPLICATED_JOIN)
                .groupBy("run").agg(F.count(F.lit(1)).alias("triangles")))
     spark = edges.sparkSession
     runs = spark.createDataFrame([(i,) for i in range(len(params))], "run int")
@@ -309,8 +323,8 @@ def triangles_per_color_triple(edges: DataFrame, a: int, b: int, num_colors: int
     e2 = rep.select(*keys, F.col("src").alias("b"), F.col("dst").alias("c"),
                     F.col("color_dst").alias("color_c"))
     e3 = rep.select(*keys, F.col("src").alias("a"), F.col("dst").alias("c"))
-    owned = e1.join(e2, on=keys + ["b", "color_c"])
-    tri = owned.join(e3, on=keys + ["a", "c"], how="left_semi")
+    owned = e1.join(e2.hint(REPLICATED_JOIN), on=keys + ["b", "color_c"])
+    tri = owned.join(e3.hint(REPLICATED_JOIN), on=keys + ["a", "c"], how="left_semi")
     counts = tri.groupBy(*keys).agg(F.count(F.lit(1)).alias("triangles"))
     groups = rep.select(*keys).distinct()  # at most C^3 rows
     return _zero_filled(groups, counts, keys)

@@ -81,3 +81,16 @@ def test_spread_guard_sizes(spark):
     assert spread.rdd.getNumPartitions() == want
     # above the bound the input is returned untouched (no shuffle added)
     assert guards.spread_small_input(li, max_bytes=1) is li
+
+
+@pytest.mark.parametrize("name", ["triangles_per_color_triple", "triangles_approx_color_runs"])
+def test_replicated_edges_never_broadcast(spark, name):
+    # the replicated sets are under-estimated by Catalyst: they must not be
+    # planned as broadcasts, whatever their apparent size
+    df = E.queries()[name](spark, SF_SMALL)
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ShuffledHashJoin") >= 2
+    # no broadcast join keyed on a vertex column (b, or a and c); the only
+    # broadcast allowed is the zero-fill over the bounded group list
+    assert not re.search(r"BroadcastHashJoin \[[^\]]*\b[abc]#", plan), plan
