@@ -79,16 +79,22 @@ def largest_item(hist: DataFrame) -> DataFrame:
                     .cast("bigint").alias("largest_item"))
 
 
+def _sum_of_squares(c: str) -> Column:
+    """``sum(c^2)`` as a double, summed exactly in decimal(38,0): a key
+    holding a third of 10^12 items has a square near 10^23, past 64 bits."""
+    x = F.col(c).cast("decimal(20,0)")
+    return F.sum(x * x).cast("double")
+
+
 def second_moment_true(hist: DataFrame) -> DataFrame:
     """``(f2, n_distinct, f2_normalized)``: ``F2 = sum n^2`` and
     ``F2 / n_distinct^2`` (NULL for an empty histogram)."""
-    agg = hist.agg(F.sum(F.col("n") * F.col("n")).cast("bigint").alias("f2"),
+    agg = hist.agg(_sum_of_squares("n").alias("f2"),
                    F.count(F.lit(1)).alias("n_distinct"))
-    d = F.col("n_distinct")
+    d = F.col("n_distinct").cast("double")
     return agg.select(
-        F.coalesce(F.col("f2"), F.lit(0)).cast("bigint").alias("f2"), "n_distinct",
-        (F.col("f2").cast("double") / F.nullif(d * d, F.lit(0)).cast("double"))
-        .alias("f2_normalized"))
+        F.coalesce(F.col("f2"), F.lit(0.0)).alias("f2"), "n_distinct",
+        (F.col("f2") / F.nullif(d * d, F.lit(0.0))).alias("f2_normalized"))
 
 
 # ---------------------------------------------------------------------------
@@ -147,19 +153,17 @@ def count_sketch_from_counts(counts: DataFrame, params: SketchParams, width: int
 
 def second_moment_rows(sketch: DataFrame) -> DataFrame:
     """``(row_idx, f2)``: per-row estimate ``sum_col value^2``."""
-    return sketch.groupBy("row_idx").agg(
-        F.sum(F.col("value") * F.col("value")).cast("bigint").alias("f2"))
+    return sketch.groupBy("row_idx").agg(_sum_of_squares("value").alias("f2"))
 
 
 def second_moment_approx(sketch: DataFrame, hist: DataFrame) -> DataFrame:
     """``(f2_median, f2_normalized)``: median over rows of the row
     estimates, and that median divided by ``n_distinct^2`` of ``hist``."""
-    d = hist.agg(F.count(F.lit(1))).scalar()
+    d = hist.agg(F.count(F.lit(1)).cast("double")).scalar()
     med = second_moment_rows(sketch).agg(F.percentile("f2", 0.5).alias("f2_median"))
     return med.select(
         "f2_median",
-        (F.col("f2_median") / F.nullif(d * d, F.lit(0)).cast("double"))
-        .alias("f2_normalized"))
+        (F.col("f2_median") / F.nullif(d * d, F.lit(0.0))).alias("f2_normalized"))
 
 
 def sketch_point_estimates(hist: DataFrame, sketch: DataFrame, params: SketchParams,

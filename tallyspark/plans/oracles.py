@@ -148,9 +148,10 @@ HIST_SKETCH_ALL = HIST + ",\n" + sketch_cte("")
 
 F2_APPROX = """SELECT quantile_cont(f2, 0.5) AS f2_median,
        quantile_cont(f2, 0.5)
-       / CAST(nullif((SELECT count(*) * count(*) FROM hist), 0) AS DOUBLE)
+       / nullif((SELECT CAST(count(*) AS DOUBLE) * count(*) FROM hist), 0)
        AS f2_normalized
-FROM (SELECT row_idx, sum(value * value) AS f2 FROM cs GROUP BY row_idx) r"""
+FROM (SELECT row_idx, CAST(sum(CAST(value AS HUGEINT) * value) AS DOUBLE) AS f2
+      FROM cs GROUP BY row_idx) r"""
 
 TOP = f"""top AS (SELECT item, n, rnk AS rank FROM (
   SELECT item, n, rank() OVER (ORDER BY n DESC) AS rnk FROM hist) r
@@ -260,13 +261,14 @@ ORACLE_SQL: dict[str, str] = {
     "count_sketch": f"WITH {HIST_SKETCH} SELECT row_idx, col_idx, value FROM cs",
     "count_sketch_all": f"WITH {HIST_SKETCH_ALL} SELECT row_idx, col_idx, value FROM cs",
     "second_moment_true": f"""WITH {HIST}
-        SELECT CAST(coalesce(sum(n * n), 0) AS BIGINT) AS f2, count(*) AS n_distinct,
-               CAST(sum(n * n) AS DOUBLE)
-               / CAST(nullif(count(*) * count(*), 0) AS DOUBLE) AS f2_normalized
+        SELECT CAST(coalesce(sum(CAST(n AS HUGEINT) * n), 0) AS DOUBLE) AS f2,
+               count(*) AS n_distinct,
+               CAST(sum(CAST(n AS HUGEINT) * n) AS DOUBLE)
+               / nullif(CAST(count(*) AS DOUBLE) * count(*), 0) AS f2_normalized
         FROM hist""",
     "second_moment_rows": f"""WITH {HIST_SKETCH}
-        SELECT row_idx, CAST(sum(value * value) AS BIGINT) AS f2 FROM cs
-        GROUP BY row_idx""",
+        SELECT row_idx, CAST(sum(CAST(value AS HUGEINT) * value) AS DOUBLE) AS f2
+        FROM cs GROUP BY row_idx""",
     "second_moment_approx": f"WITH {HIST_SKETCH} {F2_APPROX}",
     "second_moment_approx_all": f"WITH {HIST_SKETCH_ALL} {F2_APPROX}",
     "sketch_point_estimates": f"""WITH {HIST_SKETCH}, {point_estimates('hist')}

@@ -82,7 +82,7 @@ def test_moments(items_df, values):
 def test_empty_interval_gives_null(items_df, values):
     hist = S.interval_histogram(items_df(values), 1000, 1001)
     r = S.second_moment_true(hist).collect()[0]
-    assert (r.f2, r.n_distinct, r.f2_normalized) == (0, 0, None)
+    assert (r.f2, r.n_distinct, r.f2_normalized) == (0.0, 0, None)
     assert S.largest_item(hist).collect()[0].largest_item == 0
 
 
@@ -174,3 +174,13 @@ def test_narrow32_hashes_low_bits(spark):
 def test_batch_sizes(items_df):
     got = sorted(map(tuple, S.batch_sizes(items_df(list(range(10)), batch_size=4)).collect()))
     assert got == [(0, 4), (1, 4), (2, 2)]
+
+
+def test_second_moment_no_overflow_for_a_hot_item(spark):
+    # one item seen 4e9 times (its square is past 2^63) next to a small one
+    hist = spark.createDataFrame([(1, 4_000_000_000), (2, 3)], "item bigint, n bigint")
+    r = S.second_moment_true(hist).collect()[0]
+    assert r.f2 == float(4_000_000_000 ** 2 + 9)
+    sketch = spark.createDataFrame([(0, 0, 4_000_000_000), (0, 1, -3)],
+                                   "row_idx int, col_idx bigint, value bigint")
+    assert S.second_moment_rows(sketch).collect()[0].f2 == float(4_000_000_000 ** 2 + 9)
