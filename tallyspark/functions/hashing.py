@@ -78,8 +78,8 @@ def low32(x: IntOrCol | str) -> Column:
     Equal to ``x`` for ``|x| < 2**31``.  Written with ``pmod`` because a
     plain cast to int raises on overflow under ANSI mode.
     """
-    two31 = F.lit(2147483648)
-    return F.pmod(_c(x) + two31, F.lit(4294967296)) - two31
+    two31, two32 = F.lit(2147483648), F.lit(4294967296)
+    return F.pmod(F.pmod(_c(x), two32) + two31, two32) - two31
 
 
 def sorted3(x: Column, y: Column, z: Column) -> tuple[Column, Column, Column]:

@@ -184,3 +184,15 @@ def test_second_moment_no_overflow_for_a_hot_item(spark):
     sketch = spark.createDataFrame([(0, 0, 4_000_000_000), (0, 1, -3)],
                                    "row_idx int, col_idx bigint, value bigint")
     assert S.second_moment_rows(sketch).collect()[0].f2 == float(4_000_000_000 ** 2 + 9)
+
+
+def test_low32_extremes(spark):
+    from pyspark.sql import functions as F
+
+    from tallyspark.functions import low32
+    vals = [0, -1, 2**31 - 1, 2**31, -(2**31), 2**63 - 1, -(2**63), 2**32 + 5]
+    df = spark.createDataFrame([(v,) for v in vals], "x bigint")
+    got = [r[0] for r in df.select(low32("x")).collect()]
+    want = [((v + 2**31) % 2**32) - 2**31 for v in vals]
+    assert got == want
+    assert df.select(F.max(low32("x"))).collect()[0][0] == 2**31 - 1
