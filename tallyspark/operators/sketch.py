@@ -28,7 +28,7 @@ from tallyspark.functions.hashing import DEFAULT_PRIME, bucket_hash, low32, sign
 SketchParams = Sequence[tuple[int, int, int, int]]
 
 # Largest sketch (D*W cells) we broadcast to the point-query join.
-MAX_BROADCAST_CELLS = 4_000_000
+MAX_BROADCAST_CELLS = 1_000_000
 # Batches per block of the two-level running total in :func:`stream_prefix`.
 PREFIX_BLOCK = 4096
 

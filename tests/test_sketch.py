@@ -196,3 +196,14 @@ def test_low32_extremes(spark):
     want = [((v + 2**31) % 2**32) - 2**31 for v in vals]
     assert got == want
     assert df.select(F.max(low32("x"))).collect()[0][0] == 2**31 - 1
+
+
+def test_point_estimates_without_broadcast(items_df, values, monkeypatch):
+    # above the cell bound the sketch is joined by shuffle: same result
+    items = items_df(values)
+    hist = S.interval_histogram(items, 0, 50)
+    sk = S.count_sketch(S.in_interval(items, 0, 50), ROWS, W)
+    small = {r.item: r.estimate for r in S.sketch_point_estimates(hist, sk, ROWS, W).collect()}
+    monkeypatch.setattr(S, "MAX_BROADCAST_CELLS", 1)
+    df = S.sketch_point_estimates(hist, sk, ROWS, W)
+    assert {r.item: r.estimate for r in df.collect()} == small
