@@ -10,6 +10,7 @@ operators on the same items, however the input is split into batches.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from tallyspark.functions.hashing import DEFAULT_PRIME
 from tallyspark.operators import sketch as S
@@ -17,8 +18,10 @@ from tallyspark.streaming.runner import run_complete, run_update
 
 
 def stream_length(items: DataFrame) -> DataFrame:
-    """``(n_items)``; global count, complete mode (one state row)."""
-    return run_complete(S.stream_length(items), "stream-length")
+    """``(n_items)``; global count, complete mode (one state row).  An
+    empty stream runs no micro-batch; it reports 0 like the batch count."""
+    out = run_complete(S.stream_length(items), "stream-length")
+    return out.agg(F.coalesce(F.max("n_items"), F.lit(0)).cast("bigint").alias("n_items"))
 
 
 def stream_interval_histogram(items: DataFrame, left: int, right: int) -> DataFrame:

@@ -114,3 +114,11 @@ def test_run_until_threshold_resumes(spark, split_events):
     per_batch = [r.t for r in again.groupBy("batch_id").agg(F.sum("n").alias("t"))
                  .orderBy("batch_id").collect()]
     assert len(per_batch) >= 2 and sum(per_batch[:-1]) < 4500 <= sum(per_batch)
+
+
+def test_empty_stream_length_is_zero(spark):
+    d = tempfile.mkdtemp(prefix="empty-stream-")
+    s = R.events_stream(spark, SF_MID, path=d)
+    items = X.events_to_items(s).select("item")
+    assert rows(ST.stream_length(items)) == [(0,)]
+    assert rows(ST.stream_interval_histogram(items, 10, 100)) == []
