@@ -34,34 +34,42 @@ def read_pair_lines(spark: SparkSession, path: str) -> DataFrame:
             .csv(path))
 
 
-def flat_line_edges(line: Column) -> Column:
-    """Array of ``struct(u, v)`` from a line of comma-separated ids.
+def flat_line_tokens(line: Column) -> Column:
+    """The ids of a flat line; trailing empty fields are dropped first (as
+    Java's ``String.split`` does)."""
+    return F.split(F.rtrim(line, F.lit(",")), ",", -1)
 
-    Trailing empty fields are dropped first (as Java's ``String.split``
-    does); an odd number of ids -- a blank line included -- raises.
+
+def flat_line_edges(tokens: Column, line: Column) -> Column:
+    """Array of ``struct(u, v)`` from a line's id tokens, two at a time; an
+    odd number of ids -- a blank line included -- raises.
+
+    ``tokens`` must be a column reference (computed once per row in a
+    projection below), not an expression: the lambda reads it per element.
     """
-    toks = F.split(F.regexp_replace(line, ",+$", ""), ",", -1)
-    n = F.size(toks)
-    checked = F.when(n % 2 == 1, F.raise_error(F.concat(
+    n = F.size(tokens)
+    last = F.when(n % 2 == 1, F.raise_error(F.concat(
         F.lit("odd number of vertex ids in edge line: '"), line, F.lit("'")))
-    ).otherwise(toks)
+    ).otherwise(n - 2)
     return F.transform(
-        F.sequence(F.lit(0), F.size(checked) - 2, F.lit(2)),
-        lambda i: F.struct(_parse_id(checked[i]).alias("u"),
-                           _parse_id(checked[i + 1]).alias("v")))
+        F.sequence(F.lit(0), last, F.lit(2)),
+        lambda i: F.struct(_parse_id(tokens[i]).alias("u"),
+                           _parse_id(tokens[i + 1]).alias("v")))
 
 
 def _parse_id(token: Column) -> Column:
     """bigint of a token; raises on a malformed one whatever the ANSI mode
-    (a non-ANSI cast would yield NULL)."""
-    value = F.trim(token).try_cast("bigint")
-    return F.when(value.isNull(), F.raise_error(F.concat(
-        F.lit("malformed vertex id: '"), token, F.lit("'")))).otherwise(value)
+    (a non-ANSI cast would yield NULL).  Tokens are never NULL, so NULL
+    here means unparsable."""
+    return F.coalesce(F.trim(token).try_cast("bigint"), F.raise_error(F.concat(
+        F.lit("malformed vertex id: '"), token, F.lit("'"))).cast("bigint"))
 
 
 def read_flat_lines(spark: SparkSession, path: str) -> DataFrame:
     """``(u, v)`` from lines holding ``u1,v1,u2,v2,...``."""
-    return spark.read.text(path).select(F.inline(flat_line_edges(F.col("value"))))
+    lines = spark.read.text(path)
+    toks = lines.select("value", flat_line_tokens(F.col("value")).alias("toks"))
+    return toks.select(F.inline(flat_line_edges(F.col("toks"), F.col("value"))))
 
 
 def write_pair_lines(edges: DataFrame, path: str) -> None:

@@ -69,3 +69,15 @@ def test_flat_lines_bad_id_fails_without_ansi(spark):
             FS.read_flat_lines(spark, d).collect()
     finally:
         spark.conf.set("spark.sql.ansi.enabled", "true")
+
+
+def test_flat_line_with_many_pairs_is_linear(spark):
+    # 50 000 pairs on one line: each id is read once (a per-element re-split
+    # of the line would take minutes here)
+    import time
+    n = 50_000
+    d = write_lines([",".join(f"{i},{i + 1}" for i in range(n))])
+    t0 = time.perf_counter()
+    got = FS.read_flat_lines(spark, d).selectExpr("count(*)", "sum(u)", "sum(v)").collect()[0]
+    assert tuple(got) == (n, n * (n - 1) // 2, n * (n + 1) // 2)
+    assert time.perf_counter() - t0 < 60
