@@ -101,6 +101,11 @@ def orient(canon: DataFrame, order: str = "degree") -> DataFrame:
                     F.when(u_first, F.col("v")).otherwise(F.col("u")).alias("dst"))
 
 
+def is_oriented(edges: DataFrame) -> bool:
+    """True for the ``(src, dst)`` output of :func:`oriented_edges`."""
+    return {"src", "dst"} <= set(edges.columns) and "u" not in edges.columns
+
+
 def oriented_edges(edges: DataFrame, order: str = "degree",
                    stored: bool = True) -> DataFrame:
     """Canonical edges oriented by ``order``: ``(src, dst)``.
@@ -109,7 +114,14 @@ def oriented_edges(edges: DataFrame, order: str = "degree",
     checkpoint folder and scanned from there, because every triangle
     query reads it three times (and the degree orientation reads the
     canonical edges three times).
+
+    Every triangle operator below accepts either raw ``(u, v)`` edges or
+    this result; pass it to run several estimators over one orientation
+    (as the original jobs reuse one cached edge set).  An already
+    oriented input is returned unchanged.
     """
+    if is_oriented(edges):
+        return edges
     canon = canonical_edges(edges)
     if not stored:
         return orient(canon, order)
@@ -298,7 +310,8 @@ def _replicated_by_triple(oriented: DataFrame, a: int, b: int, num_colors: int,
 def edge_color_triples(edges: DataFrame, a: int, b: int, num_colors: int,
                        p: int = DEFAULT_PRIME) -> DataFrame:
     """Replicated canonical edges per colour-triple key: ``(k0, k1, k2, n_edges)``."""
-    canon = canonical_edges(edges).select(F.col("u").alias("src"), F.col("v").alias("dst"))
+    canon = edges if is_oriented(edges) else canonical_edges(edges).select(
+        F.col("u").alias("src"), F.col("v").alias("dst"))
     rep = _replicated_by_triple(canon, a, b, num_colors, p)
     return rep.groupBy("k0", "k1", "k2").agg(F.count(F.lit(1)).alias("n_edges"))
 

@@ -234,3 +234,25 @@ def test_color_estimate_is_unbiased_on_average(spark):
     assert abs(mean - exact) / exact < 0.05
     part = G.triangles_approx_partition(edges, 31, 57, 11, 2)
     assert abs(one(part) - exact) / exact < 0.2
+
+
+def test_operators_accept_a_stored_orientation(spark, edges_df):
+    pairs = random_graph(21)
+    raw = edges_df(pairs)
+    o = G.oriented_edges(raw)
+    assert G.oriented_edges(o) is o
+    same = [
+        (G.triangles_exact, ()),
+        (G.triangles_per_color, (17, 23, 3)),
+        (G.triangles_approx_color, (17, 23, 3)),
+        (G.triangles_approx_color_runs, ([(17, 23), (5, 6)], 3)),
+        (G.triangles_per_color_triple, (17, 23, 3)),
+        (G.triangles_exact_colored, (17, 23, 3)),
+        (G.triangles_per_edge_bucket, (31, 57, 11, 3)),
+        (G.triangles_approx_spark_partition, (3,)),
+        (G.edge_color_triples, (17, 23, 3)),
+        (G.graph_summary, ()),
+    ]
+    for fn, args in same:
+        assert sorted(map(tuple, fn(raw, *args).collect())) == \
+            sorted(map(tuple, fn(o, *args).collect())), fn.__name__
