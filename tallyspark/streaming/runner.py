@@ -50,17 +50,47 @@ def events_stream(spark: SparkSession, sf_dir: str,
     return reader.parquet(path)
 
 
-def _mkdirs(spark: SparkSession, path: str) -> None:
+def _fs(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
     hpath = jvm.org.apache.hadoop.fs.Path(path)
-    hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).mkdirs(hpath)
+    return hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hpath
+
+
+def _mkdirs(spark: SparkSession, path: str) -> None:
+    fs, hpath = _fs(spark, path)
+    fs.mkdirs(hpath)
+
+
+def _numbered_dirs(spark: SparkSession, folder: str, prefix: str,
+                   complete_only: bool = False) -> dict[int, str]:
+    """``{n: path}`` of the sub-folders ``<prefix>=<n>`` of ``folder``."""
+    fs, hpath = _fs(spark, folder)
+    if not fs.exists(hpath):
+        return {}
+    found = {}
+    for st in fs.listStatus(hpath):
+        name = st.getPath().getName()
+        if st.isDirectory() and name.startswith(prefix + "="):
+            if complete_only and not fs.exists(
+                    spark.sparkContext._jvm.org.apache.hadoop.fs.Path(
+                        st.getPath(), "_SUCCESS")):
+                continue
+            found[int(name.split("=", 1)[1])] = st.getPath().toString()
+    return found
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    fs, hpath = _fs(spark, path)
+    fs.delete(hpath, True)
 
 
 def drain(stream: DataFrame, name: str, output_mode: str,
           on_batch: Callable[[DataFrame, int, str], None] | None = None,
           stop_when: Callable[[], bool] | None = None,
           processing_time: str | None = None,
-          location: str | None = None) -> str:
+          location: str | None = None,
+          compact_every: int | None = None,
+          keys: Sequence[str] = ()) -> str:
     """Run ``stream`` to the end of its input (``availableNow``) into
     per-batch directories; return the output folder.
 
@@ -72,18 +102,26 @@ def drain(stream: DataFrame, name: str, output_mode: str,
     trigger (for unbounded sources).  ``location`` fixes the folder of the
     output and the streaming checkpoint (a rerun then resumes the query);
     by default a fresh scratch folder is used.
+
+    ``compact_every`` (update mode, with the key columns ``keys``) folds
+    the output every N batches into one snapshot, so the output of a
+    long-running query does not grow by one folder per batch.
     """
     spark = stream.sparkSession
     base = location.rstrip("/") if location else scratch_path(spark, name)
     out, chk = f"{base}/out", f"{base}/chk"
     _mkdirs(spark, out)
 
+    schema = stream.schema
+
     def sink(df: DataFrame, batch_id: int) -> None:
         path = f"{out}/{BATCH_COL}={batch_id}"
         if on_batch is not None:
             on_batch(df, batch_id, path)
         else:
             df.write.mode("overwrite").parquet(path)
+        if compact_every and output_mode == "update" and (batch_id + 1) % compact_every == 0:
+            compact_update_output(spark, out, schema, keys, batch_id)
 
     writer = (stream.writeStream.outputMode(output_mode).foreachBatch(sink)
               .option("checkpointLocation", chk))
@@ -120,22 +158,62 @@ def read_complete(spark: SparkSession, out: str, schema: StructType) -> DataFram
     return df.where(F.col(BATCH_COL) == last).drop(BATCH_COL)
 
 
+def _snap_folder(out: str) -> str:
+    return out.rstrip("/").rsplit("/", 1)[0] + "/snap"
+
+
 def read_update(spark: SparkSession, out: str, schema: StructType,
                 keys: Sequence[str]) -> DataFrame:
-    """Result of an update-mode query: per key, the row of the latest batch."""
+    """Result of an update-mode query: per key, the row of the latest batch.
+
+    With compaction, the newest complete snapshot stands for every batch
+    up to its id; only later batch folders are read next to it.
+    """
     df = spark.read.schema(_with_batch(schema)).parquet(out)
+    snaps = _numbered_dirs(spark, _snap_folder(out), "upto", complete_only=True)
+    if snaps:
+        upto = max(snaps)
+        snap = spark.read.schema(schema).parquet(snaps[upto]) \
+            .withColumn(BATCH_COL, F.lit(upto).cast("bigint"))
+        df = df.where(F.col(BATCH_COL) > upto).unionByName(snap)
     values = [f.name for f in schema.fields if f.name not in keys]
     latest = F.max_by(F.struct(*values), F.col(BATCH_COL)).alias("v")
     return df.groupBy(*keys).agg(latest).select(*keys, *[f"v.{c}" for c in values])
 
 
+def compact_update_output(spark: SparkSession, out: str, schema: StructType,
+                          keys: Sequence[str], upto: int) -> None:
+    """Fold every batch up to ``upto`` into the snapshot ``snap/upto=<upto>``,
+    then delete the folded batch folders and older snapshots.
+
+    Runs inside the batch callback (batches run one after another).  A
+    replayed batch finds its snapshot already complete and skips the
+    fold; its rewritten batch folder is ignored by readers, the snapshot
+    covers it.
+    """
+    if not keys:
+        raise ValueError("compaction needs the key columns of the result")
+    snap_root = _snap_folder(out)
+    if upto in _numbered_dirs(spark, snap_root, "upto", complete_only=True):
+        return
+    folded = read_update(spark, out, schema, keys)
+    folded.write.mode("overwrite").parquet(f"{snap_root}/upto={upto}")
+    for n, path in _numbered_dirs(spark, out, BATCH_COL).items():
+        if n <= upto:
+            _delete(spark, path)
+    for n, path in _numbered_dirs(spark, snap_root, "upto").items():
+        if n < upto:
+            _delete(spark, path)
+
+
 def run_complete(stream_result: DataFrame, name: str) -> DataFrame:
     out = drain(stream_result, name, "complete")
     return read_complete(stream_result.sparkSession, out, stream_result.schema)
 
 
-def run_update(stream_result: DataFrame, name: str, keys: Sequence[str]) -> DataFrame:
-    out = drain(stream_result, name, "update")
+def run_update(stream_result: DataFrame, name: str, keys: Sequence[str],
+               compact_every: int | None = None) -> DataFrame:
+    out = drain(stream_result, name, "update", compact_every=compact_every, keys=keys)
     return read_update(stream_result.sparkSession, out, stream_result.schema, keys)
 
 

@@ -122,3 +122,35 @@ def test_empty_stream_length_is_zero(spark):
     items = X.events_to_items(s).select("item")
     assert rows(ST.stream_length(items)) == [(0,)]
     assert rows(ST.stream_interval_histogram(items, 10, 100)) == []
+
+
+@pytest.mark.parametrize("every", [1, 2, 3])
+def test_update_output_compaction(spark, split_events, every):
+    """Folding the per-batch output every N batches keeps the result equal
+    to the batch histogram and leaves only the newest snapshot plus the
+    batches after it."""
+    s = stream_items(spark, split_events)
+    hist = S.interval_histogram(s, 10, 100)
+    got = R.run_update(hist, f"compact-{every}", keys=["item"], compact_every=every)
+    assert rows(got) == rows(S.interval_histogram(batch_items(spark), 10, 100))
+    f = got.inputFiles()[0]
+    base = f.split("/snap/")[0] if "/snap/" in f else f.split("/out/")[0]
+    snaps = R._numbered_dirs(spark, base + "/snap", "upto")
+    batches = R._numbered_dirs(spark, base + "/out", R.BATCH_COL)
+    last = (5 // every) * every - 1  # 5 micro-batches, ids 0..4
+    assert sorted(snaps) == [last]
+    assert sorted(batches) == [b for b in range(5) if b > last]
+
+
+def test_compaction_replay_is_idempotent(spark, split_events):
+    """A batch folder rewritten after its snapshot (a replay) is ignored."""
+    s = stream_items(spark, split_events)
+    hist = S.interval_histogram(s, 10, 100)
+    loc = tempfile.mkdtemp(prefix="compact-replay-")
+    out = R.drain(hist, "x", "update", location=loc, compact_every=5, keys=["item"])
+    want = rows(R.read_update(spark, out, hist.schema, ["item"]))
+    # replay batch 4 with only its own updates, then compact again
+    spark.createDataFrame([(50, 1)], "item bigint, n bigint") \
+        .write.mode("overwrite").parquet(f"{out}/batch_id=4")
+    R.compact_update_output(spark, out, hist.schema, ["item"], 4)
+    assert rows(R.read_update(spark, out, hist.schema, ["item"])) == want
