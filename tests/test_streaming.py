@@ -154,3 +154,14 @@ def test_compaction_replay_is_idempotent(spark, split_events):
         .write.mode("overwrite").parquet(f"{out}/batch_id=4")
     R.compact_update_output(spark, out, hist.schema, ["item"], 4)
     assert rows(R.read_update(spark, out, hist.schema, ["item"])) == want
+
+
+def test_threshold_stop_with_processing_time_trigger(spark, split_events):
+    """100 ms micro-batches (the unbounded-source mode): the query never
+    ends on its own; the stop rule ends it once whole batches reach T."""
+    s = stream_items(spark, split_events)
+    taken = R.run_until_threshold(s, 4500, "prefix-interval",
+                                  processing_time="100 milliseconds")
+    per_batch = [r.t for r in taken.groupBy("batch_id").agg(F.sum("n").alias("t"))
+                 .orderBy("batch_id").collect()]
+    assert sum(per_batch[:-1]) < 4500 <= sum(per_batch)
