@@ -57,3 +57,23 @@ def test_histogram_and_topk(spark, values, left, width, k):
     top = {r.item: r.rank for r in S.topk_items(hist, k).collect()}
     want = {x: 1 + sum(1 for y in freq.values() if y > n) for x, n in freq.items()}
     assert top == {x: r for x, r in want.items() if r <= k}
+
+
+params = st.tuples(st.integers(1, 8190), st.integers(0, 8190),
+                   st.integers(1, 8190), st.integers(0, 8190))
+
+
+@SETTINGS
+@given(values=st.lists(st.integers(-(2**40), 2**40), min_size=1, max_size=60),
+       rows=st.lists(params, min_size=1, max_size=4), width=st.integers(1, 50))
+def test_count_sketch_random_params(spark, values, rows, width):
+    p = 8191
+    want = {}
+    for x in values:
+        for j, (a, b, ga, gb) in enumerate(rows):
+            col = ((a * x + b) % p) % width
+            sign = 1 if 2 * ((ga * x + gb) % p) >= p - 1 else -1
+            want[(j, col)] = want.get((j, col), 0) + sign
+    items = spark.createDataFrame([(v,) for v in values], "item bigint")
+    got = {(r.row_idx, r.col_idx): r.value for r in S.count_sketch(items, rows, width).collect()}
+    assert got == want
