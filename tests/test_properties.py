@@ -77,3 +77,22 @@ def test_count_sketch_random_params(spark, values, rows, width):
     items = spark.createDataFrame([(v,) for v in values], "item bigint")
     got = {(r.row_idx, r.col_idx): r.value for r in S.count_sketch(items, rows, width).collect()}
     assert got == want
+
+
+@SETTINGS
+@given(sizes=st.dictionaries(st.integers(0, 60), st.integers(1, 9), min_size=0, max_size=25),
+       threshold=st.integers(0, 120), block=st.integers(1, 7))
+def test_stream_prefix_random(spark, sizes, threshold, block):
+    rows = [(i, b) for b, n in sizes.items() for i in range(n)]
+    items = spark.createDataFrame(rows, "item bigint, batch bigint")
+    taken = total = 0
+    for b in sorted(sizes):  # the original loop: whole batches while below T
+        if total < threshold:
+            taken, total = taken + 1, total + sizes[b]
+    old = S.PREFIX_BLOCK
+    S.PREFIX_BLOCK = block
+    try:
+        r = S.stream_prefix(items, threshold).collect()[0]
+    finally:
+        S.PREFIX_BLOCK = old
+    assert (r.n_batches, r.n_items) == (taken, total)
