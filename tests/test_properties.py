@@ -96,3 +96,22 @@ def test_stream_prefix_random(spark, sizes, threshold, block):
     finally:
         S.PREFIX_BLOCK = old
     assert (r.n_batches, r.n_items) == (taken, total)
+
+
+@SETTINGS
+@given(lines=st.lists(st.tuples(
+    st.lists(st.tuples(st.integers(-99, 10**12), st.integers(-99, 10**12)), min_size=1,
+             max_size=6),
+    st.integers(0, 2)), min_size=1, max_size=8))
+def test_flat_lines_random(spark, lines):
+    import os
+    import tempfile
+
+    from tallyspark.sources import files as FS
+    text = [",".join(f"{u},{v}" for u, v in pairs) + "," * trailing
+            for pairs, trailing in lines]
+    d = tempfile.mkdtemp(prefix="flat-prop-")
+    with open(os.path.join(d, "part-0.txt"), "w") as f:
+        f.write("\n".join(text) + "\n")
+    want = sorted(e for pairs, _ in lines for e in pairs)
+    assert sorted(map(tuple, FS.read_flat_lines(spark, d).collect())) == want
