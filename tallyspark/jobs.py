@@ -145,26 +145,31 @@ def stream(spark: SparkSession, d: int, w: int, left: int, right: int, k: int,
 
 
 def main(argv: Sequence[str] | None = None) -> None:
-    ap = argparse.ArgumentParser(prog="tallyspark")
-    ap.add_argument("--seed", type=int, default=None)
+    ap = argparse.ArgumentParser(prog="tallyspark", description=__doc__.split("\n\n")[0])
+    ap.add_argument("--seed", type=int, default=None,
+                    help="seed of the hash parameters (default: random)")
     sub = ap.add_subparsers(dest="job", required=True)
-    p = sub.add_parser("wordcount")
-    p.add_argument("K", type=int)
-    p.add_argument("path")
-    p = sub.add_parser("triangles")
-    p.add_argument("C", type=int)
-    p.add_argument("R", type=int)
-    p.add_argument("path")
-    p = sub.add_parser("triangles2")
-    p.add_argument("C", type=int)
-    p.add_argument("R", type=int)
-    p.add_argument("F", type=int)
-    p.add_argument("path")
-    p = sub.add_parser("stream")
-    for name in ("D", "W", "left", "right", "K"):
-        p.add_argument(name, type=int)
-    p.add_argument("path")
-    p.add_argument("--threshold", type=int, default=STREAM_THRESHOLD)
+    p = sub.add_parser("wordcount", help="distinct words four ways, mean word length")
+    p.add_argument("K", type=int, help="number of salts")
+    p.add_argument("path", help="text files, one document per line")
+    p = sub.add_parser("triangles", help="colouring (mean of R runs) and partition estimates")
+    p.add_argument("C", type=int, help="number of colours / parts")
+    p.add_argument("R", type=int, help="number of colouring runs")
+    p.add_argument("path", help="text files of u,v lines")
+    p = sub.add_parser("triangles2", help="colouring median (F=0) or exact count (F=1)")
+    p.add_argument("C", type=int, help="number of colours")
+    p.add_argument("R", type=int, help="number of runs")
+    p.add_argument("F", type=int, help="0 = approximate, 1 = exact")
+    p.add_argument("path", help="text files of u1,v1,u2,v2,... lines")
+    p = sub.add_parser("stream", help="interval histogram, count-sketch, second moments")
+    for name, what in (("D", "sketch rows"), ("W", "sketch columns"),
+                       ("left", "interval start (excluded)"),
+                       ("right", "interval end (excluded)"), ("K", "top-k size")):
+        p.add_argument(name, type=int, help=what)
+    p.add_argument("path", help="folder of text files (one integer per line) "
+                                "or socket://host:port")
+    p.add_argument("--threshold", type=int, default=STREAM_THRESHOLD,
+                   help="stop after whole batches reach this many items")
     args = ap.parse_args(argv)
     seed = args.seed if args.seed is not None else random.SystemRandom().randrange(2**31)
     from tallyspark.session import build_session
