@@ -81,3 +81,10 @@ def test_flat_line_with_many_pairs_is_linear(spark):
     got = FS.read_flat_lines(spark, d).selectExpr("count(*)", "sum(u)", "sum(v)").collect()[0]
     assert tuple(got) == (n, n * (n - 1) // 2, n * (n + 1) // 2)
     assert time.perf_counter() - t0 < 60
+
+
+@pytest.mark.parametrize("bad", ["3,4,5", "6"])
+def test_pair_lines_wrong_field_count_fails(spark, bad):
+    d = write_lines(["1,2", bad])
+    with pytest.raises(Exception):
+        FS.read_pair_lines(spark, d).collect()
