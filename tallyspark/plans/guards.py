@@ -16,10 +16,14 @@ SPREAD_MAX_BYTES = 512 * 1024 * 1024
 SPREAD_MIN_PARTITION_BYTES = 512 * 1024
 
 
-def estimated_bytes(df: DataFrame) -> int:
-    """Catalyst's estimate of the size of ``df`` in bytes."""
-    stats = df._jdf.queryExecution().optimizedPlan().stats()
-    return int(str(stats.sizeInBytes()))
+def estimated_bytes(df: DataFrame) -> int | None:
+    """Catalyst's estimate of the size of ``df`` in bytes, or None when the
+    plan statistics are not reachable (no JVM handle, e.g. Spark Connect)."""
+    try:
+        stats = df._jdf.queryExecution().optimizedPlan().stats()
+        return int(str(stats.sizeInBytes()))
+    except Exception:  # noqa: BLE001 - any failure means "unknown size"
+        return None
 
 
 def spread_small_input(df: DataFrame, max_bytes: int = SPREAD_MAX_BYTES) -> DataFrame:
@@ -35,8 +39,8 @@ def spread_small_input(df: DataFrame, max_bytes: int = SPREAD_MAX_BYTES) -> Data
     reshuffled here.
     """
     size = estimated_bytes(df)
-    if size > max_bytes:
-        return df
+    if size is None or size > max_bytes:
+        return df  # unknown or large: keep the scan's own splits
     cores = df.sparkSession.sparkContext.defaultParallelism
     n = max(1, min(2 * cores, -(-size // SPREAD_MIN_PARTITION_BYTES)))
     return df.repartition(n)

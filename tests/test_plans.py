@@ -129,3 +129,11 @@ def test_hub_key_is_split_by_aqe_skew_join(spark):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+def test_spread_guard_unknown_size_keeps_input(spark, monkeypatch):
+    from tallyspark.plans import guards
+    from tallyspark.sources import tables
+    li = tables.read_table(spark, SF_SMALL, "lineitem", ["l_orderkey"])
+    monkeypatch.setattr(guards, "estimated_bytes", lambda df: None)
+    assert guards.spread_small_input(li) is li
