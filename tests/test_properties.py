@@ -115,3 +115,31 @@ def test_flat_lines_random(spark, lines):
         f.write("\n".join(text) + "\n")
     want = sorted(e for pairs, _ in lines for e in pairs)
     assert sorted(map(tuple, FS.read_flat_lines(spark, d).collect())) == want
+
+
+@SETTINGS
+@given(pairs=edge_lists, a=st.integers(1, 8190), b=st.integers(0, 8190),
+       c=st.integers(1, 4), au=st.integers(1, 8190), av=st.integers(1, 8190))
+def test_decompositions_random_params(spark, pairs, a, b, c, au, av):
+    p = 8191
+    df = spark.createDataFrame(pairs, "u bigint, v bigint")
+    tris = brute_triangles(pairs)
+    col = lambda x: ((a * x + b) % p) % c
+    want = {}
+    for t in tris:
+        k = tuple(sorted(col(x) for x in t))
+        want[k] = want.get(k, 0) + 1
+    got = {(r.k0, r.k1, r.k2): r.triangles
+           for r in G.triangles_per_color_triple(df, a, b, c).collect()}
+    assert {k: v for k, v in got.items() if v} == want
+    canon = {(min(u, v), max(u, v)) for u, v in pairs if u != v}
+    bucket = {e: ((au * e[0] + av * e[1] + 11) % p) % c for e in canon}
+    wb = {}
+    for x, y, z in tris:
+        bs = {bucket[(x, y)], bucket[(y, z)], bucket[(x, z)]}
+        if len(bs) == 1:
+            k = bs.pop()
+            wb[k] = wb.get(k, 0) + 1
+    gb = {r.bucket: r.triangles
+          for r in G.triangles_per_edge_bucket(df, au, av, 11, c).collect()}
+    assert {k: v for k, v in gb.items() if v} == wb
