@@ -143,3 +143,22 @@ def test_decompositions_random_params(spark, pairs, a, b, c, au, av):
     gb = {r.bucket: r.triangles
           for r in G.triangles_per_edge_bucket(df, au, av, 11, c).collect()}
     assert {k: v for k, v in gb.items() if v} == wb
+
+
+@SETTINGS
+@given(docs=st.lists(texts, min_size=1, max_size=4))
+def test_term_counts_and_mean_length(spark, docs):
+    from tallyspark.sources.fixtures import document_lines
+    df = spark.createDataFrame(list(enumerate(docs)), "doc_id bigint, text string")
+    lines = document_lines(df)
+    want = {}
+    for d, text in enumerate(docs):
+        for i, line in enumerate(text.split("\n")):
+            for w, n in Counter(line.split(" ")).items():
+                want[(d, i, w)] = n
+    got = {(r.doc_id, r.line_no, r.word): r.n for r in W.doc_term_counts(lines).collect()}
+    assert got == want
+    distinct = {w for (_, _, w) in want}
+    r = W.average_word_length(lines).collect()[0]
+    assert r.n_words == len(distinct)
+    assert r.avg_word_length == sum(len(w) for w in distinct) / len(distinct)
