@@ -58,24 +58,29 @@ def build_session(
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The shared checkpoint folder of this session (``spark.checkpoint.dir``).
-
-    Read from the session; set our own only when it is unset and Spark
-    runs locally (tests, bench).
-    """
+    """The shared checkpoint folder of this session (``spark.checkpoint.dir``)."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
-    if current:
-        return current
-    configured = sc.getConf().get("spark.checkpoint.dir", None)
-    if not configured:
-        if not sc.master.startswith("local"):
+    if not current:
+        configured = sc.getConf().get("spark.checkpoint.dir", None)
+        if not configured:
             raise RuntimeError(
                 "spark.checkpoint.dir is not set; point it at a folder shared "
                 "by all executors (HDFS, S3, ...) before running tallyspark jobs")
-        configured = tempfile.mkdtemp(prefix="tallyspark-ckpt-")
-    sc.setCheckpointDir(configured)
-    return sc.getCheckpointDir()
+        sc.setCheckpointDir(configured)
+        current = sc.getCheckpointDir()
+    return current
+
+
+def ensure_checkpoint_dir(spark: SparkSession) -> None:
+    """For entry points of tests and benches: give a session in local mode
+    that has no checkpoint folder a temporary one.  A configured folder is
+    left alone, and on a cluster an unset one is an error."""
+    sc = spark.sparkContext
+    if sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None):
+        return
+    if sc.master == "local" or sc.master.startswith("local["):
+        sc.setCheckpointDir(tempfile.mkdtemp(prefix="tallyspark-ckpt-"))
 
 
 # Scratch paths handed out per SparkContext (by its application id).

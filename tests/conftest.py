@@ -13,7 +13,7 @@ SF_MID = "/root/testdata/sf0.01"
 def spark():
     from pyspark.sql import SparkSession
 
-    from tallyspark.session import checkpoint_root
+    from tallyspark.session import ensure_checkpoint_dir
 
     s = (SparkSession.builder.master("local[*]")
          .appName("tallyspark-tests")
@@ -24,7 +24,7 @@ def spark():
          .config("spark.sql.adaptive.enabled", "true")
          .getOrCreate())
     s.sparkContext.setLogLevel("ERROR")
-    checkpoint_root(s)  # tests: unset, so a local temp folder is set
+    ensure_checkpoint_dir(s)  # tests: unset, so a local temp folder is set
     yield s
     from tallyspark.session import drop_scratch
     drop_scratch(s)
