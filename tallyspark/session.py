@@ -13,6 +13,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -83,6 +84,27 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="tallyspark-ckpt-"))
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package's source to the executors through Spark, once per
+    application, so that Python workers can import it wherever they run."""
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    here = os.path.dirname(os.path.abspath(__file__))
+    path = os.path.join(tempfile.mkdtemp(prefix="tallyspark-src-"), "tallyspark.zip")
+    with zipfile.ZipFile(path, "w") as z:
+        for folder, _, names in os.walk(here):
+            for name in names:
+                if name.endswith(".py"):
+                    full = os.path.join(folder, name)
+                    z.write(full, os.path.relpath(full, os.path.dirname(here)))
+    sc.addPyFile(path)
+    _SHIPPED.add(sc.applicationId)
+
+
 # Scratch paths handed out per SparkContext (by its application id).
 _SCRATCH: dict[str, list[str]] = {}
 
