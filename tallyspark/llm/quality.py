@@ -36,7 +36,7 @@ class QualityRules:
     reach: int = 4
     #: least spread of each rate, per thousand
     least: dict[str, int] = field(default_factory=lambda: {
-        "word_length": 300, "symbols": 15, "dup_lines": 25, "repeats": 25})
+        "word_length": 300, "symbols": 15, "dup_lines": 125, "repeats": 75})
 
 
 RULES = QualityRules()

@@ -27,14 +27,14 @@ from .common import mixed, row_chunks, store, utf8
 
 @dataclass(frozen=True)
 class Training:
-    orders: tuple[int, ...] = (4, 5, 6)
+    orders: tuple[int, ...] = (4, 5, 6, 7, 8)
     bits: int = 20
     smoothing: float = 1.0
     #: features in at least so many training texts, the best of them
     min_texts: int = 3
-    max_features: int = 8192
+    max_features: int = 4096
     max_training_rows: int = 20_000
-    ridge: float = 1.0
+    ridge: float = 0.5
     steps: int = 400
     threshold: float = 0.3
 
