@@ -24,6 +24,8 @@ from .common import store
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_full_lines")
 RATES = ("word_length", "symbols", "dup_lines", "repeats")
 _SYMBOLS = "#*$%&|<>"
+#: groups whose thresholds (some 200 bytes each) may be broadcast
+BROADCAST_GROUPS = 50_000
 
 
 @dataclass(frozen=True)
@@ -161,11 +163,13 @@ def judge_quality(docs: DataFrame, rules: QualityRules = RULES, keep_text: bool
     measured = judged.where(~F.col("base_failed")).select(
         F.col("row.lang").cast("string").alias("lang"), F.col("row.source").cast("string").alias("source"), *rates())
     sketch = store(sketches(measured), "quality-sketches")
-    limits = thresholds(sketch, rules)
+    limits = store(thresholds(sketch, rules), "quality-limits")
+    few = limits.count() <= BROADCAST_GROUPS
     limits = limits.select(F.col("lang").alias("t_lang"), F.col("source").alias("t_source"),
                            *[c for c in limits.columns if c not in ("lang", "source")])
+    # one row a group: sent to all if they are few, else joined by shuffle
     joined = judged.select("*", *rates()).join(
-        limits, F.col("row.lang").cast("string").eqNullSafe(F.col("t_lang"))
+        F.broadcast(limits) if few else limits, F.col("row.lang").cast("string").eqNullSafe(F.col("t_lang"))
         & F.col("row.source").cast("string").eqNullSafe(F.col("t_source")), "left")
     fits = F.col("word_length") >= F.col("word_length_low")
     for r in RATES:
