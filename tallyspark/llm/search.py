@@ -31,8 +31,8 @@ SCHEMA = "query_id bigint, vec_id bigint, score bigint"
 @dataclass(frozen=True)
 class Search:
     k: int = 5
-    candidates_per_block: int = 8192
-    queries_per_block: int = 1024
+    candidates_per_block: int = 4096
+    queries_per_block: int = 2048
     leaf: int = 48
     shrink: float = 0.7
     #: candidates that give each query its first bound
@@ -47,36 +47,56 @@ class CoverTree:
 
     def __init__(self, x: np.ndarray, leaf: int, shrink: float):
         self.x = x
-        self.center: list[int] = []
-        self.radius: list[float] = []
-        self.children: list[list[int]] = []
+        center: list[int] = []
+        radius: list[float] = []
+        children: list[list[int]] = []
         self.points: list[np.ndarray] = []
         stack = [(np.arange(len(x)), 0, -1)] if len(x) else []
         while stack:
-            points, center, parent = stack.pop()
-            apart = np.sqrt(((x[points] - x[center]) ** 2).sum(axis=1))
-            node = len(self.center)
-            self.center.append(center)
-            self.radius.append(float(apart.max()))
-            self.children.append([])
+            points, middle, parent = stack.pop()
+            apart = np.sqrt(((x[points] - x[middle]) ** 2).sum(axis=1))
+            node = len(center)
+            center.append(middle)
+            radius.append(float(apart.max()))
+            children.append([])
             self.points.append(points)
             if parent >= 0:
-                self.children[parent].append(node)
-            if len(points) <= leaf or self.radius[node] == 0:
-                continue
-            cover = self.radius[node] * shrink
-            pending, near = points, apart <= cover
-            lead = center
-            while len(pending):
-                stack.append((pending[near], lead, node))
-                pending = pending[~near]
-                if len(pending):
-                    lead = int(pending[0])
-                    near = np.sqrt(((x[pending] - x[lead]) ** 2).sum(axis=1)) <= cover
-        self.center = np.array(self.center, np.int64)
-        self.radius = np.array(self.radius)
+                children[parent].append(node)
+            if len(points) > leaf and radius[node] > 0:
+                owner = self._cover(points, apart, radius[node] * shrink)
+                order = np.argsort(owner, kind="stable")
+                for part in np.split(order, np.flatnonzero(np.diff(owner[order])) + 1):
+                    lead = int(owner[part[0]])
+                    stack.append((points[part], middle if lead < 0 else int(points[lead]), node))
+        self.center = np.array(center, np.int64)
+        self.radius = np.array(radius)
+        self.children = [np.array(c, np.int64) for c in children]
+        self.inner = np.array([len(c) > 0 for c in children], bool)
         self.norm = np.sqrt((x[self.center] ** 2).sum(axis=1)) if len(x) else np.empty(0)
 
+    def _cover(self, points: np.ndarray, apart: np.ndarray, cover: float) -> np.ndarray:
+        """For each point the place of the centre that covers it (-1: the
+        node's own).  The next centres are the first uncovered points, tried
+        some at a time, each only if no earlier one covers it."""
+        owner = np.where(apart <= cover, -1, len(points))
+        rest = np.flatnonzero(owner == len(points))
+        while len(rest):
+            tried = rest[:64]
+            y = self.x[points[rest]]
+            z = self.x[points[tried]]
+            # whole numbers: squared distances are exact
+            near = (y * y).sum(axis=1)[:, None] + (z * z).sum(axis=1)[None, :] - 2 * (y @ z.T) <= cover * cover
+            for j in range(len(tried)):
+                if owner[tried[j]] == len(points):
+                    free = near[:, j] & (owner[rest] == len(points))
+                    owner[rest[free]] = tried[j]
+                    owner[tried[j]] = tried[j]
+            rest = rest[owner[rest] == len(points)]
+        return owner
+
+    def open(self, nodes: np.ndarray) -> np.ndarray:
+        return np.concatenate([self.children[d] for d in nodes]) if len(nodes) else nodes
+
 
 class BestK:
     """The k best (score, least id) of each query so far."""
@@ -101,36 +121,37 @@ def dual_search(queries: CoverTree, data: CoverTree, query_ids: np.ndarray, data
     if not len(queries.x) or not len(data.x):
         return
 
-    def bounds(q: int, nodes: list[int]) -> np.ndarray:
-        d = np.array(nodes)
-        inner = data.x[data.center[d]] @ queries.x[queries.center[q]]
+    def bounds(q: int, d: np.ndarray) -> np.ndarray:
+        inner = centers[d] @ queries.x[queries.center[q]]
         r, s = queries.radius[q], data.radius[d]
         # rounding may not make a bound too small
-        return (inner + queries.norm[q] * s + data.norm[d] * r + r * s) * (1 + 1e-9) + 1e-6
+        return (inner + queries.norm[q] * s + data.norm[d] * r + r * s) * (1 + 1e-9 * np.sign(inner)) + 1e-6
 
-    stack = [(0, [0])]  # a query node and the data nodes it still has to see
+    centers = data.x[data.center]
+    stack = [(0, np.zeros(1, np.int64))]  # a query node and the data nodes it still has to see
     while stack:
         q, nodes = stack.pop()
         rows = queries.points[q]
         limit = bounds(q, nodes)
-        order = np.argsort(-limit)
-        nodes = [nodes[i] for i in order if limit[i] >= best.worst(rows)]
-        if not nodes:
+        keep = limit >= best.worst(rows)
+        nodes, limit = nodes[keep], limit[keep]
+        if not len(nodes):
             continue
-        if queries.children[q]:
-            opened = []
-            for d in nodes:  # the wider of two nodes is opened first
-                wide = data.radius[d] >= queries.radius[q] and data.children[d]
-                opened += data.children[d] if wide else [d]
+        if queries.inner[q]:
+            # the wider of two nodes is opened first
+            wide = data.inner[nodes] & (data.radius[nodes] >= queries.radius[q])
+            opened = np.concatenate([nodes[~wide], data.open(nodes[wide])])
             stack += [(child, opened) for child in queries.children[q]]
             continue
-        leaves = [d for d in nodes if not data.children[d]]
-        inner = [c for d in nodes for c in data.children[d]]
-        if inner:
-            stack.append((q, inner))
-        for at in range(0, len(leaves), 16):
-            some = leaves[at: at + 16]
-            points = np.concatenate([data.points[d] for d in some])
+        leaf = ~data.inner[nodes]
+        if not leaf.all():
+            stack.append((q, data.open(nodes[~leaf])))
+        order = np.argsort(-limit[leaf])
+        leaves, limit = nodes[leaf][order], limit[leaf][order]
+        for at in range(0, len(leaves), 64):
+            if limit[at] < best.worst(rows):
+                break
+            points = np.concatenate([data.points[d] for d in leaves[at: at + 64]])
             scores = queries.x[rows] @ data.x[points].T
             scores[query_ids[rows][:, None] == data_ids[points][None, :]] = -np.inf
             best.offer(rows, scores, data_ids[points])
