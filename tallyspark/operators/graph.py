@@ -137,10 +137,9 @@ def oriented_edges(edges: DataFrame, order: str = "degree",
 # Join hint for edge sets made by a fan-out (explode) of the stored edges:
 # Catalyst sizes a Generate like its input, so an R- or C-fold replicated
 # set looks R or C times smaller than it is and could be planned as a
-# broadcast.  A shuffled hash join never broadcasts; its build sides are
-# out-edges (at most sqrt(2m) per key under degree order) and unique
-# closing edges, and AQE splits a skewed probe side.
-REPLICATED_JOIN = "shuffle_hash"
+# broadcast.  A sort-merge join never broadcasts, spills, and AQE splits a
+# skewed side.
+REPLICATED_JOIN = "merge"
 
 
 def list_triangles(oriented: DataFrame, keys: Sequence[str] = (),
@@ -212,10 +211,14 @@ def monochromatic_edges(edges: DataFrame, a: int, b: int, num_colors: int,
     return canon.where(cu == cv).select("u", "v", cu.alias("color"))
 
 
-def _mono_oriented(oriented: DataFrame, a, b, num_colors: int, p: int) -> DataFrame:
-    cs = node_color("src", a, b, num_colors, p)
-    cd = node_color("dst", a, b, num_colors, p)
-    return oriented.where(cs == cd).withColumn("color", cs)
+def _mono_oriented(edges: DataFrame, a, b, num_colors: int, p: int,
+                   order: str) -> DataFrame:
+    """Oriented edges inside colour classes.  Raw edges are filtered before
+    they are made distinct, oriented and stored."""
+    def same(x: str, y: str) -> Column:
+        return node_color(x, a, b, num_colors, p) == node_color(y, a, b, num_colors, p)
+    inside = edges.where(same("src", "dst") if is_oriented(edges) else same("u", "v"))
+    return oriented_edges(inside, order).withColumn("color", node_color("src", a, b, num_colors, p))
 
 
 def triangles_per_color(edges: DataFrame, a: int, b: int, num_colors: int,
@@ -225,7 +228,7 @@ def triangles_per_color(edges: DataFrame, a: int, b: int, num_colors: int,
     A class with monochromatic edges but no triangle reports 0; a class
     without any monochromatic edge has no row.
     """
-    mono = _mono_oriented(oriented_edges(edges, order), a, b, num_colors, p)
+    mono = _mono_oriented(edges, a, b, num_colors, p, order)
     counts = count_triangles(mono, ["color"])
     colors = mono.select("color").distinct()  # at most C rows
     return _zero_filled(colors, counts, ["color"])
@@ -234,7 +237,7 @@ def triangles_per_color(edges: DataFrame, a: int, b: int, num_colors: int,
 def triangles_approx_color(edges: DataFrame, a: int, b: int, num_colors: int,
                            p: int = DEFAULT_PRIME, order: str = "degree") -> DataFrame:
     """Node-colouring estimate ``C^2 * sum_i t_i``: ``(estimate)``."""
-    mono = _mono_oriented(oriented_edges(edges, order), a, b, num_colors, p)
+    mono = _mono_oriented(edges, a, b, num_colors, p, order)
     tri = list_triangles(mono, ["color"])
     c2 = num_colors * num_colors
     return tri.agg((F.count(F.lit(1)) * F.lit(c2)).cast("bigint").alias("estimate"))
@@ -260,7 +263,10 @@ def triangles_approx_color_runs(edges: DataFrame, params: Sequence[tuple[int, in
     """One node-colouring estimate per ``(a, b)`` run: ``(run, estimate)``."""
     if not params:
         raise ValueError("at least one (a, b) run is required")
-    oriented = oriented_edges(edges, order)
+    u, v = ("src", "dst") if is_oriented(edges) else ("u", "v")
+    some = F.exists(_run_params(params), lambda r: node_color(u, r["ha"], r["hb"], num_colors, p)
+                    == node_color(v, r["ha"], r["hb"], num_colors, p))
+    oriented = oriented_edges(edges.where(some), order)  # of one colour in some run
     x = (oriented.select("src", "dst", F.explode(_run_params(params)).alias("r"))
          .select("src", "dst", "r.run", "r.ha", "r.hb"))
     cs = node_color("src", F.col("ha"), F.col("hb"), num_colors, p)
@@ -285,8 +291,12 @@ def mean_estimate(runs: DataFrame) -> DataFrame:
 def median_estimate(runs: DataFrame) -> DataFrame:
     """Exact median of the run estimates; for an even count, the integer
     mean of the two middle values: ``(estimate_median)``."""
-    return runs.agg(F.floor(F.percentile("estimate", 0.5)).cast("bigint")
-                    .alias("estimate_median"))
+    # R rows, a parameter; whole-number arithmetic
+    ranked = runs.agg(F.sort_array(F.collect_list("estimate")).alias("e"))
+    return ranked.select(F.expr(
+        "case when size(e) = 0 then null when size(e) % 2 = 1 then e[size(e) div 2] "
+        "else cast((cast(e[size(e) div 2 - 1] as decimal(38, 0)) + e[size(e) div 2]) div 2 as bigint) end")
+        .alias("estimate_median"))
 
 
 # ---------------------------------------------------------------------------
@@ -331,25 +341,29 @@ def triangles_per_color_triple(edges: DataFrame, a: int, b: int, num_colors: int
     """
     rep = _replicated_by_triple(oriented_edges(edges, order), a, b, num_colors, p)
     keys = ["k0", "k1", "k2"]
+    groups = rep.select(*keys).distinct()  # at most C^3 rows
+    counts = _owned_triangles(rep).groupBy(*keys).agg(F.count(F.lit(1)).alias("triangles"))
+    return _zero_filled(groups, counts, keys)
+
+
+def _owned_triangles(rep: DataFrame) -> DataFrame:
+    """The triangles of replicated edges, each under its own key only."""
+    keys = ["k0", "k1", "k2"]
     e1 = rep.select(*keys, F.col("src").alias("a"), F.col("dst").alias("b"),
                     F.col("i").alias("color_c"))
     e2 = rep.select(*keys, F.col("src").alias("b"), F.col("dst").alias("c"),
                     F.col("color_dst").alias("color_c"))
     e3 = rep.select(*keys, F.col("src").alias("a"), F.col("dst").alias("c"))
     owned = e1.join(e2.hint(REPLICATED_JOIN), on=keys + ["b", "color_c"])
-    tri = owned.join(e3.hint(REPLICATED_JOIN), on=keys + ["a", "c"], how="left_semi")
-    counts = tri.groupBy(*keys).agg(F.count(F.lit(1)).alias("triangles"))
-    groups = rep.select(*keys).distinct()  # at most C^3 rows
-    return _zero_filled(groups, counts, keys)
+    return owned.join(e3.hint(REPLICATED_JOIN), on=keys + ["a", "c"], how="left_semi")
 
 
 def triangles_exact_colored(edges: DataFrame, a: int, b: int, num_colors: int,
                             p: int = DEFAULT_PRIME, order: str = "degree") -> DataFrame:
     """Exact count as the sum over colour triples: ``(triangles)``.
     Independent of ``a``, ``b`` and ``C``."""
-    per = triangles_per_color_triple(edges, a, b, num_colors, p, order)
-    return per.agg(F.coalesce(F.sum("triangles"), F.lit(0)).cast("bigint")
-                   .alias("triangles"))
+    rep = _replicated_by_triple(oriented_edges(edges, order), a, b, num_colors, p)
+    return _owned_triangles(rep).agg(F.count(F.lit(1)).alias("triangles"))
 
 
 # ---------------------------------------------------------------------------
@@ -376,10 +390,12 @@ def triangles_approx_partition(edges: DataFrame, a_u: int, a_v: int, b: int,
                                num_buckets: int, p: int = DEFAULT_PRIME,
                                order: str = "degree") -> DataFrame:
     """``C^2 * sum`` of :func:`triangles_per_edge_bucket`: ``(estimate)``."""
-    per = triangles_per_edge_bucket(edges, a_u, a_v, b, num_buckets, p, order)
+    oriented = oriented_edges(edges, order)
+    lo, hi = F.least("src", "dst"), F.greatest("src", "dst")
+    bk = _bucketed(oriented, edge_bucket(lo, hi, a_u, a_v, b, num_buckets, p))
     c2 = num_buckets * num_buckets
-    return per.agg((F.coalesce(F.sum("triangles"), F.lit(0)) * F.lit(c2))
-                   .cast("bigint").alias("estimate"))
+    return list_triangles(bk, ["bucket"]).agg(
+        (F.count(F.lit(1)) * F.lit(c2)).cast("bigint").alias("estimate"))
 
 
 def triangles_approx_spark_partition(edges: DataFrame, num_parts: int,

@@ -1,3 +1,2 @@
 """Registered queries over the provided tables (``catalog``), their oracle
-SQL (``oracles``), fixed parameters (``params``) and size checks behind
-plan decisions (``guards``)."""
+SQL (``oracles``), fixed parameters (``params``)."""

@@ -214,10 +214,14 @@ ORACLE_SQL: dict[str, str] = {
     "triangles_approx_color_mean": f"""WITH {runs_sql(P.COLOR_RUNS)}
         SELECT CAST(floor(avg(estimate)) AS BIGINT) AS estimate_mean FROM runs""",
     "triangles_approx_color_median": f"""WITH {runs_sql(P.COLOR_RUNS)}
-        SELECT CAST(floor(quantile_cont(estimate, 0.5)) AS BIGINT) AS estimate_median
+        SELECT CASE WHEN count(*) % 2 = 1 THEN list_sort(list(estimate))[count(*) // 2 + 1]
+            ELSE CAST((CAST(list_sort(list(estimate))[count(*) // 2] AS HUGEINT)
+                       + list_sort(list(estimate))[count(*) // 2 + 1]) // 2 AS BIGINT) END AS estimate_median
         FROM runs""",
     "triangles_approx_color_median_even": f"""WITH {runs_sql(P.EVEN_RUNS)}
-        SELECT CAST(floor(quantile_cont(estimate, 0.5)) AS BIGINT) AS estimate_median
+        SELECT CASE WHEN count(*) % 2 = 1 THEN list_sort(list(estimate))[count(*) // 2 + 1]
+            ELSE CAST((CAST(list_sort(list(estimate))[count(*) // 2] AS HUGEINT)
+                       + list_sort(list(estimate))[count(*) // 2 + 1]) // 2 AS BIGINT) END AS estimate_median
         FROM runs""",
     "edge_color_triples": f"""WITH {REP}
         SELECT k0, k1, k2, count(*) AS n_edges FROM rep GROUP BY k0, k1, k2""",

@@ -20,20 +20,24 @@ from pyspark.sql import SparkSession
 
 def build_session(
     master: str | None = None,
-    shuffle_partitions: int = 8,
+    shuffle_partitions: int | None = None,
     app_name: str = "tallyspark",
-    driver_memory: str = "16g",
+    driver_memory: str | None = None,
 ) -> SparkSession:
-    """A session tuned for these operators (AQE on, UI off, UTC)."""
-    master = master or os.environ.get("TALLYSPARK_MASTER", "local[*]")
+    """A session tuned for these operators (AQE on, UI off, UTC).  Master,
+    partition count and driver memory are those of the submission unless
+    given here (or, for the master, in ``TALLYSPARK_MASTER``)."""
+    builder = SparkSession.builder
+    for key, value in (("spark.master", master or os.environ.get("TALLYSPARK_MASTER")),
+                       ("spark.sql.shuffle.partitions", shuffle_partitions),
+                       ("spark.driver.memory", driver_memory)):
+        if value is not None:
+            builder = builder.config(key, str(value))
     builder = (
-        SparkSession.builder.master(master)
-        .appName(app_name)
+        builder.appName(app_name)
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
-        .config("spark.driver.memory", driver_memory)
         .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         # Runtime re-planning: coalesce small shuffle partitions, split
         # skewed join partitions, turn joins whose measured side is small
         # into broadcast joins (a size check done by Spark at runtime).

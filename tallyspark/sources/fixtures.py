@@ -21,7 +21,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyspark.functions.text import lines
-from tallyspark.plans.guards import spread_small_input
 from tallyspark.sources.tables import read_table
 
 # Vertex kinds of the typed id space, and items per batch.
@@ -35,9 +34,9 @@ def vertex_id(key: Column, kind: int) -> Column:
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``(doc_id, text)``: one row per document (a small input is spread
-    over all cores before it is tokenised)."""
-    return spread_small_input(read_table(spark, sf_dir, "documents", ["doc_id", "text"]))
+    """``(doc_id, text)``: one row per document; a NULL text is empty."""
+    docs = read_table(spark, sf_dir, "documents", ["doc_id", "text"])
+    return docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
 
 
 def document_lines(docs: DataFrame) -> DataFrame:
@@ -69,11 +68,9 @@ def lineitem_edge_array() -> Column:
 
 
 def lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The lineitem columns the edge fixture needs (a small input is
-    spread over all cores before it is exploded into edges)."""
-    return spread_small_input(read_table(
-        spark, sf_dir, "lineitem",
-        ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"]))
+    """The lineitem columns the edge fixture needs."""
+    return read_table(spark, sf_dir, "lineitem",
+                      ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"])
 
 
 def raw_edges(spark: SparkSession, sf_dir: str) -> DataFrame:

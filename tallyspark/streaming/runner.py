@@ -19,7 +19,7 @@ from __future__ import annotations
 import threading
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
@@ -42,11 +42,16 @@ def events_stream(spark: SparkSession, sf_dir: str,
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", int(max_files_per_trigger))
     if path is None:
-        # A file (not a directory) cannot be a streaming source path; read
-        # its folder restricted to that one file name.
         table = table_path(sf_dir, "events")
-        folder, name = table.rsplit("/", 1)
-        return reader.option("pathGlobFilter", name).parquet(folder)
+        fs, hpath = _fs(spark, table)
+        if not fs.exists(hpath):
+            raise FileNotFoundError(f"no stream source at {table}")
+        if not fs.getFileStatus(hpath).isDirectory():
+            # A file cannot be a streaming source path; read its folder
+            # restricted to that one file name.
+            folder, name = table.rsplit("/", 1)
+            return reader.option("pathGlobFilter", name).parquet(folder)
+        path = table
     return reader.parquet(path)
 
 
@@ -120,6 +125,12 @@ def drain(stream: DataFrame, name: str, output_mode: str,
             on_batch(df, batch_id, path)
         else:
             df.write.mode("overwrite").parquet(path)
+            if output_mode == "complete":
+                # each folder holds the whole result: the newest two are enough
+                # for readers and for a replay of the last batch
+                for n, old in _numbered_dirs(spark, out, BATCH_COL).items():
+                    if n < batch_id - 1:
+                        _delete(spark, old)
         if compact_every and output_mode == "update" and (batch_id + 1) % compact_every == 0:
             compact_update_output(spark, out, schema, keys, batch_id)
 
@@ -217,13 +228,18 @@ def run_update(stream_result: DataFrame, name: str, keys: Sequence[str],
     return read_update(stream_result.sparkSession, out, stream_result.schema, keys)
 
 
-def _taken_so_far(spark: SparkSession, out: str) -> dict[int, int]:
-    """Items per batch already written under ``out`` (one row per batch)."""
-    schema = _with_batch(StructType([StructField("item", LongType()),
-                                     StructField("n", LongType())]))
-    per_batch = (spark.read.schema(schema).parquet(out)
-                 .groupBy(BATCH_COL).agg(F.sum("n").alias("n")).collect())
-    return {int(r[BATCH_COL]): int(r["n"]) for r in per_batch}
+_ITEM_COUNTS = StructType([StructField("item", LongType()), StructField("n", LongType())])
+
+
+def _stored_total(spark: SparkSession, out: str) -> tuple[int, int, int]:
+    """(last stored batch, its items, the items of all batches before it)."""
+    per_batch = spark.read.schema(_with_batch(_ITEM_COUNTS)).parquet(out) \
+        .groupBy(BATCH_COL).agg(F.sum("n").alias("n"))
+    row = per_batch.agg(F.max(BATCH_COL).alias("last"), F.max_by("n", BATCH_COL).alias("n"),
+                        F.sum("n").alias("total")).first()
+    if row["last"] is None:
+        return -1, 0, 0
+    return int(row["last"]), int(row["n"]), int(row["total"] - row["n"])
 
 
 def run_until_threshold(items_stream: DataFrame, threshold: int,
@@ -233,40 +249,40 @@ def run_until_threshold(items_stream: DataFrame, threshold: int,
     """Take whole micro-batches while fewer than ``threshold`` items have
     been taken, then stop the query.
 
-    Each taken batch is stored pre-aggregated as ``(item, n)`` in its own
-    batch directory; the returned DataFrame ``(batch_id, item, n)`` holds
-    all taken batches, ready for the batch operators (histogram, sketch).
-    The item total per batch id is kept in a dict keyed by batch id, so a
-    replayed batch is not counted twice; with a fixed ``location`` a
-    restarted driver rebuilds that dict from the batches already written
-    (one small row per batch) and the query resumes from its checkpoint.
+    Every committed batch is stored pre-aggregated as ``(item, n)`` in its
+    own batch directory, also the ones that arrive before the stop takes
+    effect; the stop rule is applied when reading: the returned DataFrame
+    ``(batch_id, item, n)`` holds the batches whose predecessors hold fewer
+    than ``threshold`` items.  So a run resumed at the same ``location``
+    with a higher threshold finds every batch.  The driver keeps one running
+    total; a replayed batch replaces its own part of it.
     """
     spark = items_stream.sparkSession
-    counts: dict[int, int] = {}
+    state = (-1, 0, 0)
     if location:
         _mkdirs(spark, f"{location.rstrip('/')}/out")
-        counts.update(_taken_so_far(spark, f"{location.rstrip('/')}/out"))
+        state = _stored_total(spark, f"{location.rstrip('/')}/out")
     lock = threading.Lock()
 
-    def taken_before(batch_id: int) -> int:
-        return sum(n for b, n in counts.items() if b < batch_id)
-
     def on_batch(df: DataFrame, batch_id: int, path: str) -> None:
-        with lock:
-            if taken_before(batch_id) >= threshold:
-                return  # past the threshold: the batch is ignored
+        nonlocal state
         df.groupBy("item").agg(F.count(F.lit(1)).alias("n")) \
             .write.mode("overwrite").parquet(path)
-        size = df.sparkSession.read.parquet(path).agg(F.sum("n")).first()[0] or 0
+        size = int(df.sparkSession.read.parquet(path).agg(F.sum("n")).first()[0] or 0)
         with lock:
-            counts[batch_id] = int(size)
+            last, n, before = state
+            state = (batch_id, size, before if batch_id == last else before + n)
 
     def reached() -> bool:
         with lock:
-            return sum(counts.values()) >= threshold
+            return state[1] + state[2] >= threshold
 
     out = drain(items_stream.select("item"), name, "append", on_batch=on_batch,
                 stop_when=reached, processing_time=processing_time, location=location)
-    schema = StructType([StructField("item", LongType()), StructField("n", LongType())])
-    return spark.read.schema(_with_batch(schema)).parquet(out).select(
-        BATCH_COL, "item", "n")
+    stored = spark.read.schema(_with_batch(_ITEM_COUNTS)).parquet(out)
+    # one row per batch
+    earlier = F.sum("n").over(Window.orderBy(BATCH_COL).rowsBetween(Window.unboundedPreceding, -1))
+    taken = (stored.groupBy(BATCH_COL).agg(F.sum("n").alias("n"))
+             .select(BATCH_COL, F.coalesce(earlier, F.lit(0)).alias("earlier"))
+             .where(F.col("earlier") < threshold).select(BATCH_COL))
+    return stored.join(taken, BATCH_COL, "left_semi").select(BATCH_COL, "item", "n")

@@ -11,19 +11,11 @@ SF_MID = "/root/testdata/sf0.01"
 
 @pytest.fixture(scope="session")
 def spark():
-    from pyspark.sql import SparkSession
-
-    from tallyspark.session import ensure_checkpoint_dir
-
-    s = (SparkSession.builder.master("local[*]")
-         .appName("tallyspark-tests")
-         .config("spark.sql.shuffle.partitions", "8")
-         .config("spark.ui.enabled", "false")
-         .config("spark.ui.showConsoleProgress", "false")
-         .config("spark.sql.session.timeZone", "UTC")
-         .config("spark.sql.adaptive.enabled", "true")
-         .getOrCreate())
-    s.sparkContext.setLogLevel("ERROR")
+    from tallyspark.session import build_session, ensure_checkpoint_dir, ship_package
+
+    s = build_session("local[*]", shuffle_partitions=8, app_name="tallyspark-tests",
+                      driver_memory="8g")
+    ship_package(s)
     ensure_checkpoint_dir(s)  # tests: unset, so a local temp folder is set
     yield s
     from tallyspark.session import drop_scratch

@@ -12,26 +12,15 @@ P = 8191
 
 # -- brute force (plain Python, adjacency sets) -----------------------------
 
-def simple_graph(pairs):
-    adj = {}
-    for u, v in pairs:
-        if u == v:
-            continue
-        adj.setdefault(u, set()).add(v)
-        adj.setdefault(v, set()).add(u)
-    return adj
+def undirected(pairs):
+    return {frozenset(p) for p in pairs if p[0] != p[1]}
 
 
 def brute_triangles(pairs):
-    adj = simple_graph(pairs)
-    out = []
-    for u in adj:
-        for v in adj[u]:
-            if v > u:
-                for w in adj[v]:
-                    if w > v and w in adj[u]:
-                        out.append((u, v, w))
-    return out
+    edges = undirected(pairs)
+    vertices = sorted(set().union(*edges)) if edges else []
+    return [t for t in itertools.combinations(vertices, 3)
+            if all(frozenset(side) in edges for side in itertools.combinations(t, 2))]
 
 
 def color(x, a, b, c):
@@ -256,3 +245,12 @@ def test_operators_accept_a_stored_orientation(spark, edges_df):
     for fn, args in same:
         assert sorted(map(tuple, fn(raw, *args).collect())) == \
             sorted(map(tuple, fn(o, *args).collect())), fn.__name__
+
+
+@pytest.mark.parametrize("values,median", [
+    ([9007199254740993] * 3, 9007199254740993),
+    ([9007199254740993, 9007199254740995], 9007199254740994),
+    ([5, 1, 4], 4), ([1, 4], 2), ([9223372036854775807, 9223372036854775805], 9223372036854775806)])
+def test_median_is_whole_number_arithmetic(spark, values, median):
+    runs = spark.createDataFrame(list(enumerate(values)), "run int, estimate bigint")
+    assert one(G.median_estimate(runs)) == median

@@ -70,19 +70,6 @@ def test_triangle_join_reads_stored_edges(plans):
     assert "lineitem.parquet" not in plan
 
 
-def test_spread_guard_sizes(spark):
-    from tallyspark.plans import guards
-    from tallyspark.sources import tables
-    li = tables.read_table(spark, SF_SMALL, "lineitem", ["l_orderkey"])
-    cores = spark.sparkContext.defaultParallelism
-    spread = guards.spread_small_input(li)
-    size = guards.estimated_bytes(li)
-    want = max(1, min(2 * cores, -(-size // guards.SPREAD_MIN_PARTITION_BYTES)))
-    assert spread.rdd.getNumPartitions() == want
-    # above the bound the input is returned untouched (no shuffle added)
-    assert guards.spread_small_input(li, max_bytes=1) is li
-
-
 @pytest.mark.parametrize("name", ["triangles_per_color_triple", "triangles_approx_color_runs"])
 def test_replicated_edges_never_broadcast(spark, name):
     # the replicated sets are under-estimated by Catalyst: they must not be
@@ -90,7 +77,7 @@ def test_replicated_edges_never_broadcast(spark, name):
     df = E.queries()[name](spark, SF_SMALL)
     df.collect()
     plan = df._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("ShuffledHashJoin") >= 2
+    assert plan.count("SortMergeJoin") >= 2
     # no broadcast join keyed on a vertex column (b, or a and c); the only
     # broadcast allowed is the zero-fill over the bounded group list
     assert not re.search(r"BroadcastHashJoin \[[^\]]*\b[abc]#", plan), plan
@@ -131,9 +118,14 @@ def test_hub_key_is_split_by_aqe_skew_join(spark):
                 spark.conf.set(k, v)
 
 
-def test_spread_guard_unknown_size_keeps_input(spark, monkeypatch):
-    from tallyspark.plans import guards
-    from tallyspark.sources import tables
-    li = tables.read_table(spark, SF_SMALL, "lineitem", ["l_orderkey"])
-    monkeypatch.setattr(guards, "estimated_bytes", lambda df: None)
-    assert guards.spread_small_input(li) is li
+def test_word_count_by_partition_shuffles_once(spark):
+    df = E.queries()["word_count_by_partition"](spark, SF_SMALL)
+    plan = df._jdf.queryExecution().sparkPlan().toString()
+    full = df._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange hashpartitioning(word" in full and full.count("Exchange ") == 1, plan
+
+
+@pytest.mark.parametrize("name", ["triangles_exact_colored", "triangles_approx_partition"])
+def test_plain_sums_scan_the_edges_three_times(spark, name):
+    plan = E.queries()[name](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ReadSchema: struct<src:bigint,dst:bigint>") == 3

@@ -88,3 +88,17 @@ def test_pair_lines_wrong_field_count_fails(spark, bad):
     d = write_lines(["1,2", bad])
     with pytest.raises(Exception):
         FS.read_pair_lines(spark, d).collect()
+
+
+@pytest.mark.parametrize("ansi", ["true", "false"])
+@pytest.mark.parametrize("bad", ["1,", ",5", "", "1", "1,2,3", "a,2"])
+def test_pair_lines_raise_whatever_the_ansi_mode(spark, tmp_path, bad, ansi):
+    path = tmp_path / "pairs.txt"
+    path.write_text(f"1,2\n{bad}\n3, 4\n")
+    old = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        with pytest.raises(Exception, match="malformed"):
+            FS.read_pair_lines(spark, str(path)).collect()
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", old)

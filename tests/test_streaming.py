@@ -165,3 +165,36 @@ def test_threshold_stop_with_processing_time_trigger(spark, split_events):
     per_batch = [r.t for r in taken.groupBy("batch_id").agg(F.sum("n").alias("t"))
                  .orderBy("batch_id").collect()]
     assert sum(per_batch[:-1]) < 4500 <= sum(per_batch)
+
+
+def test_folder_table_streams_like_a_file(spark, split_events):
+    """``events.parquet`` may be a folder of part files, in several batches."""
+    import os
+    root = tempfile.mkdtemp(prefix="folder-table-")
+    os.symlink(split_events, f"{root}/events.parquet")
+    s = X.events_to_items(R.events_stream(spark, root, max_files_per_trigger=1)).select("item")
+    assert rows(ST.stream_length(s)) == rows(S.stream_length(batch_items(spark)))
+    assert rows(ST.stream_interval_histogram(s, 10, 100)) == rows(
+        S.interval_histogram(batch_items(spark), 10, 100))
+
+
+def test_missing_stream_source_raises(spark):
+    with pytest.raises(FileNotFoundError):
+        R.events_stream(spark, tempfile.mkdtemp(prefix="no-table-"))
+
+
+def test_late_stop_loses_no_batch(spark, split_events, monkeypatch):
+    """Batches committed after the threshold, before the stop takes effect,
+    are there when the run is resumed with a higher threshold."""
+    plain = R.drain
+
+    def late(stream, name, mode, stop_when=None, **kw):
+        return plain(stream, name, mode, stop_when=lambda: False, **kw)
+
+    loc = tempfile.mkdtemp(prefix="late-stop-")
+    monkeypatch.setattr(R, "drain", late)
+    first = R.run_until_threshold(stream_items(spark, split_events), 1, location=loc)
+    assert first.select("batch_id").distinct().count() == 1
+    monkeypatch.setattr(R, "drain", plain)
+    again = R.run_until_threshold(stream_items(spark, split_events), 10**9, location=loc)
+    assert again.agg(F.sum("n")).collect()[0][0] == spark.read.parquet(split_events).count()
