@@ -172,8 +172,9 @@ def main(argv: Sequence[str] | None = None) -> None:
                    help="stop after whole batches reach this many items")
     args = ap.parse_args(argv)
     seed = args.seed if args.seed is not None else random.SystemRandom().randrange(2**31)
-    from tallyspark.session import build_session
+    from tallyspark.session import build_session, ensure_checkpoint_dir
     spark = build_session()
+    ensure_checkpoint_dir(spark)  # local runs only; a cluster must configure one
     if args.job == "wordcount":
         lines = wordcount(spark, args.K, args.path, seed)
     elif args.job == "triangles":
