@@ -11,8 +11,8 @@ level at which it meets no other key; its index is its bit's rank.
 
 A probe partition is a stream sorted so that a shard's arrays come before its
 probes, and the probes of one shard are salted over several partitions (each
-gets a copy of the arrays), so a line that a third of all documents share is
-no hot task.
+gets a copy of the arrays).  The number of salts follows the shard's counted
+probes, so a line that a third of all documents share is no hot task.
 """
 
 from __future__ import annotations
@@ -30,7 +30,11 @@ from .common import mixed, store
 MIN_CHARS = 20
 MIN_DOCS = 3
 SHARD_KEYS = 100_000
+#: partitions of a shard's probes; a busier shard has one for each PROBES
 SALTS = 4
+PROBES = 1_000_000
+#: bound on the shards with salts of their own, four times over
+MAX_BUSY = 100_000
 _GAMMA = 2.0
 
 
@@ -179,17 +183,31 @@ def build_shards(keys: DataFrame, shards: int) -> DataFrame:
             .select("shard", "key", "mark", "n", "keeper").mapInArrow(run, _ARRAYS))
 
 
-def probe(own: DataFrame, arrays: DataFrame, shards: int, min_docs: int = MIN_DOCS, salts: int = SALTS) -> DataFrame:
+def busy_shards(distinct: DataFrame, probes: int = PROBES) -> DataFrame:
+    """``shard, salts`` of the shards whose keys (``shard, n``) are probed more
+    than ``SALTS * probes`` times.  With more than ``MAX_BUSY * probes`` probes
+    in all a salt takes more of them, so the table has at most ``MAX_BUSY /
+    SALTS`` rows at any size of the corpus."""
+    total = distinct.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    each = max(probes, -(-total // MAX_BUSY))
+    return distinct.groupBy("shard").agg(F.sum("n").alias("n")).where(F.col("n") > SALTS * each).select(
+        "shard", F.ceil(F.col("n") / each).cast("int").alias("salts"))
+
+
+def probe(own: DataFrame, arrays: DataFrame, busy: DataFrame, shards: int, min_docs: int = MIN_DOCS) -> DataFrame:
     """The rows ``doc_id, key, mark`` of ``own`` (with ``shard``) whose key is
     in at least ``min_docs`` documents and kept by another one."""
     names = ["hash", "marks", "counts", "keepers", "clashes"]
-    copies = arrays.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))).select(
+    parts = shards * SALTS + busy.agg(F.coalesce(F.sum("salts"), F.lit(0))).first()[0]
+    dealt = F.broadcast(busy.withColumnRenamed("salts", "own_salts"))  # see busy_shards for its bound
+    salts = F.coalesce("own_salts", F.lit(SALTS))
+    copies = arrays.join(dealt, "shard", "left").withColumn("salt", F.explode(F.sequence(F.lit(0), salts - 1))).select(
         "shard", "salt", F.lit(0).alias("kind"), *names,
         *[F.lit(None).cast("bigint").alias(c) for c in ("doc_id", "key", "mark")])
-    probes = own.select(
-        "shard", F.pmod(F.xxhash64("doc_id", "mark"), F.lit(salts)).cast("int").alias("salt"), F.lit(1).alias("kind"),
+    probes = own.join(dealt, "shard", "left").select(
+        "shard", F.pmod(F.xxhash64("doc_id", "mark"), salts).cast("int").alias("salt"), F.lit(1).alias("kind"),
         *[F.lit(None).cast("binary").alias(c) for c in names], "doc_id", "key", "mark")
-    stream = (copies.unionByName(probes).repartition(shards * salts, "shard", "salt")
+    stream = (copies.unionByName(probes).repartition(parts, "shard", "salt")
               .sortWithinPartitions("shard", "salt", "kind"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -231,7 +249,7 @@ _NO_ID = -(1 << 63)  # stands for a null doc_id, smaller than any id
 
 
 def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS,
-                shard_keys: int = SHARD_KEYS) -> DataFrame:
+                shard_keys: int = SHARD_KEYS, probes: int = PROBES) -> DataFrame:
     """``docs`` with the repeated lines taken out of ``text``, plus ``n_lines``
     (before) and ``n_dropped``.
 
@@ -249,8 +267,10 @@ def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN
     distinct = store(distinct, "line-counts")
     shards = max(1, -(-distinct.count() // shard_keys))
     shard = F.pmod(F.col("mark"), F.lit(shards)).cast("int")
-    arrays = build_shards(distinct.withColumn("shard", shard), shards)
-    gone = probe(own.withColumn("shard", shard), arrays, shards, min_docs)
+    distinct = distinct.withColumn("shard", shard)
+    arrays = build_shards(distinct, shards)
+    busy = store(busy_shards(distinct, probes), "line-busy")
+    gone = probe(own.withColumn("shard", shard), arrays, busy, shards, min_docs)
     gone = store(gone.groupBy("doc_id").agg(F.collect_set(F.struct("key", "mark")).alias("gone")), "line-drops")
     gone = gone.select(F.col("doc_id").alias("__doc"), "gone")
 

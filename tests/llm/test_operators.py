@@ -320,8 +320,8 @@ def test_perfect_hash():
     assert sorted(found.index(keys)) == list(range(len(keys)))
 
 
-@pytest.mark.parametrize("shard_keys", [100_000, 7])
-def test_line_dedup_equals_brute_force(spark, docs, shard_keys):
+@pytest.mark.parametrize("shard_keys, probes", [(100_000, lines.PROBES), (7, lines.PROBES), (100_000, 3), (7, 1)])
+def test_line_dedup_equals_brute_force(spark, docs, shard_keys, probes):
     def key(line):
         return re.sub(r"^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$", "", line).translate({i: i + 32 for i in range(65, 91)})
     rows = rows_of(docs)
@@ -335,13 +335,23 @@ def test_line_dedup_equals_brute_force(spark, docs, shard_keys):
         all_lines = (t or "").split("\n")
         stay = [x for x in all_lines if not (len(key(x)) >= 20 and len(held[key(x)]) >= 3 and max(held[key(x)]) != own)]
         want[i, None if t is None else "\n".join(stay), len(all_lines), len(all_lines) - len(stay)] += 1
-    found = lines.dedup_lines(docs, shard_keys=shard_keys)
+    found = lines.dedup_lines(docs, shard_keys=shard_keys, probes=probes)
     assert set(found.columns) == {*docs.columns, "n_lines", "n_dropped"}
     got = collections.Counter((r.doc_id, r.text, r.n_lines, r.n_dropped) for r in found.collect())
     assert got == want and any(n for _, _, _, n in want)
     assert lines.dedup_lines(docs.limit(0)).count() == 0
 
 
+def test_busy_shards_are_few_at_any_size(spark, monkeypatch):
+    monkeypatch.setattr(lines, "MAX_BUSY", 40)
+    loads = [5, 90, 4000, 7, *[300] * 60]
+    found = lines.busy_shards(spark.createDataFrame(list(enumerate(loads)), "shard int, n bigint"), 10).collect()
+    each = -(-sum(loads) // 40)
+    assert {r.shard: r.salts for r in found} == {i: -(-n // each) for i, n in enumerate(loads) if n > lines.SALTS * each}
+    assert len(found) <= 40 / lines.SALTS
+    assert lines.busy_shards(spark.createDataFrame([], "shard int, n bigint")).count() == 0
+
+
 # -- search -------------------------------------------------------------------
 
 @pytest.mark.parametrize("block", [4096, 60])
