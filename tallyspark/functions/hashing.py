@@ -18,6 +18,9 @@ from pyspark.sql import functions as F
 
 # Fixed value: the prime used by every hash in the original jobs.
 DEFAULT_PRIME = 8191
+# For ids or items beyond 8191, which that prime would merge: the largest
+# prime below 2**31 (products stay within 64 bits).
+LARGE_PRIME = 2147483647
 
 IntOrCol = int | Column
 

@@ -1,4 +1,4 @@
-"""Command-line jobs over text inputs, printing a report of scalars.
+"""Command-line jobs over text inputs, printing a report of scalars as JSON.
 
     python -m tallyspark wordcount  K  <docs>            # one document per line
     python -m tallyspark triangles  C R <edges>          # u,v lines; colouring + partitions
@@ -7,20 +7,21 @@
 
 Every number is computed by the library operators; only one-row results
 are brought to the driver for printing.  Hash parameters are drawn from
-``--seed`` (default: fresh randomness).
+``--seed`` (default: fresh randomness) below the prime ``--prime``; ids or
+items that are equal modulo the prime cannot be told apart by the hashes.
 """
 
 from __future__ import annotations
 
 import argparse
+import json
 import random
-import time
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyspark.functions.hashing import DEFAULT_PRIME
+from tallyspark.functions.hashing import LARGE_PRIME
 from tallyspark.operators import graph as G
 from tallyspark.operators import sketch as S
 from tallyspark.operators import wordcount as W
@@ -35,76 +36,52 @@ def _scalar(df: DataFrame):
     return df.collect()[0][0]
 
 
-def _hash_params(rnd: random.Random, p: int = DEFAULT_PRIME) -> tuple[int, int]:
+def _hash_params(rnd: random.Random, p: int) -> tuple[int, int]:
     return rnd.randint(1, p - 1), rnd.randint(0, p - 1)
 
 
-def wordcount(spark: SparkSession, k: int, path: str, seed: int) -> list[str]:
+def wordcount(spark: SparkSession, k: int, path: str, seed: int) -> dict:
     docs = FS.read_text_documents(spark, path)
     ids = ["doc_id"]
-    out = [f"Number of documents = {_scalar(W.document_count(docs))}"]
-    variants = [W.word_count(docs, ids),
-                W.word_count_salted(docs, k, seed, ids),
-                W.word_count_salted_at_shuffle(docs, k, seed, ids),
-                W.word_count_by_partition(docs, ids)]
-    for wc in variants:
-        out.append("Number of distinct words in the documents = "
-                   f"{_scalar(wc.agg(F.count(F.lit(1))))}")
-    avg = W.average_word_length(docs, ids).collect()[0]
-    out.append(f"Average word length = {avg.avg_word_length}")
-    return out
-
-
-def triangles(spark: SparkSession, c: int, r: int, path: str, seed: int) -> list[str]:
+    variants = {"plain": W.word_count(docs, ids),
+                "salted": W.word_count_salted(docs, k, seed, ids),
+                "salted_at_shuffle": W.word_count_salted_at_shuffle(docs, k, seed, ids),
+                "by_partition": W.word_count_by_partition(docs, ids)}
+    return {"documents": _scalar(W.document_count(docs)),
+            "distinct_words": {name: _scalar(wc.agg(F.count(F.lit(1)))) for name, wc in variants.items()},
+            "average_word_length": W.average_word_length(docs, ids).collect()[0].avg_word_length}
+
+
+def triangles(spark: SparkSession, c: int, r: int, path: str, seed: int, p: int = LARGE_PRIME) -> dict:
     edges = FS.read_pair_lines(spark, path)
     rnd = random.Random(seed)
-    runs = [_hash_params(rnd) for _ in range(r)]
-    out = [f"Dataset = {path}", f"Number of Edges = {_scalar(G.edge_count(edges))}",
-           f"Number of Colors = {c}", f"Number of Repetitions = {r}",
-           "Approximation through node coloring"]
+    runs = [_hash_params(rnd, p) for _ in range(r)]
     oriented = G.oriented_edges(edges)  # built once, used by both estimators
-    t0 = time.perf_counter()
-    mean = _scalar(G.mean_estimate(G.triangles_approx_color_runs(oriented, runs, c)))
-    ms = int((time.perf_counter() - t0) * 1000 / r)
-    out += [f"- Number of triangles (mean over {r} runs) = {mean}",
-            f"- Running time (average over {r} runs) = {ms} ms",
-            "Approximation through Spark partitions"]
-    t0 = time.perf_counter()
-    est = _scalar(G.triangles_approx_spark_partition(oriented, c))
-    ms = int((time.perf_counter() - t0) * 1000)
-    out += [f"- Number of triangles = {est}", f"- Running time = {ms} ms"]
-    return out
+    colored = G.triangles_approx_color_runs(oriented, runs, c, p)
+    return {"path": path, "edges": _scalar(G.edge_count(edges)), "colors": c, "runs": r,
+            "estimate_by_colors": _scalar(G.mean_estimate(colored)),
+            "estimate_by_partitions": _scalar(G.triangles_approx_spark_partition(oriented, c))}
 
 
 def triangles2(spark: SparkSession, c: int, r: int, f: int, path: str,
-               seed: int) -> list[str]:
+               seed: int, p: int = LARGE_PRIME) -> dict:
     if c <= 0 or r <= 0 or f not in (0, 1):
         raise ValueError("C and R must be positive, F must be 0 or 1")
     edges = FS.read_flat_lines(spark, path)
     rnd = random.Random(seed)
-    runs = [_hash_params(rnd) for _ in range(r)]
-    out = [f"Dataset = {path}", f"Number of Edges = {_scalar(G.edge_count(edges))}",
-           f"Number of Colors = {c}", f"Number of repetitions = {r}"]
+    runs = [_hash_params(rnd, p) for _ in range(r)]
+    out = {"path": path, "edges": _scalar(G.edge_count(edges)), "colors": c, "runs": r}
     oriented = G.oriented_edges(edges)
-    t0 = time.perf_counter()
     if f == 0:
-        med = _scalar(G.median_estimate(G.triangles_approx_color_runs(oriented, runs, c)))
-        out += ["Approximation through node coloring",
-                f"- Number of triangles (median over {r} runs) = {med}"]
-        ms = int((time.perf_counter() - t0) * 1000 / r)
-    else:
-        a, b = runs[-1]
-        exact = _scalar(G.triangles_exact_colored(oriented, a, b, c))
-        out += ["Exact algorithm with node coloring",
-                f"- Number of triangles exact: {exact}"]
-        ms = int((time.perf_counter() - t0) * 1000)
-    out.append(f"- Running time (average over {r} runs) = {ms}ms")
-    return out
+        colored = G.triangles_approx_color_runs(oriented, runs, c, p)
+        return {**out, "estimate_median": _scalar(G.median_estimate(colored))}
+    a, b = runs[-1]
+    return {**out, "triangles": _scalar(G.triangles_exact_colored(oriented, a, b, c, p))}
 
 
 def stream(spark: SparkSession, d: int, w: int, left: int, right: int, k: int,
            path: str, seed: int, threshold: int = STREAM_THRESHOLD,
-           max_files_per_trigger: int | None = None) -> list[str]:
+           max_files_per_trigger: int | None = None, p: int = LARGE_PRIME) -> dict:
     """Stream statistics over one integer per line.
 
     ``path`` is a directory of text files, or ``socket://host:port`` for a
@@ -112,7 +89,7 @@ def stream(spark: SparkSession, d: int, w: int, left: int, right: int, k: int,
     loses what the socket already sent).
     """
     rnd = random.Random(seed)
-    rows = [(*_hash_params(rnd), *_hash_params(rnd)) for _ in range(d)]
+    rows = [(*_hash_params(rnd, p), *_hash_params(rnd, p)) for _ in range(d)]
     trigger = None
     if path.startswith("socket://"):
         host, port = path[len("socket://"):].rsplit(":", 1)
@@ -125,29 +102,30 @@ def stream(spark: SparkSession, d: int, w: int, left: int, right: int, k: int,
         if max_files_per_trigger:
             reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
         source = reader.text(path)
-    items = source.select(F.trim("value").cast("bigint").alias("item"))
+    items = source.select(FS.parse_id(F.col("value")).alias("item"))
     taken = R.run_until_threshold(items, threshold, "stream-job", processing_time=trigger)
     per_item = taken.groupBy("item").agg(F.sum("n").cast("bigint").alias("n"))
     n_items = _scalar(per_item.agg(F.coalesce(F.sum("n"), F.lit(0))))
     hist = S.in_interval(per_item, left, right)
     # like the original, the sketch covers all taken items, the truth and
     # the normaliser only the interval
-    sketch = S.count_sketch_from_counts(per_item, rows, w)
+    sketch = S.count_sketch_from_counts(per_item, rows, w, p)
     true_f2 = S.second_moment_true(hist).collect()[0]
     approx = S.second_moment_approx(sketch, hist).collect()[0]
-    err = S.topk_avg_relative_error(hist, sketch, rows, w, k).collect()[0]
-    return [f"D = {d} W = {w} [left, right] = [{left}, {right}] K = {k}",
-            f"Number of items processed = {n_items}",
-            f"True second moment = {true_f2.f2_normalized}",
-            f"Approximate second moment = {approx.f2_normalized}",
-            f"Average relative error (top-{k}) = {err.avg_relative_error}",
-            f"Largest item = {_scalar(S.largest_item(hist))}"]
+    err = S.topk_avg_relative_error(hist, sketch, rows, w, k, p).collect()[0]
+    return {"rows": d, "width": w, "left": left, "right": right, "k": k, "items": n_items,
+            "second_moment": true_f2.f2_normalized,
+            "second_moment_estimate": approx.f2_normalized,
+            "top_k_relative_error": err.avg_relative_error,
+            "largest_item": _scalar(S.largest_item(hist))}
 
 
 def main(argv: Sequence[str] | None = None) -> None:
     ap = argparse.ArgumentParser(prog="tallyspark", description=__doc__.split("\n\n")[0])
     ap.add_argument("--seed", type=int, default=None,
                     help="seed of the hash parameters (default: random)")
+    ap.add_argument("--prime", type=int, default=LARGE_PRIME,
+                    help="prime of the hashes, below 2**31 (default: %(default)s)")
     sub = ap.add_subparsers(dest="job", required=True)
     p = sub.add_parser("wordcount", help="distinct words four ways, mean word length")
     p.add_argument("K", type=int, help="number of salts")
@@ -176,15 +154,15 @@ def main(argv: Sequence[str] | None = None) -> None:
     spark = build_session()
     ensure_checkpoint_dir(spark)  # local runs only; a cluster must configure one
     if args.job == "wordcount":
-        lines = wordcount(spark, args.K, args.path, seed)
+        report = wordcount(spark, args.K, args.path, seed)
     elif args.job == "triangles":
-        lines = triangles(spark, args.C, args.R, args.path, seed)
+        report = triangles(spark, args.C, args.R, args.path, seed, args.prime)
     elif args.job == "triangles2":
-        lines = triangles2(spark, args.C, args.R, args.F, args.path, seed)
+        report = triangles2(spark, args.C, args.R, args.F, args.path, seed, args.prime)
     else:
-        lines = stream(spark, args.D, args.W, args.left, args.right, args.K, args.path,
-                       seed, args.threshold)
-    print("\n".join(lines))
+        report = stream(spark, args.D, args.W, args.left, args.right, args.K, args.path,
+                        seed, args.threshold, p=args.prime)
+    print(json.dumps(report))
 
 
 __all__ = ["main", "stream", "triangles", "triangles2", "wordcount"]

@@ -27,8 +27,6 @@ from tallyspark.functions.hashing import DEFAULT_PRIME, bucket_hash, low32, sign
 
 SketchParams = Sequence[tuple[int, int, int, int]]
 
-# Largest sketch (D*W cells) we broadcast to the point-query join.
-MAX_BROADCAST_CELLS = 1_000_000
 # Batches per block of the two-level running total in :func:`stream_prefix`.
 PREFIX_BLOCK = 4096
 
@@ -170,14 +168,31 @@ def sketch_point_estimates(hist: DataFrame, sketch: DataFrame, params: SketchPar
                            width: int, p: int = DEFAULT_PRIME,
                            narrow32: bool = False) -> DataFrame:
     """``(item, n, estimate)``: count-sketch frequency estimate
-    ``median_j g_j(x) * M[j][h_j(x)]`` for every item of ``hist``."""
-    probes = _with_rows(hist, params, width, p, ["item", "n"], narrow32)
-    cells = sketch.select("row_idx", "col_idx", "value")
-    if len(params) * width <= MAX_BROADCAST_CELLS:
-        cells = F.broadcast(cells)  # at most D*W rows, checked above
-    est = probes.join(cells, ["row_idx", "col_idx"], "left").select(
-        "item", "n", (F.col("sign") * F.coalesce(F.col("value"), F.lit(0))).alias("e"))
-    return est.groupBy("item", "n").agg(F.percentile("e", 0.5).alias("estimate"))
+    ``median_j g_j(x) * M[j][h_j(x)]`` for every item of ``hist``.
+
+    The sketch is one array of its D*W cells, parameters of the query, and
+    each item reads its D cells and takes their median in its own row: the
+    histogram is not shuffled again.
+    """
+    rows = len(params)
+    if not rows:
+        raise ValueError("a sketch needs at least one row of parameters")
+    filled = sketch.select((F.col("row_idx") * F.lit(width) + F.col("col_idx")).cast("bigint").alias("cell"),
+                           "value")
+    empty = hist.sparkSession.range(rows * width).select(
+        F.col("id").alias("cell"), F.lit(0).cast("bigint").alias("value"))
+    dense = filled.union(empty).groupBy("cell").agg(F.sum("value").alias("value"))
+    matrix = dense.agg(F.transform(
+        F.sort_array(F.collect_list(F.struct("cell", "value"))), lambda c: c["value"])).scalar()
+    key = low32("item") if narrow32 else F.col("item")
+    signed = F.array(*[
+        sign_hash(key, int(ga), int(gb), p)
+        * F.get("matrix", (F.lit(j * width) + bucket_hash(key, int(a), int(b), width, p)).cast("int"))
+        for j, (a, b, ga, gb) in enumerate(params)])
+    ranked = hist.select("item", "n", matrix.alias("matrix")).select(
+        "item", "n", F.sort_array(signed).alias("e"))
+    low, high = F.col("e")[(rows - 1) // 2], F.col("e")[rows // 2]
+    return ranked.select("item", "n", ((low.cast("double") + high) / 2).alias("estimate"))
 
 
 # ---------------------------------------------------------------------------
@@ -236,8 +251,10 @@ def stream_prefix(items: DataFrame, threshold: int) -> DataFrame:
         Window.unboundedPreceding, -1)
     local = per_batch.withColumn(
         "before_in_blk", F.coalesce(F.sum("n").over(in_block), F.lit(0)))
-    blocks = per_batch.groupBy("blk").agg(F.sum("n").alias("blk_n"))
-    earlier = Window.orderBy("blk").rowsBetween(Window.unboundedPreceding, -1)
+    # ordered by their first batch, so that both branches read the same
+    # (batch, n) rows and share one scan
+    blocks = per_batch.groupBy("blk").agg(F.sum("n").alias("blk_n"), F.min("batch").alias("first"))
+    earlier = Window.orderBy("first").rowsBetween(Window.unboundedPreceding, -1)
     offsets = blocks.select(
         "blk", F.coalesce(F.sum("blk_n").over(earlier), F.lit(0)).alias("blk_offset"))
     taken = (local.join(offsets, "blk")

@@ -182,6 +182,12 @@ def triangles_approx_color(spark, sf):
     return G.triangles_approx_color(_edges(spark, sf), a, b, P.NUM_COLORS, P.P)
 
 
+@query
+def triangles_approx_color_large_prime(spark, sf):
+    a, b = P.LARGE_RUN
+    return G.triangles_approx_color(_edges(spark, sf), a, b, P.NUM_COLORS, P.LARGE_P)
+
+
 @query
 def triangles_approx_color_runs(spark, sf):
     return G.triangles_approx_color_runs(_edges(spark, sf), P.COLOR_RUNS, P.NUM_COLORS, P.P)
@@ -233,6 +239,12 @@ def triangles_approx_partition(spark, sf):
                                         P.BUCKET_B, P.NUM_COLORS, P.P)
 
 
+@query
+def triangles_approx_partition_directed(spark, sf):
+    return G.triangles_approx_partition_directed(_edges(spark, sf), P.BUCKET_A_U, P.BUCKET_A_V,
+                                                 P.BUCKET_B, P.NUM_COLORS, P.P)
+
+
 @query
 def triangles_approx_spark_partition(spark, sf):
     return G.triangles_approx_spark_partition(_edges(spark, sf), P.NUM_COLORS)
@@ -359,6 +371,18 @@ def sketch_point_estimates(spark, sf):
                                     P.SKETCH_ROWS, P.SKETCH_WIDTH, P.P)
 
 
+@query
+def count_sketch_large_prime(spark, sf):
+    return S.count_sketch(_items(spark, sf), P.LARGE_ROWS, P.SKETCH_WIDTH, P.LARGE_P)
+
+
+@query
+def sketch_point_estimates_large_prime(spark, sf):
+    """Over all items, the sketch and the probes."""
+    return S.sketch_point_estimates(S.item_histogram(_items(spark, sf)), count_sketch_large_prime(spark, sf),
+                                    P.LARGE_ROWS, P.SKETCH_WIDTH, P.LARGE_P)
+
+
 @query
 def topk_items(spark, sf):
     return S.topk_items(_hist(spark, sf), P.TOP_K)

@@ -50,22 +50,29 @@ TRIANGLE_COUNT = """SELECT count(*) FROM canon e1
   JOIN canon e3 ON e3.u = e1.u AND e3.v = e2.v"""
 
 
-def color(x: str, a, b, c=C) -> str:
-    return f"((({a}) * {x} + ({b})) % {p}) % {c}"
+def color(x: str, a, b, c=C, prime=p) -> str:
+    return f"((({a}) * ({x} % {prime}) + ({b})) % {prime}) % {c}"
 
 
 A0, B0 = P.COLOR_RUNS[0]
 
-MONO = CANON + f""",
-mono AS (SELECT u, v, {color('u', A0, B0)} AS color FROM canon
-         WHERE {color('u', A0, B0)} = {color('v', A0, B0)})"""
 
-MONO_TRI = MONO + """,
+def mono_sql(a: int, b: int, prime: int = p) -> str:
+    cu, cv = color("u", a, b, prime=prime), color("v", a, b, prime=prime)
+    return CANON + f""",
+mono AS (SELECT u, v, {cu} AS color FROM canon WHERE {cu} = {cv})"""
+
+
+MONO = mono_sql(A0, B0)
+
+SAME_COLOR = """,
 tri AS (SELECT e1.color, count(*) AS t FROM mono e1
   JOIN mono e2 ON e2.color = e1.color AND e2.u = e1.v
   JOIN mono e3 ON e3.color = e1.color AND e3.u = e1.u AND e3.v = e2.v
   GROUP BY e1.color)"""
 
+MONO_TRI = MONO + SAME_COLOR
+
 
 def runs_sql(runs) -> str:
     values = ", ".join(f"({i}, {a}, {b})" for i, (a, b) in enumerate(runs))
@@ -105,10 +112,11 @@ per_triple AS (SELECT k.k0, k.k1, k.k2, coalesce(tri.t, 0) AS triangles
   FROM (SELECT DISTINCT k0, k1, k2 FROM rep) k
   LEFT JOIN tri ON tri.k0 = k.k0 AND tri.k1 = k.k1 AND tri.k2 = k.k2)"""
 
-BUCKET_TRI = CANON + f""",
-bk AS (SELECT u, v,
-              (({P.BUCKET_A_U} * u + {P.BUCKET_A_V} * v + {P.BUCKET_B}) % {p}) % {C}
-              AS bucket FROM canon),
+
+def bucket_tri(buckets: str) -> str:
+    """Triangles per bucket of a query ``u, v, bucket`` over canon edges."""
+    return CANON + f""",
+bk AS ({buckets}),
 tri AS (SELECT e1.bucket, count(*) AS t FROM bk e1
   JOIN bk e2 ON e2.bucket = e1.bucket AND e2.u = e1.v
   JOIN bk e3 ON e3.bucket = e1.bucket AND e3.u = e1.u AND e3.v = e2.v
@@ -116,6 +124,54 @@ tri AS (SELECT e1.bucket, count(*) AS t FROM bk e1
 per_bucket AS (SELECT b.bucket, coalesce(tri.t, 0) AS triangles
   FROM (SELECT DISTINCT bucket FROM bk) b LEFT JOIN tri ON tri.bucket = b.bucket)"""
 
+
+EDGE_BUCKET = f"(({P.BUCKET_A_U} * u + {P.BUCKET_A_V} * v + {P.BUCKET_B}) % {p}) % {C}"
+BUCKET_TRI = bucket_tri(f"SELECT u, v, {EDGE_BUCKET} AS bucket FROM canon")
+DIRECTED_TRI = bucket_tri(f"""SELECT DISTINCT least(u, v) AS u, greatest(u, v) AS v, {EDGE_BUCKET} AS bucket
+  FROM raw_edges WHERE u <> v""")
+
+MASK32 = 2**32 - 1
+
+
+def murmur3(query: str, columns: list[str], seed: int = 42) -> str:
+    """``query`` with a column ``h``: the signed 32-bit Murmur3 hash of bigint
+    columns, each hashed with the one before as its seed, as Spark's ``hash``
+    does.  One subquery per step keeps the expressions short."""
+    def times(x: str, c: int) -> str:
+        return f"CAST((CAST({x} AS HUGEINT) * {c}) % {2**32} AS BIGINT)"
+
+    def turned(x: str, r: int) -> str:
+        return f"((({x} << {r}) & {MASK32}) | ({x} >> {32 - r}))"
+
+    def step(name: str, value: str) -> None:
+        nonlocal query
+        keep = f"* REPLACE ({value} AS {name})" if name in made else f"*, {value} AS {name}"
+        made.add(name)
+        query = f"SELECT {keep} FROM ({query})"
+
+    # fixed values: multipliers, turns and shifts of the 32-bit Murmur3
+    made: set[str] = set()
+    step("h", f"CAST({seed} AS BIGINT)")
+    for c in columns:
+        for word in (f"({c} & {MASK32})", f"(({c} >> 32) & {MASK32})"):
+            step("k", times(word, 0xCC9E2D51))
+            step("k", turned("k", 15))
+            step("k", times("k", 0x1B873593))
+            step("h", "xor(h, k)")
+            step("h", turned("h", 13))
+            step("h", f"(h * 5 + {0xE6546B64}) & {MASK32}")
+        step("h", "xor(h, 8)")
+        for shift, factor in ((16, 0x85EBCA6B), (13, 0xC2B2AE35)):
+            step("h", f"xor(h, h >> {shift})")
+            step("h", times("h", factor))
+        step("h", "xor(h, h >> 16)")
+    step("h", f"CASE WHEN h >= {2**31} THEN h - {2**32} ELSE h END")
+    return query
+
+
+SPARK_TRI = bucket_tri(f"""SELECT u, v, ((h % {C}) + {C}) % {C} AS bucket
+  FROM ({murmur3('SELECT u, v FROM canon', ['u', 'v'])})""")
+
 ITEMS = f"""items AS (SELECT user_id AS item, event_id // {EVENTS_PER_BATCH} AS batch
           FROM events)"""
 
@@ -124,21 +180,26 @@ hist AS (SELECT item, count(*) AS n FROM items
          WHERE item > {P.LEFT} AND item < {P.RIGHT} GROUP BY item)"""
 
 W = P.SKETCH_WIDTH
-SK_VALUES = ", ".join(f"({j}, {a}, {b}, {ga}, {gb})"
-                      for j, (a, b, ga, gb) in enumerate(P.SKETCH_ROWS))
-SK = f"sk(row_idx, ha, hb, ga, gb) AS (VALUES {SK_VALUES})"
 
 
-def sk_cols(x: str) -> str:
-    return (f"s.row_idx, {color(x, 's.ha', 's.hb', W)} AS col_idx, "
-            f"CASE WHEN 2 * ((s.ga * {x} + s.gb) % {p}) >= {p - 1} "
+def sk_cte(rows=P.SKETCH_ROWS) -> str:
+    values = ", ".join(f"({j}, {a}, {b}, {ga}, {gb})" for j, (a, b, ga, gb) in enumerate(rows))
+    return f"sk(row_idx, ha, hb, ga, gb) AS (VALUES {values})"
+
+
+SK = sk_cte()
+
+
+def sk_cols(x: str, prime: int = p) -> str:
+    return (f"s.row_idx, {color(x, 's.ha', 's.hb', W, prime)} AS col_idx, "
+            f"CASE WHEN 2 * ((s.ga * ({x} % {prime}) + s.gb) % {prime}) >= {prime - 1} "
             f"THEN 1 ELSE -1 END AS sign")
 
 
-def sketch_cte(where: str) -> str:
-    return f"""{SK},
+def sketch_cte(where: str, rows=P.SKETCH_ROWS, prime: int = p) -> str:
+    return f"""{sk_cte(rows)},
 cs AS (SELECT row_idx, col_idx, CAST(sum(sign) AS BIGINT) AS value
-       FROM (SELECT {sk_cols('i.item')} FROM items i CROSS JOIN sk s {where}) x
+       FROM (SELECT {sk_cols('i.item', prime)} FROM items i CROSS JOIN sk s {where}) x
        GROUP BY row_idx, col_idx)"""
 
 
@@ -146,6 +207,10 @@ IN_INTERVAL = f"WHERE i.item > {P.LEFT} AND i.item < {P.RIGHT}"
 HIST_SKETCH = HIST + ",\n" + sketch_cte(IN_INTERVAL)
 HIST_SKETCH_ALL = HIST + ",\n" + sketch_cte("")
 
+ALL_LARGE = ITEMS + """,
+hist AS (SELECT item, count(*) AS n FROM items GROUP BY item),
+""" + sketch_cte("", P.LARGE_ROWS, P.LARGE_P)
+
 F2_APPROX = """SELECT quantile_cont(f2, 0.5) AS f2_median,
        quantile_cont(f2, 0.5)
        / nullif((SELECT CAST(count(*) AS DOUBLE) * count(*) FROM hist), 0)
@@ -158,8 +223,8 @@ TOP = f"""top AS (SELECT item, n, rnk AS rank FROM (
   WHERE rnk <= {P.TOP_K})"""
 
 
-def point_estimates(src: str) -> str:
-    return f"""probes AS (SELECT h.item, h.n, {sk_cols('h.item')}
+def point_estimates(src: str, prime: int = p) -> str:
+    return f"""probes AS (SELECT h.item, h.n, {sk_cols('h.item', prime)}
                 FROM {src} h CROSS JOIN sk s),
 est AS (SELECT q.item, q.n, quantile_cont(q.sign * coalesce(c.value, 0), 0.5)
                AS estimate
@@ -209,6 +274,8 @@ ORACLE_SQL: dict[str, str] = {
         LEFT JOIN tri ON tri.color = c.color""",
     "triangles_approx_color": f"""WITH {MONO_TRI}
         SELECT CAST({C2} * coalesce(sum(t), 0) AS BIGINT) AS estimate FROM tri""",
+    "triangles_approx_color_large_prime": f"""WITH {mono_sql(*P.LARGE_RUN, P.LARGE_P)}{SAME_COLOR}
+        SELECT CAST({C2} * coalesce(sum(t), 0) AS BIGINT) AS estimate FROM tri""",
     "triangles_approx_color_runs": f"""WITH {runs_sql(P.COLOR_RUNS)}
         SELECT run, estimate FROM runs""",
     "triangles_approx_color_mean": f"""WITH {runs_sql(P.COLOR_RUNS)}
@@ -235,6 +302,12 @@ ORACLE_SQL: dict[str, str] = {
     "triangles_approx_partition": f"""WITH {BUCKET_TRI}
         SELECT CAST({C2} * coalesce(sum(triangles), 0) AS BIGINT) AS estimate
         FROM per_bucket""",
+    "triangles_approx_partition_directed": f"""WITH {DIRECTED_TRI}
+        SELECT CAST({C2} * coalesce(sum(triangles), 0) AS BIGINT) AS estimate
+        FROM per_bucket""",
+    "triangles_approx_spark_partition": f"""WITH {SPARK_TRI}
+        SELECT CAST({C2} * coalesce(sum(triangles), 0) AS BIGINT) AS estimate
+        FROM per_bucket""",
     "edges_from_pair_lines": f"WITH {RAW} SELECT u, v FROM raw_edges",
     "edges_from_flat_lines": f"WITH {RAW} SELECT u, v FROM raw_edges",
     # ---- item stream ----------------------------------------------------
@@ -277,6 +350,9 @@ ORACLE_SQL: dict[str, str] = {
     "second_moment_approx_all": f"WITH {HIST_SKETCH_ALL} {F2_APPROX}",
     "sketch_point_estimates": f"""WITH {HIST_SKETCH}, {point_estimates('hist')}
         SELECT item, n, estimate FROM est""",
+    "count_sketch_large_prime": f"WITH {ALL_LARGE} SELECT row_idx, col_idx, value FROM cs",
+    "sketch_point_estimates_large_prime": f"""WITH {ALL_LARGE}, {point_estimates('hist', P.LARGE_P)}
+        SELECT item, n, estimate FROM est""",
     "topk_items": f"WITH {HIST}, {TOP} SELECT item, n, rank FROM top",
     "topk_avg_relative_error": f"""WITH {HIST_SKETCH}, {TOP}, {point_estimates('top')}
         SELECT count(*) AS k_items,

@@ -1,9 +1,10 @@
 """Parameters of the registered queries (literal in both the Spark plans
 and the oracle SQL)."""
 
-from tallyspark.functions.hashing import DEFAULT_PRIME
+from tallyspark.functions.hashing import DEFAULT_PRIME, LARGE_PRIME
 
 P = DEFAULT_PRIME
+LARGE_P = LARGE_PRIME
 
 # Text: number of salts of the two-round word counts, and the salt seed.
 NUM_SALTS = 8
@@ -21,5 +22,9 @@ BUCKET_A_U, BUCKET_A_V, BUCKET_B = 31, 57, 11
 LEFT, RIGHT = 10, 100
 SKETCH_ROWS = [(17, 23, 101, 7), (4001, 77, 3333, 1000), (8190, 0, 5, 8000)]
 SKETCH_WIDTH = 64
+# The same with the large prime.
+LARGE_RUN = (1_220_703_125, 97)
+LARGE_ROWS = [(48_271, 11, 1_583_458_089, 3), (69_621, 500, 784_588_716, 77),
+              (630_360_016, 0, 950_706_376, 1_000_000)]
 TOP_K = 10
 THRESHOLD = 4500

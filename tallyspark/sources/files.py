@@ -31,7 +31,7 @@ def read_pair_lines(spark: SparkSession, path: str) -> DataFrame:
     fields = spark.read.text(path).select("value", F.split("value", ",", -1).alias("f"))
     checked = fields.select(F.when(F.size("f") == 2, F.col("f")).otherwise(F.raise_error(F.concat(
         F.lit("malformed edge line: '"), F.col("value"), F.lit("'"))).cast("array<string>")).alias("f"))
-    return checked.select(_parse_id(F.col("f")[0]).alias("u"), _parse_id(F.col("f")[1]).alias("v"))
+    return checked.select(parse_id(F.col("f")[0]).alias("u"), parse_id(F.col("f")[1]).alias("v"))
 
 
 def flat_line_tokens(line: Column) -> Column:
@@ -53,16 +53,16 @@ def flat_line_edges(tokens: Column, line: Column) -> Column:
     ).otherwise(n - 2)
     return F.transform(
         F.sequence(F.lit(0), last, F.lit(2)),
-        lambda i: F.struct(_parse_id(tokens[i]).alias("u"),
-                           _parse_id(tokens[i + 1]).alias("v")))
+        lambda i: F.struct(parse_id(tokens[i]).alias("u"),
+                           parse_id(tokens[i + 1]).alias("v")))
 
 
-def _parse_id(token: Column) -> Column:
+def parse_id(token: Column) -> Column:
     """bigint of a token; raises on a malformed one whatever the ANSI mode
     (a non-ANSI cast would yield NULL).  Tokens are never NULL, so NULL
     here means unparsable."""
     return F.coalesce(F.trim(token).try_cast("bigint"), F.raise_error(F.concat(
-        F.lit("malformed vertex id: '"), token, F.lit("'"))).cast("bigint"))
+        F.lit("malformed number: '"), token, F.lit("'"))).cast("bigint"))
 
 
 def read_flat_lines(spark: SparkSession, path: str) -> DataFrame:

@@ -13,7 +13,7 @@ from oracle_check import compare, duck  # noqa: E402
 from conftest import SF_SMALL  # noqa: E402
 from tallyspark.plans.catalog import QUERIES  # noqa: E402
 
-NO_ORACLE = {"triangles_approx_spark_partition"}
+NO_ORACLE: set[str] = set()
 
 
 def test_entry_smoke(spark):

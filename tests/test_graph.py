@@ -254,3 +254,19 @@ def test_operators_accept_a_stored_orientation(spark, edges_df):
 def test_median_is_whole_number_arithmetic(spark, values, median):
     runs = spark.createDataFrame(list(enumerate(values)), "run int, estimate bigint")
     assert one(G.median_estimate(runs)) == median
+
+
+def test_directed_partition_needs_one_bucket_for_three_directions(edges_df):
+    # both directions of each edge of a triangle and a tail; a repeated edge
+    pairs = [(1, 2), (2, 1), (2, 3), (3, 1), (1, 3), (3, 4), (1, 2), (4, 4)]
+    edges = edges_df(pairs)
+    assert G.triangles_approx_partition_directed(edges, 31, 57, 11, 1).collect()[0][0] == 1
+    for buckets in (2, 3):
+        held = {}
+        for u, v in pairs:
+            held.setdefault(((31 * u + 57 * v + 11) % 8191) % buckets, set()).add(frozenset((u, v)))
+        want = sum(all(frozenset(e) in s for e in ((1, 2), (2, 3), (1, 3))) for s in held.values())
+        got = G.triangles_approx_partition_directed(edges, 31, 57, 11, buckets).collect()[0][0]
+        assert got == want * buckets * buckets
+    with pytest.raises(ValueError):
+        G.triangles_approx_partition_directed(G.oriented_edges(edges), 31, 57, 11, 2)

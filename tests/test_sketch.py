@@ -198,12 +198,30 @@ def test_low32_extremes(spark):
     assert df.select(F.max(low32("x"))).collect()[0][0] == 2**31 - 1
 
 
-def test_point_estimates_without_broadcast(items_df, values, monkeypatch):
-    # above the cell bound the sketch is joined by shuffle: same result
-    items = items_df(values)
-    hist = S.interval_histogram(items, 0, 50)
-    sk = S.count_sketch(S.in_interval(items, 0, 50), ROWS, W)
-    small = {r.item: r.estimate for r in S.sketch_point_estimates(hist, sk, ROWS, W).collect()}
-    monkeypatch.setattr(S, "MAX_BROADCAST_CELLS", 1)
+def test_point_estimates_do_not_shuffle_the_histogram(items_df, values):
+    hist = items_df(values).groupBy("item").count().withColumnRenamed("count", "n")
+    sk = S.count_sketch(items_df(values), ROWS, W)
+    shuffles = lambda df: df._jdf.queryExecution().sparkPlan().toString().count("HashAggregate(keys=[item")
     df = S.sketch_point_estimates(hist, sk, ROWS, W)
-    assert {r.item: r.estimate for r in df.collect()} == small
+    main = df._jdf.queryExecution().executedPlan().toString().split("Subqueries")[0]
+    assert "Join" not in main and shuffles(df) == shuffles(hist)
+
+
+@pytest.mark.parametrize("n_rows", [1, 2, 3])
+def test_point_estimates_median_of_rows(items_df, values, n_rows):
+    items, rows = items_df(values), ROWS[:n_rows]
+    m = python_sketch(values)
+    got = {r.item: r.estimate for r in S.sketch_point_estimates(
+        S.item_histogram(items), S.count_sketch(items, rows, W), rows, W).collect()}
+    assert got == {x: statistics.median([g(x, ga, gb) * m.get((j, h(x, a, b, W)), 0)
+                                         for j, (a, b, ga, gb) in enumerate(rows)]) for x in set(values)}
+
+
+def test_items_a_small_prime_merges_are_told_apart(items_df):
+    items = items_df([5] * 30 + [5 + 8191] * 7)
+    def estimates(rows, p):
+        sk = S.count_sketch(items, rows, 4096, p)
+        return {r.item: r.estimate for r in S.sketch_point_estimates(
+            S.item_histogram(items), sk, rows, 4096, p).collect()}
+    assert set(estimates(ROWS, 8191).values()) == {37.0}
+    assert estimates([(48_271, 11, 1_583_458_089, 3)], 2147483647) == {5: 30.0, 5 + 8191: 7.0}
