@@ -251,13 +251,13 @@ def stream_prefix(items: DataFrame, threshold: int) -> DataFrame:
         Window.unboundedPreceding, -1)
     local = per_batch.withColumn(
         "before_in_blk", F.coalesce(F.sum("n").over(in_block), F.lit(0)))
-    # ordered by their first batch, so that both branches read the same
-    # (batch, n) rows and share one scan
+    # ordered by their first batch and joined null-safe (no filter on one side
+    # alone), so that both branches read the same rows and share one scan
     blocks = per_batch.groupBy("blk").agg(F.sum("n").alias("blk_n"), F.min("batch").alias("first"))
     earlier = Window.orderBy("first").rowsBetween(Window.unboundedPreceding, -1)
     offsets = blocks.select(
-        "blk", F.coalesce(F.sum("blk_n").over(earlier), F.lit(0)).alias("blk_offset"))
-    taken = (local.join(offsets, "blk")
+        F.col("blk").alias("b"), F.coalesce(F.sum("blk_n").over(earlier), F.lit(0)).alias("blk_offset"))
+    taken = (local.join(offsets, F.col("blk").eqNullSafe(F.col("b")))
              .where(F.col("blk_offset") + F.col("before_in_blk") < F.lit(threshold)))
     return taken.agg(F.count(F.lit(1)).alias("n_batches"),
                      F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("n_items"))

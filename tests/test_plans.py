@@ -129,3 +129,10 @@ def test_word_count_by_partition_shuffles_once(spark):
 def test_plain_sums_scan_the_edges_three_times(spark, name):
     plan = E.queries()[name](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("ReadSchema: struct<src:bigint,dst:bigint>") == 3
+
+
+def test_stream_prefix_scans_the_events_once(spark):
+    df = E.queries()["stream_prefix"](spark, SF_SMALL)
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert plan.count("FileScan parquet") == 1 and "ReusedExchange" in plan
