@@ -149,6 +149,34 @@ def count_sketch_from_counts(counts: DataFrame, params: SketchParams, width: int
         F.sum(F.col("sign") * F.col("n")).cast("bigint").alias("value"))
 
 
+#: ``row_idx`` of the histogram's rows in :func:`histogram_and_sketch`
+HISTOGRAM = -1
+
+
+def histogram_and_sketch(items: DataFrame, params: SketchParams, width: int,
+                         p: int = DEFAULT_PRIME) -> DataFrame:
+    """``(row_idx, cell, value)``: the item histogram (row :data:`HISTOGRAM`,
+    cell = item) and the count-sketch (cell = column) in one aggregation, so
+    that a source that cannot be replayed is read once."""
+    count = F.struct(F.lit(HISTOGRAM).alias("row_idx"), F.col("item").cast("bigint").alias("cell"),
+                     F.lit(1).cast("bigint").alias("value"))
+    cells = F.transform(_rows(params), lambda r: F.struct(
+        r["row_idx"].alias("row_idx"),
+        bucket_hash(F.col("item"), r["ha"], r["hb"], width, p).cast("bigint").alias("cell"),
+        sign_hash(F.col("item"), r["ga"], r["gb"], p).cast("bigint").alias("value")))
+    x = items.select(F.explode(F.concat(F.array(count), cells)).alias("c")).select("c.*")
+    return x.groupBy("row_idx", "cell").agg(F.sum("value").alias("value"))
+
+
+def split_histogram_and_sketch(cells: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``(item, n)`` and ``(row_idx, col_idx, value)`` of the joint result."""
+    hist = cells.where(F.col("row_idx") == HISTOGRAM).select(
+        F.col("cell").alias("item"), F.col("value").alias("n"))
+    sketch = cells.where(F.col("row_idx") != HISTOGRAM).select(
+        "row_idx", F.col("cell").alias("col_idx"), "value")
+    return hist, sketch
+
+
 def second_moment_rows(sketch: DataFrame) -> DataFrame:
     """``(row_idx, f2)``: per-row estimate ``sum_col value^2``."""
     return sketch.groupBy("row_idx").agg(_sum_of_squares("value").alias("f2"))

@@ -317,11 +317,9 @@ def stream_second_moment_true(spark, sf):
 
 @query
 def stream_second_moment_approx(spark, sf):
-    """S10 over the streamed sketch and histogram."""
-    items = _stream_items(spark, sf)
-    hist = ST.stream_interval_histogram(items, P.LEFT, P.RIGHT)
-    sketch = ST.stream_count_sketch(S.in_interval(items, P.LEFT, P.RIGHT),
-                                    P.SKETCH_ROWS, P.SKETCH_WIDTH, P.P)
+    """S10 over the histogram and sketch of one streaming query."""
+    hist, sketch = ST.stream_histogram_and_sketch(
+        _stream_items(spark, sf), P.LEFT, P.RIGHT, P.SKETCH_ROWS, P.SKETCH_WIDTH, P.P)
     return S.second_moment_approx(sketch, hist)
 
 

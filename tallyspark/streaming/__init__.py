@@ -10,6 +10,7 @@ from tallyspark.streaming.runner import (
 from tallyspark.streaming.stats import (
     stream_count_sketch,
     stream_distinct_items,
+    stream_histogram_and_sketch,
     stream_interval_histogram,
     stream_length,
 )
@@ -17,5 +18,6 @@ from tallyspark.streaming.stats import (
 __all__ = [
     "drain", "events_stream", "read_complete", "read_update", "run_complete",
     "run_until_threshold", "run_update", "stream_count_sketch",
-    "stream_distinct_items", "stream_interval_histogram", "stream_length",
+    "stream_distinct_items", "stream_histogram_and_sketch",
+    "stream_interval_histogram", "stream_length",
 ]

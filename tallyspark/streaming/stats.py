@@ -41,3 +41,13 @@ def stream_count_sketch(items: DataFrame, params: S.SketchParams, width: int,
     """``(row, col, value)`` of the count-sketch over all streamed items;
     complete mode (at most D*W state rows)."""
     return run_complete(S.count_sketch(items, params, width, p), "stream-sketch")
+
+
+def stream_histogram_and_sketch(items: DataFrame, left: int, right: int, params: S.SketchParams,
+                                width: int, p: int = DEFAULT_PRIME) -> tuple[DataFrame, DataFrame]:
+    """``(item, n)`` and ``(row, col, value)`` over the items in ``(left,
+    right)`` from one query, so that the stream is read once; update mode."""
+    inside = S.in_interval(items, left, right)
+    cells = run_update(S.histogram_and_sketch(inside, params, width, p), "stream-cells",
+                       keys=["row_idx", "cell"])
+    return S.split_histogram_and_sketch(cells)

@@ -49,6 +49,13 @@ def test_multi_batch_parity(spark, split_events):
         rows(S.count_sketch(S.in_interval(b, 10, 100), ROWS, 64))
 
 
+def test_histogram_and_sketch_from_one_query(spark, split_events):
+    hist, sketch = ST.stream_histogram_and_sketch(stream_items(spark, split_events), 10, 100, ROWS, 64)
+    b = batch_items(spark)
+    assert rows(hist) == rows(S.interval_histogram(b, 10, 100))
+    assert rows(sketch) == rows(S.count_sketch(S.in_interval(b, 10, 100), ROWS, 64))
+
+
 def test_update_mode_writes_only_changed_keys(spark, split_events):
     s = stream_items(spark, split_events)
     out = R.drain(S.interval_histogram(s, 10, 100), "hist-test", "update")
