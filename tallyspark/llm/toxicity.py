@@ -108,8 +108,8 @@ def fit(docs: DataFrame, labels: DataFrame, training: Training = TRAINING, label
     """A model of ``label`` from the rows of ``labels`` that are not held out.
 
     Rows without an id, a 0/1 label or a document are left out; of labels that
-    contradict each other the larger counts; of documents with one id each
-    counts.  Without rows of both labels every text scores the share of ones.
+    contradict each other the larger counts; of rows with one id the
+    least text counts.  Without rows of both labels every text scores the share of ones.
     """
     spark = docs.sparkSession
     marked = labels.where(F.col(label).isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id"))).groupBy(
@@ -117,7 +117,9 @@ def fit(docs: DataFrame, labels: DataFrame, training: Training = TRAINING, label
     marked = marked.orderBy(F.xxhash64("id"), "id").limit(training.max_training_rows)
     # at most max_training_rows rows of two numbers
     chosen = F.broadcast(marked)
-    sample = store(_texts(docs).join(chosen, F.col("doc_id") == F.col("id")).select("y", "text"), "toxicity-sample")
+    # one row an id, so that repeated rows don't pass the bound
+    sample = store(_texts(docs).join(chosen, F.col("doc_id") == F.col("id")).groupBy("id").agg(
+        F.max("y").alias("y"), F.min("text").alias("text")).select("y", "text"), "toxicity-sample")
 
     def features(batches: Iterator[pa.RecordBatch], keep: np.ndarray | None = None) -> Iterator[tuple[int, np.ndarray]]:
         for batch in batches:

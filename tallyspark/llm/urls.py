@@ -1,7 +1,7 @@
 """URL rules through a Bloom filter cascade.
 
-A rule is (host, path, verdict).  Every pair of a host suffix and a path
-beginning of a listed length is a key a rule could have; the distinct keys of
+A rule is (host, path, verdict).  Every pair of a host suffix of no more labels
+than a listed host and a path beginning of a listed length is a key a rule could have; the distinct keys of
 the corpus are the complete universe.  For each list a cascade is built: level
 1 encodes the listed keys, level 2 the other universe keys that level 1 lets
 through, level 3 the listed keys that level 2 lets through, and so on until a
@@ -126,11 +126,12 @@ def split_url(url: str | None) -> tuple[str, str]:
 _LOWER = {c: c + 32 for c in range(ord("A"), ord("Z") + 1)}
 
 
-def candidate_keys(host: str, path: str, lengths: tuple[int, ...]) -> list[tuple[str, str]]:
-    """(host suffix, path beginning) pairs, the longest first."""
-    if not host:
+def candidate_keys(host: str, path: str, lengths: tuple[int, ...], depth: int) -> list[tuple[str, str]]:
+    """(host suffix of up to ``depth`` labels, path beginning) pairs, the
+    longest first; a suffix of more labels than any listed host is no listed key."""
+    if not host or not depth:
         return []
-    labels = host.split(".")
+    labels = host.rsplit(".", depth)[-depth:]
     hosts = [".".join(labels[i:]) for i in range(len(labels))]
     pairs = [(h, path[:n]) for h in hosts for n in lengths if n <= len(path)]
     return sorted(pairs, key=lambda k: (-len(k[0]) - len(k[1]), -len(k[0])))
@@ -153,14 +154,16 @@ def judge_urls(pages: DataFrame, rules: Iterable[Rule], blocked_hosts: Iterable[
     if {r.key for r in verdicts["allow"]} & {r.key for r in verdicts["block"]}:
         raise ValueError("two rules with one host and path disagree")
     lengths = tuple(sorted({len(r.path) for r in rules}))
+    blocked_hosts = list(blocked_hosts)
+    depth = max((h.count(".") + 1 for h in [*(r.host for r in rules), *blocked_hosts]), default=0)
     asked = pages.select(F.col("page_id").cast("bigint"), F.col("url").cast("string"))
 
     def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = set()
             for host, path in {split_url(u) for u in batch.column(1).to_pylist()}:
-                found.update(f"r{h}{p}" for h, p in candidate_keys(host, path, lengths))
-                found.update(f"h{h}" for h, _ in candidate_keys(host, "", (0,)))
+                found.update(f"r{h}{p}" for h, p in candidate_keys(host, path, lengths, depth))
+                found.update(f"h{h}" for h, _ in candidate_keys(host, "", (0,), depth))
             yield pa.RecordBatch.from_arrays([pa.array(sorted(found), pa.string())], ["key"])
 
     universe = store(asked.mapInArrow(keys, "key string").distinct(), "url-keys")
@@ -177,7 +180,7 @@ def judge_urls(pages: DataFrame, rules: Iterable[Rule], blocked_hosts: Iterable[
 
             def verdict(host: str, beginning: str) -> tuple[str | None, str]:
                 if (host, beginning) not in known:
-                    for h, p in candidate_keys(host, beginning, lengths):
+                    for h, p in candidate_keys(host, beginning, lengths, depth):
                         if f"r{h}{p}" in allow:
                             known[host, beginning] = (h + p, "allow")
                             break
@@ -185,7 +188,7 @@ def judge_urls(pages: DataFrame, rules: Iterable[Rule], blocked_hosts: Iterable[
                             known[host, beginning] = (h + p, "block")
                             break
                     else:
-                        spam = any(f"h{h}" in hosts for h, _ in candidate_keys(host, "", (0,)))
+                        spam = any(f"h{h}" in hosts for h, _ in candidate_keys(host, "", (0,), depth))
                         known[host, beginning] = (None, "block" if spam else "allow")
                 return known[host, beginning]
 

@@ -100,7 +100,8 @@ def test_url_verdicts(spark):
     from tallyspark.llm.queries import BLOCKED_HOSTS, URL_RULES
     rng = random.Random(5)
     hosts = ["example.com", "WWW.example.com", "a.www.example.com", "x.net", "net", "spam-farm.example.org",
-             "b.spam-farm.example.org", "example.org", "notexample.com", "example.com:80", ""]
+             "b.spam-farm.example.org", "example.org", "notexample.com", "example.com:80", "",
+             "l." * 20_000 + "example.com", "." * 20_000 + "spam-farm.example.org"]
     paths = ["", "/", "/en/", "/en", "/es/1", "/fr/x?y=/en/", "#a", "?q"]
     given = [f"{s}://{h}{p}" for s in ("http", "x") for h in hosts for p in paths]
     given += [None, "", "no scheme", "http:/x.com/", "a://b://c/d"]
@@ -417,3 +418,7 @@ def test_toxicity_learns_and_holds_out(spark):
     # labels of held-out rows change nothing
     flipped = marks.withColumn("toxic", F.when(toxicity.held_out(F.col("doc_id")), 1 - F.col("toxic")).otherwise(F.col("toxic")))
     assert np.array_equal(toxicity.fit(docs, flipped).weights, model.weights)
+
+    # rows that repeat an id are one training row: the model is the same
+    again = docs.unionByName(docs.where("doc_id % 5 = 0")).unionByName(docs.where("doc_id = 7"))
+    assert np.array_equal(toxicity.fit(again, marks).weights, model.weights)
