@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from tallyspark.llm import lines, neardup, packing, quality, toxicity
 from tallyspark.llm.common import store, table
-from tallyspark.llm.queries import RANKS
+from tallyspark.llm.queries import TOKENIZER
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
@@ -52,7 +52,7 @@ def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token pieces with their sequence and place."""
-    return packing.pack(docs, public_tokenizers.path(RANKS))
+    return packing.pack(docs, public_tokenizers.path(TOKENIZER))
 
 
 STAGES = [("toxicity", civil), ("quality rules", good), ("line dedup", fresh_lines),

@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import base64
 import bisect
+import json
 import zlib
 from collections.abc import Iterator
 
@@ -37,11 +38,38 @@ SALTS = 1024
 _ENCODINGS: dict[str, tiktoken.Encoding] = {}
 
 
+def _of_json(path: str) -> tuple[dict[bytes, int], dict[str, int]]:
+    """(ranks, added tokens) of a byte-level BPE file of the tokenizers
+    library; raises where its ids would differ from those of the ranks."""
+    with open(path, encoding="utf-8") as f:
+        given = json.load(f)
+    model, split = given["model"], given["pre_tokenizer"]
+    vocab, added = model["vocab"], given["added_tokens"]
+    merged = ["".join(m.split(" ") if isinstance(m, str) else m) for m in model["merges"]]
+    if (model["type"] != "BPE" or given["normalizer"] or split["type"] != "ByteLevel" or split["add_prefix_space"]
+            or not split["use_regex"] or model["dropout"] or model.get("ignore_merges")
+            or any(a < b for a, b in zip(map(vocab.get, merged[1:]), map(vocab.get, merged)))):
+        raise ValueError(f"{path} is not byte-level BPE with ids in the order of the merges")
+    if any(t["single_word"] or t["lstrip"] or t["rstrip"] for t in added) or any(
+            a["content"] != b["content"] and b["content"].startswith(a["content"]) for a in added for b in added):
+        raise ValueError(f"{path} has added tokens that are not plain strings")
+    # the library writes the bytes that are not printable as characters from 256 on
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    byte_of = {chr(b): b for b in plain}
+    byte_of |= {chr(256 + k): b for k, b in enumerate(b for b in range(256) if b not in plain)}
+    special = {t["content"]: t["id"] for t in added}
+    return {bytes(byte_of[c] for c in t): i for t, i in vocab.items() if t not in special}, special
+
+
 def _encoding(path: str, pattern: str) -> tiktoken.Encoding:
     if path not in _ENCODINGS:
-        with open(path, "rb") as f:
-            ranks = {base64.b64decode(a): int(b) for a, b in (line.split() for line in f if line.strip())}
-        _ENCODINGS[path] = tiktoken.Encoding("packing", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+        if path.endswith(".json"):
+            ranks, special = _of_json(path)
+        else:
+            with open(path, "rb") as f:
+                ranks = {base64.b64decode(a): int(b) for a, b in (line.split() for line in f if line.strip())}
+            special = {}
+        _ENCODINGS[path] = tiktoken.Encoding("packing", pat_str=pattern, mergeable_ranks=ranks, special_tokens=special)
     return _ENCODINGS[path]
 
 
@@ -51,13 +79,13 @@ def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY,
     closing id, cut from the end into pieces of ``capacity`` ids, so that only
     the first may be shorter."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = _encoding(path, pattern).encode_ordinary
+        encoding = _encoding(path, pattern)
         for batch in batches:
             for at in range(0, batch.num_rows, 1000):
                 part = batch.slice(at, 1000)
                 rows = []
                 for doc, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
-                    ids = encode(text) if text else []
+                    ids = encoding.encode(text, allowed_special="all") if text else []
                     ids.append(END_ID)
                     raw = np.array(ids, "<u4")
                     bounds = list(range(len(ids), 0, -capacity))[::-1]
@@ -186,6 +214,8 @@ def pack(docs: DataFrame, path: str, capacity: int = CAPACITY) -> DataFrame:
 
     A null or empty text is the closing id alone; repeated rows are packed
     each; a null ``doc_id`` stays null; other columns are not read; no rows
-    give no rows.  ``path`` is a rank file with the same path on every machine.
+    give no rows.  ``path`` is, with the same path on every machine, a JSON file
+    of the tokenizers library, whose added tokens are found in the text as that
+    library finds them, or a rank file, which has none.
     """
     return place_pieces(store(pieces(docs, path, capacity), "pieces"), capacity)

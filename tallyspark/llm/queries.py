@@ -10,6 +10,7 @@ from . import bpe, chat, extract, lines, neardup, packing, quality, search, toxi
 from .common import table
 
 RANKS = "byte_bpe_50k.tiktoken"  # the vocabulary of byte_bpe_50k.json as ranks
+TOKENIZER = "byte_bpe_50k.json"  # the same with its added tokens
 
 #: The rules of the contract.
 URL_RULES = (
@@ -64,7 +65,7 @@ def op6_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path(RANKS))
+    return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
 
 
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

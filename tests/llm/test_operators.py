@@ -312,6 +312,23 @@ def test_packing_rows(spark, docs):
     assert packing.pack(docs.limit(0), RANKS).count() == 0
 
 
+def test_registered_packing_has_the_ids_of_the_tokenizer_file(spark, docs, monkeypatch):
+    from tallyspark.llm import queries
+    hf = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    assert hf.encode("a <|endoftext|> b", add_special_tokens=False).ids == [64, 220, 50256, 275]
+    more = ["a <|endoftext|> b", " <|endoftext|>\n\n<|endoftext|><|endoftext|>x", "<|endoftext|>", "<|endoftext|", "a  <|endoftext|>  's"]
+    given = docs.select("doc_id", "text").union(spark.createDataFrame(list(enumerate(more, 500)), "doc_id bigint, text string"))
+    monkeypatch.setattr(queries, "table", lambda *_: given)
+    want = collections.Counter()
+    for i, t in rows_of(given):
+        ids = hf.encode(t or "", add_special_tokens=False).ids + [0]
+        cuts = [0, *range(len(ids) % 2048 or 2048, len(ids) + 1, 2048)]
+        for k, (a, b) in enumerate(zip(cuts, cuts[1:])):
+            want[i, k, a, b - a, zlib.crc32(np.array(ids[a:b], "<u4").tobytes())] += 1
+    got = queries.op7_best_fit_packing(spark, "").collect()
+    assert collections.Counter((r.doc_id, r.piece, r.start, r.length, r.ids_crc32) for r in got) == want
+
+
 # -- lines --------------------------------------------------------------------
 
 def test_perfect_hash():
