@@ -1,15 +1,17 @@
 """Character n-gram classifier with naive Bayes scaled features.
 
 Features are the byte n-grams (n from a parameter) of the lower-cased text
-with each run of white space as one space, hashed into a fixed number of
-buckets; a text has a feature or not.  Each feature is scaled by its log-count
+with each run of white space as one space, known by their 64-bit hashes; a
+text has a feature or not.  Each feature is scaled by its log-count
 ratio ``log((p + a) / |p|) - log((q + a) / |q|)`` of the toxic and the other
 labelled texts, and a logistic regression is fitted on the scaled features.
 
 Training reads a bounded sample of the labelled rows (``max_training_rows``,
-those with the smallest hash of their id).  The model is one weight per
-bucket, so scoring is the same work for any corpus and passes the whole text
-of every row.
+those with the smallest hash of their id).  The model is at most
+``max_features`` hashes with a weight each, so scoring is the same work for any
+corpus.  A text is scored in windows that cover all of it, each half over the
+next, and the highest decides, discounted by the number of windows: far more
+text around a passage does not hide it, and much clean text is not marked.
 """
 
 from __future__ import annotations
@@ -28,15 +30,23 @@ from .common import mixed, row_chunks, store, utf8
 @dataclass(frozen=True)
 class Training:
     orders: tuple[int, ...] = (4, 5, 6, 7, 8)
+    #: leading bits of a hash, its bucket: training counts buckets first, look-ups try them first
     bits: int = 20
     smoothing: float = 1.0
     #: features in at least so many training texts, the best of them
     min_texts: int = 3
     max_features: int = 4096
+    #: buckets whose hashes are counted each, for one feature
+    buckets_each: int = 16
     max_training_rows: int = 20_000
     ridge: float = 0.5
     steps: int = 400
     threshold: float = 0.3
+    #: bytes of folded text a window; a text up to this is one window
+    window: int = 4096
+    #: the odds of the highest of n windows are divided by n to this power, as
+    #: chance alone raises the highest of many
+    discount: float = 0.5
 
 
 TRAINING = Training()
@@ -44,6 +54,8 @@ _FOLD = np.arange(256, dtype=np.uint8)
 _FOLD[ord("A"): ord("Z") + 1] += 32
 _FOLD[[9, 10, 11, 12, 13]] = 32
 _CODES = mixed(np.arange(1001, 1257, dtype=np.uint64))
+#: hashes that a training task holds before it passes on their counts
+_PENDING = 1 << 21
 
 
 def held_out(doc_id: Column) -> Column:
@@ -68,21 +80,43 @@ def _folded(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return padded[keep], kept[starts]
 
 
-def feature_ids(data: np.ndarray, offsets: np.ndarray, training: Training) -> Iterator[np.ndarray]:
-    """The bucket of every n-gram of each row (with repeats)."""
+def feature_hashes(data: np.ndarray, offsets: np.ndarray, training: Training) -> Iterator[list[np.ndarray]]:
+    """For each row the hashes of its n-grams (with repeats), an array an
+    order, in the order of their first bytes."""
     text, at = _folded(data, offsets)
     codes = _CODES[text]
-    shift = np.uint64(64 - training.bits)
     grams, rolled = [], np.zeros(len(codes), np.uint64)
     for n in range(1, max(training.orders) + 1):
         rolled = rolled[: len(codes) - n + 1] * np.uint64(0x9E3779B97F4A7C15) + codes[n - 1:]
         if n in training.orders:
-            grams.append((n, ((rolled ^ (rolled >> np.uint64(31))) * np.uint64(0xD6E8FEB86659FD93)) >> shift))
+            grams.append((n, (rolled ^ (rolled >> np.uint64(31))) * np.uint64(0xD6E8FEB86659FD93)))
         if len(rolled) <= 1:
             break
     for i in range(len(at) - 1):
         a, b = int(at[i]), int(at[i + 1]) + 1  # with the next row's leading space as the trailing one
-        yield np.concatenate([g[a: max(a, b - n + 1)] for n, g in grams]) if grams else np.empty(0, np.uint64)
+        yield [g[a: max(a, b - n + 1)] for n, g in grams]
+
+
+def _distinct(found: list[np.ndarray]) -> np.ndarray:
+    return np.unique(np.concatenate(found)) if found else np.empty(0, np.uint64)
+
+
+class Chosen:
+    """Looks hashes up among the sorted ``hashes`` of a model."""
+
+    def __init__(self, hashes: np.ndarray, bits: int) -> None:
+        self.hashes, self.shift = hashes, np.uint64(64 - bits)
+        self.maybe = np.zeros(1 << bits, bool)
+        self.maybe[hashes >> self.shift] = True
+
+    def find(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(places of the chosen ones in ``ids``, their numbers)"""
+        if not len(self.hashes):
+            return np.empty(0, np.int64), np.empty(0, np.int64)
+        at = np.flatnonzero(self.maybe[ids >> self.shift])
+        number = np.minimum(np.searchsorted(self.hashes, ids[at]), len(self.hashes) - 1)
+        same = self.hashes[number] == ids[at]
+        return at[same], number[same]
 
 
 def _texts(docs: DataFrame) -> DataFrame:
@@ -91,16 +125,25 @@ def _texts(docs: DataFrame) -> DataFrame:
 
 @dataclass(frozen=True)
 class Model:
-    weights: np.ndarray  # per bucket, float32; zero: no feature
+    features: np.ndarray  # hashes, uint64, rising
+    weights: np.ndarray  # of each feature, float32
     bias: float
     training: Training
 
     def scores(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         out = np.empty(len(offsets) - 1)
-        used = self.weights != 0
-        for i, ids in enumerate(feature_ids(data, offsets, self.training)):
-            own = ids[used[ids]]
-            out[i] = self.weights[np.unique(own)].astype(np.float64).sum() if len(own) else 0.0
+        chosen = Chosen(self.features, self.training.bits)
+        half, m = self.training.window // 2, len(self.features)
+        for i, found in enumerate(feature_hashes(data, offsets, self.training)):
+            hits = [chosen.find(ids) for ids in found]
+            # window k is the halves k and k + 1
+            windows = max(1, -(-len(found[0]) // half) - 1) if found else 1
+            part = np.concatenate([at // half for at, _ in hits] or [np.empty(0, np.int64)])
+            number = np.concatenate([n for _, n in hits] or [np.empty(0, np.int64)])
+            key = np.concatenate([np.minimum(part, windows - 1) * m + number, np.maximum(part - 1, 0) * m + number])
+            key = np.unique(key)
+            out[i] = np.bincount(key // max(m, 1), self.weights[key % max(m, 1)].astype(np.float64), windows).max()
+            out[i] -= self.training.discount * np.log(windows)
         return 1 / (1 + np.exp(-np.clip(out + self.bias, -35, 35)))
 
 
@@ -121,44 +164,75 @@ def fit(docs: DataFrame, labels: DataFrame, training: Training = TRAINING, label
     sample = store(_texts(docs).join(chosen, F.col("doc_id") == F.col("id")).groupBy("id").agg(
         F.max("y").alias("y"), F.min("text").alias("text")).select("y", "text"), "toxicity-sample")
 
-    def features(batches: Iterator[pa.RecordBatch], keep: np.ndarray | None = None) -> Iterator[tuple[int, np.ndarray]]:
+    def features(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, np.ndarray]]:
         for batch in batches:
             data, offsets = utf8(batch.column(1))
             y = batch.column(0).to_numpy()
             for a, b in row_chunks(offsets):
-                for i, ids in enumerate(feature_ids(data, offsets[a: b + 1], training)):
-                    if keep is not None:
-                        ids = ids[keep[ids]]
-                    yield int(y[a + i]), np.unique(ids)
+                for i, found in enumerate(feature_hashes(data, offsets[a: b + 1], training)):
+                    yield int(y[a + i]), _distinct(found)
+
+    shift = np.uint64(64 - training.bits)
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         both = np.zeros((2, 1 << training.bits), np.int64)
         for y, ids in features(batches):
-            both[y, ids] += 1
+            both[y, np.unique(ids >> shift)] += 1
         seen = np.flatnonzero(both.any(axis=0))
         yield pa.RecordBatch.from_arrays(
             [pa.array(seen, pa.int64()), pa.array(both[1, seen]), pa.array(both[0, seen])], ["feature", "p", "q"])
 
+    def counted_whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        net = within.value
+        pending: tuple[list[np.ndarray], list[np.ndarray]] = ([], [])
+
+        def counts() -> Iterator[pa.RecordBatch]:
+            for y, found in enumerate(pending):
+                if found:
+                    seen, n = np.unique(np.concatenate(found), return_counts=True)
+                    found.clear()
+                    both = [np.zeros_like(n), n]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(seen.view(np.int64)), pa.array(both[y]), pa.array(both[1 - y])], ["feature", "p", "q"])
+
+        held = 0
+        for y, ids in features(batches):
+            pending[y].append(ids[net[ids >> shift]])
+            held += len(pending[y][-1])
+            if held >= _PENDING:
+                yield from counts()
+                held = 0
+        yield from counts()
+
     totals = {r.y: r.n for r in sample.groupBy("y").agg(F.count("*").alias("n")).collect()}
     n_p, n_q = totals.get(1, 0), totals.get(0, 0)
-    none = np.zeros(1 << training.bits, np.float32)
     if not n_p or not n_q:
         share = n_p / (n_p + n_q) if n_p + n_q else 0.0
-        return Model(none, float(np.log((share + 1e-6) / (1 - share + 1e-6))), training)
+        return Model(np.empty(0, np.uint64), np.empty(0, np.float32),
+                     float(np.log((share + 1e-6) / (1 - share + 1e-6))), training)
     a = training.smoothing
-    counts = sample.mapInArrow(counted, "feature bigint, p bigint, q bigint").groupBy("feature").agg(
-        F.sum("p").alias("p"), F.sum("q").alias("q")).where(F.col("p") + F.col("q") >= training.min_texts)
-    ratio = (F.log((F.col("p") + a) / F.lit(n_p + 2 * a)) - F.log((F.col("q") + a) / F.lit(n_q + 2 * a)))
-    surety = F.abs(ratio) / F.sqrt(1 / (F.col("p") + a) + 1 / (F.col("q") + a))
-    best = counts.select("feature", ratio.alias("ratio"), surety.alias("z")).orderBy(F.desc("z"), "feature").limit(
-        training.max_features).collect()
-    scale = none.astype(np.float64)
-    for r in best:
-        scale[r.feature] = r.ratio
-    keep = spark.sparkContext.broadcast(scale != 0)
+
+    def best_of(counting, n: int) -> list:
+        counts = sample.mapInArrow(counting, "feature bigint, p bigint, q bigint").groupBy("feature").agg(
+            F.sum("p").alias("p"), F.sum("q").alias("q")).where(F.col("p") + F.col("q") >= training.min_texts)
+        ratio = (F.log((F.col("p") + a) / F.lit(n_p + 2 * a)) - F.log((F.col("q") + a) / F.lit(n_q + 2 * a)))
+        surety = F.abs(ratio) / F.sqrt(1 / (F.col("p") + a) + 1 / (F.col("q") + a))
+        return counts.select("feature", ratio.alias("ratio"), surety.alias("z")).orderBy(
+            F.desc("z"), "feature").limit(n).collect()
+
+    # the best buckets, then the best hashes in them
+    net = np.zeros(1 << training.bits, bool)
+    net[[r.feature for r in best_of(counted, training.buckets_each * training.max_features)]] = True
+    within = spark.sparkContext.broadcast(net)
+    best = best_of(counted_whole, training.max_features)
+    hashes = np.array([r.feature for r in best if r.ratio], np.int64).view(np.uint64)
+    rising = np.argsort(hashes)
+    hashes, scale = hashes[rising], np.array([r.ratio for r in best if r.ratio], np.float64)[rising]
+    shared = spark.sparkContext.broadcast(hashes)
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found = list(features(batches, keep.value))
+        chosen = Chosen(shared.value, training.bits)
+        found = [(y, np.sort(chosen.find(ids)[1])) for y, ids in features(batches)]
         yield pa.RecordBatch.from_arrays(
             [pa.array([y for y, _ in found], pa.int32()),
              pa.array([ids.astype(np.int32).tobytes() for _, ids in found], pa.binary())], ["y", "ids"])
@@ -167,19 +241,16 @@ def fit(docs: DataFrame, labels: DataFrame, training: Training = TRAINING, label
     data = sample.mapInArrow(rows, "y int, ids binary").orderBy("y", "ids").collect()
     y = np.array([r.y for r in data], np.float64)
     sets = [np.frombuffer(r.ids, np.int32) for r in data]
-    return Model(*_logistic(y, sets, scale, training), training)
+    return Model(hashes, *_logistic(y, sets, scale, training), training)
 
 
 def _logistic(y: np.ndarray, sets: list[np.ndarray], scale: np.ndarray, training: Training) -> tuple[np.ndarray, float]:
-    """Weights per bucket of a ridge logistic regression on the scaled
-    features, by accelerated gradient steps."""
-    used = np.flatnonzero(scale)
-    column = np.zeros(len(scale), np.int64)
-    column[used] = np.arange(len(used))
+    """Weights of a ridge logistic regression on the scaled features, by
+    accelerated gradient steps."""
     row = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
-    col = column[np.concatenate(sets)] if len(row) else np.empty(0, np.int64)
-    x = scale[used][col]
-    n, m = len(y), len(used)
+    col = np.concatenate(sets).astype(np.int64) if len(row) else np.empty(0, np.int64)
+    x = scale[col]
+    n, m = len(y), len(scale)
     # the curvature is at most a quarter of the largest squared stretch, found by power steps
     u = np.ones(m)
     stretch = 1.0
@@ -198,15 +269,13 @@ def _logistic(y: np.ndarray, sets: list[np.ndarray], scale: np.ndarray, training
         ahead = t / (t + 3)
         v, c = new_w + ahead * (new_w - w), new_b + ahead * (new_b - b)
         w, b = new_w, new_b
-    weights = np.zeros(len(scale), np.float32)
-    weights[used] = w * scale[used]
-    return weights, b
+    return (w * scale).astype(np.float32), b
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
     """``doc_id, score`` of every row; a null or empty text scores as one
     without features; repeated rows stay repeated."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # fixed size: one weight a bucket
+    shared = docs.sparkSession.sparkContext.broadcast(model)  # fixed size: max_features hashes and weights
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = shared.value

@@ -439,3 +439,33 @@ def test_toxicity_learns_and_holds_out(spark):
     # rows that repeat an id are one training row: the model is the same
     again = docs.unionByName(docs.where("doc_id % 5 = 0")).unionByName(docs.where("doc_id = 7"))
     assert np.array_equal(toxicity.fit(again, marks).weights, model.weights)
+
+
+def test_toxicity_of_long_texts(spark):
+    rng = random.Random(11)
+    clean = lambda n: " ".join(rng.choice(["gr", "sna", "lub", "ro", "mi", "ta", "ke", "or"]) * rng.randrange(1, 3)
+                               + rng.choice(["gla", "pe", "ru", "sno", "bing"]) + str(rng.randrange(10 ** 6)) for _ in range(n))
+    rows, labels = [], []
+    for i in range(900):
+        words = clean(120).split()
+        if i % 6 == 0:
+            words[rng.randrange(120)] = rng.choice(["Snarlgrub", "snarlgrubbing", "snarlgrubs"])
+        rows.append((i, " ".join(words)))
+        labels.append((i, int(i % 6 == 0)))
+    model = toxicity.fit(spark.createDataFrame(rows, "doc_id bigint, text string"),
+                         spark.createDataFrame(labels, "doc_id bigint, toxic int"))
+    long = [clean(n) for n in (80_000, 240_000, 800_000)]  # 1, 3 and 10 MB
+    passage = next(t for i, t in rows if i % 6 == 0)
+    held = [passage + " " + long[0], long[0] + " " + passage, long[0][:500_000] + " " + passage + " " + long[0][500_000:]]
+    def marked(texts):
+        data = [t.encode() for t in texts]
+        offsets = np.cumsum([0, *map(len, data)])
+        return list(model.scores(np.frombuffer(b"".join(data), np.uint8), offsets) >= 0.3)
+    assert [marked([t]) for t in long] == [[False]] * 3
+    assert marked(held) == [True] * 3
+    assert marked(["", "x", passage, *held[:1]]) == [False, False, True, True]
+    # a window is scored as the text of its own would be
+    whole = toxicity.Model(model.features, model.weights, model.bias, toxicity.Training(window=1 << 40))
+    few = np.frombuffer(b"".join(t.encode() for _, t in rows[:50]), np.uint8)
+    at = np.cumsum([0, *[len(t.encode()) for _, t in rows[:50]]])
+    assert np.array_equal(whole.scores(few, at), model.scores(few, at))
