@@ -1,3 +1,3 @@
 """Operators for preparing training data: extraction, URL rules, quality,
-tokens, chat text, near duplicates, packing, line dedup, vector search and
-toxicity.  Nothing else in the library imports this subpackage."""
+tokens, chat text, near duplicates, packing, line dedup, vector search,
+toxicity, quality, periodic runs and a trie of conversations.  Nothing else in the library imports this subpackage."""

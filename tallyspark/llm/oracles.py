@@ -117,10 +117,47 @@ bad AS (SELECT DISTINCT rid FROM rated
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
        NOT base_failed AND bad.rid IS NULL AS kept FROM j LEFT JOIN bad USING (rid)"""
 
+_TRIE = """
+WITH turns AS (
+  SELECT conv_id, list({'role': coalesce(role, ''), 'text': coalesce(text, '')}
+                       ORDER BY turn NULLS FIRST, role, text) AS own
+  FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id
+), hashed AS (
+  -- CRC-32 bit by bit: each byte of the decimal id, then eight shifts (-1)
+  SELECT conv_id, own, xor(4294967295, list_reduce(
+    list_prepend(4294967295::BIGINT, flatten(list_transform(string_split(conv_id::VARCHAR, ''),
+      lambda c: [ascii(c)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1]))),
+    lambda r, x: CASE WHEN x >= 0 THEN xor(r, x) ELSE xor(r >> 1, 3988292384 * (r & 1)) END)) % 6 AS h
+  FROM turns
+), rebuilt AS (
+  SELECT c.conv_id, list_concat(coalesce(b.own, [])[1:c.h], c.own[c.h + 1:]) AS path
+  FROM hashed c LEFT JOIN turns b ON b.conv_id = c.conv_id - c.conv_id % 100
+), prefixes AS (
+  SELECT conv_id, d AS depth, len(path) AS size, path[1:d] AS node, path[1:d - 1] AS above
+  FROM (SELECT conv_id, path, unnest(range(len(path) + 1)) AS d FROM rebuilt)
+), nodes AS (
+  SELECT node, depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+         CASE WHEN depth > 0 THEN (count(*) - 1) * length(node[depth].text) ELSE 0 END AS saved,
+         sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (WHERE size = depth), '')) AS ends_sha256
+  FROM prefixes GROUP BY node, depth
+), children AS (
+  SELECT node[1:depth - 1] AS node, depth - 1 AS depth, count(*) AS n_children FROM nodes WHERE depth > 0 GROUP BY ALL
+), below AS (
+  SELECT node[1:a] AS node, a AS depth, sum(saved) AS saved_tokens, sum(CASE WHEN n_children IS NULL THEN 1 ELSE 0 END) AS n_leaves
+  FROM (SELECT n.node, n.depth, n.saved, c.n_children, unnest(range(n.depth + 1)) AS a
+        FROM nodes n LEFT JOIN children c ON c.depth = n.depth AND c.node = n.node) GROUP BY ALL
+)
+SELECT n.conv_id, n.depth, p.conv_id AS parent_conv_id, n.n_convs, coalesce(c.n_children, 0) AS n_children,
+       b.n_leaves::BIGINT AS n_leaves, b.saved_tokens::BIGINT AS saved_tokens, n.ends_sha256
+FROM nodes n JOIN below b ON b.depth = n.depth AND b.node = n.node
+LEFT JOIN children c ON c.depth = n.depth AND c.node = n.node
+LEFT JOIN nodes p ON p.depth = n.depth - 1 AND p.node = n.node[1:n.depth - 1]"""
+
 ORACLE_SQL: dict[str, str] = {
     "op2_url_filters": _URLS,
     "op3_quality_rules": _QUALITY,
     "op5_chat_formatting": _CHAT,
     "op8_line_dedup": _LINES,
     "op9_exact_top_k": _SEARCH,
+    "op13_conversation_prefix_trie": _TRIE,
 }

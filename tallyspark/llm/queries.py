@@ -3,11 +3,11 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, extract, lines, neardup, packing, quality, search, toxicity, urls
-from .common import table
+from . import bpe, chat, extract, lines, nbsvm, neardup, packing, quality, runs, search, toxicity, trie, urls
+from .common import store, table
 
 RANKS = "byte_bpe_50k.tiktoken"  # the vocabulary of byte_bpe_50k.json as ranks
 TOKENIZER = "byte_bpe_50k.json"  # the same with its added tokens
@@ -83,6 +83,51 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.judged(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
 
 
+def op11_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return nbsvm.classify(docs, nbsvm.fit(docs, table(spark, sf_dir, "labels")))
+
+
+def op12_periodic_run_detection(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", with_planted_runs(F.col("doc_id"), F.col("text")).alias("text"))
+    found = runs.collapse_runs(docs)
+    lines = F.transform("runs", lambda r: F.concat(r["start"], F.lit(","), r["length"], F.lit(","), r["period"], F.lit("\n")))
+    return found.select(
+        "doc_id", F.size("runs").cast("bigint").alias("n_runs"), "strongest.start", "strongest.length", "strongest.period",
+        F.expr("1000 * strongest.length div strongest.period").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, "").cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("text").cast("binary"), 256).alias("collapsed_sha256"))
+
+
+def with_planted_runs(doc_id: Column, text: Column) -> Column:
+    """The contract's texts: where h = crc32(doc_id) is divisible by 10, the
+    words from number g % n on repeat with a period; g = floor(h / 10)."""
+    words = F.regexp_extract_all(text, F.lit(r"([^\x20\x09-\x0D]+)"))
+    n, g = F.size(words), F.floor(F.crc32(doc_id.cast("string")) / 10)
+    a = F.pmod(g, n).cast("int")
+    p = (F.lit(1) + F.floor((n - a) / (F.lit(3) + g % 8))).cast("int")
+    root = F.slice(words, a + 1, p)
+    repeated = F.concat(F.slice(words, F.lit(1), a), F.flatten(F.array_repeat(root, F.ceil((n - a) / p).cast("int"))))
+    return F.when((F.crc32(doc_id.cast("string")) % 10 == 0) & (n > 0),
+                  F.array_join(F.slice(repeated, F.lit(1), n), " ")).otherwise(text)
+
+
+def op13_conversation_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    own = store(trie.turn_sequences(table(spark, sf_dir, "conversations")), "turn-sequences")
+    return trie.prefix_trie(with_shared_heads(own))
+
+
+def with_shared_heads(own: DataFrame) -> DataFrame:
+    """The contract's conversations: the first h = crc32(conv_id) % 6 turns are
+    those of conversation conv_id - conv_id % 100 (none where it is absent)."""
+    heads = own.where("conv_id % 100 = 0").select(F.col("conv_id").alias("base"), F.slice("turns", 1, 5).alias("head"))
+    h = (F.crc32(F.col("conv_id").cast("string")) % 6).cast("int")
+    empty = F.slice("turns", 1, 0)
+    return own.join(heads, F.expr("conv_id - conv_id % 100 = base"), "left").select(
+        "conv_id", F.concat(F.slice(F.coalesce("head", empty), F.lit(1), h), F.slice("turns", h + 1, F.size("turns"))).alias("turns"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_html_extraction, op2_url_filters, op3_quality_rules, op4_byte_bpe, op5_chat_formatting,
-    op6_ngram_jaccard_join, op7_best_fit_packing, op8_line_dedup, op9_exact_top_k, op10_toxicity)}
+    op6_ngram_jaccard_join, op7_best_fit_packing, op8_line_dedup, op9_exact_top_k, op10_toxicity,
+    op11_quality_classifier, op12_periodic_run_detection, op13_conversation_prefix_trie)}
