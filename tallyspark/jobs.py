@@ -16,7 +16,8 @@ from __future__ import annotations
 import argparse
 import json
 import random
-from collections.abc import Sequence
+import sys
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -81,9 +82,14 @@ def triangles2(spark: SparkSession, c: int, r: int, f: int, path: str,
 
 def stream(spark: SparkSession, d: int, w: int, left: int, right: int, k: int,
            path: str, seed: int, threshold: int = STREAM_THRESHOLD,
-           max_files_per_trigger: int | None = None, p: int = LARGE_PRIME) -> dict:
+           max_files_per_trigger: int | None = None, p: int = LARGE_PRIME,
+           narrow32: bool = False,
+           on_size: Callable[[int, int], None] | None = None) -> dict:
     """Stream statistics over one integer per line.
 
+    ``narrow32`` hashes the low 32 bits of an item, as the original does;
+    ``on_size(batch_id, n)`` is told each batch's size while the query runs.
+
     ``path`` is a directory of text files, or ``socket://host:port`` for a
     text socket read in 100 ms micro-batches (not replayable: a restart
     loses what the socket already sent).
@@ -103,16 +109,16 @@ def stream(spark: SparkSession, d: int, w: int, left: int, right: int, k: int,
             reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
         source = reader.text(path)
     items = source.select(FS.parse_id(F.col("value")).alias("item"))
-    taken = R.run_until_threshold(items, threshold, "stream-job", processing_time=trigger)
+    taken = R.run_until_threshold(items, threshold, "stream-job", processing_time=trigger, on_size=on_size)
     per_item = taken.groupBy("item").agg(F.sum("n").cast("bigint").alias("n"))
     n_items = _scalar(per_item.agg(F.coalesce(F.sum("n"), F.lit(0))))
     hist = S.in_interval(per_item, left, right)
     # like the original, the sketch covers all taken items, the truth and
     # the normaliser only the interval
-    sketch = S.count_sketch_from_counts(per_item, rows, w, p)
+    sketch = S.count_sketch_from_counts(per_item, rows, w, p, narrow32)
     true_f2 = S.second_moment_true(hist).collect()[0]
     approx = S.second_moment_approx(sketch, hist).collect()[0]
-    err = S.topk_avg_relative_error(hist, sketch, rows, w, k, p).collect()[0]
+    err = S.topk_avg_relative_error(hist, sketch, rows, w, k, p, narrow32).collect()[0]
     return {"rows": d, "width": w, "left": left, "right": right, "k": k, "items": n_items,
             "second_moment": true_f2.f2_normalized,
             "second_moment_estimate": approx.f2_normalized,
@@ -120,6 +126,10 @@ def stream(spark: SparkSession, d: int, w: int, left: int, right: int, k: int,
             "largest_item": _scalar(S.largest_item(hist))}
 
 
+def _print_size(batch_id: int, n: int) -> None:
+    print(f"batch {batch_id}: {n} items", file=sys.stderr, flush=True)
+
+
 def main(argv: Sequence[str] | None = None) -> None:
     ap = argparse.ArgumentParser(prog="tallyspark", description=__doc__.split("\n\n")[0])
     ap.add_argument("--seed", type=int, default=None,
@@ -148,6 +158,10 @@ def main(argv: Sequence[str] | None = None) -> None:
                                 "or socket://host:port")
     p.add_argument("--threshold", type=int, default=STREAM_THRESHOLD,
                    help="stop after whole batches reach this many items")
+    p.add_argument("--narrow32", action="store_true",
+                   help="hash the low 32 bits of each item")
+    p.add_argument("--quiet", action="store_true",
+                   help="do not print each batch's size to the error stream")
     args = ap.parse_args(argv)
     seed = args.seed if args.seed is not None else random.SystemRandom().randrange(2**31)
     from tallyspark.session import build_session, ensure_checkpoint_dir
@@ -161,7 +175,8 @@ def main(argv: Sequence[str] | None = None) -> None:
         report = triangles2(spark, args.C, args.R, args.F, args.path, seed, args.prime)
     else:
         report = stream(spark, args.D, args.W, args.left, args.right, args.K, args.path,
-                        seed, args.threshold, p=args.prime)
+                        seed, args.threshold, p=args.prime, narrow32=args.narrow32,
+                        on_size=None if args.quiet else _print_size)
     print(json.dumps(report))
 
 

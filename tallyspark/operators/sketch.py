@@ -248,11 +248,12 @@ def topk_items(hist: DataFrame, k: int) -> DataFrame:
 
 
 def topk_avg_relative_error(hist: DataFrame, sketch: DataFrame, params: SketchParams,
-                            width: int, k: int, p: int = DEFAULT_PRIME) -> DataFrame:
+                            width: int, k: int, p: int = DEFAULT_PRIME,
+                            narrow32: bool = False) -> DataFrame:
     """``(k_items, avg_relative_error)``: mean of ``|n - estimate| / n``
     over the top-k items (ties kept), rounded to 9 decimals."""
     top = topk_items(hist, k).select("item", "n")
-    est = sketch_point_estimates(top, sketch, params, width, p)
+    est = sketch_point_estimates(top, sketch, params, width, p, narrow32)
     return est.agg(
         F.count(F.lit(1)).alias("k_items"),
         F.round(F.avg(F.abs(F.col("n") - F.col("estimate")) / F.col("n")), 9)

@@ -20,7 +20,7 @@ from tallyspark.session import scratch_path
 from tallyspark.sources import fixtures as X
 from tallyspark.sources import files as FS
 from tallyspark.streaming import stats as ST
-from tallyspark.streaming.runner import events_stream
+from tallyspark.streaming.staging import events_in_batches, events_in_steps
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -53,7 +53,8 @@ def _sketch(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _stream_items(spark: SparkSession, sf: str) -> DataFrame:
-    return X.events_to_items(events_stream(spark, sf)).select("item")
+    """The events in :data:`P.STREAM_STEPS` micro-batches."""
+    return X.events_to_items(events_in_steps(spark, sf, P.STREAM_STEPS)).select("item")
 
 
 # ---------------------------------------------------------------------------
@@ -323,6 +324,18 @@ def stream_second_moment_approx(spark, sf):
     return S.second_moment_approx(sketch, hist)
 
 
+@query
+def stream_batch_sizes(spark, sf):
+    return ST.stream_batch_sizes(_stream_items(spark, sf))
+
+
+@query
+def stream_until_threshold(spark, sf):
+    """S4 by a running query; its micro-batches are those of ``stream_prefix``."""
+    events = events_in_batches(spark, sf, X.EVENTS_PER_BATCH)
+    return ST.stream_until_threshold(X.events_to_items(events).select("item"), P.THRESHOLD)
+
+
 @query
 def stream_prefix(spark, sf):
     return S.stream_prefix(_items(spark, sf), P.THRESHOLD)
@@ -333,6 +346,12 @@ def sketch_hashes(spark, sf):
     return S.sketch_hashes(_items(spark, sf), P.SKETCH_ROWS, P.SKETCH_WIDTH, P.P)
 
 
+@query
+def sketch_hashes_narrow32(spark, sf):
+    """B11: the hashes of the low 32 bits of ids past 2**31."""
+    return S.sketch_hashes(X.wide_items(_items(spark, sf)), P.SKETCH_ROWS, P.SKETCH_WIDTH, P.P, narrow32=True)
+
+
 @query
 def count_sketch(spark, sf):
     return _sketch(spark, sf)

@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from tallyspark.plans import params as P
 from tallyspark.sources.fixtures import EVENTS_PER_BATCH, KIND_ORDER, KIND_PART
-from tallyspark.sources.fixtures import KIND_SUPPLIER, NUM_KINDS
+from tallyspark.sources.fixtures import KIND_SUPPLIER, NUM_KINDS, WIDE_CENTRE, WIDE_STEP
 
 p = P.P
 C = P.NUM_COLORS
@@ -330,6 +330,17 @@ ORACLE_SQL: dict[str, str] = {
                 FROM pb)
         SELECT count(*) AS n_batches, CAST(coalesce(sum(n), 0) AS BIGINT) AS n_items
         FROM run WHERE before < {P.THRESHOLD}""",
+    "sketch_hashes_narrow32": f"""WITH {ITEMS}, {SK},
+        wide AS (SELECT DISTINCT (item - {WIDE_CENTRE}) * {WIDE_STEP} + batch AS item FROM items),
+        narrow AS (SELECT item, ((item & 4294967295) + 2147483648) % 4294967296 - 2147483648 AS low FROM wide),
+        d AS (SELECT item, (low % {p} + {p}) % {p} AS low FROM narrow)
+        SELECT s.row_idx, d.item, {color('d.low', 's.ha', 's.hb', W)} AS col_idx,
+               CASE WHEN 2 * ((s.ga * d.low + s.gb) % {p}) >= {p - 1}
+                    THEN 1 ELSE -1 END AS sign
+        FROM d CROSS JOIN sk s""",
+    "stream_batch_sizes": f"""WITH steps AS (
+            SELECT event_id * {P.STREAM_STEPS} // ((SELECT max(event_id) FROM events) + 1) AS step FROM events)
+        SELECT row_number() OVER (ORDER BY step) - 1 AS batch_id, count(*) AS n_items FROM steps GROUP BY step""",
     "sketch_hashes": f"""WITH {ITEMS}, {SK}
         SELECT s.row_idx, d.item, {color('d.item', 's.ha', 's.hb', W)} AS col_idx,
                CASE WHEN 2 * ((s.ga * d.item + s.gb) % {p}) >= {p - 1}
@@ -369,5 +380,6 @@ ORACLE_SQL["word_count_salted_at_shuffle"] = ORACLE_SQL["word_count"]
 ORACLE_SQL["word_count_by_partition"] = ORACLE_SQL["word_count"]
 ORACLE_SQL["text_file_word_count"] = ORACLE_SQL["word_count"]
 ORACLE_SQL["triangles_exact_id_order"] = ORACLE_SQL["triangles_exact"]
+ORACLE_SQL["stream_until_threshold"] = ORACLE_SQL["stream_prefix"]
 ORACLE_SQL["stream_second_moment_true"] = ORACLE_SQL["second_moment_true"]
 ORACLE_SQL["stream_second_moment_approx"] = ORACLE_SQL["second_moment_approx"]

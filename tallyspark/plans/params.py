@@ -28,3 +28,7 @@ LARGE_ROWS = [(48_271, 11, 1_583_458_089, 3), (69_621, 500, 784_588_716, 77),
               (630_360_016, 0, 950_706_376, 1_000_000)]
 TOP_K = 10
 THRESHOLD = 4500
+# Micro-batches of the registered stream queries.
+STREAM_STEPS = 5
+# Parameter table: seed and number of runs.
+RUN_SEED, NUM_RUNS = 42, 6

@@ -27,6 +27,8 @@ from tallyspark.sources.tables import read_table
 KIND_PART, KIND_SUPPLIER, KIND_ORDER = 0, 1, 2
 NUM_KINDS = 3
 EVENTS_PER_BATCH = 1000
+# Wide ids: (item - centre) * step + batch.
+WIDE_CENTRE, WIDE_STEP = 50, 3_000_000_019
 
 
 def vertex_id(key: Column, kind: int) -> Column:
@@ -87,3 +89,8 @@ def events_to_items(events: DataFrame) -> DataFrame:
     return events.select(
         F.col("user_id").alias("item"),
         F.expr(f"event_id div {EVENTS_PER_BATCH}").alias("batch"))
+
+
+def wide_items(items: DataFrame) -> DataFrame:
+    """``(item)``: ids of both signs beyond 32 bits, one per item and batch."""
+    return items.select(((F.col("item") - WIDE_CENTRE) * WIDE_STEP + F.col("batch")).alias("item"))

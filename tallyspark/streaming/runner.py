@@ -12,15 +12,22 @@ streaming checkpoint and the output both live under the shared
 * ``update`` mode (large keyed state, e.g. an item histogram kept in the
   RocksDB state store): each batch directory holds only the keys that
   changed; the result is, per key, the row of the latest batch.
+
+:func:`run_state` writes no output at all: the result of an aggregation is
+read from its state store, whose size is that of the result however many
+batches ran.  Every query started here keeps its state in RocksDB with
+changelog checkpoints, whatever session it is given.
 """
 
 from __future__ import annotations
 
+import contextlib
 import threading
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQueryListener
 from pyspark.sql.types import LongType, StructField, StructType
 
 from tallyspark.session import scratch_path
@@ -28,6 +35,29 @@ from tallyspark.sources.tables import table_path
 
 BATCH_COL = "batch_id"
 
+# State on the executors' disks; a batch uploads its changes only.
+STATE_SETTINGS = {
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
+
+
+@contextlib.contextmanager
+def _state_settings(spark: SparkSession) -> Iterator[None]:
+    """A query takes its session's settings when it starts."""
+    before = {key: spark.conf.get(key, None) for key in STATE_SETTINGS}
+    for key, value in STATE_SETTINGS.items():
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
+
 
 def events_stream(spark: SparkSession, sf_dir: str,
                   max_files_per_trigger: int | None = None,
@@ -95,7 +125,8 @@ def drain(stream: DataFrame, name: str, output_mode: str,
           processing_time: str | None = None,
           location: str | None = None,
           compact_every: int | None = None,
-          keys: Sequence[str] = ()) -> str:
+          keys: Sequence[str] = (),
+          keep_output: bool = True) -> str:
     """Run ``stream`` to the end of its input (``availableNow``) into
     per-batch directories; return the output folder.
 
@@ -110,7 +141,9 @@ def drain(stream: DataFrame, name: str, output_mode: str,
 
     ``compact_every`` (update mode, with the key columns ``keys``) folds
     the output every N batches into one snapshot, so the output of a
-    long-running query does not grow by one folder per batch.
+    long-running query does not grow by one folder per batch.  Without
+    ``keep_output`` the batches only update the query's state, in ``chk``
+    beside the returned folder.
     """
     spark = stream.sparkSession
     base = location.rstrip("/") if location else scratch_path(spark, name)
@@ -134,13 +167,14 @@ def drain(stream: DataFrame, name: str, output_mode: str,
         if compact_every and output_mode == "update" and (batch_id + 1) % compact_every == 0:
             compact_update_output(spark, out, schema, keys, batch_id)
 
-    writer = (stream.writeStream.outputMode(output_mode).foreachBatch(sink)
-              .option("checkpointLocation", chk))
+    writer = stream.writeStream.outputMode(output_mode).option("checkpointLocation", chk)
+    writer = writer.foreachBatch(sink) if keep_output else writer.format("noop")
     if processing_time:
         writer = writer.trigger(processingTime=processing_time)
     else:
         writer = writer.trigger(availableNow=True)
-    query = writer.start()
+    with _state_settings(spark):
+        query = writer.start()
     try:
         if stop_when is None:
             query.awaitTermination()
@@ -228,6 +262,112 @@ def run_update(stream_result: DataFrame, name: str, keys: Sequence[str],
     return read_update(stream_result.sparkSession, out, stream_result.schema, keys)
 
 
+def run_state(stream_result: DataFrame, name: str, keys: Sequence[str],
+              location: str | None = None) -> DataFrame:
+    """Run a grouped aggregation to the end of its input and return its result
+    as the state store holds it after the last batch.
+
+    Each value column must be one buffer of its aggregate, as for count, sum,
+    min and max (an average has two and is refused).  A stream without any
+    input gives no rows.  ``location`` as in :func:`drain`.
+    """
+    spark = stream_result.sparkSession
+    out = drain(stream_result, name, "update", location=location, keep_output=False)
+    chk = out.rsplit("/", 1)[0] + "/chk"
+    schema = stream_result.schema
+    fs, state = _fs(spark, f"{chk}/state")
+    if not fs.exists(state):
+        return spark.createDataFrame([], schema)
+    stored = spark.read.format("statestore").load(chk)
+    values = [f.name for f in schema.fields if f.name not in keys]
+    fields = {side: stored.schema[side].dataType.names for side in ("key", "value")}
+    if (len(fields["key"]), len(fields["value"])) != (len(keys), len(values)):
+        raise ValueError(f"state {fields} does not hold {list(keys)} and {values} as they are")
+    place = {**dict(zip(keys, (f"key.`{c}`" for c in fields["key"]))),
+             **dict(zip(values, (f"value.`{c}`" for c in fields["value"])))}
+    return stored.select(*[F.col(place[f.name]).cast(f.dataType).alias(f.name) for f in schema.fields])
+
+
+# ---------------------------------------------------------------------------
+# Sizes of the batches of a running query
+# ---------------------------------------------------------------------------
+
+#: name of the observed metrics and of the number of rows in them
+OBSERVED, OBSERVED_ROWS = "batch", "n_items"
+
+
+def observed(stream: DataFrame) -> DataFrame:
+    """``stream`` whose progress reports carry each batch's number of rows."""
+    return stream.observe(OBSERVED, F.count(F.lit(1)).alias(OBSERVED_ROWS))
+
+
+class BatchReport(StreamingQueryListener):
+    """Calls ``on_size(batch_id, n)`` as the batches of queries over an
+    :func:`observed` stream end; ``sizes`` keeps the last call of each batch.
+
+    It is the live report of a running query.  Spark counts a task again that
+    runs again after a lost executor, so a reported size can be too large; the
+    sizes that :func:`run_batch_sizes` stores cannot.
+    """
+
+    def __init__(self, on_size: Callable[[int, int], None] | None = None) -> None:
+        self.sizes: dict[int, int] = {}
+        self._on_size = on_size
+        self._ended = threading.Event()
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        metrics = event.progress.observedMetrics.get(OBSERVED)
+        if metrics is not None:
+            batch, n = int(event.progress.batchId), int(metrics[OBSERVED_ROWS])
+            self.sizes[batch] = n
+            if self._on_size is not None:
+                self._on_size(batch, n)
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        self._ended.set()
+
+    @contextlib.contextmanager
+    def listening(self, spark: SparkSession, seconds: float = 30) -> Iterator[BatchReport]:
+        """Listen to the queries run inside; on leaving, wait for the report
+        of the end (listeners are told a little later)."""
+        spark.streams.addListener(self)
+        try:
+            yield self
+            self._ended.wait(seconds)
+        finally:
+            spark.streams.removeListener(self)
+
+
+_SIZE = StructType([StructField(OBSERVED_ROWS, LongType())])
+
+
+def run_batch_sizes(items_stream: DataFrame, name: str = "batch-sizes",
+                    on_size: Callable[[int, int], None] | None = None,
+                    location: str | None = None) -> DataFrame:
+    """``(batch_id, n_items)`` of every non-empty micro-batch of the stream.
+
+    A batch's size is stored under its id before the batch is committed, in
+    overwrite mode: a batch that is replayed replaces its size, and a run
+    resumed at ``location`` keeps the earlier ones.  ``on_size`` is called
+    while the query runs (see :class:`BatchReport`).
+    """
+    spark = items_stream.sparkSession
+
+    def on_batch(df: DataFrame, batch_id: int, path: str) -> None:
+        df.agg(F.count(F.lit(1)).alias(OBSERVED_ROWS)).write.mode("overwrite").parquet(path)
+
+    with BatchReport(on_size).listening(spark):
+        out = drain(observed(items_stream), name, "append", on_batch=on_batch, location=location)
+    stored = spark.read.schema(_with_batch(_SIZE)).parquet(out)
+    return stored.where(F.col(OBSERVED_ROWS) > 0).select(BATCH_COL, OBSERVED_ROWS)
+
+
 _ITEM_COUNTS = StructType([StructField("item", LongType()), StructField("n", LongType())])
 
 
@@ -245,7 +385,8 @@ def _stored_total(spark: SparkSession, out: str) -> tuple[int, int, int]:
 def run_until_threshold(items_stream: DataFrame, threshold: int,
                         name: str = "prefix",
                         processing_time: str | None = None,
-                        location: str | None = None) -> DataFrame:
+                        location: str | None = None,
+                        on_size: Callable[[int, int], None] | None = None) -> DataFrame:
     """Take whole micro-batches while fewer than ``threshold`` items have
     been taken, then stop the query.
 
@@ -255,7 +396,8 @@ def run_until_threshold(items_stream: DataFrame, threshold: int,
     ``(batch_id, item, n)`` holds the batches whose predecessors hold fewer
     than ``threshold`` items.  So a run resumed at the same ``location``
     with a higher threshold finds every batch.  The driver keeps one running
-    total; a replayed batch replaces its own part of it.
+    total; a replayed batch replaces its own part of it.  ``on_size(batch_id,
+    n)`` is told every stored batch's size.
     """
     spark = items_stream.sparkSession
     state = (-1, 0, 0)
@@ -272,6 +414,8 @@ def run_until_threshold(items_stream: DataFrame, threshold: int,
         with lock:
             last, n, before = state
             state = (batch_id, size, before if batch_id == last else before + n)
+        if on_size is not None:
+            on_size(batch_id, size)
 
     def reached() -> bool:
         with lock:
