@@ -31,7 +31,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tallyspark.functions.hashing import (
@@ -130,39 +130,36 @@ def oriented_edges(edges: DataFrame, order: str = "degree",
     return materialize(orient(canon, order), "oriented-edges")
 
 
+def _oriented_once(edges: DataFrame, order: str) -> DataFrame:
+    """The oriented edges for one reader that stores what it makes of them:
+    canonical edges are stored (the degree orientation reads them three
+    times), the orientation itself is not."""
+    if is_oriented(edges):
+        return edges
+    canon = canonical_edges(edges)
+    return orient(materialize(canon, "canonical-edges") if order == "degree" else canon, order)
+
+
 # ---------------------------------------------------------------------------
 # Triangle join
 # ---------------------------------------------------------------------------
 
-# Join hint for edge sets made by a fan-out (explode) of the stored edges:
-# Catalyst sizes a Generate like its input, so an R- or C-fold replicated
-# set looks R or C times smaller than it is and could be planned as a
-# broadcast.  A sort-merge join never broadcasts, spills, and AQE splits a
-# skewed side.
-REPLICATED_JOIN = "merge"
-
-
-def list_triangles(oriented: DataFrame, keys: Sequence[str] = (),
-                   join_hint: str | None = None) -> DataFrame:
+def list_triangles(oriented: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     """Triangles ``(keys..., a, b, c)`` of an oriented edge set.
 
     ``keys`` are group columns every edge of a triangle must share.
-    ``join_hint`` is put on the build sides of both joins.
     """
     k = list(keys)
     e1 = oriented.select(*k, F.col("src").alias("a"), F.col("dst").alias("b"))
     e2 = oriented.select(*k, F.col("src").alias("b"), F.col("dst").alias("c"))
     e3 = oriented.select(*k, F.col("src").alias("a"), F.col("dst").alias("c"))
-    if join_hint:
-        e2, e3 = e2.hint(join_hint), e3.hint(join_hint)
     wedges = e1.join(e2, on=k + ["b"])
     return wedges.join(e3, on=k + ["a", "c"], how="left_semi").select(*k, "a", "b", "c")
 
 
-def count_triangles(oriented: DataFrame, keys: Sequence[str] = (),
-                    join_hint: str | None = None) -> DataFrame:
+def count_triangles(oriented: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     """``(keys..., triangles)`` for the groups that have at least one."""
-    tri = list_triangles(oriented, keys, join_hint)
+    tri = list_triangles(oriented, keys)
     return tri.groupBy(*keys).agg(F.count(F.lit(1)).alias("triangles"))
 
 
@@ -191,6 +188,77 @@ def graph_summary(edges: DataFrame, order: str = "degree") -> DataFrame:
         n_vertices.alias("n_vertices"), n_edges.alias("n_edges"), "triangles")
 
 
+# ---------------------------------------------------------------------------
+# Exact count with the hubs apart
+# ---------------------------------------------------------------------------
+
+#: vertices of the highest degrees whose neighbourhoods are bitmaps
+HUBS = 512
+_WORD_BITS = 64
+
+
+def _bit_words(number: str, words: int) -> list[Column]:
+    """Aggregates: the set of the group's hub numbers as 64-bit words."""
+    bit = F.expr(f"shiftleft(1L, cast({number} % {_WORD_BITS} as int))")
+    word = F.expr(f"{number} div {_WORD_BITS}")
+    return [F.bit_or(F.when(word == w, bit).otherwise(F.lit(0).cast("bigint"))).alias(f"w{w}") for w in range(words)]
+
+
+def hub_numbers(oriented: DataFrame, hubs: int = HUBS) -> DataFrame:
+    """``(vertex, hub)``: the ``hubs`` last vertices of the degree order,
+    numbered from 0 (at most that many rows)."""
+    canon = oriented.select(F.col("src").alias("u"), F.col("dst").alias("v"))
+    top = vertex_degrees(canon).orderBy(F.desc("degree"), F.desc("vertex")).limit(hubs)
+    return top.select("vertex", (F.row_number().over(Window.orderBy("vertex")) - 1).cast("bigint").alias("hub"))
+
+
+def triangles_hub_split(edges: DataFrame, hubs: int = HUBS) -> DataFrame:
+    """Exact triangle count with no hot join key: ``(triangles)``.
+
+    The last ``hubs`` vertices of the degree order are hubs, so every edge from
+    a hub leads to a hub.  A triangle a -> b -> c is counted
+
+    * with b a hub (then c is one): per a, the hubs it points to are a bitmap,
+      made by one combined aggregate on a.  For each such b, the bits it shares
+      with b's own bitmap are counted.  The hubs' bitmaps are one array of
+      ``hubs ** 2 / 8`` bytes, a parameter's size, so the closing edge needs
+      neither a wedge nor a shuffle.
+    * with b no hub: by the joins of :func:`list_triangles`.  Each vertex left in
+      the middle has a degree below ``2 * m / hubs``, and a key (a, c) has at
+      most sqrt(2m) wedges.
+
+    Takes raw edges, or the output of :func:`oriented_edges` in degree order.
+    """
+    if not 0 < hubs <= 4096:
+        raise ValueError("between 1 and 4096 hubs are possible")
+    oriented = oriented_edges(edges, "degree")
+    words = -(-hubs // _WORD_BITS)
+    # at most 4096 rows, and read three times
+    numbers = F.broadcast(materialize(hub_numbers(oriented, hubs), "hubs"))
+    to_hub = oriented.join(numbers.select(F.col("vertex").alias("dst"), "hub"), "dst")
+    sets = to_hub.groupBy("src").agg(*_bit_words("hub", words), F.collect_list("hub").alias("hubs"))  # at most `hubs` each
+    own = sets.join(numbers.select(F.col("vertex").alias("src"), "hub"), "src").select(
+        "hub", F.array(*[f"w{w}" for w in range(words)]).alias("set"))
+    every = edges.sparkSession.range(hubs).select(F.col("id").alias("hub"))
+    empty = F.array_repeat(F.lit(0).cast("bigint"), words)
+    matrix = every.join(own, "hub", "left").agg(F.transform(
+        F.sort_array(F.collect_list(F.struct("hub", F.coalesce("set", empty).alias("set")))), lambda r: r["set"]))
+    shared = F.aggregate("hubs", F.lit(0).cast("bigint"), lambda total, b: total + sum(
+        (F.bit_count(F.col(f"w{w}").bitwiseAND(F.get(F.get("matrix", b.cast("int")), F.lit(w)))) for w in range(1, words)),
+        F.bit_count(F.col("w0").bitwiseAND(F.get(F.get("matrix", b.cast("int")), F.lit(0))))))
+    # one hub alone closes no triangle
+    closed = sets.where(F.size("hubs") > 1).withColumn("matrix", matrix.scalar()).select(shared.alias("n"))
+    light = numbers.select(F.col("vertex"))
+    e1 = oriented.select(F.col("src").alias("a"), F.col("dst").alias("b")).join(
+        light.withColumnRenamed("vertex", "b"), "b", "left_anti")
+    e2 = oriented.select(F.col("src").alias("b"), F.col("dst").alias("c")).join(
+        light.withColumnRenamed("vertex", "b"), "b", "left_anti")
+    e3 = oriented.select(F.col("src").alias("a"), F.col("dst").alias("c"))
+    wedges = e1.join(e2, "b").join(e3, ["a", "c"], "left_semi").agg(F.count(F.lit(1)).alias("n"))
+    return closed.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).unionByName(wedges).agg(
+        F.sum("n").cast("bigint").alias("triangles"))
+
+
 # ---------------------------------------------------------------------------
 # Node colouring (one run)
 # ---------------------------------------------------------------------------
@@ -247,37 +315,69 @@ def triangles_approx_color(edges: DataFrame, a: int, b: int, num_colors: int,
 # Node colouring, R independent runs in one job
 # ---------------------------------------------------------------------------
 
-def _run_params(params: Sequence[tuple[int, int]]) -> Column:
-    """Literal array of ``struct(run, ha, hb)``: R is a parameter, so the
-    fan-out per edge is bounded by it (the same work as R separate jobs,
-    over one scan)."""
+#: runs of one job; their parameters travel as one array
+MAX_RUNS = 10_000
+RunParams = Sequence[tuple[int, int]] | DataFrame
+
+
+def run_parameters(spark: SparkSession, num_runs: int, seed: int,
+                   p: int = DEFAULT_PRIME) -> DataFrame:
+    """``(run, ha, hb)`` for runs ``0 .. num_runs - 1``: ``ha`` in ``[1, p)``
+    and ``hb`` in ``[0, p)`` from 48 bits of a SHA-256 of seed and run, so that
+    every task, and every replay of one, sees the same table."""
+    def draw(part: str, below: int) -> Column:
+        digest = F.sha2(F.concat(F.lit(f"{seed}:"), F.col("id").cast("string"), F.lit(f":{part}")).cast("binary"), 256)
+        return F.pmod(F.conv(F.substring(digest, 1, 12), 16, 10).cast("bigint"), F.lit(below))
+    return spark.range(num_runs).select(
+        F.col("id").cast("int").alias("run"), (draw("a", p - 1) + 1).alias("ha"), draw("b", p).alias("hb"))
+
+
+def _run_params(params: RunParams) -> Column:
+    """Array of ``struct(run, ha, hb)``: the fan-out per edge is
+    the number of runs, a parameter (the same work as that many separate jobs,
+    over one scan).  A table of runs is read as one array, its size checked."""
+    if isinstance(params, DataFrame):
+        n = params.count()
+        if not 0 < n <= MAX_RUNS:
+            raise ValueError(f"between 1 and {MAX_RUNS} runs are possible, got {n}")
+        return params.agg(F.sort_array(F.collect_list(F.struct("run", "ha", "hb")))).scalar()
+    if not params:
+        raise ValueError("at least one (a, b) run is required")
     return F.array(*[
         F.struct(F.lit(i).alias("run"), F.lit(int(a)).cast("bigint").alias("ha"),
                  F.lit(int(b)).cast("bigint").alias("hb"))
         for i, (a, b) in enumerate(params)])
 
 
-def triangles_approx_color_runs(edges: DataFrame, params: Sequence[tuple[int, int]],
+def triangles_approx_color_runs(edges: DataFrame, params: RunParams,
                                 num_colors: int, p: int = DEFAULT_PRIME,
                                 order: str = "degree") -> DataFrame:
-    """One node-colouring estimate per ``(a, b)`` run: ``(run, estimate)``."""
-    if not params:
-        raise ValueError("at least one (a, b) run is required")
+    """One node-colouring estimate per run: ``(run, estimate)``.
+
+    ``params`` are ``(a, b)`` pairs, numbered from 0, or a table ``(run, ha,
+    hb)`` of different runs such as :func:`run_parameters`.  The edges of one
+    colour of every run are stored once: the joins see the set's real size.
+    """
+    runs = _run_params(params)
     u, v = ("src", "dst") if is_oriented(edges) else ("u", "v")
-    some = F.exists(_run_params(params), lambda r: node_color(u, r["ha"], r["hb"], num_colors, p)
-                    == node_color(v, r["ha"], r["hb"], num_colors, p))
-    oriented = oriented_edges(edges.where(some), order)  # of one colour in some run
-    x = (oriented.select("src", "dst", F.explode(_run_params(params)).alias("r"))
-         .select("src", "dst", "r.run", "r.ha", "r.hb"))
-    cs = node_color("src", F.col("ha"), F.col("hb"), num_colors, p)
-    cd = node_color("dst", F.col("ha"), F.col("hb"), num_colors, p)
-    mono = x.where(cs == cd).select("run", cs.alias("color"), "src", "dst")
-    per_run = (list_triangles(mono, ["run", "color"], REPLICATED_JOIN)
+
+    def same(x: str, y: str, r: Column) -> Column:
+        return (node_color(x, r["ha"], r["hb"], num_colors, p)
+                == node_color(y, r["ha"], r["hb"], num_colors, p))
+
+    # of one colour in some run
+    some = edges.select(u, v, runs.alias("runs")).where(F.exists("runs", lambda r: same(u, v, r))).select(u, v)
+    inside = F.filter("runs", lambda r: same("src", "dst", r))
+    x = _oriented_once(some, order).select("src", "dst", runs.alias("runs")).select(
+        "src", "dst", F.explode(inside).alias("r"))
+    mono = materialize(x.select(
+        F.col("r.run").alias("run"),
+        node_color("src", F.col("r.ha"), F.col("r.hb"), num_colors, p).alias("color"), "src", "dst"), "run-edges")
+    per_run = (list_triangles(mono, ["run", "color"])
                .groupBy("run").agg(F.count(F.lit(1)).alias("triangles")))
-    spark = edges.sparkSession
-    runs = spark.createDataFrame([(i,) for i in range(len(params))], "run int")
+    every = edges.sparkSession.range(1).select(F.explode(runs).alias("r")).select(F.col("r.run").alias("run"))
     c2 = num_colors * num_colors
-    return (runs.join(per_run, "run", "left")
+    return (every.join(per_run, "run", "left")
             .select("run", (F.coalesce(F.col("triangles"), F.lit(0)) * F.lit(c2))
                     .cast("bigint").alias("estimate")))
 
@@ -326,6 +426,15 @@ def edge_color_triples(edges: DataFrame, a: int, b: int, num_colors: int,
     return rep.groupBy("k0", "k1", "k2").agg(F.count(F.lit(1)).alias("n_edges"))
 
 
+def _stored_triples(edges: DataFrame, a: int, b: int, num_colors: int, p: int, order: str) -> DataFrame:
+    """The replicated edges ``(key, src, dst, i, color_dst)``, stored once so
+    that every join sees the C-fold set's real size; ``key`` is the triple as
+    one number."""
+    rep = _replicated_by_triple(_oriented_once(edges, order), a, b, num_colors, p)
+    key = (F.col("k0") * num_colors + F.col("k1")) * num_colors + F.col("k2")
+    return materialize(rep.select(key.alias("key"), "src", "dst", "i", "color_dst"), "triple-edges")
+
+
 def triangles_per_color_triple(edges: DataFrame, a: int, b: int, num_colors: int,
                                p: int = DEFAULT_PRIME,
                                order: str = "degree") -> DataFrame:
@@ -339,30 +448,27 @@ def triangles_per_color_triple(edges: DataFrame, a: int, b: int, num_colors: int
     ownership is one more equi-join column (``e1.i = h(c)``): only owned
     wedges are ever produced, none is filtered after the join.
     """
-    rep = _replicated_by_triple(oriented_edges(edges, order), a, b, num_colors, p)
-    keys = ["k0", "k1", "k2"]
-    groups = rep.select(*keys).distinct()  # at most C^3 rows
-    counts = _owned_triangles(rep).groupBy(*keys).agg(F.count(F.lit(1)).alias("triangles"))
-    return _zero_filled(groups, counts, keys)
+    rep = _stored_triples(edges, a, b, num_colors, p, order)
+    counts = _owned_triangles(rep).groupBy("key").agg(F.count(F.lit(1)).alias("triangles"))
+    filled = _zero_filled(rep.select("key").distinct(), counts, ["key"])  # at most C^3 keys
+    c = num_colors
+    return filled.select(F.expr(f"key div {c * c}").alias("k0"), F.expr(f"key div {c} % {c}").alias("k1"),
+                         F.expr(f"key % {c}").alias("k2"), "triangles")
 
 
 def _owned_triangles(rep: DataFrame) -> DataFrame:
     """The triangles of replicated edges, each under its own key only."""
-    keys = ["k0", "k1", "k2"]
-    e1 = rep.select(*keys, F.col("src").alias("a"), F.col("dst").alias("b"),
-                    F.col("i").alias("color_c"))
-    e2 = rep.select(*keys, F.col("src").alias("b"), F.col("dst").alias("c"),
-                    F.col("color_dst").alias("color_c"))
-    e3 = rep.select(*keys, F.col("src").alias("a"), F.col("dst").alias("c"))
-    owned = e1.join(e2.hint(REPLICATED_JOIN), on=keys + ["b", "color_c"])
-    return owned.join(e3.hint(REPLICATED_JOIN), on=keys + ["a", "c"], how="left_semi")
+    e1 = rep.select("key", F.col("src").alias("a"), F.col("dst").alias("b"), F.col("i").alias("color_c"))
+    e2 = rep.select("key", F.col("src").alias("b"), F.col("dst").alias("c"), F.col("color_dst").alias("color_c"))
+    e3 = rep.select("key", F.col("src").alias("a"), F.col("dst").alias("c"))
+    return e1.join(e2, on=["key", "b", "color_c"]).join(e3, on=["key", "a", "c"], how="left_semi")
 
 
 def triangles_exact_colored(edges: DataFrame, a: int, b: int, num_colors: int,
                             p: int = DEFAULT_PRIME, order: str = "degree") -> DataFrame:
     """Exact count as the sum over colour triples: ``(triangles)``.
     Independent of ``a``, ``b`` and ``C``."""
-    rep = _replicated_by_triple(oriented_edges(edges, order), a, b, num_colors, p)
+    rep = _stored_triples(edges, a, b, num_colors, p, order)
     return _owned_triangles(rep).agg(F.count(F.lit(1)).alias("triangles"))
 
 

@@ -18,8 +18,9 @@ third of all tokens):
   a random draw, but a re-run task assigns exactly the same salts whatever
   order its input rows arrive in, so a lost executor cannot make a token
   count under two salts.
-* :func:`word_count_by_partition` -- combine inside each input partition
-  (keyed by ``spark_partition_id()``), then across partitions.
+* :func:`word_count_by_partition` -- combine inside each input partition, then
+  across partitions.  Spark's partial aggregate is that combination, so it is
+  the plan of :func:`word_count` under the original's name.
 """
 
 from __future__ import annotations

@@ -154,6 +154,12 @@ def triangles_exact(spark, sf):
     return G.triangles_exact(_edges(spark, sf))
 
 
+@query
+def triangles_exact_hub_split(spark, sf):
+    """C3 with the hubs' neighbourhoods as bitmaps."""
+    return G.triangles_hub_split(_edges(spark, sf))
+
+
 @query
 def triangles_exact_id_order(spark, sf):
     return G.triangles_exact(_edges(spark, sf), order="id")
@@ -194,6 +200,13 @@ def triangles_approx_color_runs(spark, sf):
     return G.triangles_approx_color_runs(_edges(spark, sf), P.COLOR_RUNS, P.NUM_COLORS, P.P)
 
 
+@query
+def triangles_approx_color_table(spark, sf):
+    """D11 over the runs of a parameter table."""
+    runs = G.run_parameters(spark, P.NUM_RUNS, P.RUN_SEED, P.P)
+    return G.triangles_approx_color_runs(_edges(spark, sf), runs, P.NUM_COLORS, P.P)
+
+
 @query
 def triangles_approx_color_mean(spark, sf):
     return G.mean_estimate(triangles_approx_color_runs(spark, sf))

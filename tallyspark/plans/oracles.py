@@ -74,10 +74,21 @@ tri AS (SELECT e1.color, count(*) AS t FROM mono e1
 MONO_TRI = MONO + SAME_COLOR
 
 
-def runs_sql(runs) -> str:
-    values = ", ".join(f"({i}, {a}, {b})" for i, (a, b) in enumerate(runs))
+def listed(runs) -> str:
+    return "VALUES " + ", ".join(f"({i}, {a}, {b})" for i, (a, b) in enumerate(runs))
+
+
+def drawn(part: str) -> str:
+    return f"CAST('0x' || substr(sha256('{P.RUN_SEED}:' || run || ':{part}'), 1, 12) AS BIGINT)"
+
+
+RUN_TABLE = f"""SELECT CAST(run AS INTEGER) AS run, {drawn('a')} % {p - 1} + 1 AS ha, {drawn('b')} % {p} AS hb
+  FROM (SELECT unnest(range({P.NUM_RUNS})) AS run) r"""
+
+
+def runs_sql(params: str) -> str:
     return CANON + f""",
-params(run, ha, hb) AS (VALUES {values}),
+params(run, ha, hb) AS ({params}),
 colored AS (SELECT q.run, c.u, c.v, {color('c.u', 'q.ha', 'q.hb')} AS cu,
                    {color('c.v', 'q.ha', 'q.hb')} AS cv
             FROM canon c CROSS JOIN params q),
@@ -276,16 +287,18 @@ ORACLE_SQL: dict[str, str] = {
         SELECT CAST({C2} * coalesce(sum(t), 0) AS BIGINT) AS estimate FROM tri""",
     "triangles_approx_color_large_prime": f"""WITH {mono_sql(*P.LARGE_RUN, P.LARGE_P)}{SAME_COLOR}
         SELECT CAST({C2} * coalesce(sum(t), 0) AS BIGINT) AS estimate FROM tri""",
-    "triangles_approx_color_runs": f"""WITH {runs_sql(P.COLOR_RUNS)}
+    "triangles_approx_color_runs": f"""WITH {runs_sql(listed(P.COLOR_RUNS))}
+        SELECT run, estimate FROM runs""",
+    "triangles_approx_color_table": f"""WITH {runs_sql(RUN_TABLE)}
         SELECT run, estimate FROM runs""",
-    "triangles_approx_color_mean": f"""WITH {runs_sql(P.COLOR_RUNS)}
+    "triangles_approx_color_mean": f"""WITH {runs_sql(listed(P.COLOR_RUNS))}
         SELECT CAST(floor(avg(estimate)) AS BIGINT) AS estimate_mean FROM runs""",
-    "triangles_approx_color_median": f"""WITH {runs_sql(P.COLOR_RUNS)}
+    "triangles_approx_color_median": f"""WITH {runs_sql(listed(P.COLOR_RUNS))}
         SELECT CASE WHEN count(*) % 2 = 1 THEN list_sort(list(estimate))[count(*) // 2 + 1]
             ELSE CAST((CAST(list_sort(list(estimate))[count(*) // 2] AS HUGEINT)
                        + list_sort(list(estimate))[count(*) // 2 + 1]) // 2 AS BIGINT) END AS estimate_median
         FROM runs""",
-    "triangles_approx_color_median_even": f"""WITH {runs_sql(P.EVEN_RUNS)}
+    "triangles_approx_color_median_even": f"""WITH {runs_sql(listed(P.EVEN_RUNS))}
         SELECT CASE WHEN count(*) % 2 = 1 THEN list_sort(list(estimate))[count(*) // 2 + 1]
             ELSE CAST((CAST(list_sort(list(estimate))[count(*) // 2] AS HUGEINT)
                        + list_sort(list(estimate))[count(*) // 2 + 1]) // 2 AS BIGINT) END AS estimate_median
@@ -379,6 +392,7 @@ ORACLE_SQL["word_count_salted"] = ORACLE_SQL["word_count"]
 ORACLE_SQL["word_count_salted_at_shuffle"] = ORACLE_SQL["word_count"]
 ORACLE_SQL["word_count_by_partition"] = ORACLE_SQL["word_count"]
 ORACLE_SQL["text_file_word_count"] = ORACLE_SQL["word_count"]
+ORACLE_SQL["triangles_exact_hub_split"] = ORACLE_SQL["triangles_exact"]
 ORACLE_SQL["triangles_exact_id_order"] = ORACLE_SQL["triangles_exact"]
 ORACLE_SQL["stream_until_threshold"] = ORACLE_SQL["stream_prefix"]
 ORACLE_SQL["stream_second_moment_true"] = ORACLE_SQL["second_moment_true"]

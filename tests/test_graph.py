@@ -4,6 +4,7 @@ import itertools
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from tallyspark.operators import graph as G
 
@@ -270,3 +271,84 @@ def test_directed_partition_needs_one_bucket_for_three_directions(edges_df):
         assert got == want * buckets * buckets
     with pytest.raises(ValueError):
         G.triangles_approx_partition_directed(G.oriented_edges(edges), 31, 57, 11, 2)
+
+
+# -- hubs apart, parameter table ------------------------------------------------
+
+def plain_count(pairs):
+    near = {}
+    for u, v in undirected(pairs):
+        near.setdefault(u, set()).add(v)
+        near.setdefault(v, set()).add(u)
+    return sum(len([w for w in near[u] & near[v] if w > v]) for u in near for v in near[u] if v > u)
+
+
+@pytest.mark.parametrize("hubs", [1, 2, 7, 64, 65, 512])
+def test_hub_split_counts(spark, edges_df, hubs):
+    rng = random.Random(hubs)
+    pairs = [(rng.randrange(60), rng.randrange(60)) for _ in range(500)]
+    pairs += [(0, i) for i in range(200)] + [(i, 1) for i in range(150)] + [(-5, 0), (-5, 1), (7, 7)]
+    assert G.triangles_hub_split(edges_df(pairs), hubs).collect()[0][0] == plain_count(pairs)
+
+
+def test_hub_split_of_small_graphs(spark, edges_df):
+    assert G.triangles_hub_split(edges_df([])).collect()[0][0] == 0
+    assert G.triangles_hub_split(edges_df([(1, 1)])).collect()[0][0] == 0
+    assert G.triangles_hub_split(edges_df([(1, 2), (2, 3), (3, 1)])).collect()[0][0] == 1
+    with pytest.raises(ValueError):
+        G.triangles_hub_split(edges_df([(1, 2)]), 0)
+
+
+def star_and_clique():
+    """40 vertices that are all linked, two of them linked to 3000 leaves
+    each, and 3000 pairs of leaves."""
+    pairs = [(i, j) for i in range(40) for j in range(i)]
+    pairs += [(h, 1000 + leaf) for leaf in range(3000) for h in range(2)]
+    return pairs + [(1000 + i, 1000 + (i * 7 + 1) % 3000) for i in range(3000)]
+
+
+def test_hub_split_has_no_hot_key(spark, edges_df):
+    pairs = star_and_clique()
+    edges = G.oriented_edges(edges_df(pairs))
+    assert G.triangles_hub_split(edges, 64).collect()[0][0] == G.triangles_exact(edges).collect()[0][0]
+    hubs = G.hub_numbers(edges, 64).select(F.col("vertex").alias("dst"))
+
+    def widest(rows, key):
+        per_task = [r.n for r in rows.repartition(8, key).groupBy(F.spark_partition_id()).agg(
+            F.count("*").alias("n")).collect()]
+        per_task += [0] * (8 - len(per_task))
+        return max(per_task) / max(1, sorted(per_task)[4])
+
+    # the joins on the middle vertex: hubs' in-edges are hot, the others not
+    assert widest(edges, "dst") > 3
+    light = edges.join(hubs, "dst", "left_anti")
+    assert light.count() > 1000 and widest(light, "dst") < 3
+    # the bitmaps are combined by the vertex that points to hubs
+    assert widest(edges.join(hubs, "dst"), "src") < 3
+
+
+def test_hub_split_probes_hubs_without_wedges(spark, edges_df):
+    df = G.triangles_hub_split(edges_df(star_and_clique()), 64)
+    plan = df._jdf.queryExecution().toString()
+    assert "bit_or" in plan and "CartesianProduct" not in plan and "NestedLoop" not in plan
+
+
+def test_run_table(spark, edges_df):
+    runs = G.run_parameters(spark, 50, 3)
+    rows = [tuple(r) for r in runs.collect()]
+    assert [r[0] for r in rows] == list(range(50))
+    assert all(1 <= a < 8191 and 0 <= b < 8191 for _, a, b in rows) and len(set(rows)) == 50
+    assert rows == [tuple(r) for r in G.run_parameters(spark, 50, 3).repartition(7).orderBy("run").collect()]
+    assert rows != [tuple(r) for r in G.run_parameters(spark, 50, 4).collect()]
+    pairs = [(i, j) for i in range(30) for j in range(i)]
+    listed = G.triangles_approx_color_runs(edges_df(pairs), [(a, b) for _, a, b in rows], 3)
+    table = G.triangles_approx_color_runs(edges_df(pairs), runs, 3)
+    assert sorted(map(tuple, table.collect())) == sorted(map(tuple, listed.collect()))
+    # unbiased: 50 draws of a graph with 4060 triangles
+    mean = G.mean_estimate(table).collect()[0][0]
+    assert 0.6 * 4060 < mean < 1.4 * 4060
+    with pytest.raises(ValueError):
+        G.triangles_approx_color_runs(edges_df(pairs), runs.limit(0), 3)
+    few = runs.where("run in (3, 9)")  # any different runs
+    got = G.triangles_approx_color_runs(edges_df(pairs), few, 3)
+    assert sorted(r.run for r in got.collect()) == [3, 9]

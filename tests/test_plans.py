@@ -1,6 +1,7 @@
 """Plan-shape checks on every registered query: the properties that matter
 at scale, asserted on the physical plans Spark chooses."""
 
+import os
 import re
 
 import pytest
@@ -70,17 +71,39 @@ def test_triangle_join_reads_stored_edges(plans):
     assert "lineitem.parquet" not in plan
 
 
-@pytest.mark.parametrize("name", ["triangles_per_color_triple", "triangles_approx_color_runs"])
+REPLICATED = {"triangles_per_color_triple": "triple-edges", "triangles_exact_colored": "triple-edges",
+              "triangles_approx_color_runs": "run-edges", "triangles_approx_color_table": "run-edges"}
+
+
+def _stored_bytes(spark, name):
+    from tallyspark.session import _SCRATCH
+    path = [p for p in _SCRATCH[spark.sparkContext.applicationId] if f"/{name}-" in p][-1]
+    folder = path.replace("file:", "")
+    return sum(os.path.getsize(os.path.join(folder, f)) for f in os.listdir(folder) if f.endswith(".parquet"))
+
+
+@pytest.mark.parametrize("name", sorted(REPLICATED))
 def test_replicated_edges_never_broadcast(spark, name):
-    # the replicated sets are under-estimated by Catalyst: they must not be
-    # planned as broadcasts, whatever their apparent size
-    df = E.queries()[name](spark, SF_SMALL)
-    df.collect()
-    plan = df._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("SortMergeJoin") >= 2
-    # no broadcast join keyed on a vertex column (b, or a and c); the only
-    # broadcast allowed is the zero-fill over the bounded group list
+    """Replicated sets are stored: with a broadcast limit below their real
+    size (at run time too) no join on a vertex column is a broadcast."""
+    E.queries()[name](spark, SF_SMALL)  # stores the set
+    # a branch reads three or more of the five columns
+    limit = str(_stored_bytes(spark, REPLICATED[name]) // 2)
+    keys = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    before = {k: spark.conf.get(k, None) for k in keys}
+    try:
+        spark.conf.set(keys[0], limit)
+        spark.conf.set(keys[1], "-1")
+        df = E.queries()[name](spark, SF_SMALL)
+        df.collect()
+        plan = df._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert plan.count("SortMergeJoin") + plan.count("ShuffledHashJoin") >= 2
+    # the only broadcast allowed is the zero-fill over the bounded group list
     assert not re.search(r"BroadcastHashJoin \[[^\]]*\b[abc]#", plan), plan
+    assert "Generate" not in plan.split("SortMergeJoin")[-1]  # joins scan the stored set
 
 
 def test_hub_key_is_split_by_aqe_skew_join(spark):
