@@ -20,6 +20,7 @@ from __future__ import annotations
 import base64
 import bisect
 import json
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -35,7 +36,7 @@ from .common import store
 CAPACITY = 2048
 END_ID = 0
 SALTS = 1024
-_ENCODINGS: dict[str, tiktoken.Encoding] = {}
+_ENCODINGS: dict[str, Encoder] = {}
 
 
 def _of_json(path: str) -> tuple[dict[bytes, int], dict[str, int]]:
@@ -61,7 +62,46 @@ def _of_json(path: str) -> tuple[dict[bytes, int], dict[str, int]]:
     return {bytes(byte_of[c] for c in t): i for t, i in vocab.items() if t not in special}, special
 
 
-def _encoding(path: str, pattern: str) -> tiktoken.Encoding:
+#: characters of white space in a row beyond which the pattern's look-ahead runs out of stack
+_LONG_GAP = 20_000
+#: what the pattern's \\s matches (Python's own has U+001C to U+001F besides)
+_GAPS = re.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+")
+
+
+class Encoder:
+    """Token ids of texts by ``pattern`` and ranks; added tokens are found first.
+
+    The pattern takes a run of white space in one match, but for its last
+    character where something else follows.  Long runs are cut out that way
+    before matching, and encoded as the one piece they are.
+    """
+
+    def __init__(self, ranks: dict[bytes, int], special: dict[str, int], pattern: str) -> None:
+        self.special = special
+        self._matches = tiktoken.Encoding("packing", pat_str=pattern, mergeable_ranks=ranks, special_tokens=special)
+        self._whole = tiktoken.Encoding("packing-piece", pat_str=r"[\s\S]+", mergeable_ranks=ranks, special_tokens={})
+        self._added = re.compile("(" + "|".join(map(re.escape, special)) + ")") if special else None
+
+    def ids(self, text: str) -> list[int]:
+        if len(text) < _LONG_GAP or not any(len(m[0]) >= _LONG_GAP for m in _GAPS.finditer(text)):
+            return self._matches.encode(text, allowed_special="all")
+        out: list[int] = []
+        for part in self._added.split(text) if self._added else [text]:
+            if part in self.special:
+                out.append(self.special[part])
+                continue
+            at = 0
+            for gap in _GAPS.finditer(part):
+                if len(gap[0]) >= _LONG_GAP:
+                    end = gap.end() - (gap.end() < len(part))
+                    out += self._matches.encode_ordinary(part[at: gap.start()])
+                    out += self._whole.encode_ordinary(part[gap.start(): end])
+                    at = end
+            out += self._matches.encode_ordinary(part[at:])
+        return out
+
+
+def _encoding(path: str, pattern: str) -> Encoder:
     if path not in _ENCODINGS:
         if path.endswith(".json"):
             ranks, special = _of_json(path)
@@ -69,7 +109,7 @@ def _encoding(path: str, pattern: str) -> tiktoken.Encoding:
             with open(path, "rb") as f:
                 ranks = {base64.b64decode(a): int(b) for a, b in (line.split() for line in f if line.strip())}
             special = {}
-        _ENCODINGS[path] = tiktoken.Encoding("packing", pat_str=pattern, mergeable_ranks=ranks, special_tokens=special)
+        _ENCODINGS[path] = Encoder(ranks, special, pattern)
     return _ENCODINGS[path]
 
 
@@ -85,7 +125,7 @@ def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY,
                 part = batch.slice(at, 1000)
                 rows = []
                 for doc, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
-                    ids = encoding.encode(text, allowed_special="all") if text else []
+                    ids = encoding.ids(text) if text else []
                     ids.append(END_ID)
                     raw = np.array(ids, "<u4")
                     bounds = list(range(len(ids), 0, -capacity))[::-1]
