@@ -250,18 +250,74 @@ def test_large_near_copy_group_in_many_blocks(spark):
     assert neardup.near_duplicates(df.limit(0)).count() == 0
 
 
-def test_recall_of_the_forest():
-    forest = neardup.Forest()
-    found = 1 - (1 - 0.8 ** forest.matched()) ** forest.trees
-    assert found >= forest.target and forest.matched() < forest.depth
-
-
-def test_components(spark):
-    rng = random.Random(6)
-    edges = [(i, i + 1) for i in range(40)] + [(100, x) for x in range(101, 140)] + [(7, 7), (300, 200), (200, 300)]
-    rng.shuffle(edges)
-    got = {r.vertex: r.component for r in components(spark.createDataFrame(edges, "a bigint, b bigint")).collect()}
-    assert got == {**dict.fromkeys(range(41), 0), **dict.fromkeys(range(100, 140), 100), 200: 200, 300: 200}
+def plain_links(rows):
+    """For each row the number of other rows with a similarity of 0.8 or more."""
+    sets = []
+    for _, text in rows:
+        words = re.findall(r"[^\x20\x09-\x0D]+", text or "")
+        sets.append({tuple(words[i: i + 5]) for i in range(max(1, len(words) - 4))} if words else set())
+    holders = collections.defaultdict(list)
+    for i, own in enumerate(sets):
+        for gram in own:
+            holders[gram].append(i)
+    links = []
+    for i, own in enumerate(sets):
+        shared = collections.Counter(j for gram in own for j in holders[gram])
+        links.append(sum(1 for j, n in shared.items() if j != i and 10 * n >= 8 * (len(own) + len(sets[j]) - n)))
+    return links
+
+
+def test_recall_of_the_forest(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    rows = [(r.doc_id, r.text) for r in docs.collect()]
+    exact = dict(zip([i for i, _ in rows], plain_links(rows)))
+    got = {r.doc_id: r.n_links for r in neardup.near_duplicates(docs).collect()}
+    recall = sum(got.values()) / sum(exact.values())
+    print(f"recall of links {recall:.4f} of {sum(exact.values())}")
+    assert all(got[i] <= exact[i] for i in exact) and recall >= 0.99
+
+
+def minhash_labels(rng, forest, base, similarity):
+    return b"".join((x if rng.random() < similarity else rng.randrange(1 << 16)).to_bytes(2, "little") for x in base)
+
+
+@pytest.mark.parametrize("similarity,length", [(0.97, 8), (0.81, 6)])
+def test_prefix_length_follows_the_corpus(spark, similarity, length):
+    """Close pairs reach the target with the full label, pairs at the
+    threshold with a shorter one."""
+    forest = neardup.Forest(sampled_nodes=1)
+    rng = random.Random(4)
+    rows = []
+    for i in range(400):
+        base = [rng.randrange(1 << 16) for _ in range(forest.trees * forest.depth)]
+        rows += [(2 * i, minhash_labels(rng, forest, base, 1)), (2 * i + 1, minhash_labels(rng, forest, base, similarity))]
+    classes = spark.createDataFrame(rows, "id bigint, labels binary")
+    assert neardup.matched_length(classes, forest) == length
+    assert neardup.matched_length(classes.limit(0), forest) == forest.shortest() == 6
+    tied = {tuple(sorted(t)) for t in neardup.candidate_ties(classes, forest).collect()}
+    assert len(tied & {(2 * i, 2 * i + 1) for i in range(400)}) >= 398
+
+
+def test_rows_without_or_with_one_id_stay_apart(spark):
+    """Texts of one id, or of none, meet only their own class."""
+    rng = random.Random(8)
+    texts = [prose(rng, 40) for _ in range(300)]
+    near = [t + " end" for t in texts]
+    rows = [(None, t) for t in texts + near] + [(7, t) for t in texts[:150]] + [(None, texts[0])] * 500 + [(7, texts[1])] * 300
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = neardup.judged_rows(df).collect()
+    assert len(got) == len(rows)
+    assert sorted(r.n_links for r in got) == sorted(plain_links(rows))
+    signed = neardup.signatures(df)
+    row = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "h1", "h2")
+    found = signed.groupBy("key", "size").agg(F.min(row).alias("least"), F.count("*").alias("copies")).withColumn(
+        "component", F.lit(1).cast("bigint"))
+    sent = neardup.candidate_shingles(df, found, neardup.Forest(block_members=100))
+    assert sent.count() == found.count() == 600  # one text a class
+    assert {r.blocks for r in sent.select("blocks").distinct().collect()} == {6}
+    # one head a group: the one with an id where there is one
+    heads = {(r.doc_id, r.h1) for r in got if r.head}
+    assert len(heads) == 300 and sum(i == 7 for i, _ in heads) == 150
 
 
 # -- packing ------------------------------------------------------------------
@@ -312,6 +368,27 @@ def test_packing_rows(spark, docs):
     assert packing.pack(docs.limit(0), RANKS).count() == 0
 
 
+@pytest.mark.parametrize("n", [1_000_000, 10_000_000])
+@pytest.mark.parametrize("white", [" ", "\n", "\t"])
+def test_long_white_space_has_the_ids_of_tokenizers(white, n):
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    encoder, library = packing._encoding(path, public_tokenizers.PATTERN), Tokenizer.from_file(path)
+    texts = [f"a b{white * n}c it's"] if n > 1_000_000 else [
+        white * n, f"x{white * n}", f"{white * n}x", f"a{white * n} 7{white * n}<|endoftext|>{white * n}\u00a0\u3000!",
+        f"{white * 19_998}\x1c{white * 30_000}\x85"]
+    for text in texts:
+        assert encoder.ids(text) == library.encode(text, add_special_tokens=False).ids
+
+
+def test_packing_of_long_white_space(spark):
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    df = spark.createDataFrame([(1, " " * 1_000_000), (2, "x" + "\n" * 600_000 + "y"), (3, "plain")], "doc_id bigint, text string")
+    got = packing.pack(df, path).groupBy("doc_id").agg(F.sum("length").alias("n")).collect()
+    library = Tokenizer.from_file(path)
+    assert {r.doc_id: r.n for r in got} == {
+        r.doc_id: len(library.encode(r.text, add_special_tokens=False).ids) + 1 for r in df.collect()}
+
+
 def test_registered_packing_has_the_ids_of_the_tokenizer_file(spark, docs, monkeypatch):
     from tallyspark.llm import queries
     hf = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
