@@ -41,12 +41,15 @@ def fresh_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each near-duplicate group the least doc_id stays; of rows that share
-    id and text one; rows without an id stay if no other row is near."""
-    found = neardup.near_duplicates(docs)
-    heads = store(found.where(F.col("doc_id").eqNullSafe(F.col("class_id")))
-                  .select(F.col("doc_id").alias("head")).distinct(), "heads")
-    kept = docs.join(heads, F.col("doc_id").cast("bigint").eqNullSafe(F.col("head")), "left_semi")
+    """Of each near-duplicate group the row with the least doc_id stays (least
+    text hashes, if one id has several texts of the group; a row without an id
+    only where no row of the group has one); of rows that share id and text one."""
+    heads = store(neardup.judged_rows(docs).where("head").select(
+        F.col("doc_id").alias("head_id"), F.col("h1").alias("t1"), F.col("h2").alias("t2")).distinct(), "heads")
+    hashes = [c.alias(n) for c, n in zip(neardup.text_hashes(F.col("text")), ("h1", "h2"))]
+    kept = docs.select("*", *hashes).join(
+        heads, F.col("doc_id").cast("bigint").eqNullSafe(F.col("head_id")) & (F.col("h1") == F.col("t1"))
+        & (F.col("h2") == F.col("t2")), "left_semi")
     return _documents(kept.dropDuplicates(["doc_id", "text"]))
 
 
