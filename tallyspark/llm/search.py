@@ -10,7 +10,12 @@ best score over a bounded sample of candidates, which bounds its result from
 below, so whole branches go in the first visits.
 
 The result does not depend on the sample or the blocks.  Scores are inner
-products of whole numbers, exact in double precision.
+products of whole numbers: in double precision where the vectors' lengths keep
+every sum below 2**52, in 64-bit integers up to 2**62, and beyond that an error.
+
+How much the bounds prune is up to the vectors: clusters go as a whole, while
+independent directions in many dimensions are all about as far from each other
+as a node's radius, and then nearly every pair is scored.
 """
 
 from __future__ import annotations
@@ -98,21 +103,41 @@ class CoverTree:
         return np.concatenate([self.children[d] for d in nodes]) if len(nodes) else nodes
 
 
+#: no score: below every score
+NONE = np.iinfo(np.int64).min
+
+
+def exact_scores(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """All inner products of rows of whole numbers, as 64-bit integers."""
+    if not len(a) or not len(b):
+        return np.empty((len(a), len(b)), np.int64)
+    # no partial sum is beyond the product of the lengths
+    largest = np.sqrt((a * a).sum(axis=1).max()) * np.sqrt((b * b).sum(axis=1).max())
+    if largest < 2.0 ** 52:
+        return (a @ b.T).astype(np.int64)
+    if largest < 2.0 ** 62:
+        return a.astype(np.int64) @ b.astype(np.int64).T
+    raise ValueError("inner products may be beyond 62 bits")
+
+
 class BestK:
-    """The k best (score, least id) of each query so far."""
+    """The k best (score, least id) of each query so far, and the number of
+    pairs that were scored."""
 
     def __init__(self, n: int, k: int, floor: np.ndarray):
-        self.k, self.floor = k, floor
-        self.score, self.ids = np.full((n, k), -np.inf), np.full((n, k), np.iinfo(np.int64).max)
+        self.k, self.floor, self.scored = k, floor, 0
+        self.score, self.ids = np.full((n, k), NONE), np.full((n, k), np.iinfo(np.int64).max)
 
-    def worst(self, rows: np.ndarray) -> float:
-        return float(np.maximum(self.score[rows, -1], self.floor[rows]).min())
+    def worst(self, rows: np.ndarray) -> int:
+        return int(np.maximum(self.score[rows, -1], self.floor[rows]).min())
 
     def offer(self, rows: np.ndarray, scores: np.ndarray, ids: np.ndarray) -> None:
         score = np.concatenate([self.score[rows], scores], axis=1)
         own = np.concatenate([self.ids[rows], np.broadcast_to(ids, scores.shape)], axis=1)
-        own[np.isneginf(score)] = np.iinfo(np.int64).max
-        order = np.lexsort((own, -score), axis=1)[:, : self.k]
+        own[score == NONE] = np.iinfo(np.int64).max
+        # the largest number is -1 - (the least one); no negation leaves 64 bits
+        order = np.lexsort((own, -1 - score), axis=1)[:, : self.k]
+        self.scored += scores.size
         self.score[rows] = np.take_along_axis(score, order, axis=1)
         self.ids[rows] = np.take_along_axis(own, order, axis=1)
 
@@ -125,7 +150,8 @@ def dual_search(queries: CoverTree, data: CoverTree, query_ids: np.ndarray, data
         inner = centers[d] @ queries.x[queries.center[q]]
         r, s = queries.radius[q], data.radius[d]
         # rounding may not make a bound too small
-        return (inner + queries.norm[q] * s + data.norm[d] * r + r * s) * (1 + 1e-9 * np.sign(inner)) + 1e-6
+        slack = 1e-9 * (queries.norm[q] + r) * (data.norm[d] + s) + 1
+        return inner + queries.norm[q] * s + data.norm[d] * r + r * s + slack
 
     centers = data.x[data.center]
     stack = [(0, np.zeros(1, np.int64))]  # a query node and the data nodes it still has to see
@@ -152,8 +178,8 @@ def dual_search(queries: CoverTree, data: CoverTree, query_ids: np.ndarray, data
             if limit[at] < best.worst(rows):
                 break
             points = np.concatenate([data.points[d] for d in leaves[at: at + 64]])
-            scores = queries.x[rows] @ data.x[points].T
-            scores[query_ids[rows][:, None] == data_ids[points][None, :]] = -np.inf
+            scores = exact_scores(queries.x[rows], data.x[points])
+            scores[query_ids[rows][:, None] == data_ids[points][None, :]] = NONE
             best.offer(rows, scores, data_ids[points])
 
 
@@ -179,7 +205,8 @@ def top_k(vectors: DataFrame, every: int = 50, search: Search = Search()) -> Dat
     rows.  Vectors that are null, empty, or hold null or non-finite components
     and rows without an id take no part; of rows that repeat an id, equal ones
     count once and unequal ones each.  Vectors of another dimension than the
-    query's are no candidates of it.  Other columns are not read.
+    query's are no candidates of it.  Other columns are not read.  Vectors so
+    long that a score may leave 62 bits raise.
     """
     rows = store(whole_vectors(vectors).distinct().withColumn("dim", F.size("v")), "vectors")
     asking = rows.where(F.col("vec_id") % every == 0)
@@ -206,15 +233,15 @@ def top_k(vectors: DataFrame, every: int = 50, search: Search = Search()) -> Dat
         out = [np.empty(0, np.int64)] * 3
         if len(qi) and len(di):
             known_ids, known = shared.value.get(key[0].as_py(), (np.empty(0, np.int64), np.empty((0, x.shape[1]))))
-            floor = np.full(len(qi), -np.inf)
+            floor = np.full(len(qi), NONE)
             if len(known_ids) > search.k:
-                scores = qx @ known.T
-                scores[qi[:, None] == known_ids[None, :]] = -np.inf
+                scores = exact_scores(qx, known)
+                scores[qi[:, None] == known_ids[None, :]] = NONE
                 floor = np.partition(scores, -search.k, axis=1)[:, -search.k]
             best = BestK(len(qi), search.k, floor)
             dual_search(CoverTree(qx, search.leaf, search.shrink), CoverTree(dx, search.leaf, search.shrink), qi, di, best)
-            found = ~np.isneginf(best.score)
-            out = [np.repeat(qi, search.k).reshape(best.ids.shape)[found], best.ids[found], best.score[found].astype(np.int64)]
+            found = best.score != NONE
+            out = [np.repeat(qi, search.k).reshape(best.ids.shape)[found], best.ids[found], best.score[found]]
         return pa.table(dict(zip(("query_id", "vec_id", "score"), map(pa.array, out))))
 
     found = q.unionByName(d).groupBy("dim", "qb", "db").applyInArrow(run, SCHEMA)
