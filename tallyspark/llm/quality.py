@@ -5,8 +5,9 @@ go into quantile sketches per (lang, source, rate).  A sketch is a histogram
 over buckets of about one per cent width, kept as rows ``bucket, n``: merging is
 adding, so Spark builds it with map-side partial sums, a hot source is no hot
 task, and the result does not depend on the order.  A group with few documents
-uses the merged sketch of its language, then that of all documents.  A rate is
-out of line beyond ``q75 + reach * spread`` (word length also below
+uses the merged sketch of its language, then that of all documents, and no group
+may reach beyond its language: one that is mostly junk cannot widen its own
+limits.  A rate is out of line beyond ``q75 + reach * spread`` (word length also below
 ``q25 - reach * spread``), the spread being q75 - q25 or a stated least width.
 """
 
@@ -116,7 +117,8 @@ def sketches(measured: DataFrame) -> DataFrame:
 
 def thresholds(sketch: DataFrame, rules: QualityRules = RULES) -> DataFrame:
     """``lang, source`` and for every rate ``<rate>_low, <rate>_high``: of the
-    group itself, of its language or of all, by ``min_group``."""
+    group itself, of its language or of all, by ``min_group``; a group's own
+    lie within its language's."""
     def merged(keys: list[str]) -> DataFrame:
         rows = sketch.groupBy(*keys, "rate", "bucket").agg(F.sum("n").alias("n"))
         group = Window.partitionBy(*keys, "rate")
@@ -139,7 +141,8 @@ def thresholds(sketch: DataFrame, rules: QualityRules = RULES) -> DataFrame:
                                       *[F.col(c).alias(f"l_{c}") for c in names])
     overall = merged([]).first()  # one row
     joined = own.join(by_lang, F.col("lang").eqNullSafe(F.col("l")))
-    pick = lambda c: (F.when(F.col("total") >= rules.min_group, F.col(c))
+    inside = lambda c: (F.least if c.endswith("_high") else F.greatest)(F.col(c), F.col(f"l_{c}"))
+    pick = lambda c: (F.when(F.col("total") >= rules.min_group, inside(c))
                       .when(F.col("l_total") >= rules.min_group, F.col(f"l_{c}"))
                       .otherwise(F.lit(overall[c] if overall else None).cast("bigint")))
     return joined.select("lang", "source", *[pick(c).alias(c) for c in names])
