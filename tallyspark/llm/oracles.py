@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from .chat import CHAT
 from .lines import MIN_CHARS, MIN_DOCS
 from .quality import RATES, RULES
 from .queries import BLOCKED_HOSTS, URL_RULES
@@ -27,6 +28,9 @@ FROM p LEFT JOIN best USING (rid) LEFT JOIN spam USING (rid)"""
 
 _ESCAPES = r"len(regexp_extract_all({x}, '<\\*\|'))"
 _ROLE = r"replace(replace(role, '\', '\\'), chr(10), '\n')"
+_STEPS = " ".join(f"WHEN '{state}:{role}' THEN '{to}'" for state, rules in CHAT.order.items() for role, to in rules.items())
+_STATE = (f"list_reduce(list_prepend('{CHAT.start}', roles), "
+          f"lambda state, role: CASE state || ':' || role {_STEPS} ELSE 'error' END)")
 _CHAT = f"""
 WITH t AS (
     SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
@@ -36,11 +40,13 @@ c AS (
     SELECT conv_id, count(*) AS n_turns,
            string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text) AS turns,
            coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), '') AS loss,
+           list(role ORDER BY turn NULLS FIRST, role, text) AS roles,
            sum(12 + length({_ROLE}) + {_ESCAPES.format(x=_ROLE)} + 1
                + length(text) + {_ESCAPES.format(x='text')} + 11) AS formatted_chars
     FROM t GROUP BY conv_id)
 SELECT conv_id, n_turns, sha256(turns) AS turns_sha256, length(loss) AS loss_chars, sha256(loss) AS loss_sha256,
-       CAST(formatted_chars AS BIGINT) AS formatted_chars FROM c"""
+       CAST(formatted_chars AS BIGINT) AS formatted_chars, {_STATE} AS final_state,
+       {_STATE} IN ({", ".join(f"'{a}'" for a in CHAT.accept)}) AS valid FROM c"""
 
 _LINES = rf"""
 WITH d AS (SELECT row_number() OVER () AS rid, doc_id, string_split(coalesce(text, ''), chr(10)) AS l FROM documents),
@@ -110,9 +116,9 @@ bad AS (SELECT DISTINCT rid FROM rated
                  AND rated.rate = own.rate
         JOIN by_lang ON rated.lang IS NOT DISTINCT FROM by_lang.lang AND rated.rate = by_lang.rate
         JOIN overall ON rated.rate = overall.rate
-        WHERE v > CASE WHEN own.total >= {RULES.min_group} THEN own.high
+        WHERE v > CASE WHEN own.total >= {RULES.min_group} THEN least(own.high, by_lang.high)
                        WHEN by_lang.total >= {RULES.min_group} THEN by_lang.high ELSE overall.high END
-           OR (rated.rate = 'word_length' AND v < CASE WHEN own.total >= {RULES.min_group} THEN own.low
+           OR (rated.rate = 'word_length' AND v < CASE WHEN own.total >= {RULES.min_group} THEN greatest(own.low, by_lang.low)
                        WHEN by_lang.total >= {RULES.min_group} THEN by_lang.low ELSE overall.low END))
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
        NOT base_failed AND bad.rid IS NULL AS kept FROM j LEFT JOIN bad USING (rid)"""

@@ -57,7 +57,7 @@ def op5_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(joined.cast("binary"), 256).alias("turns_sha256"),
         F.length("loss_text").cast("bigint").alias("loss_chars"),
         F.sha2(F.col("loss_text").cast("binary"), 256).alias("loss_sha256"),
-        F.length("formatted").cast("bigint").alias("formatted_chars"))
+        F.length("formatted").cast("bigint").alias("formatted_chars"), "final_state", "valid")
 
 
 def op6_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -4,6 +4,7 @@ empty and long texts, ties, repeated rows and columns of clashing names."""
 import base64
 import collections
 import hashlib
+import math
 import random
 import re
 import zlib
@@ -15,7 +16,7 @@ import tiktoken
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from tallyspark.llm import bpe, chat, extract, lines, neardup, packing, quality, search, toxicity, urls
+from tallyspark.llm import bpe, chat, extract, lines, neardup, packing, quality, queries, search, toxicity, urls
 from tallyspark.llm.components import components
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -390,7 +391,7 @@ def test_packing_of_long_white_space(spark):
 
 
 def test_registered_packing_has_the_ids_of_the_tokenizer_file(spark, docs, monkeypatch):
-    from tallyspark.llm import queries
+
     hf = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
     assert hf.encode("a <|endoftext|> b", add_special_tokens=False).ids == [64, 220, 50256, 275]
     more = ["a <|endoftext|> b", " <|endoftext|>\n\n<|endoftext|><|endoftext|>x", "<|endoftext|>", "<|endoftext|", "a  <|endoftext|>  's"]
@@ -546,3 +547,74 @@ def test_toxicity_of_long_texts(spark):
     few = np.frombuffer(b"".join(t.encode() for _, t in rows[:50]), np.uint8)
     at = np.cumsum([0, *[len(t.encode()) for _, t in rows[:50]]])
     assert np.array_equal(whole.scores(few, at), model.scores(few, at))
+
+
+@pytest.mark.parametrize("size", [1.0, 3e4, 3e5, 6e5])
+def test_scores_are_exact_or_refused(spark, size):
+    rng = np.random.default_rng(3)
+    rows = [(i, [float(x) for x in rng.normal(size=4) * size + (i % 7) * 1e-3]) for i in range(120)]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    whole = [[math.floor(256 * x) for x in v] for _, v in rows]
+    want = []
+    for q in range(0, 120, 50):
+        scores = sorted((-sum(a * b for a, b in zip(whole[q], whole[d])), d) for d in range(120) if d != q)[:5]
+        want += [(q, n + 1, d, -s) for n, (s, d) in enumerate(scores)]
+    assert sorted(map(tuple, search.top_k(df).collect())) == want
+
+
+def test_scores_beyond_64_bits_raise(spark):
+    rows = [(i, [3e8 + i, -3e8]) for i in range(60)]
+    with pytest.raises(Exception, match="beyond 62 bits"):
+        search.top_k(spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")).collect()
+    assert search.exact_scores(np.array([[2.0 ** 30, 1]]), np.array([[2.0 ** 30, 3]])).tolist() == [[2 ** 60 + 3]]
+
+
+def scored_share(x, asked):
+    ids = np.arange(len(x))
+    exact = search.exact_scores(x[asked], x)
+    exact[np.arange(len(asked)), asked] = search.NONE
+    best = search.BestK(len(asked), 5, np.full(len(asked), search.NONE))
+    s = search.Search()
+    search.dual_search(search.CoverTree(x[asked], s.leaf, s.shrink), search.CoverTree(x, s.leaf, s.shrink), asked, ids, best)
+    assert (np.sort(best.score) == np.sort(np.partition(exact, -5, axis=1)[:, -5:])).all()
+    return best.scored / (len(asked) * len(x))
+
+
+def test_clusters_are_pruned_and_independent_directions_are_not(spark):
+    rng = np.random.default_rng(5)
+    centres = rng.normal(size=(60, 64))
+    centres *= 256 / np.linalg.norm(centres, axis=1)[:, None]
+    clustered = np.floor(centres[rng.integers(0, 60, 4000)] + rng.normal(size=(4000, 64)) * 2)
+    share = scored_share(clustered, np.arange(0, 4000, 50))
+    rows = search.whole_vectors(spark.read.parquet("/root/testdata/sf0.01/embeddings.parquet")).collect()
+    given = np.array([r.v for r in sorted(rows, key=lambda r: r.vec_id)])
+    given_share = scored_share(given, np.arange(0, len(given), 50))
+    print(f"scored: clusters {share:.3f}, the provided vectors {given_share:.3f}")
+    assert share < 0.3
+
+
+def test_a_group_of_junk_cannot_widen_its_own_limits(spark):
+    """30 and 40% junk in one group of a language with clean ones."""
+    rng = random.Random(2)
+    for percent in (30, 40):
+        rows, junk = [], set()
+        for i in range(1500):
+            dirty = i < 500 and i % 100 < percent
+            words = [f"w{rng.randrange(3000)}" + ("%%" if dirty and rng.random() < 0.5 else "") for _ in range(80)]
+            rows.append((i, " ".join(words), "en", "dirty" if i < 500 else f"clean{i % 3}"))
+            junk |= {i} if dirty else set()
+        df = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string")
+        gone = {r.doc_id for r in quality.judge_quality(df, keep_text=False).where("not kept").select("row.doc_id").collect()}
+        assert gone == junk, percent
+
+
+def test_chat_query_runs_its_machine(spark):
+    df = queries.op5_chat_formatting(spark, "/root/testdata/sf0.001")
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert "instructed" in plan and "answered" in plan and "InArrow" not in plan
+    got = {r.conv_id: (r.final_state, r.valid) for r in df.collect()}
+    assert got[-1] == ("answered", True)
+    bad = spark.createDataFrame([(1, 0, "assistant", "x"), (2, 0, "system", "x"), (3, 0, "user", "x")],
+                                "conv_id bigint, turn bigint, role string, text string")
+    states = {r.conv_id: (r.final_state, r.valid) for r in chat.format_chat(bad).collect()}
+    assert states == {1: ("error", False), 2: ("instructed", False), 3: ("asked", True)}
