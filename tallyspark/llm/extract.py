@@ -11,6 +11,7 @@ that is no page furniture is kept, in page order.
 from __future__ import annotations
 
 import html as entities
+import collections
 import re
 from collections.abc import Iterator
 
@@ -55,12 +56,15 @@ SEMANTIC, NAMED, RISE, SIBLING = 25.0, 10.0, 0.5, 0.2
 
 
 class Element:
-    __slots__ = ("tag", "parent", "junk", "good", "points", "chars", "links", "order")
+    __slots__ = ("tag", "parent", "junk", "good", "points", "chars", "links", "order", "article", "kept")
 
     def __init__(self, tag, parent, junk=False, good=0.0):
         self.tag, self.parent, self.junk, self.good = tag, parent, junk, good
         self.points = self.chars = self.links = 0
         self.order = 0
+        # whether it is, or lies in, an article; whether it belongs to the result
+        self.article = tag in ("article", "main") or (parent is not None and parent.article)
+        self.kept = False
 
 
 def _words(attributes: str) -> tuple[frozenset[str], dict[str, str]]:
@@ -75,7 +79,7 @@ def _words(attributes: str) -> tuple[frozenset[str], dict[str, str]]:
 
 
 def _opened(tag: str, attributes: str, parent: Element) -> Element:
-    inside = any(e.tag in ("article", "main") for e in _up(parent))
+    inside = parent.article
     words, found = _words(attributes) if attributes.strip() else (frozenset(), {})
     junk = parent.junk or tag in JUNK_TAGS or (tag == "header" and not inside)
     if found and not junk and tag not in ("html", "body"):
@@ -104,6 +108,7 @@ def text_blocks(page: str) -> tuple[list[tuple[Element, str]], list[Element]]:
     root = Element("#page", None)
     elements, blocks = [root], []
     here, in_link = root, 0
+    is_open = collections.Counter()  # tags of ``here`` and around it
     parts: list[str] = []
     linked = 0
 
@@ -117,6 +122,14 @@ def text_blocks(page: str) -> tuple[list[tuple[Element, str]], list[Element]]:
                 here.links += min(len(text), linked)
         parts, linked = [], 0
 
+    def leave(element: Element) -> None:
+        """Close everything up to ``element`` and itself."""
+        nonlocal here
+        stop = element.parent
+        while here is not stop:
+            is_open[here.tag] -= 1
+            here = here.parent
+
     at, end = 0, len(page)
     while at < end:
         m = _NODE.search(page, at)
@@ -147,21 +160,21 @@ def text_blocks(page: str) -> tuple[list[tuple[Element, str]], list[Element]]:
             flush()
             in_link = 0
             if closing:
-                found = next((e for e in _up(here) if e.tag == tag), None)
-                if found is not None and found.parent is not None:
-                    here = found.parent
+                if is_open[tag] > 0:
+                    leave(next(e for e in _up(here) if e.tag == tag))
                 continue
             if tag == "hr":
                 continue
             if here.tag == "p":
-                here = here.parent
+                leave(here)
             for old in CLOSES.get(tag, ()):
-                found = next((e for e in _until(here, LISTS) if e.tag == old), None)
+                found = next((e for e in _until(here, LISTS) if e.tag == old), None) if is_open[old] > 0 else None
                 if found is not None:
-                    here = found.parent
-            if tag in ("html", "body") and any(e.tag == tag for e in _up(here)):
+                    leave(found)
+            if tag in ("html", "body") and is_open[tag] > 0:
                 continue
             here = _opened(tag, attributes, here)
+            is_open[tag] += 1
             here.order = len(elements)
             elements.append(here)
     flush()
@@ -182,18 +195,16 @@ def main_text(page: str | None) -> tuple[str, int, str]:
     blocks, elements = text_blocks(page)
     if not blocks:
         return "", 0, ""
-    for element in reversed(elements):  # children come after their parents
-        if element.parent is not None:
-            element.parent.chars += element.chars
-            element.parent.links += element.links
     for element, text in blocks:
         points = min(len(text) / 100, 3.0) + len(_COMMAS.findall(text)) + (len(text) >= 25)
         # a paragraph's points go to what holds it
         holder = element.parent if element.tag in ("p", "li", "td", "pre", "h1", "h2", "h3", "h4", "h5", "h6") else element
-        share = 1.0
-        for e in _up(holder if holder is not None else element):
-            e.points += points * share
-            share *= RISE
+        (holder if holder is not None else element).points += points
+    for element in reversed(elements):  # children come after their parents
+        if element.parent is not None:
+            element.parent.chars += element.chars
+            element.parent.links += element.links
+            element.parent.points += RISE * element.points
 
     def score(e: Element) -> float:
         return (e.points + e.good) * (1 - e.links / e.chars) if e.chars else 0.0
@@ -212,7 +223,9 @@ def main_text(page: str | None) -> tuple[str, int, str]:
     elif best.tag in ("article", "main"):
         kept |= {e for e in elements if e.parent is best.parent and e.tag == best.tag and not e.junk
                  and score(e) >= SIBLING * top}
-    out = [text for e, text in blocks if any(x in kept for x in _up(e))]
+    for e in elements:
+        e.kept = e in kept or (e.parent is not None and e.parent.kept)
+    out = [text for e, text in blocks if e.kept]
     return "\n".join(out), len(out), best.tag
 
 
