@@ -64,8 +64,9 @@ def _of_json(path: str) -> tuple[dict[bytes, int], dict[str, int]]:
 
 #: characters of white space in a row beyond which the pattern's look-ahead runs out of stack
 _LONG_GAP = 20_000
+_SPACES = "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 #: what the pattern's \\s matches (Python's own has U+001C to U+001F besides)
-_GAPS = re.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+")
+_GAPS = re.compile(f"[{_SPACES}]+")
 
 
 class Encoder:
@@ -83,7 +84,9 @@ class Encoder:
         self._added = re.compile("(" + "|".join(map(re.escape, special)) + ")") if special else None
 
     def ids(self, text: str) -> list[int]:
-        if len(text) < _LONG_GAP or not any(len(m[0]) >= _LONG_GAP for m in _GAPS.finditer(text)):
+        # a long run holds one of the blocks of half its length
+        half = _LONG_GAP // 2
+        if not any(not text[i: i + half].strip(_SPACES) for i in range(0, len(text) - half + 1, half)):
             return self._matches.encode(text, allowed_special="all")
         out: list[int] = []
         for part in self._added.split(text) if self._added else [text]:
