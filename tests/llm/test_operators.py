@@ -7,6 +7,7 @@ import hashlib
 import math
 import random
 import re
+import time
 import zlib
 
 import numpy as np
@@ -618,3 +619,12 @@ def test_chat_query_runs_its_machine(spark):
                                 "conv_id bigint, turn bigint, role string, text string")
     states = {r.conv_id: (r.final_state, r.valid) for r in chat.format_chat(bad).collect()}
     assert states == {1: ("error", False), 2: ("instructed", False), 3: ("asked", True)}
+
+
+@pytest.mark.parametrize("page,chars", [
+    ("<div><p>text, more " * 50_000, 50_000 * 11 - 1), ("<div>" * 50_000 + "text, here" + "</div>" * 50_000, 10),
+    ("<div>" * 50_000 + "</section>" * 50_000 + "end", 3), ("<ul><li>" + "<div>" * 50_000 + "<li>a" * 50_000, 50_000 * 2 - 1)])
+def test_deep_pages_take_time_in_proportion(page, chars):
+    start = time.monotonic()
+    assert len(extract.main_text(page)[0]) == chars
+    assert time.monotonic() - start < 20
