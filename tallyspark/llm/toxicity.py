@@ -1,17 +1,25 @@
 """Character n-gram classifier with naive Bayes scaled features.
 
-Features are the byte n-grams (n from a parameter) of the lower-cased text
-with each run of white space as one space, known by their 64-bit hashes; a
-text has a feature or not.  Each feature is scaled by its log-count
-ratio ``log((p + a) / |p|) - log((q + a) / |q|)`` of the toxic and the other
-labelled texts, and a logistic regression is fitted on the scaled features.
+Features are the n-grams of characters (code points, n from a parameter) of the
+lower-cased text with each run of white space as one space, known by their
+64-bit hashes.  The unit of training and of scoring is a window: a text is cut
+into windows that cover all of it, each half over the next, and one of up to a
+window's length is one window.  A window has a feature or not.  Each feature is
+scaled by its log-count ratio ``log((p + a) / |p|) - log((q + a) / |q|)`` of the
+toxic and the other training windows, and a logistic regression is fitted on the
+scaled features.  A toxic text need not be toxic all over: after a first fit the
+model is fitted again with only the highest window of each toxic text.
+
+A text's score is that of its highest window, less what the highest of so many
+clean windows gains by chance: the log of their number times the scale of the
+upper tail of clean windows, measured on the training rows by models that have
+not seen them.
 
 Training reads a bounded sample of the labelled rows (``max_training_rows``,
-those with the smallest hash of their id).  The model is at most
+those with the smallest hash of their id, ``max_training_windows`` evenly spread
+windows of each).  All n-grams of the sample are counted.  The model is at most
 ``max_features`` hashes with a weight each, so scoring is the same work for any
-corpus.  A text is scored in windows that cover all of it, each half over the
-next, and the highest decides, discounted by the number of windows: far more
-text around a passage does not hide it, and much clean text is not marked.
+corpus.
 """
 
 from __future__ import annotations
@@ -24,89 +32,155 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import mixed, row_chunks, store, utf8
+from .common import CHUNK_BYTES, mixed, row_chunks, store, utf8
 
 
 @dataclass(frozen=True)
 class Training:
-    orders: tuple[int, ...] = (4, 5, 6, 7, 8)
-    #: leading bits of a hash, its bucket: training counts buckets first, look-ups try them first
-    bits: int = 20
+    orders: tuple[int, ...] = (3, 4, 5, 6)
     smoothing: float = 1.0
-    #: features in at least so many training texts, the best of them
-    min_texts: int = 3
+    #: features in at least so many training windows, the best of them
+    min_windows: int = 3
     max_features: int = 4096
-    #: buckets whose hashes are counted each, for one feature
-    buckets_each: int = 16
-    max_training_rows: int = 20_000
+    max_training_rows: int = 12_000
+    max_training_windows: int = 16
+    #: tasks that the sample is dealt over
+    parts: int = 24
     ridge: float = 0.5
-    steps: int = 400
+    steps: int = 300
     threshold: float = 0.3
-    #: bytes of folded text a window; a text up to this is one window
-    window: int = 4096
-    #: the odds of the highest of n windows are divided by n to this power, as
-    #: chance alone raises the highest of many
-    discount: float = 0.5
+    #: characters of folded text a window, an even number
+    window: int = 2048
+    #: share of clean windows above which their margins' tail is measured
+    tail: float = 0.05
 
 
 TRAINING = Training()
-_FOLD = np.arange(256, dtype=np.uint8)
-_FOLD[ord("A"): ord("Z") + 1] += 32
-_FOLD[[9, 10, 11, 12, 13]] = 32
-_CODES = mixed(np.arange(1001, 1257, dtype=np.uint64))
-#: hashes that a training task holds before it passes on their counts
-_PENDING = 1 << 21
+#: half windows that a long text is hashed at a time
+_HALVES = 512
+#: distinct hashes that a training task holds before it passes on their counts
+_PENDING = 1 << 22
+#: code points of this prefix table hold all letters with a lower case
+_LOWER = np.arange(1 << 17, dtype=np.int32)
+for _c in range(1 << 17):
+    if len(chr(_c).lower()) == 1:
+        _LOWER[_c] = ord(chr(_c).lower())
+_LOWER[9:14] = 32
 
 
 def held_out(doc_id: Column) -> Column:
     return F.crc32(doc_id.cast("string")) % 4 == 2
 
 
-def _folded(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Every row as `` text `` in lower case with single spaces."""
+def _characters(body: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(lower-case code points of UTF-8 bytes, first character of each row that
+    begins at a byte of ``at``).  Bytes that are not UTF-8 give some number, the
+    same each time."""
+    if not len(body) or body.max() < 128:
+        return _LOWER[body], at
+    lead = (body & 0xC0) != 0x80
+    lead[at[at < len(body)]] = True
+    starts = np.flatnonzero(lead)
+    code = body[starts].astype(np.int32)
+    size = np.diff(starts, append=len(body))
+    more = np.flatnonzero(size > 1)
+    first, size = starts[more], np.minimum(size[more], 4)
+    value = code[more] & (0xFF >> (size + 1))
+    for k in (1, 2, 3):
+        has = size > k
+        value[has] = value[has] << 6 | body[first[has] + k] & 0x3F
+    code[more] = value
+    small = code < len(_LOWER)
+    code[small] = _LOWER[code[small]]
+    return code, np.searchsorted(starts, at)
+
+
+def _single_spaced(codes: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """``codes`` without spaces that follow a space, but for those at ``starts``."""
+    keep = np.ones(len(codes), bool)
+    keep[1:] = (codes[1:] != 32) | (codes[:-1] != 32)
+    keep[starts] = True
+    return codes[keep], np.concatenate([[0], np.cumsum(keep)])[starts]
+
+
+def folded(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Every row as `` text `` in lower case with single spaces, a row's last
+    space being the next one's first."""
     lo, hi = int(offsets[0]), int(offsets[-1])
+    body, at = _characters(data[lo:hi], offsets - lo)
     n = len(offsets) - 1
-    body = _FOLD[data[lo:hi]]
-    at = offsets - lo
-    # a space before each row and one at the very end
-    place = np.arange(len(body)) + np.repeat(np.arange(1, n + 1), np.diff(at))
-    padded = np.full(len(body) + n + 1, 32, np.uint8)
-    padded[place] = body
-    starts = at + np.arange(n + 1)
-    keep = np.ones(len(padded), bool)
-    keep[1:] = (padded[1:] != 32) | (padded[:-1] != 32)
-    keep[starts] = True
-    kept = np.concatenate([[0], np.cumsum(keep)])
-    return padded[keep], kept[starts]
-
-
-def feature_hashes(data: np.ndarray, offsets: np.ndarray, training: Training) -> Iterator[list[np.ndarray]]:
-    """For each row the hashes of its n-grams (with repeats), an array an
-    order, in the order of their first bytes."""
-    text, at = _folded(data, offsets)
-    codes = _CODES[text]
-    grams, rolled = [], np.zeros(len(codes), np.uint64)
-    for n in range(1, max(training.orders) + 1):
-        rolled = rolled[: len(codes) - n + 1] * np.uint64(0x9E3779B97F4A7C15) + codes[n - 1:]
-        if n in training.orders:
-            grams.append((n, (rolled ^ (rolled >> np.uint64(31))) * np.uint64(0xD6E8FEB86659FD93)))
-        if len(rolled) <= 1:
-            break
-    for i in range(len(at) - 1):
-        a, b = int(at[i]), int(at[i + 1]) + 1  # with the next row's leading space as the trailing one
-        yield [g[a: max(a, b - n + 1)] for n, g in grams]
-
-
-def _distinct(found: list[np.ndarray]) -> np.ndarray:
-    return np.unique(np.concatenate(found)) if found else np.empty(0, np.uint64)
+    padded = np.full(len(body) + n + 1, 32, np.int32)
+    padded[np.arange(len(body)) + np.repeat(np.arange(1, n + 1), np.diff(at))] = body
+    return _single_spaced(padded, at + np.arange(n + 1))
+
+
+@dataclass(frozen=True)
+class Piece:
+    """Some rows, or a stretch of one long row with whole half windows."""
+    row: int  # number of the first row
+    codes: np.ndarray
+    at: np.ndarray  # rows' first characters and the end of the last
+    ends: np.ndarray  # where the n-grams of each row end at the latest
+    windows: np.ndarray  # of each row
+
+
+def _piece(row: int, codes: np.ndarray, at: np.ndarray, ends: np.ndarray, training: Training) -> Piece:
+    # window k is the halves k and k + 1
+    halves = -(-np.diff(at) // (training.window // 2))
+    return Piece(row, codes, at, ends, np.maximum(halves - 1, 1))
+
+
+def pieces(data: np.ndarray, offsets: np.ndarray, training: Training, chunk: int = CHUNK_BYTES) -> Iterator[Piece]:
+    half, reach = training.window // 2, max(training.orders)
+    for a, b in row_chunks(offsets, chunk):
+        lo, hi = int(offsets[a]), int(offsets[b])
+        if hi - lo <= chunk:
+            codes, at = folded(data, offsets[a: b + 1])
+            yield _piece(a, codes, at, at[1:] + 1, training)
+            continue
+        held = np.array([32], np.int32)
+        while lo < hi:
+            stop = min(lo + chunk, hi)
+            for _ in range(3):
+                if stop < hi and data[stop] & 0xC0 == 0x80 and stop > lo + 1:
+                    stop -= 1
+            body, _ = _characters(data[lo:stop], np.zeros(1, np.int64))
+            held, _ = _single_spaced(np.concatenate([held, body]), np.zeros(1, np.int64))
+            lo = stop
+            while len(held) > _HALVES * half + reach:
+                own = _HALVES * half
+                codes = held[: own + reach]
+                yield _piece(a, codes, np.array([0, own]), np.array([len(codes)]), training)
+                # the last half is the first of the next window
+                held = held[own - half:]
+        codes = np.append(held, np.int32(32))
+        yield _piece(a, codes, np.array([0, len(held)]), np.array([len(codes)]), training)
+
+
+def hashes_of(codes: np.ndarray, orders: tuple[int, ...]) -> Iterator[tuple[int, np.ndarray]]:
+    """(n, hashes of the n-grams by their first character), orders rising."""
+    mix = mixed(codes.astype(np.uint64) + np.uint64(1))
+    rolled = np.zeros(len(mix), np.uint64)
+    for n in range(1, min(max(orders), len(mix)) + 1):
+        rolled = rolled[: len(mix) - n + 1] * np.uint64(0x9E3779B97F4A7C15) + mix[n - 1:]
+        if n in orders:
+            yield n, (rolled ^ (rolled >> np.uint64(31))) * np.uint64(0xD6E8FEB86659FD93)
+
+
+def _distinct_pairs(unit: np.ndarray, what: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    order = np.lexsort((what, unit))
+    unit, what = unit[order], what[order]
+    new = np.ones(len(unit), bool)
+    new[1:] = (unit[1:] != unit[:-1]) | (what[1:] != what[:-1])
+    return unit[new], what[new]
 
 
 class Chosen:
     """Looks hashes up among the sorted ``hashes`` of a model."""
 
-    def __init__(self, hashes: np.ndarray, bits: int) -> None:
-        self.hashes, self.shift = hashes, np.uint64(64 - bits)
-        self.maybe = np.zeros(1 << bits, bool)
+    def __init__(self, hashes: np.ndarray) -> None:
+        self.hashes, self.shift = hashes, np.uint64(64 - 20)
+        self.maybe = np.zeros(1 << 20, bool)
         self.maybe[hashes >> self.shift] = True
 
     def find(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -118,6 +192,27 @@ class Chosen:
         same = self.hashes[number] == ids[at]
         return at[same], number[same]
 
+    def windows_of(self, piece: Piece, training: Training) -> tuple[np.ndarray, np.ndarray]:
+        """(window, feature) of each chosen n-gram in a piece, each pair once;
+        windows are numbered through the piece's rows."""
+        half, first = training.window // 2, np.cumsum(piece.windows) - piece.windows
+        units, numbers = [], []
+        for n, ids in hashes_of(piece.codes, training.orders):
+            pos, number = self.find(ids)
+            row = np.searchsorted(piece.at, pos, side="right") - 1
+            own = row < len(piece.windows)
+            own[own] = pos[own] + n <= piece.ends[row[own]]
+            pos, number, row = pos[own], number[own], row[own]
+            part = (pos - piece.at[row]) // half
+            for k in (np.minimum(part, piece.windows[row] - 1), np.maximum(part - 1, 0)):
+                units.append(first[row] + k)
+                numbers.append(number)
+        if not units:
+            return np.empty(0, np.int64), np.empty(0, np.int64)
+        m = max(len(self.hashes), 1)
+        key = np.unique(np.concatenate(units) * m + np.concatenate(numbers))
+        return key // m, key % m
+
 
 def _texts(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string"))
@@ -126,150 +221,204 @@ def _texts(docs: DataFrame) -> DataFrame:
 @dataclass(frozen=True)
 class Model:
     features: np.ndarray  # hashes, uint64, rising
-    weights: np.ndarray  # of each feature, float32
+    ratios: np.ndarray  # log-count ratio of each feature
+    weights: np.ndarray  # of each feature, with its ratio
     bias: float
+    #: taken off the highest margin of n windows, times log(n)
+    discount: float
     training: Training
 
-    def scores(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-        out = np.empty(len(offsets) - 1)
-        chosen = Chosen(self.features, self.training.bits)
-        half, m = self.training.window // 2, len(self.features)
-        for i, found in enumerate(feature_hashes(data, offsets, self.training)):
-            hits = [chosen.find(ids) for ids in found]
-            # window k is the halves k and k + 1
-            windows = max(1, -(-len(found[0]) // half) - 1) if found else 1
-            part = np.concatenate([at // half for at, _ in hits] or [np.empty(0, np.int64)])
-            number = np.concatenate([n for _, n in hits] or [np.empty(0, np.int64)])
-            key = np.concatenate([np.minimum(part, windows - 1) * m + number, np.maximum(part - 1, 0) * m + number])
-            key = np.unique(key)
-            out[i] = np.bincount(key // max(m, 1), self.weights[key % max(m, 1)].astype(np.float64), windows).max()
-            out[i] -= self.training.discount * np.log(windows)
-        return 1 / (1 + np.exp(-np.clip(out + self.bias, -35, 35)))
+    def scores(self, data: np.ndarray, offsets: np.ndarray, chunk: int = CHUNK_BYTES) -> np.ndarray:
+        n = len(offsets) - 1
+        highest, windows = np.full(n, -np.inf), np.zeros(n, np.int64)
+        chosen = Chosen(self.features)
+        for piece in pieces(data, offsets, self.training, chunk):
+            unit, number = chosen.windows_of(piece, self.training)
+            margin = np.bincount(unit, self.weights[number], int(piece.windows.sum()))
+            rows = slice(piece.row, piece.row + len(piece.windows))
+            most = np.maximum.reduceat(margin, np.cumsum(piece.windows) - piece.windows)
+            highest[rows] = np.maximum(highest[rows], most)
+            windows[rows] += piece.windows
+        margin = highest + self.bias - self.discount * np.log(np.maximum(windows, 1))
+        return 1 / (1 + np.exp(-np.clip(margin, -35, 35)))
 
 
-def fit(docs: DataFrame, labels: DataFrame, training: Training = TRAINING, label: str = "toxic") -> Model:
-    """A model of ``label`` from the rows of ``labels`` that are not held out.
+def sampled(docs: DataFrame, labels: DataFrame, training: Training = TRAINING, label: str = "toxic") -> DataFrame:
+    """``id, y, text`` of the training rows: labelled and not held out.
 
     Rows without an id, a 0/1 label or a document are left out; of labels that
-    contradict each other the larger counts; of rows with one id the
-    least text counts.  Without rows of both labels every text scores the share of ones.
+    contradict each other the larger counts; of rows with one id the least text.
     """
-    spark = docs.sparkSession
     marked = labels.where(F.col(label).isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id"))).groupBy(
         F.col("doc_id").cast("bigint").alias("id")).agg(F.max(label).cast("int").alias("y"))
     marked = marked.orderBy(F.xxhash64("id"), "id").limit(training.max_training_rows)
     # at most max_training_rows rows of two numbers
-    chosen = F.broadcast(marked)
+    joined = _texts(docs).join(F.broadcast(marked), F.col("doc_id") == F.col("id"))
     # one row an id, so that repeated rows don't pass the bound
-    sample = store(_texts(docs).join(chosen, F.col("doc_id") == F.col("id")).groupBy("id").agg(
-        F.max("y").alias("y"), F.min("text").alias("text")).select("y", "text"), "toxicity-sample")
+    return joined.repartition(training.parts, "id").groupBy("id").agg(
+        F.max("y").alias("y"), F.min("text").alias("text"))
+
+
+def _training_windows(batches: Iterator[pa.RecordBatch], training: Training) -> Iterator[tuple[int, int, int, Piece]]:
+    """(id, y, number, piece) of each training window, as a piece of its own."""
+    half, reach = training.window // 2, max(training.orders)
+    for batch in batches:
+        data, offsets = utf8(batch.column(2))
+        ids, y = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+        total = np.zeros(len(ids), np.int64)
+        for piece in pieces(data, offsets, training):
+            total[piece.row: piece.row + len(piece.windows)] += piece.windows
+        begun = np.zeros(len(ids), np.int64)
+        for piece in pieces(data, offsets, training):
+            for i, windows in enumerate(piece.windows.tolist()):
+                row = piece.row + i
+                most = min(int(total[row]), training.max_training_windows)
+                wanted = np.arange(most) * int(total[row]) // most
+                for k in wanted[(wanted >= begun[row]) & (wanted < begun[row] + windows)].tolist():
+                    a = int(piece.at[i]) + (k - int(begun[row])) * half
+                    own = min(2 * half, int(piece.at[i + 1]) - a)
+                    codes = piece.codes[a: min(a + own + reach, int(piece.ends[i]))]
+                    yield int(ids[row]), int(y[row]), k, Piece(
+                        0, codes, np.array([0, own]), np.array([len(codes)]), np.ones(1, np.int64))
+                begun[row] += windows
+
+
+def _grams(piece: Piece, training: Training) -> np.ndarray:
+    own = int(piece.at[1])
+    found = [ids[:own] for _, ids in hashes_of(piece.codes, training.orders)]
+    return np.unique(np.concatenate(found)) if found else np.empty(0, np.uint64)
 
-    def features(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, np.ndarray]]:
-        for batch in batches:
-            data, offsets = utf8(batch.column(1))
-            y = batch.column(0).to_numpy()
-            for a, b in row_chunks(offsets):
-                for i, found in enumerate(feature_hashes(data, offsets[a: b + 1], training)):
-                    yield int(y[a + i]), _distinct(found)
-
-    shift = np.uint64(64 - training.bits)
-
-    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        both = np.zeros((2, 1 << training.bits), np.int64)
-        for y, ids in features(batches):
-            both[y, np.unique(ids >> shift)] += 1
-        seen = np.flatnonzero(both.any(axis=0))
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(seen, pa.int64()), pa.array(both[1, seen]), pa.array(both[0, seen])], ["feature", "p", "q"])
 
-    def counted_whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        net = within.value
-        pending: tuple[list[np.ndarray], list[np.ndarray]] = ([], [])
+def counted(sample: DataFrame, training: Training = TRAINING) -> DataFrame:
+    """``feature, p, q``: windows of the toxic and of the other training texts
+    with each n-gram that ``min_windows`` of them have; feature null: all windows."""
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: tuple[list[np.ndarray], list[np.ndarray]] = ([], [])
+        n = [0, 0]
 
         def counts() -> Iterator[pa.RecordBatch]:
-            for y, found in enumerate(pending):
+            for y, found in enumerate(held):
                 if found:
-                    seen, n = np.unique(np.concatenate(found), return_counts=True)
+                    seen, times = np.unique(np.concatenate(found), return_counts=True)
                     found.clear()
-                    both = [np.zeros_like(n), n]
+                    both = [np.zeros_like(times), times]
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(seen.view(np.int64)), pa.array(both[y]), pa.array(both[1 - y])], ["feature", "p", "q"])
 
-        held = 0
-        for y, ids in features(batches):
-            pending[y].append(ids[net[ids >> shift]])
-            held += len(pending[y][-1])
-            if held >= _PENDING:
+        pending = 0
+        for _, y, _, piece in _training_windows(batches, training):
+            n[y] += 1
+            held[y].append(_grams(piece, training))
+            pending += len(held[y][-1])
+            if pending >= _PENDING:
                 yield from counts()
-                held = 0
+                pending = 0
         yield from counts()
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([None], pa.int64()), pa.array([n[1]], pa.int64()), pa.array([n[0]], pa.int64())], ["feature", "p", "q"])
+
+    return sample.mapInArrow(count, "feature bigint, p bigint, q bigint").groupBy("feature").agg(
+        F.sum("p").alias("p"), F.sum("q").alias("q")).where(
+        F.col("feature").isNull() | (F.col("p") + F.col("q") >= training.min_windows))
+
 
-    totals = {r.y: r.n for r in sample.groupBy("y").agg(F.count("*").alias("n")).collect()}
-    n_p, n_q = totals.get(1, 0), totals.get(0, 0)
+def fit(docs: DataFrame, labels: DataFrame, training: Training = TRAINING, label: str = "toxic") -> Model:
+    """A model of ``label`` from the rows of ``labels`` that are not held out
+    (see :func:`sampled`).  Without rows of both labels every text scores the
+    share of ones."""
+    sample = store(sampled(docs, labels, training, label), "toxicity-sample")
+    counts = store(counted(sample, training), "toxicity-counts")
+    # one row
+    total = counts.where("feature is null").first()
+    n_p, n_q = (total.p, total.q) if total else (0, 0)
     if not n_p or not n_q:
         share = n_p / (n_p + n_q) if n_p + n_q else 0.0
-        return Model(np.empty(0, np.uint64), np.empty(0, np.float32),
-                     float(np.log((share + 1e-6) / (1 - share + 1e-6))), training)
+        return Model(np.empty(0, np.uint64), np.empty(0), np.empty(0),
+                     float(np.log((share + 1e-6) / (1 - share + 1e-6))), 0.0, training)
     a = training.smoothing
-
-    def best_of(counting, n: int) -> list:
-        counts = sample.mapInArrow(counting, "feature bigint, p bigint, q bigint").groupBy("feature").agg(
-            F.sum("p").alias("p"), F.sum("q").alias("q")).where(F.col("p") + F.col("q") >= training.min_texts)
-        ratio = (F.log((F.col("p") + a) / F.lit(n_p + 2 * a)) - F.log((F.col("q") + a) / F.lit(n_q + 2 * a)))
-        surety = F.abs(ratio) / F.sqrt(1 / (F.col("p") + a) + 1 / (F.col("q") + a))
-        return counts.select("feature", ratio.alias("ratio"), surety.alias("z")).orderBy(
-            F.desc("z"), "feature").limit(n).collect()
-
-    # the best buckets, then the best hashes in them
-    net = np.zeros(1 << training.bits, bool)
-    net[[r.feature for r in best_of(counted, training.buckets_each * training.max_features)]] = True
-    within = spark.sparkContext.broadcast(net)
-    best = best_of(counted_whole, training.max_features)
-    hashes = np.array([r.feature for r in best if r.ratio], np.int64).view(np.uint64)
+    ratio = F.log((F.col("p") + a) / F.lit(n_p + 2 * a)) - F.log((F.col("q") + a) / F.lit(n_q + 2 * a))
+    surety = F.abs(ratio) / F.sqrt(1 / (F.col("p") + a) + 1 / (F.col("q") + a))
+    best = counts.where("feature is not null").select("feature", ratio.alias("ratio"), surety.alias("z")).where(
+        "ratio != 0").orderBy(F.desc("z"), "feature").limit(training.max_features).collect()
+    hashes = np.array([r.feature for r in best], np.int64).view(np.uint64)
     rising = np.argsort(hashes)
-    hashes, scale = hashes[rising], np.array([r.ratio for r in best if r.ratio], np.float64)[rising]
-    shared = spark.sparkContext.broadcast(hashes)
+    hashes, ratios = hashes[rising], np.array([r.ratio for r in best], np.float64)[rising]
+    shared = sample.sparkSession.sparkContext.broadcast(hashes)  # at most max_features
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        chosen = Chosen(shared.value, training.bits)
-        found = [(y, np.sort(chosen.find(ids)[1])) for y, ids in features(batches)]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([y for y, _ in found], pa.int32()),
-             pa.array([ids.astype(np.int32).tobytes() for _, ids in found], pa.binary())], ["y", "ids"])
-
-    # at most max_training_rows rows of at most max_features numbers
-    data = sample.mapInArrow(rows, "y int, ids binary").orderBy("y", "ids").collect()
+        chosen = Chosen(shared.value)
+        for doc, y, k, piece in _training_windows(batches, training):
+            _, ids = chosen.windows_of(piece, training)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([doc], pa.int64()), pa.array([y], pa.int32()), pa.array([k], pa.int64()),
+                 pa.array([ids.astype(np.int32).tobytes()], pa.binary())], ["id", "y", "k", "ids"])
+
+    # at most max_training_rows * max_training_windows rows of at most max_features numbers
+    data = sample.mapInArrow(rows, "id bigint, y int, k bigint, ids binary").orderBy("id", "k").collect()
+    doc = np.array([r.id for r in data], np.int64)
     y = np.array([r.y for r in data], np.float64)
-    sets = [np.frombuffer(r.ids, np.int32) for r in data]
-    return Model(hashes, *_logistic(y, sets, scale, training), training)
+    return trained(doc, y, [np.frombuffer(r.ids, np.int32) for r in data], hashes, ratios, training)
 
 
-def _logistic(y: np.ndarray, sets: list[np.ndarray], scale: np.ndarray, training: Training) -> tuple[np.ndarray, float]:
-    """Weights of a ridge logistic regression on the scaled features, by
-    accelerated gradient steps."""
+def trained(doc: np.ndarray, y: np.ndarray, sets: list[np.ndarray], hashes: np.ndarray, ratios: np.ndarray,
+            training: Training) -> Model:
+    """The model of windows ``sets`` of texts ``doc`` (rising) labelled ``y``."""
     row = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
     col = np.concatenate(sets).astype(np.int64) if len(row) else np.empty(0, np.int64)
-    x = scale[col]
-    n, m = len(y), len(scale)
+
+    def refitted(own: np.ndarray) -> tuple[np.ndarray, float]:
+        """Fitted on the windows ``own``, then on the highest of each toxic text."""
+        w, b = logistic(y, row, col, ratios, own, training)
+        margin = np.bincount(row, (w * ratios)[col], len(y))
+        order = np.lexsort((-margin, doc))
+        top = np.zeros(len(y), bool)
+        top[order[np.append(True, doc[order][1:] != doc[order][:-1])]] = True
+        kept = own & (top | (y == 0))
+        return (w, b) if kept.sum() == own.sum() else logistic(y, row, col, ratios, kept, training)
+
+    w, b = refitted(np.ones(len(y), bool))
+    # clean windows as models of the other half of the texts see them
+    fold = mixed(doc.view(np.uint64)) >> np.uint64(63) == 1
+    clean = []
+    for half in (fold, ~fold):
+        if 0 < y[~half].sum() < (~half).sum() and (half & (y == 0)).any():
+            v, _ = refitted(~half)
+            clean.append(np.bincount(row, (v * ratios)[col], len(y))[half & (y == 0)])
+    discount = 0.0
+    if clean:
+        margins = np.sort(np.concatenate(clean))
+        upper = margins[-max(1, int(len(margins) * training.tail)):]
+        discount = float((upper - upper[0]).mean())
+    return Model(hashes, ratios, w * ratios, b, discount, training)
+
+
+def logistic(y: np.ndarray, row: np.ndarray, col: np.ndarray, scale: np.ndarray, own: np.ndarray,
+             training: Training) -> tuple[np.ndarray, float]:
+    """Weights and bias of a ridge logistic regression on the scaled features
+    of the rows ``own``, by accelerated gradient steps."""
+    mine = own[row]
+    row, col = row[mine], col[mine]
+    x, n, m = scale[col], len(y), len(scale)
     # the curvature is at most a quarter of the largest squared stretch, found by power steps
     u = np.ones(m)
     stretch = 1.0
-    for _ in range(30):
+    for _ in range(20):
         u = np.bincount(col, x * np.bincount(row, x * u[col], n)[row], m)
         stretch = float(np.sqrt((u * u).sum())) or 1.0
         u /= stretch
-    rate = 1 / (0.25 * 1.2 * (stretch + n) + training.ridge)
+    rate = 1 / (0.25 * 1.2 * (stretch + own.sum()) + training.ridge)
     w = v = np.zeros(m)
-    b = c = float(np.log(y.mean() / (1 - y.mean())))
+    share = y[own].mean()
+    b = c = float(np.log(share / (1 - share)))
     for t in range(training.steps):
         z = np.bincount(row, x * v[col], n) + c
-        off = 1 / (1 + np.exp(-np.clip(z, -35, 35))) - y
+        off = np.where(own, 1 / (1 + np.exp(-np.clip(z, -35, 35))) - y, 0)
         new_w = v - rate * (np.bincount(col, x * off[row], m) + training.ridge * v)
         new_b = c - rate * float(off.sum())
         ahead = t / (t + 3)
         v, c = new_w + ahead * (new_w - w), new_b + ahead * (new_b - b)
         w, b = new_w, new_b
-    return (w * scale).astype(np.float32), b
+    return w, b
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
@@ -280,11 +429,8 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = shared.value
         for batch in batches:
-            data, offsets = utf8(batch.column(1))
-            for a, b in row_chunks(offsets):
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(a, b - a), pa.array(own.scores(data, offsets[a: b + 1]))],
-                    ["doc_id", "score"])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(own.scores(*utf8(batch.column(1))))], ["doc_id", "score"])
 
     return _texts(docs).mapInArrow(run, "doc_id bigint, score double")
 
@@ -305,10 +451,8 @@ def keep_civil(docs: DataFrame, model: Model) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = shared.value
         for batch in batches:
-            data, offsets = utf8(batch.column(text_at))
-            for a, b in row_chunks(offsets):
-                civil = own.scores(data, offsets[a: b + 1]) < own.training.threshold
-                yield batch.slice(a, b - a).filter(pa.array(civil))
+            civil = own.scores(*utf8(batch.column(text_at))) < own.training.threshold
+            yield batch.filter(pa.array(civil))
 
     plain = docs.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(names)])
     return plain.mapInArrow(run, plain.schema).select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(names)])

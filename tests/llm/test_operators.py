@@ -3,6 +3,7 @@ empty and long texts, ties, repeated rows and columns of clashing names."""
 
 import base64
 import collections
+import dataclasses
 import hashlib
 import math
 import random
@@ -544,12 +545,110 @@ def test_toxicity_of_long_texts(spark):
     assert marked(held) == [True] * 3
     assert marked(["", "x", passage, *held[:1]]) == [False, False, True, True]
     # a window is scored as the text of its own would be
-    whole = toxicity.Model(model.features, model.weights, model.bias, toxicity.Training(window=1 << 40))
+    whole = dataclasses.replace(model, training=toxicity.Training(window=1 << 40))
     few = np.frombuffer(b"".join(t.encode() for _, t in rows[:50]), np.uint8)
     at = np.cumsum([0, *[len(t.encode()) for _, t in rows[:50]]])
     assert np.array_equal(whole.scores(few, at), model.scores(few, at))
 
 
+def plain_windows(text, training):
+    """n-grams of each window of a text, as strings."""
+    half = training.window // 2
+    body = re.sub(r"[ \t-\r]+", " ", " " + "".join(c.lower() if len(c.lower()) == 1 else c for c in text))
+    whole = body + " "
+    n = max(-(-len(body) // half) - 1, 1)
+    ends = [(k + 2) * half if k < n - 1 else len(body) for k in range(n)]
+    return [{whole[i: i + o] for i in range(k * half, ends[k]) for o in training.orders if i + o <= len(whole)}
+            for k in range(n)]
+
+
+STRANGE = ["", " ", "x", "\n\n a\tb  C", "ÀÉÎ Õü Straße ΣΑΣ Ж я 中文 😀😀 İstanbul ǅ", "abc " * 900, "é" * 5000,
+           " ".join(f"w{i} Ünï{i % 7}" for i in range(3000)), "ab   " * 400 + " "]
+
+
+def hash_of(gram):
+    codes = np.array([ord(c) for c in gram], np.int32)
+    return int(dict(toxicity.hashes_of(codes, (len(gram),)))[len(gram)][0])
+
+
+def test_toxicity_windows_and_counts_equal_plain_ones(spark):
+    training = toxicity.Training(window=64, max_training_windows=10 ** 6, min_windows=2, parts=3)
+    rows = [(i, i % 2, t) for i, t in enumerate(STRANGE)]
+    sample = spark.createDataFrame(rows, "id bigint, y int, text string")
+    got = {r.feature: (r.p, r.q) for r in toxicity.counted(sample, training).collect()}
+    want, windows = collections.Counter(), collections.Counter()
+    for _, y, text in rows:
+        for grams in plain_windows(text, training):
+            windows[y] += 1
+            want.update((g, y) for g in grams)
+    assert got.pop(None) == (windows[1], windows[0])
+    kept = {g for g, _ in want if want[g, 0] + want[g, 1] >= 2}
+    hashes = {g: hash_of(g) for g in kept}
+    assert len(set(hashes.values())) == len(kept)
+    assert {f % (1 << 64): n for f, n in got.items()} == {hashes[g]: (want[g, 1], want[g, 0]) for g in kept}
+
+    # a bound on windows takes evenly spread ones
+    few = toxicity.Training(window=64, max_training_windows=4, parts=3)
+    total = next(iter(r for r in toxicity.counted(sample, few).where("feature is null").collect()))
+    assert total.p + total.q == sum(min(4, len(plain_windows(t, few))) for _, _, t in rows)
+
+
+@pytest.mark.parametrize("chunk", [1 << 20, 100, 7])
+def test_toxicity_scores_equal_plain_ones_however_texts_are_cut(chunk, monkeypatch):
+    monkeypatch.setattr(toxicity, "_HALVES", 4)
+    training = toxicity.Training(window=64)
+    grams = sorted({g for t in STRANGE for w in plain_windows(t, training) for g in w}, key=hash_of)[::3]
+    weights = np.random.default_rng(5).normal(size=len(grams))
+    model = toxicity.Model(np.array([hash_of(g) for g in grams], np.uint64), weights, weights, 0.25, 0.5, training)
+    weight = dict(zip(grams, weights))
+    data = [t.encode() for t in STRANGE]
+    got = model.scores(np.frombuffer(b"".join(data), np.uint8), np.cumsum([0, *map(len, data)]), chunk)
+    for text, score in zip(STRANGE, got):
+        found = plain_windows(text, training)
+        margin = max(sum(weight.get(g, 0) for g in w) for w in found) + 0.25 - 0.5 * math.log(len(found))
+        assert abs(score - 1 / (1 + math.exp(-max(-35, min(35, margin))))) < 1e-9, text[:20]
+
+
+def test_toxicity_of_bytes_that_are_no_text():
+    rng = np.random.default_rng(2)
+    data = rng.integers(0, 256, 5000, dtype=np.uint8)
+    at = np.array([0, 0, 3, 1000, 1001, 4000, 5000])
+    features = np.sort(rng.integers(0, 1 << 63, 50, dtype=np.uint64))
+    model = toxicity.Model(features, np.ones(50), np.ones(50), 0.0, 0.1, toxicity.Training(window=64))
+    assert np.isfinite(model.scores(data, at, 100)).all()
+
+
+def test_toxicity_fit_is_the_optimum():
+    rng = np.random.default_rng(4)
+    n, m = 300, 40
+    dense = rng.random((n, m)) < 0.2
+    y = (dense[:, :5].sum(axis=1) + rng.normal(size=n) > 1.5).astype(float)
+    scale = rng.normal(size=m)
+    row, col = np.nonzero(dense)
+    own = rng.random(n) < 0.8
+    training = toxicity.Training(steps=3000)
+    w, b = toxicity.logistic(y, row, col, scale, own, training)
+    x = dense * scale
+    off = np.where(own, 1 / (1 + np.exp(-(x @ w + b))) - y, 0)
+    assert np.abs(x.T @ off + training.ridge * w).max() < 1e-3 and abs(off.sum()) < 1e-3
+
+
+def test_toxicity_learns_from_the_toxic_windows_of_a_text(spark):
+    """Toxic training texts are mostly clean; a clean text of their other words is not marked."""
+    rng = random.Random(21)
+    rows, labels = [], []
+    for i in range(300):
+        words = [prose(rng, 1, 800) for _ in range(2400 if i % 3 == 0 else 300)]
+        if i % 3 == 0:
+            words[rng.randrange(len(words))] = rng.choice(["snarlgrub", "snarlgrubs"])
+        rows.append((i, " ".join(words)))
+        labels.append((i, int(i % 3 == 0)))
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    model = toxicity.fit(docs, spark.createDataFrame(labels, "doc_id bigint, toxic int"))
+    held = [r for r in toxicity.judged(docs, model).collect() if r.held_out]
+    assert sum(r.predicted == int(r.doc_id % 3 == 0) for r in held) >= 0.9 * len(held)
+
+
 @pytest.mark.parametrize("size", [1.0, 3e4, 3e5, 6e5])
 def test_scores_are_exact_or_refused(spark, size):
     rng = np.random.default_rng(3)
