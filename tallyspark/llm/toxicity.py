@@ -29,6 +29,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -41,13 +42,16 @@ class Training:
     smoothing: float = 1.0
     #: features in at least so many training windows, the best of them
     min_windows: int = 3
+    #: 65,536 at most
     max_features: int = 4096
     max_training_rows: int = 12_000
     max_training_windows: int = 16
     #: tasks that the sample is dealt over
     parts: int = 24
-    ridge: float = 0.5
-    steps: int = 300
+    ridge: float = 2.0
+    #: the fit ends when no slope is over this a window, or after so many steps
+    slope: float = 1e-4
+    steps: int = 250
     threshold: float = 0.3
     #: characters of folded text a window, an even number
     window: int = 2048
@@ -58,6 +62,8 @@ class Training:
 TRAINING = Training()
 #: half windows that a long text is hashed at a time
 _HALVES = 512
+#: training windows that a step of the fit expands at a time
+_BLOCK = 4096
 #: distinct hashes that a training task holds before it passes on their counts
 _PENDING = 1 << 22
 #: code points of this prefix table hold all letters with a lower case
@@ -351,39 +357,67 @@ def fit(docs: DataFrame, labels: DataFrame, training: Training = TRAINING, label
             _, ids = chosen.windows_of(piece, training)
             yield pa.RecordBatch.from_arrays(
                 [pa.array([doc], pa.int64()), pa.array([y], pa.int32()), pa.array([k], pa.int64()),
-                 pa.array([ids.astype(np.int32).tobytes()], pa.binary())], ["id", "y", "k", "ids"])
+                 pa.array([ids.astype(np.uint16).tobytes()], pa.binary())], ["id", "y", "k", "ids"])
 
     # at most max_training_rows * max_training_windows rows of at most max_features numbers
-    data = sample.mapInArrow(rows, "id bigint, y int, k bigint, ids binary").orderBy("id", "k").collect()
-    doc = np.array([r.id for r in data], np.int64)
-    y = np.array([r.y for r in data], np.float64)
-    return trained(doc, y, [np.frombuffer(r.ids, np.int32) for r in data], hashes, ratios, training)
+    data = sample.mapInArrow(rows, "id bigint, y int, k bigint, ids binary").orderBy("id", "k").toArrow()
+    lists = data.column("ids").combine_chunks()
+    numbers = Rows(np.frombuffer(b"".join(lists.to_pylist()), np.uint16),
+                   pa.compute.binary_length(lists).to_numpy(zero_copy_only=False).astype(np.int64) // 2)
+    y = data.column("y").to_numpy().astype(np.float64)
+    return trained(data.column("id").to_numpy(), y, numbers, hashes, ratios, training)
 
 
-def trained(doc: np.ndarray, y: np.ndarray, sets: list[np.ndarray], hashes: np.ndarray, ratios: np.ndarray,
+@dataclass(frozen=True)
+class Rows:
+    """Windows' feature numbers one after another, and how many each has."""
+    numbers: np.ndarray  # uint16
+    sizes: np.ndarray
+
+    def where(self, own: np.ndarray) -> "Rows":
+        return Rows(self.numbers[np.repeat(own, self.sizes)], self.sizes[own])
+
+    def _blocks(self) -> Iterator[tuple[int, int, np.ndarray]]:
+        at = np.concatenate([[0], np.cumsum(self.sizes)])
+        for a in range(0, len(self.sizes), _BLOCK):
+            b = min(a + _BLOCK, len(self.sizes))
+            yield a, b, self.numbers[at[a]: at[b]]
+
+    def margins(self, weights: np.ndarray) -> np.ndarray:
+        """Sum of the weights of each row's features."""
+        out = np.zeros(len(self.sizes))
+        for a, b, numbers in self._blocks():
+            sums = np.concatenate([[0.0], np.cumsum(weights[numbers])])
+            ends = np.cumsum(self.sizes[a:b])
+            out[a:b] = sums[ends] - sums[ends - self.sizes[a:b]]
+        return out
+
+    def sums(self, values: np.ndarray, m: int) -> np.ndarray:
+        """Sum of the values of each feature's rows."""
+        out = np.zeros(m)
+        for a, b, numbers in self._blocks():
+            out += np.bincount(numbers, np.repeat(values[a:b], self.sizes[a:b]), m)
+        return out
+
+
+def trained(doc: np.ndarray, y: np.ndarray, rows: Rows, hashes: np.ndarray, ratios: np.ndarray,
             training: Training) -> Model:
-    """The model of windows ``sets`` of texts ``doc`` (rising) labelled ``y``."""
-    row = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
-    col = np.concatenate(sets).astype(np.int64) if len(row) else np.empty(0, np.int64)
-
-    def refitted(own: np.ndarray) -> tuple[np.ndarray, float]:
-        """Fitted on the windows ``own``, then on the highest of each toxic text."""
-        w, b = logistic(y, row, col, ratios, own, training)
-        margin = np.bincount(row, (w * ratios)[col], len(y))
-        order = np.lexsort((-margin, doc))
-        top = np.zeros(len(y), bool)
-        top[order[np.append(True, doc[order][1:] != doc[order][:-1])]] = True
-        kept = own & (top | (y == 0))
-        return (w, b) if kept.sum() == own.sum() else logistic(y, row, col, ratios, kept, training)
-
-    w, b = refitted(np.ones(len(y), bool))
+    """The model of the windows ``rows`` of texts ``doc`` (rising) labelled ``y``."""
+    w, b = logistic(y, rows, ratios, training)
+    # again with the highest window of each toxic text
+    order = np.lexsort((-rows.margins(w * ratios), doc))
+    kept = y == 0
+    kept[order[np.append(True, doc[order][1:] != doc[order][:-1])]] = True
+    if not kept.all():
+        w, b = logistic(y[kept], rows.where(kept), ratios, training, (w, b))
     # clean windows as models of the other half of the texts see them
     fold = mixed(doc.view(np.uint64)) >> np.uint64(63) == 1
     clean = []
-    for half in (fold, ~fold):
-        if 0 < y[~half].sum() < (~half).sum() and (half & (y == 0)).any():
-            v, _ = refitted(~half)
-            clean.append(np.bincount(row, (v * ratios)[col], len(y))[half & (y == 0)])
+    for half in (fold & kept, ~fold & kept):
+        other = kept & ~half
+        if 0 < y[other].sum() < other.sum() and (half & (y == 0)).any():
+            v, _ = logistic(y[other], rows.where(other), ratios, training)
+            clean.append(rows.where(half & (y == 0)).margins(v * ratios))
     discount = 0.0
     if clean:
         margins = np.sort(np.concatenate(clean))
@@ -392,29 +426,30 @@ def trained(doc: np.ndarray, y: np.ndarray, sets: list[np.ndarray], hashes: np.n
     return Model(hashes, ratios, w * ratios, b, discount, training)
 
 
-def logistic(y: np.ndarray, row: np.ndarray, col: np.ndarray, scale: np.ndarray, own: np.ndarray,
-             training: Training) -> tuple[np.ndarray, float]:
-    """Weights and bias of a ridge logistic regression on the scaled features
-    of the rows ``own``, by accelerated gradient steps."""
-    mine = own[row]
-    row, col = row[mine], col[mine]
-    x, n, m = scale[col], len(y), len(scale)
+def logistic(y: np.ndarray, rows: Rows, scale: np.ndarray, training: Training,
+             start: tuple[np.ndarray, float] | None = None) -> tuple[np.ndarray, float]:
+    """Weights and bias of a ridge logistic regression on the scaled features,
+    by accelerated gradient steps until the slope is ``slope`` a row at most."""
+    n, m = len(y), len(scale)
     # the curvature is at most a quarter of the largest squared stretch, found by power steps
     u = np.ones(m)
     stretch = 1.0
-    for _ in range(20):
-        u = np.bincount(col, x * np.bincount(row, x * u[col], n)[row], m)
+    for _ in range(12):
+        u = scale * rows.sums(rows.margins(scale * u), m)
         stretch = float(np.sqrt((u * u).sum())) or 1.0
         u /= stretch
-    rate = 1 / (0.25 * 1.2 * (stretch + own.sum()) + training.ridge)
-    w = v = np.zeros(m)
-    share = y[own].mean()
-    b = c = float(np.log(share / (1 - share)))
-    for t in range(training.steps):
-        z = np.bincount(row, x * v[col], n) + c
-        off = np.where(own, 1 / (1 + np.exp(-np.clip(z, -35, 35))) - y, 0)
-        new_w = v - rate * (np.bincount(col, x * off[row], m) + training.ridge * v)
-        new_b = c - rate * float(off.sum())
+    rate = 1 / (0.25 * 1.2 * (stretch + n) + training.ridge)
+    share = y.mean()
+    w, b = start or (np.zeros(m), float(np.log(share / (1 - share))))
+    v, c, t = w, b, 0
+    for _ in range(training.steps):
+        off = 1 / (1 + np.exp(-np.clip(rows.margins(scale * v) + c, -35, 35))) - y
+        slope, lean = scale * rows.sums(off, m) + training.ridge * v, float(off.sum())
+        if max(np.abs(slope).max(initial=0), abs(lean)) <= training.slope * n:
+            return v, c
+        new_w, new_b = v - rate * slope, c - rate * lean
+        # steps that point back begin anew
+        t = 0 if slope @ (new_w - w) + lean * (new_b - b) > 0 else t + 1
         ahead = t / (t + 3)
         v, c = new_w + ahead * (new_w - w), new_b + ahead * (new_b - b)
         w, b = new_w, new_b
