@@ -44,7 +44,7 @@ class Training:
     min_windows: int = 3
     #: 65,536 at most
     max_features: int = 4096
-    max_training_rows: int = 12_000
+    max_training_rows: int = 6_000
     max_training_windows: int = 16
     #: tasks that the sample is dealt over
     parts: int = 24
