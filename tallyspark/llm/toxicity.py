@@ -24,6 +24,7 @@ corpus.
 
 from __future__ import annotations
 
+from collections import deque
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -64,6 +65,8 @@ TRAINING = Training()
 _HALVES = 512
 #: training windows that a step of the fit expands at a time
 _BLOCK = 4096
+#: steps that the fit remembers
+_PAST = 10
 #: distinct hashes that a training task holds before it passes on their counts
 _PENDING = 1 << 22
 #: code points of this prefix table hold all letters with a lower case
@@ -428,32 +431,49 @@ def trained(doc: np.ndarray, y: np.ndarray, rows: Rows, hashes: np.ndarray, rati
 
 def logistic(y: np.ndarray, rows: Rows, scale: np.ndarray, training: Training,
              start: tuple[np.ndarray, float] | None = None) -> tuple[np.ndarray, float]:
-    """Weights and bias of a ridge logistic regression on the scaled features,
-    by accelerated gradient steps until the slope is ``slope`` a row at most."""
-    n, m = len(y), len(scale)
-    # the curvature is at most a quarter of the largest squared stretch, found by power steps
-    u = np.ones(m)
-    stretch = 1.0
-    for _ in range(12):
-        u = scale * rows.sums(rows.margins(scale * u), m)
-        stretch = float(np.sqrt((u * u).sum())) or 1.0
-        u /= stretch
-    rate = 1 / (0.25 * 1.2 * (stretch + n) + training.ridge)
+    """Weights and bias of a ridge logistic regression on the scaled features, by
+    limited-memory quasi-Newton steps until the slope is ``slope`` a row at most."""
+    def loss(x: np.ndarray) -> tuple[float, np.ndarray]:
+        margin = np.clip(rows.margins(scale * x[:-1]) + x[-1], -35, 35)
+        down = np.exp(-margin)
+        off = 1 / (1 + down) - y
+        total = (np.log1p(down) + (1 - y) * margin).sum() + training.ridge / 2 * x[:-1] @ x[:-1]
+        return float(total), np.append(scale * rows.sums(off, len(scale)) + training.ridge * x[:-1], off.sum())
+
     share = y.mean()
-    w, b = start or (np.zeros(m), float(np.log(share / (1 - share))))
-    v, c, t = w, b, 0
+    x = np.append(*(start or (np.zeros(len(scale)), np.log(share / (1 - share)))))
+    (value, slope), past = loss(x), deque(maxlen=_PAST)
     for _ in range(training.steps):
-        off = 1 / (1 + np.exp(-np.clip(rows.margins(scale * v) + c, -35, 35))) - y
-        slope, lean = scale * rows.sums(off, m) + training.ridge * v, float(off.sum())
-        if max(np.abs(slope).max(initial=0), abs(lean)) <= training.slope * n:
-            return v, c
-        new_w, new_b = v - rate * slope, c - rate * lean
-        # steps that point back begin anew
-        t = 0 if slope @ (new_w - w) + lean * (new_b - b) > 0 else t + 1
-        ahead = t / (t + 3)
-        v, c = new_w + ahead * (new_w - w), new_b + ahead * (new_b - b)
-        w, b = new_w, new_b
-    return w, b
+        if np.abs(slope).max() <= training.slope * len(y):
+            break
+        step = _towards(slope, past)
+        size, most = 1.0, slope @ step
+        while True:
+            after, after_slope = loss(x + size * step)
+            # rounding of the sum is no rise
+            if after <= value + 1e-4 * size * most + 1e-12 * abs(value) or size < 1e-9:
+                break
+            size /= 2
+        moved, turned = size * step, after_slope - slope
+        if moved @ turned > 1e-12 * np.sqrt((moved @ moved) * (turned @ turned)):
+            past.append((moved, turned))
+        x, value, slope = x + moved, after, after_slope
+    return x[:-1], float(x[-1])
+
+
+def _towards(slope: np.ndarray, past: deque) -> np.ndarray:
+    """The downward step that the curvature seen in the ``past`` steps suggests."""
+    if not past:
+        return -slope / np.abs(slope).sum()
+    step, shares = -slope, []
+    for moved, turned in reversed(past):
+        shares.append(moved @ step / (moved @ turned))
+        step = step - shares[-1] * turned
+    moved, turned = past[-1]
+    step = step * (moved @ turned / (turned @ turned))
+    for moved, turned in past:
+        step = step + moved * (shares.pop() - turned @ step / (moved @ turned))
+    return step
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
