@@ -636,6 +636,28 @@ def test_toxicity_fit_is_the_optimum(monkeypatch):
     assert np.abs(again - w).max() < 1e-3
 
 
+@pytest.mark.parametrize("noise", [0.0, 0.2])
+@pytest.mark.parametrize("alike", [1, 40])
+def test_toxicity_fit_reaches_its_slope_in_its_steps(noise, alike):
+    # features that come in equal copies, labels that one feature separates or nearly so
+    rng = np.random.default_rng(alike)
+    dense = np.repeat(rng.random((400, 30)) < 0.3, alike, axis=1)
+    y = (dense[:, 0] ^ (rng.random(400) < noise)).astype(float)
+    rows = toxicity.Rows(np.nonzero(dense)[1].astype(np.uint16), dense.sum(axis=1))
+    scale, training = rng.normal(size=30 * alike), toxicity.Training(ridge=0.5)
+    w, b = toxicity.logistic(y, rows, scale, training)
+    off = 1 / (1 + np.exp(-(dense @ (w * scale) + b))) - y
+    slope = scale * (dense.T @ off) + training.ridge * w
+    assert max(np.abs(slope).max(), abs(off.sum())) <= training.slope * len(y) * 1.001
+
+
+def test_toxicity_fit_without_features():
+    y = np.array([1.0, 0.0, 0.0, 0.0])
+    rows = toxicity.Rows(np.empty(0, np.uint16), np.zeros(4, np.int64))
+    w, b = toxicity.logistic(y, rows, np.empty(0), toxicity.TRAINING)
+    assert len(w) == 0 and abs(1 / (1 + np.exp(-b)) - 0.25) < 1e-3
+
+
 def test_toxicity_learns_from_the_toxic_windows_of_a_text(spark):
     """Toxic training texts are mostly clean; a clean text of their other words is not marked."""
     rng = random.Random(21)
