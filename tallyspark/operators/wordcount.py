@@ -33,6 +33,8 @@ from pyspark.sql import functions as F
 from tallyspark.functions.text import words
 
 LINE_ID = ("doc_id", "line_no")
+#: parts that :func:`doc_term_counts` deals each part of its input into
+PARTS_PER_SPLIT = 16
 
 
 def document_count(docs: DataFrame) -> DataFrame:
@@ -51,8 +53,14 @@ def tokens(docs: DataFrame, id_cols: Sequence[str] = LINE_ID) -> DataFrame:
 
 
 def doc_term_counts(docs: DataFrame, id_cols: Sequence[str] = LINE_ID) -> DataFrame:
-    """Term frequency inside each document: ``(id_cols..., word, n)``."""
-    return (tokens(docs, id_cols).groupBy(*id_cols, "word")
+    """Term frequency inside each document: ``(id_cols..., word, n)``.
+
+    The documents are dealt by id before they are split: a text crosses the
+    shuffle once, not as one row, with the id, for each of its words.  The
+    parts grow in number with the input, so that one's counts fit in memory."""
+    parts = PARTS_PER_SPLIT * docs.rdd.getNumPartitions()
+    dealt = docs.select(*id_cols, "text").repartition(parts, *id_cols)
+    return (tokens(dealt, id_cols).groupBy(*id_cols, "word")
             .agg(F.count(F.lit(1)).alias("n")))
 
 
