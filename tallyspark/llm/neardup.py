@@ -8,9 +8,7 @@
    threshold shares a node with at least the target probability
    ``1 - (1 - t ** length) ** trees``; nodes are found by grouping on that
    prefix, and each member is tied to the node's least member.
-   The length is measured on the corpus: its linked pairs are mostly closer than
-   the threshold, and then longer prefixes, with fewer chance members, reach the
-   target (:func:`matched_length`).
+   The length follows from the parameters alone (:meth:`Forest.shortest`).
 3. Candidate components of these ties are compared exactly: their members are
    dealt into blocks of bounded size, each pair of blocks of a component is one
    group, and a matrix product of members x shingles gives all intersections.
@@ -45,8 +43,8 @@ class Forest:
     #: shingles of a block in the exact comparison
     block_shingles: int = 150_000
 
-    #: tries' nodes looked at to measure how similar linked sets are: one of so many
-    sampled_nodes: int = 16
+    #: :func:`matched_length` looks at one of so many nodes: at all of them
+    sampled_nodes: int = 1
     #: members of a block in the exact comparison
     block_members: int = 2_000
 
@@ -155,7 +153,9 @@ def with_text_hashes(docs: DataFrame) -> DataFrame:
 
 
 def matched_length(classes: DataFrame, forest: Forest = FOREST) -> int:
-    """The prefix length that this corpus needs for the target recall.
+    """The prefix length that this corpus would need for the target recall: a
+    measure to look at, as its linked pairs are mostly closer than the threshold.
+    The join does not depend on it.
 
     From the full label, the prefix is shortened while the recall measured on
     linked pairs is below the target, at most to the length that has it for
@@ -194,7 +194,7 @@ def matched_length(classes: DataFrame, forest: Forest = FOREST) -> int:
 
 def candidate_ties(classes: DataFrame, forest: Forest = FOREST, length: int | None = None) -> DataFrame:
     """``a, b``: the ids of a class and the least class of a trie node of both."""
-    length, label = length or matched_length(classes, forest), 2 * forest.depth
+    length, label = length or forest.shortest(), 2 * forest.depth
     rows = classes.select("id", F.posexplode(F.transform(
         F.sequence(F.lit(0), F.lit(forest.trees - 1)),
         lambda t: F.substr(F.col("labels"), t * label + 1, F.lit(2 * length)))).alias("tree", "prefix"))

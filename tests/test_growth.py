@@ -32,3 +32,14 @@ def test_term_counts_shuffle_texts_once(spark):
     assert re.findall(r"Exchange hashpartitioning\(([^)]*)\)", plan.split("Initial Plan")[0])
     assert not re.search(r"hashpartitioning\([^)]*word#", plan)
     assert {(r.doc_id, r.line_no, r.word): r.n for r in df.collect()} == want
+
+
+def test_prefix_length_comes_from_no_sample(spark, monkeypatch):
+    def never(*_):
+        raise AssertionError("the length is not measured")
+
+    monkeypatch.setattr(neardup, "matched_length", never)
+    docs = spark.createDataFrame([(i, f"one two three four five six seven eight {i % 3}") for i in range(9)],
+                                 "doc_id bigint, text string")
+    assert {r.n_copies for r in neardup.near_duplicates(docs).collect()} == {3}
+    assert neardup.FOREST.sampled_nodes == 1
