@@ -8,10 +8,13 @@ Plan shape (exact count)::
 
     canonical edges (u < v, distinct)          -- one aggregate shuffle
       -> orientation src -> dst by rank         -- degree agg + 2 joins
-      -> wedges  e1(a->b) JOIN e2(b->c) ON b    -- shuffle on b
-      -> closing e3(a->c)  LEFT SEMI ON (a, c)  -- shuffle on (a, c)
+      -> edges a->b with out(a), out(b)         -- out-degree agg + 2 joins
+      -> wedges  a->b JOIN x->c ON x            -- x: the end with fewer out-edges
+      -> closing y->c  LEFT SEMI ON (y, c)      -- y: the other end
       -> count                                   -- partial + final agg
 
+:func:`list_triangles` lists the triangles with b as every wedge's middle.
+
 Orientation.  Each triangle is found exactly once under *any* total order
 of the vertices (it is the path a->b->c closed by a->c with a<b<c).  With
 ``order="id"`` the order is the vertex id (as in the original jobs).  With
@@ -63,6 +66,7 @@ def canonical_edges(edges: DataFrame) -> DataFrame:
     """Undirected simple edge set: ``u < v``, no loops, no duplicates."""
     return (edges.where(F.col("u") != F.col("v"))
             .select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v"))
+            .where("u is not null and v is not null")
             .distinct())
 
 
@@ -86,19 +90,22 @@ def adjacency(edges: DataFrame) -> DataFrame:
 
 
 def orient(canon: DataFrame, order: str = "degree") -> DataFrame:
-    """Direct every canonical edge from lower to higher rank: ``(src, dst)``."""
+    """Direct every canonical edge from lower to higher rank: ``(src, dst)``,
+    then further columns."""
     if order not in ORDERS:
         raise ValueError(f"order must be one of {ORDERS}, got {order!r}")
     if order == "id":
-        return canon.select(F.col("u").alias("src"), F.col("v").alias("dst"))
+        return canon.withColumnsRenamed({"u": "src", "v": "dst"})
+    more = [c for c in canon.columns if c not in ("u", "v")]
     deg = vertex_degrees(canon)
     du = deg.select(F.col("vertex").alias("u"), F.col("degree").alias("du"))
     dv = deg.select(F.col("vertex").alias("v"), F.col("degree").alias("dv"))
-    e = canon.join(du, "u").join(dv, "v")
+    # degrees grow with the graph: one plan for every size
+    e = canon.join(du.hint("merge"), "u").join(dv.hint("merge"), "v")
     u_first = (F.col("du") < F.col("dv")) | (
         (F.col("du") == F.col("dv")) & (F.col("u") < F.col("v")))
     return e.select(F.when(u_first, F.col("u")).otherwise(F.col("v")).alias("src"),
-                    F.when(u_first, F.col("v")).otherwise(F.col("u")).alias("dst"))
+                    F.when(u_first, F.col("v")).otherwise(F.col("u")).alias("dst"), *more)
 
 
 def is_oriented(edges: DataFrame) -> bool:
@@ -112,8 +119,8 @@ def oriented_edges(edges: DataFrame, order: str = "degree",
 
     With ``stored`` (default) the result is written once to the shared
     checkpoint folder and scanned from there, because every triangle
-    query reads it three times (and the degree orientation reads the
-    canonical edges three times).
+    query reads it several times.  (The degree orientation reads the
+    canonical edges three times, from one shuffle that Spark reuses.)
 
     Every triangle operator below accepts either raw ``(u, v)`` edges or
     this result; pass it to run several estimators over one orientation
@@ -125,19 +132,15 @@ def oriented_edges(edges: DataFrame, order: str = "degree",
     canon = canonical_edges(edges)
     if not stored:
         return orient(canon, order)
-    if order == "degree":
-        canon = materialize(canon, "canonical-edges")
     return materialize(orient(canon, order), "oriented-edges")
 
 
 def _oriented_once(edges: DataFrame, order: str) -> DataFrame:
     """The oriented edges for one reader that stores what it makes of them:
-    canonical edges are stored (the degree orientation reads them three
-    times), the orientation itself is not."""
+    the orientation itself is not stored."""
     if is_oriented(edges):
         return edges
-    canon = canonical_edges(edges)
-    return orient(materialize(canon, "canonical-edges") if order == "degree" else canon, order)
+    return orient(canonical_edges(edges), order)
 
 
 # ---------------------------------------------------------------------------
@@ -157,12 +160,58 @@ def list_triangles(oriented: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     return wedges.join(e3, on=k + ["a", "c"], how="left_semi").select(*k, "a", "b", "c")
 
 
+def short_wedges(firsts: DataFrame, edges: DataFrame, keys: Sequence[str] = (),
+                 labels: Sequence[str] = ()) -> DataFrame:
+    """Wedges ``(labels..., keys..., y, c)`` of the edges a->b of ``firsts``
+    (``labels..., keys..., src, dst``) in ``edges`` (``keys..., src, dst``).
+
+    The end of a->b with fewer out-edges is the wedge's middle x, the other one
+    is y: x->c is the wedge, y->c would close it.  So an edge has at most
+    min(out(a), out(b)) wedges, and none if an end has no out-edge: never more
+    than in :func:`list_triangles`, and under any order of the vertices at most
+    m times twice the graph's arboricity.  The tables grow with the graph: one
+    plan for every size, so no side is broadcast.
+    """
+    k = list(keys)
+    out = edges.groupBy(*k, "src").agg(F.count(F.lit(1)).alias("n"))
+    out_a = out.select(*k, F.col("src").alias("a"), F.col("n").alias("out_a"))
+    out_b = out.select(*k, F.col("src").alias("b"), F.col("n").alias("out_b"))
+    e1 = firsts.select(*labels, *k, F.col("src").alias("a"), F.col("dst").alias("b"))
+    e1 = e1.join(out_b.hint("merge"), k + ["b"]).join(out_a.hint("merge"), k + ["a"])
+    a_first = F.col("out_a") <= F.col("out_b")
+    e1 = e1.select(*labels, *k, F.when(a_first, F.col("a")).otherwise(F.col("b")).alias("x"),
+                   F.when(a_first, F.col("b")).otherwise(F.col("a")).alias("y"))
+    e2 = edges.select(*k, F.col("src").alias("x"), F.col("dst").alias("c"))
+    return e1.join(e2.hint("merge"), k + ["x"]).where("c <> y").select(*labels, *k, "y", "c")
+
+
+def closed_wedges(firsts: DataFrame, edges: DataFrame, keys: Sequence[str] = (),
+                  labels: Sequence[str] = ()) -> DataFrame:
+    """The closed ones of :func:`short_wedges`: one row ``(keys..., y, c,
+    labels...)`` per triangle a->b->c whose a->b is in ``firsts``."""
+    closing = edges.select(*keys, F.col("src").alias("y"), F.col("dst").alias("c"))
+    return short_wedges(firsts, edges, keys, labels).join(
+        closing.hint("merge"), [*keys, "y", "c"], "left_semi")
+
+
 def count_triangles(oriented: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     """``(keys..., triangles)`` for the groups that have at least one."""
-    tri = list_triangles(oriented, keys)
+    tri = closed_wedges(oriented, oriented, keys)
     return tri.groupBy(*keys).agg(F.count(F.lit(1)).alias("triangles"))
 
 
+def _fewer_out(oriented: DataFrame) -> DataFrame:
+    """The edges, all reversed if that makes the vertices' out-degrees smaller
+    (by their squares): an order of vertices and its reverse have the same
+    triangles."""
+    def squares(end: str) -> Column:
+        n = oriented.groupBy(end).agg(F.count(F.lit(1)).cast("double").alias("n"))
+        return n.agg(F.sum(F.col("n") * F.col("n"))).scalar()
+
+    row = oriented.sparkSession.range(1).select((squares("dst") < squares("src")).alias("reverse")).first()
+    return oriented.select(F.col("dst").alias("src"), F.col("src").alias("dst")) if row.reverse else oriented
+
+
 def _zero_filled(groups: DataFrame, counts: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Left-join per-group counts onto a *bounded* group list, 0 if absent."""
     return (groups.join(counts, on=list(keys), how="left")
@@ -172,8 +221,9 @@ def _zero_filled(groups: DataFrame, counts: DataFrame, keys: Sequence[str]) -> D
 
 def triangles_exact(edges: DataFrame, order: str = "degree") -> DataFrame:
     """Exact triangle count of the undirected simple graph: ``(triangles)``."""
-    tri = list_triangles(oriented_edges(edges, order))
-    return tri.agg(F.count(F.lit(1)).alias("triangles"))
+    oriented = oriented_edges(edges, order)
+    # a degree order bounds the out-degrees, ids do not
+    return count_triangles(_fewer_out(oriented) if order == "id" else oriented)
 
 
 def graph_summary(edges: DataFrame, order: str = "degree") -> DataFrame:
@@ -182,9 +232,8 @@ def graph_summary(edges: DataFrame, order: str = "degree") -> DataFrame:
     n_edges = oriented.agg(F.count(F.lit(1))).scalar()
     n_vertices = (oriented.select(F.explode(F.array("src", "dst")).alias("x"))
                   .distinct().agg(F.count(F.lit(1))).scalar())
-    tri = list_triangles(oriented)
     # two scalar subqueries next to the triangle aggregate
-    return tri.agg(F.count(F.lit(1)).alias("triangles")).select(
+    return count_triangles(oriented).select(
         n_vertices.alias("n_vertices"), n_edges.alias("n_edges"), "triangles")
 
 
@@ -249,12 +298,8 @@ def triangles_hub_split(edges: DataFrame, hubs: int = HUBS) -> DataFrame:
     # one hub alone closes no triangle
     closed = sets.where(F.size("hubs") > 1).withColumn("matrix", matrix.scalar()).select(shared.alias("n"))
     light = numbers.select(F.col("vertex"))
-    e1 = oriented.select(F.col("src").alias("a"), F.col("dst").alias("b")).join(
-        light.withColumnRenamed("vertex", "b"), "b", "left_anti")
-    e2 = oriented.select(F.col("src").alias("b"), F.col("dst").alias("c")).join(
-        light.withColumnRenamed("vertex", "b"), "b", "left_anti")
-    e3 = oriented.select(F.col("src").alias("a"), F.col("dst").alias("c"))
-    wedges = e1.join(e2, "b").join(e3, ["a", "c"], "left_semi").agg(F.count(F.lit(1)).alias("n"))
+    to_light = oriented.join(light.withColumnRenamed("vertex", "dst"), "dst", "left_anti")
+    wedges = closed_wedges(to_light, oriented).agg(F.count(F.lit(1)).alias("n"))
     return closed.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).unionByName(wedges).agg(
         F.sum("n").cast("bigint").alias("triangles"))
 
@@ -306,7 +351,7 @@ def triangles_approx_color(edges: DataFrame, a: int, b: int, num_colors: int,
                            p: int = DEFAULT_PRIME, order: str = "degree") -> DataFrame:
     """Node-colouring estimate ``C^2 * sum_i t_i``: ``(estimate)``."""
     mono = _mono_oriented(edges, a, b, num_colors, p, order)
-    tri = list_triangles(mono, ["color"])
+    tri = closed_wedges(mono, mono, ["color"])
     c2 = num_colors * num_colors
     return tri.agg((F.count(F.lit(1)) * F.lit(c2)).cast("bigint").alias("estimate"))
 
@@ -370,10 +415,9 @@ def triangles_approx_color_runs(edges: DataFrame, params: RunParams,
     inside = F.filter("runs", lambda r: same("src", "dst", r))
     x = _oriented_once(some, order).select("src", "dst", runs.alias("runs")).select(
         "src", "dst", F.explode(inside).alias("r"))
-    mono = materialize(x.select(
-        F.col("r.run").alias("run"),
-        node_color("src", F.col("r.ha"), F.col("r.hb"), num_colors, p).alias("color"), "src", "dst"), "run-edges")
-    per_run = (list_triangles(mono, ["run", "color"])
+    # in a run, a vertex has one colour: edges that meet share it
+    mono = materialize(x.select(F.col("r.run").alias("run"), "src", "dst"), "run-edges")
+    per_run = (closed_wedges(mono, mono, ["run"])
                .groupBy("run").agg(F.count(F.lit(1)).alias("triangles")))
     every = edges.sparkSession.range(1).select(F.explode(runs).alias("r")).select(F.col("r.run").alias("run"))
     c2 = num_colors * num_colors
@@ -457,11 +501,14 @@ def triangles_per_color_triple(edges: DataFrame, a: int, b: int, num_colors: int
 
 
 def _owned_triangles(rep: DataFrame) -> DataFrame:
-    """The triangles of replicated edges, each under its own key only."""
-    e1 = rep.select("key", F.col("src").alias("a"), F.col("dst").alias("b"), F.col("i").alias("color_c"))
-    e2 = rep.select("key", F.col("src").alias("b"), F.col("dst").alias("c"), F.col("color_dst").alias("color_c"))
-    e3 = rep.select("key", F.col("src").alias("a"), F.col("dst").alias("c"))
-    return e1.join(e2, on=["key", "b", "color_c"]).join(e3, on=["key", "a", "c"], how="left_semi")
+    """``(key)`` per triangle of replicated edges, each under its own key only.
+
+    The copy of a->b under a key waits for a vertex c of colour ``i``, and that
+    key and a, b tell which: the edges x->c and y->c need no key, so one copy of
+    each (that of ``i = 0``) is looked up by x and c's colour."""
+    firsts = rep.select("key", F.col("i").alias("color_c"), "src", "dst")
+    edges = rep.where("i = 0").select(F.col("color_dst").alias("color_c"), "src", "dst")
+    return closed_wedges(firsts, edges, ["color_c"], ["key"])
 
 
 def triangles_exact_colored(edges: DataFrame, a: int, b: int, num_colors: int,
@@ -500,7 +547,7 @@ def triangles_approx_partition(edges: DataFrame, a_u: int, a_v: int, b: int,
     lo, hi = F.least("src", "dst"), F.greatest("src", "dst")
     bk = _bucketed(oriented, edge_bucket(lo, hi, a_u, a_v, b, num_buckets, p))
     c2 = num_buckets * num_buckets
-    return list_triangles(bk, ["bucket"]).agg(
+    return closed_wedges(bk, bk, ["bucket"]).agg(
         (F.count(F.lit(1)) * F.lit(c2)).cast("bigint").alias("estimate"))
 
 
@@ -513,7 +560,7 @@ def triangles_approx_spark_partition(edges: DataFrame, num_parts: int,
     oriented = oriented_edges(edges, order)
     lo, hi = F.least("src", "dst"), F.greatest("src", "dst")
     bk = _bucketed(oriented, F.pmod(F.hash(lo, hi), F.lit(num_parts)))
-    tri = list_triangles(bk, ["bucket"])
+    tri = closed_wedges(bk, bk, ["bucket"])
     c2 = num_parts * num_parts
     return tri.agg((F.count(F.lit(1)) * F.lit(c2)).cast("bigint").alias("estimate"))
 
@@ -526,12 +573,17 @@ def triangles_approx_partition_directed(edges: DataFrame, a_u: int, a_v: int, b:
     bucket: ``(estimate)``.  Takes raw edges only."""
     if is_oriented(edges):
         raise ValueError("the directed form needs the raw edges")
-    buckets = edges.where("u <> v").select(
-        F.least("u", "v").alias("lo"), F.greatest("u", "v").alias("hi"),
-        edge_bucket("u", "v", a_u, a_v, b, num_buckets, p).cast("bigint").alias("bucket")).distinct()
-    oriented = oriented_edges(edges, order).select(
-        "src", "dst", F.least("src", "dst").alias("lo"), F.greatest("src", "dst").alias("hi"))
-    bk = oriented.join(buckets, ["lo", "hi"]).select("bucket", "src", "dst")
+    # a direction of an edge has one bucket, so an edge has two at most
+    canon = edges.where("u <> v").groupBy(F.least("u", "v").alias("lo"), F.greatest("u", "v").alias("hi")).agg(
+        F.max(F.col("u") < F.col("v")).alias("up"), F.max(F.col("u") > F.col("v")).alias("down")).select(
+        F.col("lo").alias("u"), F.col("hi").alias("v"), "up", "down")
+    if order == "degree":
+        canon = materialize(canon, "canonical-edges")
+    lo, hi = F.least("src", "dst"), F.greatest("src", "dst")
+    there = F.when(F.col("up"), edge_bucket(lo, hi, a_u, a_v, b, num_buckets, p).cast("bigint"))
+    back = F.when(F.col("down"), edge_bucket(hi, lo, a_u, a_v, b, num_buckets, p).cast("bigint"))
+    bk = materialize(orient(canon, order).select(
+        F.explode(F.array_compact(F.array_distinct(F.array(there, back)))).alias("bucket"), "src", "dst"), "bucket-edges")
     c2 = num_buckets * num_buckets
-    return list_triangles(bk, ["bucket"]).agg(
+    return closed_wedges(bk, bk, ["bucket"]).agg(
         (F.count(F.lit(1)) * F.lit(c2)).cast("bigint").alias("estimate"))

@@ -24,5 +24,5 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as parquet under the checkpoint folder; return a scan of it."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.mode("overwrite").parquet(path)
+    df.write.mode("overwrite").parquet(path, compression="zstd")
     return spark.read.schema(df.schema).parquet(path)

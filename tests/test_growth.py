@@ -18,6 +18,62 @@ def plan_text(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
+def two_sided(near=4, far=300):
+    """Vertex 0 points to a few vertices, which point to many."""
+    pairs = [(0, i) for i in range(1, near + 1)] + [(1, 2)]
+    return pairs + [(i, 1000 * i + j) for i in range(1, near + 1) for j in range(far)]
+
+
+def test_wedges_come_from_the_shorter_list(spark, edges_df):
+    oriented = G.oriented_edges(edges_df(two_sided()), "id")
+    middle = oriented.alias("x").join(oriented.alias("y"), F.col("x.dst") == F.col("y.src")).count()
+    assert middle > 1000
+    wedges = G.short_wedges(oriented, oriented)
+    # 0->1..4 look at the out-edges of 0, 1->2 at 300 of one end
+    assert wedges.count() <= 4 * 3 + 301
+    assert G.closed_wedges(oriented, oriented).count() == 1
+
+
+def test_wedges_keep_groups_and_labels(spark):
+    rows = [(g, u, v, 10 * u + v) for g in (1, 2) for u, v in [(1, 2), (2, 3), (1, 3), (3, 4)] if (g, u) != (2, 2)]
+    e = spark.createDataFrame(rows, "g int, src bigint, dst bigint, label bigint")
+    found = G.closed_wedges(e, e.drop("label"), ["g"], ["label"]).collect()
+    assert [(r.g, r.label, r.c) for r in found] == [(1, 12, 3)]
+
+
+def test_id_order_is_reversed_for_a_hub_with_a_low_id(spark, edges_df):
+    pairs = [(0, i) for i in range(1, 400)] + [(i, i + 1) for i in range(1, 399)]
+    oriented = G._fewer_out(G.oriented_edges(edges_df(pairs), "id"))
+    assert oriented.groupBy("src").count().agg(F.max("count")).first()[0] == 2
+    assert G.triangles_exact(edges_df(pairs), "id").first()[0] == 398
+    assert G.triangles_exact(edges_df([]), "id").first()[0] == 0
+
+
+def test_triples_look_up_one_copy_of_an_edge(spark):
+    """Only the edges that look for a third vertex are replicated."""
+    df = E.queries()["triangles_exact_colored"](spark, SF_SMALL)
+    assert plan_text(df).count("(i#") >= 2 and " = 0)" in plan_text(df)
+    df.collect()
+
+
+@pytest.mark.parametrize("name,columns", [
+    ("triangles_approx_color_runs", "run:int,src:bigint,dst:bigint"),
+    ("triangles_approx_partition_directed", "bucket:bigint,src:bigint,dst:bigint")])
+def test_stored_groups_are_narrow(spark, name, columns):
+    plan = plan_text(E.queries()[name](spark, SF_SMALL))
+    assert plan.count(f"ReadSchema: struct<{columns}>") >= 3
+    assert "lo#" not in plan and "lineitem.parquet" not in plan
+
+
+@pytest.mark.parametrize("name", ["triangles_exact", "graph_summary", "triangles_exact_hub_split",
+                                  "triangles_per_edge_bucket", "triangles_approx_spark_partition"])
+def test_edges_are_never_broadcast(spark, name):
+    """One plan for every size: at sf0.001 too."""
+    df = E.queries()[name](spark, SF_SMALL)
+    df.collect()
+    assert not re.search(r"BroadcastHashJoin \[[^\]]*\b[abcxy]#", plan_text(df))
+
+
 def test_term_counts_shuffle_texts_once(spark):
     rng = random.Random(3)
     rows = [(rng.choice([1, 2, None]), rng.randrange(3), " ".join(rng.choice("ab c") for _ in range(9)))
