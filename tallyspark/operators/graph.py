@@ -162,15 +162,16 @@ def list_triangles(oriented: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
 
 def short_wedges(firsts: DataFrame, edges: DataFrame, keys: Sequence[str] = (),
                  labels: Sequence[str] = ()) -> DataFrame:
-    """Wedges ``(labels..., keys..., y, c)`` of the edges a->b of ``firsts``
+    """Wedges ``(labels..., keys..., x, y, c)`` of the edges a->b of ``firsts``
     (``labels..., keys..., src, dst``) in ``edges`` (``keys..., src, dst``).
 
     The end of a->b with fewer out-edges is the wedge's middle x, the other one
     is y: x->c is the wedge, y->c would close it.  So an edge has at most
     min(out(a), out(b)) wedges, and none if an end has no out-edge: never more
     than in :func:`list_triangles`, and under any order of the vertices at most
-    m times twice the graph's arboricity.  The tables grow with the graph: one
-    plan for every size, so no side is broadcast.
+    m times twice the graph's arboricity.  The pairs x, y are stored, so that a
+    query scans them, the edges for x->c and those for y->c.  All grow with the
+    graph: one plan for every size, so no side is broadcast.
     """
     k = list(keys)
     out = edges.groupBy(*k, "src").agg(F.count(F.lit(1)).alias("n"))
@@ -179,10 +180,11 @@ def short_wedges(firsts: DataFrame, edges: DataFrame, keys: Sequence[str] = (),
     e1 = firsts.select(*labels, *k, F.col("src").alias("a"), F.col("dst").alias("b"))
     e1 = e1.join(out_b.hint("merge"), k + ["b"]).join(out_a.hint("merge"), k + ["a"])
     a_first = F.col("out_a") <= F.col("out_b")
-    e1 = e1.select(*labels, *k, F.when(a_first, F.col("a")).otherwise(F.col("b")).alias("x"),
-                   F.when(a_first, F.col("b")).otherwise(F.col("a")).alias("y"))
+    ends = materialize(e1.select(*labels, *k, F.when(a_first, F.col("a")).otherwise(F.col("b")).alias("src"),
+                                 F.when(a_first, F.col("b")).otherwise(F.col("a")).alias("dst")), "wedge-ends")
+    e1 = ends.withColumnsRenamed({"src": "x", "dst": "y"})
     e2 = edges.select(*k, F.col("src").alias("x"), F.col("dst").alias("c"))
-    return e1.join(e2.hint("merge"), k + ["x"]).where("c <> y").select(*labels, *k, "y", "c")
+    return e1.join(e2.hint("merge"), k + ["x"]).where("c <> y").select(*labels, *k, "x", "y", "c")
 
 
 def closed_wedges(firsts: DataFrame, edges: DataFrame, keys: Sequence[str] = (),
@@ -190,7 +192,7 @@ def closed_wedges(firsts: DataFrame, edges: DataFrame, keys: Sequence[str] = (),
     """The closed ones of :func:`short_wedges`: one row ``(keys..., y, c,
     labels...)`` per triangle a->b->c whose a->b is in ``firsts``."""
     closing = edges.select(*keys, F.col("src").alias("y"), F.col("dst").alias("c"))
-    return short_wedges(firsts, edges, keys, labels).join(
+    return short_wedges(firsts, edges, keys, labels).drop("x").join(
         closing.hint("merge"), [*keys, "y", "c"], "left_semi")
 
 
@@ -401,7 +403,9 @@ def triangles_approx_color_runs(edges: DataFrame, params: RunParams,
 
     ``params`` are ``(a, b)`` pairs, numbered from 0, or a table ``(run, ha,
     hb)`` of different runs such as :func:`run_parameters`.  The edges of one
-    colour of every run are stored once: the joins see the set's real size.
+    colour in any run are stored once: the joins see the set's real size.  A
+    wedge is one row for all its runs, and none if no run gives its vertices one
+    colour.
     """
     runs = _run_params(params)
     u, v = ("src", "dst") if is_oriented(edges) else ("u", "v")
@@ -412,12 +416,16 @@ def triangles_approx_color_runs(edges: DataFrame, params: RunParams,
 
     # of one colour in some run
     some = edges.select(u, v, runs.alias("runs")).where(F.exists("runs", lambda r: same(u, v, r))).select(u, v)
-    inside = F.filter("runs", lambda r: same("src", "dst", r))
-    x = _oriented_once(some, order).select("src", "dst", runs.alias("runs")).select(
-        "src", "dst", F.explode(inside).alias("r"))
-    # in a run, a vertex has one colour: edges that meet share it
-    mono = materialize(x.select(F.col("r.run").alias("run"), "src", "dst"), "run-edges")
-    per_run = (closed_wedges(mono, mono, ["run"])
+    mono = materialize(_oriented_once(some, order).select("src", "dst"), "run-edges")
+
+    def shared(r: Column) -> Column:
+        return same("x", "y", r) & same("x", "c", r)
+
+    # edges of one colour that meet have the same: the closing edge has it too
+    wedges = short_wedges(mono, mono).withColumn("runs", runs).where(F.exists("runs", shared)).drop("runs")
+    closing = mono.select(F.col("src").alias("y"), F.col("dst").alias("c"))
+    found = wedges.join(closing.hint("merge"), ["y", "c"], "left_semi").withColumn("runs", runs)
+    per_run = (found.select(F.explode(F.transform(F.filter("runs", shared), lambda r: r["run"])).alias("run"))
                .groupBy("run").agg(F.count(F.lit(1)).alias("triangles")))
     every = edges.sparkSession.range(1).select(F.explode(runs).alias("r")).select(F.col("r.run").alias("run"))
     c2 = num_colors * num_colors

@@ -57,7 +57,7 @@ def test_triples_look_up_one_copy_of_an_edge(spark):
 
 
 @pytest.mark.parametrize("name,columns", [
-    ("triangles_approx_color_runs", "run:int,src:bigint,dst:bigint"),
+    ("triangles_approx_color_runs", "src:bigint,dst:bigint"),
     ("triangles_approx_partition_directed", "bucket:bigint,src:bigint,dst:bigint")])
 def test_stored_groups_are_narrow(spark, name, columns):
     plan = plan_text(E.queries()[name](spark, SF_SMALL))
