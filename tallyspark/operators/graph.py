@@ -32,7 +32,7 @@ so a triangle is only found when its three edges share the group.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -89,15 +89,22 @@ def adjacency(edges: DataFrame) -> DataFrame:
         F.max("nbr").alias("max_neighbor"))
 
 
-def orient(canon: DataFrame, order: str = "degree") -> DataFrame:
+def vertex_rows(edges: DataFrame) -> DataFrame:
+    """``(vertex, degree)`` with an edge's copies counted: from the rows as they
+    come, where a vertex's edges often lie together."""
+    return vertex_degrees(edges.where("u <> v"))
+
+
+def orient(canon: DataFrame, order: str = "degree", degrees: DataFrame | None = None) -> DataFrame:
     """Direct every canonical edge from lower to higher rank: ``(src, dst)``,
-    then further columns."""
+    then further columns.  ``degrees`` may give other ranks ``(vertex, degree)``
+    of all vertices than their degrees."""
     if order not in ORDERS:
         raise ValueError(f"order must be one of {ORDERS}, got {order!r}")
     if order == "id":
         return canon.withColumnsRenamed({"u": "src", "v": "dst"})
     more = [c for c in canon.columns if c not in ("u", "v")]
-    deg = vertex_degrees(canon)
+    deg = vertex_degrees(canon) if degrees is None else degrees
     du = deg.select(F.col("vertex").alias("u"), F.col("degree").alias("du"))
     dv = deg.select(F.col("vertex").alias("v"), F.col("degree").alias("dv"))
     # degrees grow with the graph: one plan for every size
@@ -137,10 +144,12 @@ def oriented_edges(edges: DataFrame, order: str = "degree",
 
 def _oriented_once(edges: DataFrame, order: str) -> DataFrame:
     """The oriented edges for one reader that stores what it makes of them:
-    the orientation itself is not stored."""
+    the orientation itself is not stored.  Its degrees are :func:`vertex_rows`:
+    any order finds the same triangles, and no out-degree is above the root of
+    twice the rows."""
     if is_oriented(edges):
         return edges
-    return orient(canonical_edges(edges), order)
+    return orient(canonical_edges(edges), order, vertex_rows(edges) if order == "degree" else None)
 
 
 # ---------------------------------------------------------------------------
@@ -196,8 +205,88 @@ def closed_wedges(firsts: DataFrame, edges: DataFrame, keys: Sequence[str] = (),
         closing.hint("merge"), [*keys, "y", "c"], "left_semi")
 
 
+Group = Callable[[Column, Column], Column]
+
+
+def out_lists(oriented: DataFrame, group: Group | None = None) -> DataFrame:
+    """``(src, out)``: every vertex's out-neighbours as one array, stored once;
+    with ``group(src, dst)``, also ``groups``, those of the edges, whole numbers
+    below 2**31.  For edges in degree order: no array is longer than sqrt(2m)."""
+    # dealt by vertex first: lists made before the shuffle would save nothing
+    lists = oriented.select("src", "dst").repartition("src").groupBy("src").agg(
+        F.sort_array(F.collect_list("dst")).alias("out"))
+    if group is not None:
+        lists = lists.withColumn("groups", F.transform("out", lambda c: group(F.col("src"), c).cast("int")))
+    return materialize(lists, "out-lists")
+
+
+def listed_edges(lists: DataFrame, least: int = 1) -> DataFrame:
+    """The edges ``(src, dst)`` of the lists with ``least`` entries or more."""
+    return lists.where(F.size("out") >= least).select("src", F.explode("out").alias("dst"))
+
+
+def _mark(*key: Column) -> Column:
+    """A key's bit in a 64-bit signature, 0 to 63."""
+    return F.shiftrightunsigned(F.xxhash64(*key), 58).cast("int")
+
+
+def shared_outs(lists: DataFrame, firsts: DataFrame | None = None, group: Group | None = None) -> DataFrame:
+    """``(a, [group,] n)``: how many vertices c make a triangle with an edge
+    a->b of ``firsts`` (``src, dst``; all edges, if not given), in rows of one
+    edge each; edges surely without one have no row.  With ``group``, that of
+    the lists, a triangle's three edges share one.
+
+    ``lists`` are the :func:`out_lists` of a degree order.  Each a->b fetches a
+    signature of b's out-edges (one bit for each in 64), goes to a and takes
+    those of a's out-neighbours along whose bit is set; at b the exact
+    intersection is counted.  So wedges travel as one array an edge, and mostly
+    the ones that close: a neighbour that b lacks goes along only if another's
+    bit is its own.  In degree order out(a) <= degree(a) <= degree(b), so all
+    arrays together hold at most m times twice the graph's arboricity.
+    A signature is 8 bytes a vertex, so each partition's are hashed; the lists
+    are merged.
+    """
+    k = [] if group is None else ["group"]
+    if firsts is None:
+        firsts = listed_edges(lists, 2)  # a lone out-edge starts no triangle
+    zero, one = F.lit(0).cast("bigint"), F.lit(1).cast("bigint")
+
+    def bit(mark: Column) -> Column:
+        return F.call_function("shiftleft", one, mark)
+
+    def marked(c: Column) -> Column:
+        return F.col("sign").bitwiseAND(bit(_mark(c, *map(F.col, k)))) != 0
+
+    if group is None:
+        marks = F.transform("out", lambda c: _mark(c))
+        third, own = F.filter("out", marked), F.col("out")
+    else:
+        marks = F.transform("out", lambda c, i: _mark(c, F.get("groups", i)))
+        third = F.filter("out", lambda c, i: (F.get("groups", i) == F.col("group")) & marked(c))
+        own = F.filter("out", lambda c, i: F.get("groups", i) == F.col("group"))
+    more = lists.columns[1:]
+    signs = lists.select(F.col("src").alias("b"),
+                         F.aggregate(marks, zero, lambda found, m: found.bitwiseOR(bit(m))).alias("sign"))
+    edges = firsts.select(F.col("src").alias("a"), F.col("dst").alias("b")).join(signs.hint("shuffle_hash"), "b")
+    if group is not None:  # before the join: once an edge, not once an entry
+        edges = edges.withColumn("group", group(F.col("a"), F.col("b")).cast("int"))
+    # one shuffle of the lists serves both ends
+    at_a = edges.join(lists.select(F.col("src").alias("a"), *more).hint("merge"), "a")
+    # a generator, as a filter behind the column would compute it twice
+    some = F.filter(F.array(third), lambda t: F.size(t) > 0)
+    taken = at_a.select("a", "b", *k, F.explode(some).alias("third"))
+    return taken.join(lists.select(F.col("src").alias("b"), *more).hint("merge"), "b").select(
+        "a", *k, F.size(F.array_intersect("third", own)).cast("bigint").alias("n"))
+
+
+def _total(found: DataFrame) -> DataFrame:
+    """``(triangles)`` of the rows of :func:`shared_outs`."""
+    return found.agg(F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("triangles"))
+
+
 def count_triangles(oriented: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
-    """``(keys..., triangles)`` for the groups that have at least one."""
+    """``(keys..., triangles)`` for the groups that have at least one, for edges
+    in any order."""
     tri = closed_wedges(oriented, oriented, keys)
     return tri.groupBy(*keys).agg(F.count(F.lit(1)).alias("triangles"))
 
@@ -214,6 +303,11 @@ def _fewer_out(oriented: DataFrame) -> DataFrame:
     return oriented.select(F.col("dst").alias("src"), F.col("src").alias("dst")) if row.reverse else oriented
 
 
+def _scaled(triangles: DataFrame, parts: int) -> DataFrame:
+    """``(estimate)``: the triangles that ``parts`` parts kept, times its square."""
+    return triangles.select((F.col("triangles") * F.lit(parts * parts)).cast("bigint").alias("estimate"))
+
+
 def _zero_filled(groups: DataFrame, counts: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Left-join per-group counts onto a *bounded* group list, 0 if absent."""
     return (groups.join(counts, on=list(keys), how="left")
@@ -223,20 +317,25 @@ def _zero_filled(groups: DataFrame, counts: DataFrame, keys: Sequence[str]) -> D
 
 def triangles_exact(edges: DataFrame, order: str = "degree") -> DataFrame:
     """Exact triangle count of the undirected simple graph: ``(triangles)``."""
-    oriented = oriented_edges(edges, order)
     # a degree order bounds the out-degrees, ids do not
-    return count_triangles(_fewer_out(oriented) if order == "id" else oriented)
+    if order == "id":
+        return count_triangles(_fewer_out(oriented_edges(edges, order)))
+    return _total(shared_outs(out_lists(_oriented_once(edges, order))))
 
 
 def graph_summary(edges: DataFrame, order: str = "degree") -> DataFrame:
     """``(n_vertices, n_edges, triangles)`` of the undirected simple graph."""
-    oriented = oriented_edges(edges, order)
-    n_edges = oriented.agg(F.count(F.lit(1))).scalar()
-    n_vertices = (oriented.select(F.explode(F.array("src", "dst")).alias("x"))
-                  .distinct().agg(F.count(F.lit(1))).scalar())
+    if order == "id":
+        oriented = oriented_edges(edges, order)
+        n_edges = F.count(F.lit(1))
+        ends, found = F.array("src", "dst"), count_triangles(oriented)
+    else:
+        oriented = out_lists(_oriented_once(edges, order))
+        n_edges = F.coalesce(F.sum(F.size("out")), F.lit(0)).cast("bigint")
+        ends, found = F.concat(F.array("src"), "out"), _total(shared_outs(oriented))
+    n_vertices = oriented.select(F.explode(ends).alias("x")).distinct().agg(F.count(F.lit(1))).scalar()
     # two scalar subqueries next to the triangle aggregate
-    return count_triangles(oriented).select(
-        n_vertices.alias("n_vertices"), n_edges.alias("n_edges"), "triangles")
+    return found.select(n_vertices.alias("n_vertices"), oriented.agg(n_edges).scalar().alias("n_edges"), "triangles")
 
 
 # ---------------------------------------------------------------------------
@@ -282,7 +381,8 @@ def triangles_hub_split(edges: DataFrame, hubs: int = HUBS) -> DataFrame:
     """
     if not 0 < hubs <= 4096:
         raise ValueError("between 1 and 4096 hubs are possible")
-    oriented = oriented_edges(edges, "degree")
+    lists = out_lists(oriented_edges(edges, "degree", stored=False))
+    oriented = listed_edges(lists)
     words = -(-hubs // _WORD_BITS)
     # at most 4096 rows, and read three times
     numbers = F.broadcast(materialize(hub_numbers(oriented, hubs), "hubs"))
@@ -300,8 +400,8 @@ def triangles_hub_split(edges: DataFrame, hubs: int = HUBS) -> DataFrame:
     # one hub alone closes no triangle
     closed = sets.where(F.size("hubs") > 1).withColumn("matrix", matrix.scalar()).select(shared.alias("n"))
     light = numbers.select(F.col("vertex"))
-    to_light = oriented.join(light.withColumnRenamed("vertex", "dst"), "dst", "left_anti")
-    wedges = closed_wedges(to_light, oriented).agg(F.count(F.lit(1)).alias("n"))
+    to_light = listed_edges(lists, 2).join(light.withColumnRenamed("vertex", "dst"), "dst", "left_anti")
+    wedges = _total(shared_outs(lists, to_light)).select(F.col("triangles").alias("n"))
     return closed.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).unionByName(wedges).agg(
         F.sum("n").cast("bigint").alias("triangles"))
 
@@ -329,11 +429,11 @@ def monochromatic_edges(edges: DataFrame, a: int, b: int, num_colors: int,
 def _mono_oriented(edges: DataFrame, a, b, num_colors: int, p: int,
                    order: str) -> DataFrame:
     """Oriented edges inside colour classes.  Raw edges are filtered before
-    they are made distinct, oriented and stored."""
+    they are made distinct and oriented."""
     def same(x: str, y: str) -> Column:
         return node_color(x, a, b, num_colors, p) == node_color(y, a, b, num_colors, p)
     inside = edges.where(same("src", "dst") if is_oriented(edges) else same("u", "v"))
-    return oriented_edges(inside, order).withColumn("color", node_color("src", a, b, num_colors, p))
+    return _oriented_once(inside, order).withColumn("color", node_color("src", a, b, num_colors, p))
 
 
 def triangles_per_color(edges: DataFrame, a: int, b: int, num_colors: int,
@@ -344,18 +444,30 @@ def triangles_per_color(edges: DataFrame, a: int, b: int, num_colors: int,
     without any monochromatic edge has no row.
     """
     mono = _mono_oriented(edges, a, b, num_colors, p, order)
-    counts = count_triangles(mono, ["color"])
-    colors = mono.select("color").distinct()  # at most C rows
-    return _zero_filled(colors, counts, ["color"])
+    if order == "id":
+        mono = materialize(mono, "color-edges")
+        counts = count_triangles(mono, ["color"])
+        colors = mono.select("color").distinct()  # at most C rows
+        return _zero_filled(colors, counts, ["color"])
+    # edges of one colour that meet have the same
+    lists = out_lists(mono)
+
+    def color(vertex: str) -> Column:
+        return node_color(vertex, a, b, num_colors, p).alias("color")
+
+    counts = shared_outs(lists).groupBy(color("a")).agg(F.sum("n").alias("triangles"))
+    return _zero_filled(lists.select(color("src")).distinct(), counts, ["color"])
 
 
 def triangles_approx_color(edges: DataFrame, a: int, b: int, num_colors: int,
                            p: int = DEFAULT_PRIME, order: str = "degree") -> DataFrame:
     """Node-colouring estimate ``C^2 * sum_i t_i``: ``(estimate)``."""
     mono = _mono_oriented(edges, a, b, num_colors, p, order)
-    tri = closed_wedges(mono, mono, ["color"])
-    c2 = num_colors * num_colors
-    return tri.agg((F.count(F.lit(1)) * F.lit(c2)).cast("bigint").alias("estimate"))
+    if order == "id":
+        tri = count_triangles(materialize(mono, "color-edges"))
+    else:
+        tri = _total(shared_outs(out_lists(mono)))
+    return _scaled(tri, num_colors)
 
 
 # ---------------------------------------------------------------------------
@@ -531,8 +643,24 @@ def triangles_exact_colored(edges: DataFrame, a: int, b: int, num_colors: int,
 # Edge-partition estimate
 # ---------------------------------------------------------------------------
 
-def _bucketed(oriented: DataFrame, bucket: Column) -> DataFrame:
-    return oriented.withColumn("bucket", bucket.cast("bigint"))
+def _within_buckets(edges: DataFrame, bucket: Group, order: str) -> tuple[DataFrame, DataFrame]:
+    """The buckets that have an edge, and the triangles inside a bucket
+    ``(bucket, triangles)``; ``bucket`` takes an edge's smaller and larger end."""
+    def group(x: Column, y: Column) -> Column:
+        return bucket(F.least(x, y), F.greatest(x, y)).cast("bigint")
+
+    if order == "id":
+        bk = materialize(_oriented_once(edges, order).withColumn("bucket", group(F.col("src"), F.col("dst"))), "bucket-edges")
+        return bk.select("bucket").distinct(), count_triangles(bk, ["bucket"])
+    lists = out_lists(_oriented_once(edges, order), group)
+    counts = shared_outs(lists, group=group).groupBy("group").agg(F.sum("n").alias("triangles"))
+    return (lists.select(F.explode("groups").alias("bucket")).distinct().select(F.col("bucket").cast("bigint")),
+            counts.select(F.col("group").cast("bigint").alias("bucket"), "triangles"))
+
+
+def _partition_estimate(edges: DataFrame, bucket: Group, order: str, parts: int) -> DataFrame:
+    counts = _within_buckets(edges, bucket, order)[1]
+    return _scaled(counts.agg(F.coalesce(F.sum("triangles"), F.lit(0)).alias("triangles")), parts)
 
 
 def triangles_per_edge_bucket(edges: DataFrame, a_u: int, a_v: int, b: int,
@@ -540,23 +668,17 @@ def triangles_per_edge_bucket(edges: DataFrame, a_u: int, a_v: int, b: int,
                               order: str = "degree") -> DataFrame:
     """Split the distinct edges into C buckets by an edge hash and count the
     triangles whose three edges share a bucket: ``(bucket, triangles)``."""
-    oriented = oriented_edges(edges, order)
-    lo, hi = F.least("src", "dst"), F.greatest("src", "dst")
-    bk = _bucketed(oriented, edge_bucket(lo, hi, a_u, a_v, b, num_buckets, p))
-    counts = count_triangles(bk, ["bucket"])
-    return _zero_filled(bk.select("bucket").distinct(), counts, ["bucket"])
+    buckets, counts = _within_buckets(
+        edges, lambda lo, hi: edge_bucket(lo, hi, a_u, a_v, b, num_buckets, p), order)
+    return _zero_filled(buckets, counts, ["bucket"])
 
 
 def triangles_approx_partition(edges: DataFrame, a_u: int, a_v: int, b: int,
                                num_buckets: int, p: int = DEFAULT_PRIME,
                                order: str = "degree") -> DataFrame:
     """``C^2 * sum`` of :func:`triangles_per_edge_bucket`: ``(estimate)``."""
-    oriented = oriented_edges(edges, order)
-    lo, hi = F.least("src", "dst"), F.greatest("src", "dst")
-    bk = _bucketed(oriented, edge_bucket(lo, hi, a_u, a_v, b, num_buckets, p))
-    c2 = num_buckets * num_buckets
-    return closed_wedges(bk, bk, ["bucket"]).agg(
-        (F.count(F.lit(1)) * F.lit(c2)).cast("bigint").alias("estimate"))
+    return _partition_estimate(
+        edges, lambda lo, hi: edge_bucket(lo, hi, a_u, a_v, b, num_buckets, p), order, num_buckets)
 
 
 def triangles_approx_spark_partition(edges: DataFrame, num_parts: int,
@@ -565,12 +687,8 @@ def triangles_approx_spark_partition(edges: DataFrame, num_parts: int,
     partitioner gives ``repartition(C, "u", "v")`` -- ``pmod(hash(u, v), C)``
     -- computed as a column, so C does not limit the parallelism:
     ``(estimate)``."""
-    oriented = oriented_edges(edges, order)
-    lo, hi = F.least("src", "dst"), F.greatest("src", "dst")
-    bk = _bucketed(oriented, F.pmod(F.hash(lo, hi), F.lit(num_parts)))
-    tri = closed_wedges(bk, bk, ["bucket"])
-    c2 = num_parts * num_parts
-    return tri.agg((F.count(F.lit(1)) * F.lit(c2)).cast("bigint").alias("estimate"))
+    return _partition_estimate(
+        edges, lambda lo, hi: F.pmod(F.hash(lo, hi), F.lit(num_parts)), order, num_parts)
 
 
 def triangles_approx_partition_directed(edges: DataFrame, a_u: int, a_v: int, b: int,
