@@ -230,11 +230,13 @@ def _mark(*key: Column) -> Column:
     return F.shiftrightunsigned(F.xxhash64(*key), 58).cast("int")
 
 
-def shared_outs(lists: DataFrame, firsts: DataFrame | None = None, group: Group | None = None) -> DataFrame:
+def shared_outs(lists: DataFrame, firsts: DataFrame | None = None, group: Group | None = None,
+                later: Group | None = None) -> DataFrame:
     """``(a, [group,] n)``: how many vertices c make a triangle with an edge
     a->b of ``firsts`` (``src, dst``; all edges, if not given), in rows of one
     edge each; edges surely without one have no row.  With ``group``, that of
-    the lists, a triangle's three edges share one.
+    the lists, a triangle's three edges share one.  ``later(c, b)``, if given,
+    tells from the ids that c comes after b, so that no other c goes along.
 
     ``lists`` are the :func:`out_lists` of a degree order.  Each a->b fetches a
     signature of b's out-edges (one bit for each in 64), goes to a and takes
@@ -255,7 +257,8 @@ def shared_outs(lists: DataFrame, firsts: DataFrame | None = None, group: Group
         return F.call_function("shiftleft", one, mark)
 
     def marked(c: Column) -> Column:
-        return F.col("sign").bitwiseAND(bit(_mark(c, *map(F.col, k)))) != 0
+        has = F.col("sign").bitwiseAND(bit(_mark(c, *map(F.col, k)))) != 0
+        return has if later is None else later(c, F.col("b")) & has
 
     if group is None:
         marks = F.transform("out", lambda c: _mark(c))
@@ -291,16 +294,66 @@ def count_triangles(oriented: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     return tri.groupBy(*keys).agg(F.count(F.lit(1)).alias("triangles"))
 
 
+def _reversed(oriented: DataFrame) -> DataFrame:
+    return oriented.select(F.col("dst").alias("src"), F.col("src").alias("dst"))
+
+
+def _out_degrees(oriented: DataFrame) -> tuple[bool, int]:
+    """Whether the vertices' out-degrees are smaller (by their squares) with all
+    edges reversed, and the largest out-degree of the better direction."""
+    def degrees(end: str) -> Column:
+        n = oriented.groupBy(end).agg(F.count(F.lit(1)).alias("n"))
+        square = F.col("n").cast("double") * F.col("n")
+        return n.agg(F.struct(F.sum(square).alias("squares"), F.max("n").alias("most"))).scalar()
+
+    row = oriented.sparkSession.range(1).select(degrees("src").alias("out"), degrees("dst").alias("back")).first()
+    if row.out.most is None:  # no edges
+        return False, 0
+    reverse = row.back.squares < row.out.squares
+    return reverse, (row.back if reverse else row.out).most
+
+
 def _fewer_out(oriented: DataFrame) -> DataFrame:
-    """The edges, all reversed if that makes the vertices' out-degrees smaller
-    (by their squares): an order of vertices and its reverse have the same
-    triangles."""
-    def squares(end: str) -> Column:
-        n = oriented.groupBy(end).agg(F.count(F.lit(1)).cast("double").alias("n"))
-        return n.agg(F.sum(F.col("n") * F.col("n"))).scalar()
+    """The edges, all reversed if that makes the vertices' out-degrees smaller:
+    an order of vertices and its reverse have the same triangles."""
+    return _reversed(oriented) if _out_degrees(oriented)[0] else oriented
 
-    row = oriented.sparkSession.range(1).select((squares("dst") < squares("src")).alias("reverse")).first()
-    return oriented.select(F.col("dst").alias("src"), F.col("src").alias("dst")) if row.reverse else oriented
+
+#: entries of the longest list made in an order that does not bound out-degrees
+LONGEST_LIST = 1024
+
+
+def _count_in_id_order(edges: DataFrame) -> DataFrame:
+    """``(triangles)`` of edges in id order or its reverse.
+
+    Ids bound no out-degree, so only the vertices with at most
+    :data:`LONGEST_LIST` out-edges have lists.  A triangle a->b->c is counted by
+    :func:`shared_outs` if a and b have one, else by the rows of
+    :func:`closed_wedges`, whose middle is the end with fewer out-edges.  The
+    direction follows from the rows as given, as :func:`vertex_rows`.
+    """
+    given = edges if is_oriented(edges) else edges.where("u <> v").select(
+        F.least("u", "v").alias("src"), F.greatest("u", "v").alias("dst"))
+    reverse, most = _out_degrees(given)
+    oriented = _oriented_once(edges, "id")
+    if reverse:
+        oriented = _reversed(oriented)
+
+    def listed(some: DataFrame) -> DataFrame:
+        return _total(shared_outs(out_lists(some), later=lambda c, b: c < b if reverse else c > b))
+
+    if most <= LONGEST_LIST:
+        return listed(oriented)
+    oriented = materialize(oriented, "oriented-edges")
+    out = oriented.groupBy("src").agg(F.count(F.lit(1)).alias("n"))
+    # up to an edge in LONGEST_LIST: may be many
+    wide = materialize(out.where(F.col("n") > LONGEST_LIST).select("src"), "wide-vertices")
+    wide_src, wide_dst = wide.hint("merge"), wide.select(F.col("src").alias("dst")).hint("merge")
+    narrow = materialize(oriented.join(wide_src, "src", "left_anti"), "narrow-edges")
+    firsts = oriented.join(wide_src, "src", "left_semi").select("src", "dst").unionByName(
+        narrow.join(wide_dst, "dst", "left_semi").select("src", "dst"))
+    rows = closed_wedges(firsts, oriented).agg(F.count(F.lit(1)).alias("triangles"))
+    return listed(narrow).unionByName(rows).agg(F.sum("triangles").alias("triangles"))
 
 
 def _scaled(triangles: DataFrame, parts: int) -> DataFrame:
@@ -319,7 +372,7 @@ def triangles_exact(edges: DataFrame, order: str = "degree") -> DataFrame:
     """Exact triangle count of the undirected simple graph: ``(triangles)``."""
     # a degree order bounds the out-degrees, ids do not
     if order == "id":
-        return count_triangles(_fewer_out(oriented_edges(edges, order)))
+        return _count_in_id_order(edges)
     return _total(shared_outs(out_lists(_oriented_once(edges, order))))
 
 
