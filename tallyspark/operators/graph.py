@@ -230,6 +230,16 @@ def _mark(*key: Column) -> Column:
     return F.shiftrightunsigned(F.xxhash64(*key), 58).cast("int")
 
 
+def _bit(mark: Column) -> Column:
+    return F.call_function("shiftleft", F.lit(1).cast("bigint"), mark)
+
+
+def _if_any(entries: Column) -> Column:
+    """A generator: the array, if not empty.  A filter behind the column would
+    compute it twice."""
+    return F.explode(F.filter(F.array(entries), lambda t: F.size(t) > 0))
+
+
 def shared_outs(lists: DataFrame, firsts: DataFrame | None = None, group: Group | None = None,
                 later: Group | None = None) -> DataFrame:
     """``(a, [group,] n)``: how many vertices c make a triangle with an edge
@@ -251,13 +261,10 @@ def shared_outs(lists: DataFrame, firsts: DataFrame | None = None, group: Group
     k = [] if group is None else ["group"]
     if firsts is None:
         firsts = listed_edges(lists, 2)  # a lone out-edge starts no triangle
-    zero, one = F.lit(0).cast("bigint"), F.lit(1).cast("bigint")
-
-    def bit(mark: Column) -> Column:
-        return F.call_function("shiftleft", one, mark)
+    zero = F.lit(0).cast("bigint")
 
     def marked(c: Column) -> Column:
-        has = F.col("sign").bitwiseAND(bit(_mark(c, *map(F.col, k)))) != 0
+        has = F.col("sign").bitwiseAND(_bit(_mark(c, *map(F.col, k)))) != 0
         return has if later is None else later(c, F.col("b")) & has
 
     if group is None:
@@ -269,15 +276,13 @@ def shared_outs(lists: DataFrame, firsts: DataFrame | None = None, group: Group
         own = F.filter("out", lambda c, i: F.get("groups", i) == F.col("group"))
     more = lists.columns[1:]
     signs = lists.select(F.col("src").alias("b"),
-                         F.aggregate(marks, zero, lambda found, m: found.bitwiseOR(bit(m))).alias("sign"))
+                         F.aggregate(marks, zero, lambda found, m: found.bitwiseOR(_bit(m))).alias("sign"))
     edges = firsts.select(F.col("src").alias("a"), F.col("dst").alias("b")).join(signs.hint("shuffle_hash"), "b")
     if group is not None:  # before the join: once an edge, not once an entry
         edges = edges.withColumn("group", group(F.col("a"), F.col("b")).cast("int"))
     # one shuffle of the lists serves both ends
     at_a = edges.join(lists.select(F.col("src").alias("a"), *more).hint("merge"), "a")
-    # a generator, as a filter behind the column would compute it twice
-    some = F.filter(F.array(third), lambda t: F.size(t) > 0)
-    taken = at_a.select("a", "b", *k, F.explode(some).alias("third"))
+    taken = at_a.select("a", "b", *k, _if_any(third).alias("third"))
     return taken.join(lists.select(F.col("src").alias("b"), *more).hint("merge"), "b").select(
         "a", *k, F.size(F.array_intersect("third", own)).cast("bigint").alias("n"))
 
@@ -620,18 +625,19 @@ def median_estimate(runs: DataFrame) -> DataFrame:
 # Exact count by colour triples
 # ---------------------------------------------------------------------------
 
-def _replicated_by_triple(oriented: DataFrame, a: int, b: int, num_colors: int,
-                          p: int) -> DataFrame:
-    """Each edge C times, keyed by ``sort(h(src), h(dst), i)``, i in [0, C)."""
-    cs = node_color("src", a, b, num_colors, p)
-    cd = node_color("dst", a, b, num_colors, p)
-    rep = oriented.select("src", "dst", cs.alias("color_src"), cd.alias("color_dst"),
-                          F.explode(F.sequence(F.lit(0).cast("bigint"),
-                                               F.lit(num_colors - 1).cast("bigint")))
-                          .alias("i"))
+def _colored_ends(oriented: DataFrame, a: int, b: int, num_colors: int, p: int) -> DataFrame:
+    """The edges with the colours of both ends."""
+    return oriented.withColumns({"color_src": node_color("src", a, b, num_colors, p),
+                                 "color_dst": node_color("dst", a, b, num_colors, p)})
+
+
+def _replicated_by_triple(colored: DataFrame, num_colors: int) -> DataFrame:
+    """Each row of :func:`_colored_ends` C times, keyed by
+    ``sort(h(src), h(dst), i)``, i in [0, C): ``(k0, k1, k2, columns..., i)``."""
+    rep = colored.select("*", F.explode(F.sequence(F.lit(0).cast("bigint"),
+                                                   F.lit(num_colors - 1).cast("bigint"))).alias("i"))
     k0, k1, k2 = sorted3(F.col("color_src"), F.col("color_dst"), F.col("i"))
-    return rep.select(k0.alias("k0"), k1.alias("k1"), k2.alias("k2"),
-                      "src", "dst", "color_src", "color_dst", "i")
+    return rep.select(k0.alias("k0"), k1.alias("k1"), k2.alias("k2"), *rep.columns)
 
 
 def edge_color_triples(edges: DataFrame, a: int, b: int, num_colors: int,
@@ -639,17 +645,18 @@ def edge_color_triples(edges: DataFrame, a: int, b: int, num_colors: int,
     """Replicated canonical edges per colour-triple key: ``(k0, k1, k2, n_edges)``."""
     canon = edges if is_oriented(edges) else canonical_edges(edges).select(
         F.col("u").alias("src"), F.col("v").alias("dst"))
-    rep = _replicated_by_triple(canon, a, b, num_colors, p)
+    rep = _replicated_by_triple(_colored_ends(canon, a, b, num_colors, p), num_colors)
     return rep.groupBy("k0", "k1", "k2").agg(F.count(F.lit(1)).alias("n_edges"))
 
 
-def _stored_triples(edges: DataFrame, a: int, b: int, num_colors: int, p: int, order: str) -> DataFrame:
-    """The replicated edges ``(key, src, dst, i, color_dst)``, stored once so
-    that every join sees the C-fold set's real size; ``key`` is the triple as
-    one number."""
-    rep = _replicated_by_triple(_oriented_once(edges, order), a, b, num_colors, p)
-    key = (F.col("k0") * num_colors + F.col("k1")) * num_colors + F.col("k2")
-    return materialize(rep.select(key.alias("key"), "src", "dst", "i", "color_dst"), "triple-edges")
+def _triple_key(num_colors: int) -> Column:
+    """The colour triple as one number."""
+    return ((F.col("k0") * num_colors + F.col("k1")) * num_colors + F.col("k2")).alias("key")
+
+
+def _oriented_stored(edges: DataFrame, order: str) -> DataFrame:
+    """:func:`_oriented_once`, stored."""
+    return edges if is_oriented(edges) else materialize(_oriented_once(edges, order), "oriented-edges")
 
 
 def triangles_per_color_triple(edges: DataFrame, a: int, b: int, num_colors: int,
@@ -658,38 +665,69 @@ def triangles_per_color_triple(edges: DataFrame, a: int, b: int, num_colors: int
     """Per colour-triple key, the triangles whose sorted vertex colours equal
     the key: ``(k0, k1, k2, triangles)``; keys without one report 0.
 
-    Edges are replicated C times (key ``sort(h(u), h(v), i)``) and the
-    triangle join runs inside each key.  A triangle belongs to key k only
-    if its sorted vertex colours are k; for the copy of edge a->b keyed
-    with ``i`` that means the third vertex must have colour ``i``.  So
-    ownership is one more equi-join column (``e1.i = h(c)``): only owned
-    wedges are ever produced, none is filtered after the join.
+    Edges are replicated C times (key ``sort(h(u), h(v), i)``) and each copy
+    looks for its own triangles.  A triangle belongs to key k only if its sorted
+    vertex colours are k; for the copy of edge a->b keyed with ``i`` that means
+    the third vertex must have colour ``i``.  So a copy takes only the third
+    vertices of colour ``i``: only owned wedges are ever produced, none is
+    filtered after the join.
     """
-    rep = _stored_triples(edges, a, b, num_colors, p, order)
-    counts = _owned_triangles(rep).groupBy("key").agg(F.count(F.lit(1)).alias("triangles"))
-    filled = _zero_filled(rep.select("key").distinct(), counts, ["key"])  # at most C^3 keys
+    oriented = _oriented_stored(edges, order)
+    counts = _owned_triangles(oriented, a, b, num_colors, p, order).groupBy("key").agg(F.sum("n").alias("triangles"))
+    # at most C^2 pairs of colours and C^3 keys
+    pairs = _colored_ends(oriented, a, b, num_colors, p).select("color_src", "color_dst").distinct()
+    keys = _replicated_by_triple(pairs, num_colors).select(_triple_key(num_colors)).distinct()
     c = num_colors
-    return filled.select(F.expr(f"key div {c * c}").alias("k0"), F.expr(f"key div {c} % {c}").alias("k1"),
-                         F.expr(f"key % {c}").alias("k2"), "triangles")
+    return _zero_filled(keys, counts, ["key"]).select(
+        F.expr(f"key div {c * c}").alias("k0"), F.expr(f"key div {c} % {c}").alias("k1"),
+        F.expr(f"key % {c}").alias("k2"), "triangles")
+
+
+def _looking_edges(oriented: DataFrame) -> DataFrame:
+    """The edges a->b whose b has out-edges, so that they look for a third
+    vertex, with a signature of those out-edges (one bit for each in 64):
+    ``(src, dst, sign)``, stored."""
+    signs = materialize(oriented.groupBy("src").agg(F.bit_or(_bit(_mark(F.col("dst")))).alias("sign")), "out-signs")
+    signs = signs.withColumnRenamed("src", "dst").hint("shuffle_hash")
+    return materialize(oriented.join(signs, "dst").select("src", "dst", "sign"), "triple-edges")
 
 
-def _owned_triangles(rep: DataFrame) -> DataFrame:
-    """``(key)`` per triangle of replicated edges, each under its own key only.
+def _owned_triangles(oriented: DataFrame, a: int, b: int, num_colors: int, p: int, order: str) -> DataFrame:
+    """``(key, n)``: the triangles of each copy of an edge, under the copy's key
+    only; copies surely without one have no row.
 
-    The copy of a->b under a key waits for a vertex c of colour ``i``, and that
-    key and a, b tell which: the edges x->c and y->c need no key, so one copy of
-    each (that of ``i = 0``) is looked up by x and c's colour."""
-    firsts = rep.select("key", F.col("i").alias("color_c"), "src", "dst")
-    edges = rep.where("i = 0").select(F.col("color_dst").alias("color_c"), "src", "dst")
-    return closed_wedges(firsts, edges, ["color_c"], ["key"])
+    As in :func:`shared_outs`, an edge goes to a's out-neighbours, keeps those in
+    b's signature, and b decides.  Its C copies are made at a, where the ones
+    whose colour ``i`` no such neighbour has end at once.  So the C-fold edges
+    are neither stored nor shuffled.  In id order, which bounds no list, the
+    copies look for their third vertex by rows.
+    """
+    def color(x: Column | str) -> Column:
+        return node_color(x, a, b, num_colors, p)
+
+    looking, key = _looking_edges(oriented), _triple_key(num_colors)
+    if order == "id":
+        copies = _replicated_by_triple(_colored_ends(looking, a, b, num_colors, p), num_colors)
+        found = closed_wedges(copies.select(key, F.col("i").alias("color_c"), "src", "dst"),
+                              oriented.select(color("dst").alias("color_c"), "src", "dst"), ["color_c"], ["key"])
+        return found.select("key", F.lit(1).cast("bigint").alias("n"))
+    # one shuffle serves both ends
+    lists = oriented.select("src", "dst").repartition("src").groupBy("src").agg(F.collect_list("dst").alias("out"))
+    near = F.filter("out", lambda c: F.col("sign").bitwiseAND(_bit(_mark(c))) != 0)
+    at_a = looking.join(lists.hint("merge"), "src").select("src", "dst", _if_any(near).alias("near"))
+    at_a = _colored_ends(at_a, a, b, num_colors, p).withColumn("colors", F.transform("near", color))
+    copies = _replicated_by_triple(at_a, num_colors).where(F.exists("colors", lambda c: F.col("i") == c))
+    third = F.filter("near", lambda _, at: F.col("i") == F.get("colors", at))
+    at_b = copies.select(key, "dst", third.alias("third")).join(
+        lists.withColumnRenamed("src", "dst").hint("merge"), "dst")
+    return at_b.select("key", F.size(F.array_intersect("third", "out")).cast("bigint").alias("n"))
 
 
 def triangles_exact_colored(edges: DataFrame, a: int, b: int, num_colors: int,
                             p: int = DEFAULT_PRIME, order: str = "degree") -> DataFrame:
     """Exact count as the sum over colour triples: ``(triangles)``.
     Independent of ``a``, ``b`` and ``C``."""
-    rep = _stored_triples(edges, a, b, num_colors, p, order)
-    return _owned_triangles(rep).agg(F.count(F.lit(1)).alias("triangles"))
+    return _total(_owned_triangles(_oriented_stored(edges, order), a, b, num_colors, p, order))
 
 
 # ---------------------------------------------------------------------------
