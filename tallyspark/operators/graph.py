@@ -152,6 +152,11 @@ def _oriented_once(edges: DataFrame, order: str) -> DataFrame:
     return orient(canonical_edges(edges), order, vertex_rows(edges) if order == "degree" else None)
 
 
+def _oriented_stored(edges: DataFrame, order: str) -> DataFrame:
+    """:func:`_oriented_once`, stored."""
+    return edges if is_oriented(edges) else materialize(_oriented_once(edges, order), "oriented-edges")
+
+
 # ---------------------------------------------------------------------------
 # Triangle join
 # ---------------------------------------------------------------------------
@@ -220,6 +225,24 @@ def out_lists(oriented: DataFrame, group: Group | None = None) -> DataFrame:
     return materialize(lists, "out-lists")
 
 
+def joined_lists(stored: DataFrame, group: Group | None = None) -> DataFrame:
+    """:func:`out_lists` that are not stored but made from stored edges where they
+    are joined; their one shuffle serves every join."""
+    entries = [F.collect_list("dst").alias("out")]
+    if group is not None:
+        entries.append(F.collect_list(group(F.col("src"), F.col("dst")).cast("int")).alias("groups"))
+    return stored.select("src", "dst").repartition("src").groupBy("src").agg(*entries)
+
+
+def looking_edges(stored: DataFrame, group: Group | None = None) -> DataFrame:
+    """The edges a->b whose b has out-edges, so that they look for a third
+    vertex, with a signature of those out-edges (one bit for each in 64):
+    ``(src, dst, sign)``."""
+    key = [F.col("dst")] if group is None else [F.col("dst"), group(F.col("src"), F.col("dst")).cast("int")]
+    signs = materialize(stored.groupBy("src").agg(F.bit_or(_bit(_mark(*key))).alias("sign")), "out-signs")
+    return stored.join(signs.withColumnRenamed("src", "dst").hint("shuffle_hash"), "dst").select("src", "dst", "sign")
+
+
 def listed_edges(lists: DataFrame, least: int = 1) -> DataFrame:
     """The edges ``(src, dst)`` of the lists with ``least`` entries or more."""
     return lists.where(F.size("out") >= least).select("src", F.explode("out").alias("dst"))
@@ -244,8 +267,8 @@ def shared_outs(lists: DataFrame, firsts: DataFrame | None = None, group: Group
                 later: Group | None = None) -> DataFrame:
     """``(a, [group,] n)``: how many vertices c make a triangle with an edge
     a->b of ``firsts`` (``src, dst``; all edges, if not given), in rows of one
-    edge each; edges surely without one have no row.  With ``group``, that of
-    the lists, a triangle's three edges share one.  ``later(c, b)``, if given,
+    edge each; edges surely without one have no row.  ``firsts`` may be
+    :func:`looking_edges`.  With ``group``, that of the lists, a triangle's three edges share one.  ``later(c, b)``, if given,
     tells from the ids that c comes after b, so that no other c goes along.
 
     ``lists`` are the :func:`out_lists` of a degree order.  Each a->b fetches a
@@ -275,9 +298,11 @@ def shared_outs(lists: DataFrame, firsts: DataFrame | None = None, group: Group
         third = F.filter("out", lambda c, i: (F.get("groups", i) == F.col("group")) & marked(c))
         own = F.filter("out", lambda c, i: F.get("groups", i) == F.col("group"))
     more = lists.columns[1:]
-    signs = lists.select(F.col("src").alias("b"),
-                         F.aggregate(marks, zero, lambda found, m: found.bitwiseOR(_bit(m))).alias("sign"))
-    edges = firsts.select(F.col("src").alias("a"), F.col("dst").alias("b")).join(signs.hint("shuffle_hash"), "b")
+    edges = firsts.withColumnsRenamed({"src": "a", "dst": "b"})
+    if "sign" not in firsts.columns:
+        signs = lists.select(F.col("src").alias("b"),
+                             F.aggregate(marks, zero, lambda found, m: found.bitwiseOR(_bit(m))).alias("sign"))
+        edges = edges.select("a", "b").join(signs.hint("shuffle_hash"), "b")
     if group is not None:  # before the join: once an edge, not once an entry
         edges = edges.withColumn("group", group(F.col("a"), F.col("b")).cast("int"))
     # one shuffle of the lists serves both ends
@@ -378,7 +403,8 @@ def triangles_exact(edges: DataFrame, order: str = "degree") -> DataFrame:
     # a degree order bounds the out-degrees, ids do not
     if order == "id":
         return _count_in_id_order(edges)
-    return _total(shared_outs(out_lists(_oriented_once(edges, order))))
+    oriented = _oriented_stored(edges, order)
+    return _total(shared_outs(joined_lists(oriented), looking_edges(oriented)))
 
 
 def graph_summary(edges: DataFrame, order: str = "degree") -> DataFrame:
@@ -654,11 +680,6 @@ def _triple_key(num_colors: int) -> Column:
     return ((F.col("k0") * num_colors + F.col("k1")) * num_colors + F.col("k2")).alias("key")
 
 
-def _oriented_stored(edges: DataFrame, order: str) -> DataFrame:
-    """:func:`_oriented_once`, stored."""
-    return edges if is_oriented(edges) else materialize(_oriented_once(edges, order), "oriented-edges")
-
-
 def triangles_per_color_triple(edges: DataFrame, a: int, b: int, num_colors: int,
                                p: int = DEFAULT_PRIME,
                                order: str = "degree") -> DataFrame:
@@ -683,15 +704,6 @@ def triangles_per_color_triple(edges: DataFrame, a: int, b: int, num_colors: int
         F.expr(f"key % {c}").alias("k2"), "triangles")
 
 
-def _looking_edges(oriented: DataFrame) -> DataFrame:
-    """The edges a->b whose b has out-edges, so that they look for a third
-    vertex, with a signature of those out-edges (one bit for each in 64):
-    ``(src, dst, sign)``, stored."""
-    signs = materialize(oriented.groupBy("src").agg(F.bit_or(_bit(_mark(F.col("dst")))).alias("sign")), "out-signs")
-    signs = signs.withColumnRenamed("src", "dst").hint("shuffle_hash")
-    return materialize(oriented.join(signs, "dst").select("src", "dst", "sign"), "triple-edges")
-
-
 def _owned_triangles(oriented: DataFrame, a: int, b: int, num_colors: int, p: int, order: str) -> DataFrame:
     """``(key, n)``: the triangles of each copy of an edge, under the copy's key
     only; copies surely without one have no row.
@@ -705,14 +717,13 @@ def _owned_triangles(oriented: DataFrame, a: int, b: int, num_colors: int, p: in
     def color(x: Column | str) -> Column:
         return node_color(x, a, b, num_colors, p)
 
-    looking, key = _looking_edges(oriented), _triple_key(num_colors)
+    looking, key = materialize(looking_edges(oriented), "triple-edges"), _triple_key(num_colors)
     if order == "id":
         copies = _replicated_by_triple(_colored_ends(looking, a, b, num_colors, p), num_colors)
         found = closed_wedges(copies.select(key, F.col("i").alias("color_c"), "src", "dst"),
                               oriented.select(color("dst").alias("color_c"), "src", "dst"), ["color_c"], ["key"])
         return found.select("key", F.lit(1).cast("bigint").alias("n"))
-    # one shuffle serves both ends
-    lists = oriented.select("src", "dst").repartition("src").groupBy("src").agg(F.collect_list("dst").alias("out"))
+    lists = joined_lists(oriented)
     near = F.filter("out", lambda c: F.col("sign").bitwiseAND(_bit(_mark(c))) != 0)
     at_a = looking.join(lists.hint("merge"), "src").select("src", "dst", _if_any(near).alias("near"))
     at_a = _colored_ends(at_a, a, b, num_colors, p).withColumn("colors", F.transform("near", color))
@@ -743,9 +754,10 @@ def _within_buckets(edges: DataFrame, bucket: Group, order: str) -> tuple[DataFr
     if order == "id":
         bk = materialize(_oriented_once(edges, order).withColumn("bucket", group(F.col("src"), F.col("dst"))), "bucket-edges")
         return bk.select("bucket").distinct(), count_triangles(bk, ["bucket"])
-    lists = out_lists(_oriented_once(edges, order), group)
-    counts = shared_outs(lists, group=group).groupBy("group").agg(F.sum("n").alias("triangles"))
-    return (lists.select(F.explode("groups").alias("bucket")).distinct().select(F.col("bucket").cast("bigint")),
+    oriented = _oriented_stored(edges, order)
+    looking = materialize(looking_edges(oriented, group), "looking-edges")
+    counts = shared_outs(joined_lists(oriented, group), looking, group).groupBy("group").agg(F.sum("n").alias("triangles"))
+    return (oriented.select(group(F.col("src"), F.col("dst")).alias("bucket")).distinct(),
             counts.select(F.col("group").cast("bigint").alias("bucket"), "triangles"))
 
 
